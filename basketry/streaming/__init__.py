@@ -1,0 +1,8 @@
+"""Streaming.
+
+The source system is a batch job: it has no stream source, watermark, window
+or stateful operator, so nothing here is registered as a query. Its batch
+operators are plain ``DataFrame -> DataFrame`` functions, which Structured
+Streaming can apply per micro-batch through ``foreachBatch`` if a caller
+needs incremental loads; see README for why no streaming operator is built.
+"""
