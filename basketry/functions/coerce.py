@@ -46,7 +46,7 @@ def numeric_expr(c: Column, dtype: T.DataType) -> Column:
     for token, value in NUMERIC_SPECIAL.items():
         special = special.when(low == token, F.lit(value).cast("double"))
     return (
-        F.when(txt.rlike(NUMERIC_PATTERN), F.try_cast(txt, "double"))
+        F.when(txt.rlike(NUMERIC_PATTERN), txt.try_cast("double"))
         .otherwise(special.otherwise(F.lit(None).cast("double")))
     )
 
@@ -96,3 +96,21 @@ def coerce_columns(df: DataFrame, numeric=(), dates=(), ids=(), date_formats=DAT
             c = datetime_expr(c, f.dataType, date_formats)
         out.append(c.alias(f.name))
     return df.select(*out)
+
+
+def coercion_report(df: DataFrame, numeric=(), dates=(), date_formats=DATETIME_FORMATS) -> DataFrame:
+    """Per coerced column: how many present values became NULL (one aggregate)."""
+    aggs, names = [], []
+    for c in list(numeric) + list(dates):
+        if c not in df.columns:
+            continue
+        dtype = df.schema[c].dataType
+        conv = numeric_expr(F.col(c), dtype) if c in numeric else datetime_expr(F.col(c), dtype, date_formats)
+        aggs.append(F.count_if(F.col(c).isNotNull() & conv.isNull()).alias(c))
+        names.append(c)
+    if not aggs:
+        return df.sparkSession.createDataFrame([], "column string, coerced_to_null bigint")
+    row = df.agg(*aggs)
+    return row.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("bigint").alias("coerced_to_null"))
+        for c in names])).alias("r")).select("r.*")

@@ -146,8 +146,8 @@ def rule_metrics(df: DataFrame, rules: list[Rule]) -> DataFrame:
                 x = F.when(F.isnan(x), None).otherwise(x)
             add(f"{c}__nulls", F.count_if(x.isNull()))
             add(f"{c}__n", F.count(x))
-            add(f"{c}__below", F.count_if(x < rule.min_value) if rule.min_value is not None else F.lit(0))
-            add(f"{c}__above", F.count_if(x > rule.max_value) if rule.max_value is not None else F.lit(0))
+            add(f"{c}__below", F.count_if(x < rule.min_value) if rule.min_value is not None else F.lit(0).cast("bigint"))
+            add(f"{c}__above", F.count_if(x > rule.max_value) if rule.max_value is not None else F.lit(0).cast("bigint"))
             add(f"{c}__min", F.min(x).cast("double"))
             add(f"{c}__max", F.max(x).cast("double"))
         elif rule.kind == "unique":

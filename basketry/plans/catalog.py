@@ -10,9 +10,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from basketry.functions.coerce import coerce_columns, coercion_report
 from basketry.operators import metrics as M
+from basketry.operators import quality as Q
+from basketry.operators.dedup import dedup_report, keep_last
+from basketry.operators.nulls import NullStrategy, fill_nulls, fill_report
+from basketry.operators.profile import profile
+from basketry.operators.quantile import exact_quantile
+from basketry.plans import clean as CL
+from basketry.plans import enrich as EN
 from basketry.plans.clean import clean_inventory, clean_orders, clean_reviews
 from basketry.plans.enrich import enrich_inventory, enrich_orders, enrich_reviews
+from basketry.session import scratch_dir
+from basketry.sources.csv import read_csv
+from basketry.sources.sinks import write_csv, write_parquet
 from basketry.sources.views import DriverViews
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,8 +119,134 @@ def table_queries() -> dict[str, Query]:
     }
 
 
+# ------------------------------------------------- operator-level queries --
+FILL_PLANS = {
+    "fill_drop": {"total_amount": NullStrategy.DROP},
+    "fill_zero": {"discount_percent": NullStrategy.FILL_ZERO, "shipping_cost": NullStrategy.FILL_ZERO,
+                  "tax_amount": NullStrategy.FILL_ZERO, "promotion_id": NullStrategy.FILL_ZERO},
+    "fill_string": {"notes": NullStrategy.FILL_STRING},
+    "fill_mean": {"subtotal": NullStrategy.FILL_MEAN, "total_amount": NullStrategy.FILL_MEAN},
+    "fill_median": {"subtotal": NullStrategy.FILL_MEDIAN, "total_amount": NullStrategy.FILL_MEDIAN},
+    "fill_mode": {"notes": NullStrategy.FILL_MODE, "shipping_cost": NullStrategy.FILL_MODE},
+}
+
+ROUNDTRIP_SCHEMA = T.StructType([
+    T.StructField("order_id", T.LongType()), T.StructField("customer_id", T.LongType()),
+    T.StructField("order_date", T.TimestampNTZType()), T.StructField("promotion_id", T.LongType()),
+    T.StructField("subtotal", T.DoubleType()), T.StructField("discount_percent", T.DoubleType()),
+    T.StructField("shipping_cost", T.DoubleType()), T.StructField("tax_amount", T.DoubleType()),
+    T.StructField("total_amount", T.DoubleType()), T.StructField("status", T.StringType()),
+    T.StructField("notes", T.StringType()),
+])
+
+QUANTILES = (("total_amount_p10", 0.1), ("total_amount_p50", 0.5), ("total_amount_p80", 0.8),
+             ("total_amount_p99", 0.99))
+
+
+def _raw_orders(s, d):
+    return DriverViews(s, d).orders().drop("_seq")
+
+
+def _fill_query(plan):
+    return lambda s, d: fill_nulls(_raw_orders(s, d), plan)
+
+
+def _csv_roundtrip(s, d):
+    path = scratch_dir(s, "csv_roundtrip") + "/orders.csv"
+    write_csv(_raw_orders(s, d), path)
+    return read_csv(s, path, ROUNDTRIP_SCHEMA, with_seq=False)
+
+
+def _parquet_roundtrip(s, d):
+    path = scratch_dir(s, "parquet_roundtrip") + "/orders_enriched"
+    write_parquet(enriched_orders(s, d), path)
+    return s.read.parquet(path)
+
+
+def _quantiles(s, d):
+    o = _raw_orders(s, d)
+    out = None
+    for name, p in QUANTILES:
+        q = exact_quantile(o, "total_amount", p, alias=name)
+        out = q if out is None else out.crossJoin(q)
+    items = DriverViews(s, d).order_items()
+    return out.crossJoin(exact_quantile(items, "quantity", 0.5, alias="quantity_p50"))
+
+
+def _dim_checks(s, d):
+    v = DriverViews(s, d)
+    cust = Q.rule_metrics(v.customers(), EN.CUSTOMER_RULES)
+    promo = Q.rule_metrics(v.promotions(), EN.PROMOTION_RULES)
+    prod = Q.rule_metrics(v.products(), EN.REVIEW_PRODUCT_RULES)
+    wh = Q.rule_metrics(v.warehouses(), EN.WAREHOUSE_RULES)
+
+    def tag(df, prefix):
+        return df.select(*[F.col(c).alias(f"{prefix}__{c}") for c in df.columns])
+    return (tag(cust, "customers").crossJoin(tag(promo, "promotions"))
+            .crossJoin(tag(prod, "products")).crossJoin(tag(wh, "warehouses")))
+
+
+RANGE_RULES = [r for r in CL.ORDERS_RULES if r.kind == "range"]
+UNIQUE_COLUMNS = ["order_id", "customer_id", "status", "notes"]
+
+
+def operator_queries() -> dict[str, Query]:
+    q: dict[str, Query] = {name: _fill_query(plan) for name, plan in FILL_PLANS.items()}
+    q.update({
+        "fill_report": lambda s, d: fill_report(_raw_orders(s, d), CL.ORDERS_FILL),
+        "dedup_keep_last": lambda s, d: keep_last(
+            DriverViews(s, d).orders_with_duplicates(), "order_id", "_seq").drop("_seq"),
+        "dedup_report": lambda s, d: dedup_report(
+            DriverViews(s, d).orders_with_duplicates(),
+            keep_last(DriverViews(s, d).orders_with_duplicates(), "order_id", "_seq")),
+        "coerce_numeric": lambda s, d: coerce_columns(
+            DriverViews(s, d).orders_text_amounts().drop("_seq"), numeric=CL.ORDERS_NUMERIC),
+        "coerce_datetime": lambda s, d: coerce_columns(
+            DriverViews(s, d).orders_text_dates().drop("_seq"), dates=CL.ORDERS_DATES),
+        "coercion_report": lambda s, d: coercion_report(
+            DriverViews(s, d).orders_text_amounts(), numeric=CL.ORDERS_NUMERIC),
+        "recalc_total": lambda s, d: clean_orders(DriverViews(s, d).orders_null_totals(), check=True),
+        "clean_orders_duplicates": lambda s, d: clean_orders(
+            DriverViews(s, d).orders_with_duplicates(), check=True),
+        "status_funnel_null_status": lambda s, d: M.status_funnel(
+            DriverViews(s, d).orders_null_status()),
+        "cancellation_rate_null_status": lambda s, d: M.cancellation_rate(
+            DriverViews(s, d).orders_null_status()),
+        "check_keys": lambda s, d: Q.rule_metrics(_raw_orders(s, d), [Q.no_nulls(CL.ORDERS_KEYS)]),
+        "check_nulls": lambda s, d: Q.rule_metrics(_raw_orders(s, d), [Q.no_nulls(None)]),
+        "check_range": lambda s, d: Q.rule_metrics(_raw_orders(s, d), RANGE_RULES),
+        "check_unique": lambda s, d: Q.rule_metrics(
+            DriverViews(s, d).orders_with_duplicates(), [Q.unique(UNIQUE_COLUMNS)]),
+        "check_orders_rules": lambda s, d: Q.rule_metrics(cleaned_orders(s, d), CL.ORDERS_RULES),
+        "check_inventory_rules": lambda s, d: Q.rule_metrics(cleaned_inventory(s, d), CL.INVENTORY_RULES),
+        "check_reviews_rules": lambda s, d: Q.rule_metrics(cleaned_reviews(s, d), CL.REVIEWS_RULES),
+        "check_dimensions": _dim_checks,
+        "profile_table": lambda s, d: profile(_raw_orders(s, d)),
+        "csv_roundtrip": _csv_roundtrip,
+        "parquet_roundtrip": _parquet_roundtrip,
+        "exact_quantiles": _quantiles,
+        # joins as stand-alone operators on cleaned facts
+        "join_orders_customers": lambda s, d: EN.join_customers(
+            cleaned_orders(s, d), DriverViews(s, d).customers()),
+        "join_orders_promotions": lambda s, d: EN.join_promotions(
+            cleaned_orders(s, d), DriverViews(s, d).promotions()),
+        "join_orders_items": lambda s, d: EN.join_items_count(
+            cleaned_orders(s, d), DriverViews(s, d).order_items()),
+        "join_inventory_products": lambda s, d: EN.join_products(
+            cleaned_inventory(s, d), DriverViews(s, d).products()),
+        "join_inventory_warehouses": lambda s, d: EN.join_warehouses(
+            cleaned_inventory(s, d), DriverViews(s, d).warehouses()),
+        "join_reviews_products": lambda s, d: EN.join_products(
+            cleaned_reviews(s, d), DriverViews(s, d).products()),
+        "join_reviews_customers": lambda s, d: EN.join_review_customers(
+            cleaned_reviews(s, d), DriverViews(s, d).customers()),
+    })
+    return q
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(metric_queries())
     out.update(table_queries())
+    out.update(operator_queries())
     return out

@@ -50,6 +50,44 @@ def items_per_order(order_items: DataFrame) -> DataFrame:
             .groupBy("order_id").agg(F.sum("quantity").alias("items_count")))
 
 
+# ---------------------------------------------------------------- joins --
+def join_customers(orders: DataFrame, customers: DataFrame) -> DataFrame:
+    """J1: orders ⟕ customers (+segment, registration_date, city, country, email)."""
+    cust = _with_ts(customers.select(*CUSTOMER_COLS), {"registration_date"})
+    return left_join(orders, cust, "customer_id")
+
+
+def join_promotions(orders: DataFrame, promotions: DataFrame) -> DataFrame:
+    """J2: orders ⟕ promotions (+type, discount_value, start/end dates, is_active)."""
+    promo = _with_ts(promotions.select(*PROMOTION_COLS), {"start_date", "end_date"})
+    return left_join(orders, promo, "promotion_id")
+
+
+def join_items_count(orders: DataFrame, order_items: DataFrame) -> DataFrame:
+    """J3: orders ⟕ per-order item totals (aggregate first, then join)."""
+    return left_join(orders, items_per_order(order_items), "order_id")
+
+
+def join_products(facts: DataFrame, products: DataFrame) -> DataFrame:
+    """J4 / J6: facts ⟕ products (+name, category, brand); duplicate ids fan out."""
+    return left_join(facts, products, "product_id", PRODUCT_COLS)
+
+
+def join_warehouses(inventory: DataFrame, warehouses: DataFrame) -> DataFrame:
+    """J5: inventory ⟕ warehouses (+location, capacity, occupancy)."""
+    return left_join(inventory, warehouses, "warehouse_id", WAREHOUSE_COLS)
+
+
+def join_review_customers(reviews: DataFrame, customers: DataFrame) -> DataFrame:
+    """J7: reviews ⟕ customers (+segment, city, country)."""
+    missing = [c for c in REVIEW_CUSTOMER_COLS if c not in customers.columns]
+    if missing:
+        from basketry.errors import MissingRequiredColumnsError
+        raise MissingRequiredColumnsError(missing, customers.columns)
+    return left_join(reviews, customers, "customer_id", REVIEW_CUSTOMER_COLS)
+
+
+# ------------------------------------------------------------- enrichers --
 def enrich_orders(orders: DataFrame, customers: DataFrame, promotions: DataFrame,
                   order_items: DataFrame, check: bool = True) -> DataFrame:
     if check:
@@ -58,12 +96,10 @@ def enrich_orders(orders: DataFrame, customers: DataFrame, promotions: DataFrame
     else:
         Q.enforce(customers, CUSTOMER_RULES[:1])
         Q.enforce(promotions, PROMOTION_RULES[:1])
-    cust = _with_ts(customers.select(*CUSTOMER_COLS), {"registration_date"})
-    promo = _with_ts(promotions.select(*PROMOTION_COLS), {"start_date", "end_date"})
     base_cols = list(orders.columns)
-    out = left_join(orders, items_per_order(order_items), "order_id")
-    out = left_join(out, cust, "customer_id")
-    out = left_join(out, promo, "promotion_id")
+    out = join_items_count(orders, order_items)
+    out = join_customers(out, customers)
+    out = join_promotions(out, promotions)
     return out.select(
         *base_cols,
         *CUSTOMER_COLS[1:],
@@ -87,8 +123,8 @@ def enrich_inventory(inventory: DataFrame, products: DataFrame, warehouses: Data
     """
     Q.enforce(products, INVENTORY_PRODUCT_RULES if check else INVENTORY_PRODUCT_RULES[:1])
     Q.enforce(warehouses, WAREHOUSE_RULES if check else WAREHOUSE_RULES[:1])
-    out = left_join(inventory, products, "product_id", PRODUCT_COLS)
-    out = left_join(out, warehouses, "warehouse_id", WAREHOUSE_COLS)
+    out = join_products(inventory, products)
+    out = join_warehouses(out, warehouses)
     return out.select(
         "*",
         D.is_low_stock().alias("is_low_stock"),
@@ -100,12 +136,8 @@ def enrich_reviews(reviews: DataFrame, products: DataFrame, customers: DataFrame
                    check: bool = True) -> DataFrame:
     Q.enforce(products, REVIEW_PRODUCT_RULES if check else REVIEW_PRODUCT_RULES[:1])
     Q.enforce(customers, REVIEW_CUSTOMER_RULES)
-    missing = [c for c in REVIEW_CUSTOMER_COLS if c not in customers.columns]
-    if missing:
-        from basketry.errors import MissingRequiredColumnsError
-        raise MissingRequiredColumnsError(missing, customers.columns)
-    out = left_join(reviews, products, "product_id", PRODUCT_COLS)
-    out = left_join(out, customers, "customer_id", REVIEW_CUSTOMER_COLS)
+    out = join_products(reviews, products)
+    out = join_review_customers(out, customers)
     return out.select(
         "*",
         D.month_start("created_at").alias("review_month"),

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from basketry.plans.oracle_ctes import msum, with_ctes
+from basketry.operators import quality as Q
+from basketry.plans import clean as CL
+from basketry.plans import enrich as EN
+from basketry.plans.oracle_ctes import AMOUNT_COLUMNS, msum, to_number, to_timestamp, with_ctes
 
 _SPEND = f"COALESCE({msum('total_amount')}, 0.0)"
 
@@ -139,8 +142,176 @@ TABLE_SQL: dict[str, str] = {
 }
 
 
+ORDER_COLUMNS = ["order_id", "customer_id", "order_date", "promotion_id", "subtotal",
+                 "discount_percent", "shipping_cost", "tax_amount", "total_amount", "status", "notes"]
+DOUBLE_ORDER_COLUMNS = set(AMOUNT_COLUMNS)
+
+
+def rule_metrics_sql(table: str, rules, all_columns=None, prefix: str = "") -> str:
+    """The select-list of ``quality.rule_metrics`` over ``table`` as SQL.
+
+    Uniqueness columns come from a scalar sub-query per column.
+    """
+    items: dict[str, str] = {"rows": "COUNT(*)"}
+    for r in rules:
+        if r.kind == "no_nulls":
+            for c in (r.columns or all_columns):
+                items.setdefault(f"{c}__nulls", f"COUNT(*) FILTER (WHERE {c} IS NULL)")
+        elif r.kind == "range":
+            c = r.columns[0]
+            x = f"(CASE WHEN isnan({c}) THEN NULL ELSE {c} END)" if c in DOUBLE_ORDER_COLUMNS else c
+            items.setdefault(f"{c}__nulls", f"COUNT(*) FILTER (WHERE {x} IS NULL)")
+            items.setdefault(f"{c}__n", f"COUNT({x})")
+            items.setdefault(f"{c}__below", f"COUNT(*) FILTER (WHERE {x} < {r.min_value})"
+                             if r.min_value is not None else "CAST(0 AS BIGINT)")
+            items.setdefault(f"{c}__above", f"COUNT(*) FILTER (WHERE {x} > {r.max_value})"
+                             if r.max_value is not None else "CAST(0 AS BIGINT)")
+            items.setdefault(f"{c}__min", f"CAST(MIN({x}) AS DOUBLE)")
+            items.setdefault(f"{c}__max", f"CAST(MAX({x}) AS DOUBLE)")
+        elif r.kind == "unique":
+            for c in r.columns:
+                items.setdefault(
+                    f"{c}__dups",
+                    f"(SELECT CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) FROM "
+                    f"(SELECT COUNT(*) AS n FROM {table} GROUP BY {c}))")
+    cols = ", ".join(f"{expr} AS {prefix}{name}" for name, expr in items.items())
+    return f"SELECT {cols} FROM {table}"
+
+
+def _fill_sql(replacements: dict[str, str], where: str = "") -> str:
+    rep = ", ".join(f"{v} AS {k}" for k, v in replacements.items())
+    body = f"SELECT * EXCLUDE (_seq) REPLACE ({rep}) FROM r_orders" if rep else \
+        "SELECT * EXCLUDE (_seq) FROM r_orders"
+    return body + (f" WHERE {where}" if where else "")
+
+
+def _mode(c: str) -> str:
+    return f"(SELECT {c} FROM r_orders WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY COUNT(*) DESC, {c} LIMIT 1)"
+
+
+_MEAN = "(SELECT {m} / COUNT({c}) FROM r_orders)"
+_MEDIAN = "(SELECT quantile_cont({c}, 0.5) FROM r_orders)"
+
+
+def _fill_report_sql() -> str:
+    parts = []
+    for c, strat in CL.ORDERS_FILL.items():
+        before = f"COUNT(*) FILTER (WHERE {c} IS NULL)"
+        if strat.value == "fill_mean":
+            stat = f"{msum(c)} / COUNT({c})"
+            after = f"CASE WHEN {stat} IS NULL THEN COUNT(*) FILTER (WHERE {c} IS NULL OR isnan({c})) ELSE 0 END"
+        else:
+            after = "0"
+        parts.append(f"SELECT '{c}' AS \"column\", '{strat.value}' AS strategy, "
+                     f"CAST({before} AS BIGINT) AS nulls_before, CAST({after} AS BIGINT) AS nulls_after, "
+                     f"CAST({before} - ({after}) AS BIGINT) AS filled FROM r_orders")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _profile_sql() -> str:
+    miss = " + ".join(
+        (f"CAST(({c} IS NULL OR isnan({c})) AS BIGINT)" if c in DOUBLE_ORDER_COLUMNS
+         else f"CAST({c} IS NULL AS BIGINT)") for c in ORDER_COLUMNS)
+    n = len(ORDER_COLUMNS)
+    return f"""
+SELECT rows, CAST({n} AS BIGINT) AS columns, missing_values,
+       ROUND(missing_values / GREATEST(rows * {n}, 1) * 100, 2) AS missing_percentage
+FROM (SELECT COUNT(*) AS rows, CAST(COALESCE(SUM({miss}), 0) AS BIGINT) AS missing_values FROM r_orders)"""
+
+
+def _dimension_checks_sql() -> str:
+    parts = [
+        ("customers", "r_customers", EN.CUSTOMER_RULES, None),
+        ("promotions", "r_promotions", EN.PROMOTION_RULES, None),
+        ("products", "r_products", EN.REVIEW_PRODUCT_RULES, EN.PRODUCT_COLS),
+        ("warehouses", "r_warehouses", EN.WAREHOUSE_RULES, None),
+    ]
+    subs = [f"({rule_metrics_sql(t, rules, cols, prefix=p + '__')}) {p}" for p, t, rules, cols in parts]
+    return "SELECT * FROM " + ", ".join(subs)
+
+
+_ORDERS_RANGE = [r for r in CL.ORDERS_RULES if r.kind == "range"]
+_UNIQUE_COLUMNS = ["order_id", "customer_id", "status", "notes"]
+_QUANT = (("total_amount_p10", 0.1), ("total_amount_p50", 0.5), ("total_amount_p80", 0.8),
+          ("total_amount_p99", 0.99))
+
+OPERATOR_SQL: dict[str, str] = {
+    "fill_drop": _fill_sql({}, "total_amount IS NOT NULL"),
+    "fill_zero": _fill_sql({c: f"COALESCE({c}, 0)" for c in
+                            ("discount_percent", "shipping_cost", "tax_amount", "promotion_id")}),
+    "fill_string": _fill_sql({"notes": "COALESCE(notes, 'Sin Especificar')"}),
+    "fill_mean": _fill_sql({c: f"COALESCE({c}, {_MEAN.format(m=msum(c), c=c)})"
+                            for c in ("subtotal", "total_amount")}),
+    "fill_median": _fill_sql({c: f"COALESCE({c}, {_MEDIAN.format(c=c)})"
+                              for c in ("subtotal", "total_amount")}),
+    "fill_mode": _fill_sql({c: f"COALESCE({c}, {_mode(c)})" for c in ("notes", "shipping_cost")}),
+    "fill_report": _fill_report_sql(),
+    "dedup_keep_last": """
+SELECT * EXCLUDE (_seq) FROM r_orders_dup
+QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY _seq DESC) = 1""",
+    "dedup_report": """
+SELECT b.rows_before, a.rows_after, b.rows_before - a.rows_after AS removed
+FROM (SELECT COUNT(*) AS rows_before FROM r_orders_dup) b,
+     (SELECT COUNT(*) AS rows_after FROM (SELECT DISTINCT order_id FROM r_orders_dup)) a""",
+    "coerce_numeric": "SELECT * EXCLUDE (_seq) REPLACE (" + ", ".join(
+        f"{to_number(c)} AS {c}" for c in AMOUNT_COLUMNS) + ") FROM r_orders_txt",
+    "coerce_datetime": f"SELECT * EXCLUDE (_seq) REPLACE ({to_timestamp('order_date')} AS order_date) "
+                       f"FROM r_orders_dt",
+    "coercion_report": "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS \"column\", CAST(COUNT(*) FILTER (WHERE {c} IS NOT NULL AND "
+        f"({to_number(c)}) IS NULL) AS BIGINT) AS coerced_to_null FROM r_orders_txt"
+        for c in AMOUNT_COLUMNS),
+    "recalc_total": "SELECT * FROM c_orders_nt",
+    "clean_orders_duplicates": "SELECT * FROM c_orders_dup",
+    "status_funnel_null_status": """
+SELECT status, COUNT(*) AS orders,
+       COALESCE(COUNT(*) / NULLIF(CAST(SUM(COUNT(*)) OVER () AS DOUBLE), 0), 0.0) AS share
+FROM r_orders_ns WHERE status IS NOT NULL GROUP BY status""",
+    "cancellation_rate_null_status": """
+SELECT AVG(CAST(COALESCE(lower(status) = 'cancelled', FALSE) AS INTEGER)) AS cancellation_rate
+FROM r_orders_ns""",
+    "check_keys": rule_metrics_sql("r_orders", [Q.no_nulls(CL.ORDERS_KEYS)]),
+    "check_nulls": rule_metrics_sql("r_orders", [Q.no_nulls(None)], ORDER_COLUMNS),
+    "check_range": rule_metrics_sql("r_orders", _ORDERS_RANGE),
+    "check_unique": rule_metrics_sql("r_orders_dup", [Q.unique(_UNIQUE_COLUMNS)]),
+    "check_orders_rules": rule_metrics_sql("c_orders", CL.ORDERS_RULES),
+    "check_inventory_rules": rule_metrics_sql("c_inventory", CL.INVENTORY_RULES),
+    "check_reviews_rules": rule_metrics_sql("c_reviews", CL.REVIEWS_RULES),
+    "check_dimensions": _dimension_checks_sql(),
+    "profile_table": _profile_sql(),
+    "csv_roundtrip": "SELECT * EXCLUDE (_seq) FROM r_orders",
+    "parquet_roundtrip": "SELECT * FROM e_orders",
+    "exact_quantiles": "SELECT " + ", ".join(
+        f"quantile_cont(total_amount, {p}) AS {n}" for n, p in _QUANT) +
+        ", (SELECT quantile_cont(CAST(quantity AS DOUBLE), 0.5) FROM r_order_items) AS quantity_p50 "
+        "FROM r_orders",
+    "join_orders_customers": """
+SELECT o.*, c.segment, CAST(c.registration_date AS TIMESTAMP) AS registration_date,
+       c.city, c.country, c.email
+FROM c_orders o LEFT JOIN r_customers c ON c.customer_id = o.customer_id""",
+    "join_orders_promotions": """
+SELECT o.*, p.promotion_type, p.discount_value, CAST(p.start_date AS TIMESTAMP) AS start_date,
+       CAST(p.end_date AS TIMESTAMP) AS end_date, p.is_active
+FROM c_orders o LEFT JOIN r_promotions p ON p.promotion_id = o.promotion_id""",
+    "join_orders_items": """
+SELECT o.*, i.items_count FROM c_orders o LEFT JOIN items_count i ON i.order_id = o.order_id""",
+    "join_inventory_products": """
+SELECT i.*, p.product_name, p.category_id, p.brand_id
+FROM c_inventory i LEFT JOIN r_products p ON p.product_id = i.product_id""",
+    "join_inventory_warehouses": """
+SELECT i.*, w.location, w.capacity_units, w.current_occupancy
+FROM c_inventory i LEFT JOIN r_warehouses w ON w.warehouse_id = i.warehouse_id""",
+    "join_reviews_products": """
+SELECT r.*, p.product_name, p.category_id, p.brand_id
+FROM c_reviews r LEFT JOIN r_products p ON p.product_id = r.product_id""",
+    "join_reviews_customers": """
+SELECT r.*, c.segment, c.city, c.country
+FROM c_reviews r LEFT JOIN r_customers c ON c.customer_id = r.customer_id""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     out = {}
-    for k, v in {**METRIC_SQL, **TABLE_SQL}.items():
+    for k, v in {**METRIC_SQL, **TABLE_SQL, **OPERATOR_SQL}.items():
         out[k] = with_ctes(v)
     return out

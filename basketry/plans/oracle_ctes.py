@@ -97,7 +97,10 @@ SELECT event_id AS review_id, event_id % 150 AS product_id, user_id AS customer_
 FROM events"""
 
 # ------------------------------------------------------------- cleaning --
-CTES["o_filled"] = f"""
+def orders_clean_ctes(src: str, suffix: str = "") -> dict[str, str]:
+    """Fill (means over all rows, duplicates included) -> keep-last -> recalc."""
+    return {
+        f"o_filled{suffix}": f"""
 SELECT order_id, customer_id, order_date,
        COALESCE(promotion_id, 0) AS promotion_id,
        COALESCE(subtotal, s.m_sub) AS subtotal,
@@ -108,11 +111,10 @@ SELECT order_id, customer_id, order_date,
        status,
        COALESCE(notes, 'Sin Especificar') AS notes,
        _seq
-FROM r_orders, (SELECT {msum('subtotal')} / COUNT(subtotal) AS m_sub,
-                       {msum('total_amount')} / COUNT(total_amount) AS m_tot
-                FROM r_orders) s"""
-
-CTES["c_orders"] = """
+FROM {src}, (SELECT {msum('subtotal')} / COUNT(subtotal) AS m_sub,
+                    {msum('total_amount')} / COUNT(total_amount) AS m_tot
+             FROM {src}) s""",
+        f"c_orders{suffix}": f"""
 SELECT order_id, customer_id, order_date, promotion_id, subtotal, discount_percent,
        shipping_cost, tax_amount,
        CASE WHEN total_amount IS NULL AND subtotal IS NOT NULL
@@ -120,8 +122,54 @@ SELECT order_id, customer_id, order_date, promotion_id, subtotal, discount_perce
                  - subtotal * COALESCE(discount_percent, 0) / 100
             ELSE total_amount END AS total_amount,
        status, notes
-FROM o_filled
-QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY _seq DESC) = 1"""
+FROM o_filled{suffix}
+QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY _seq DESC) = 1""",
+    }
+
+
+CTES.update(orders_clean_ctes("r_orders"))
+
+# dirty variants of the orders view
+CTES["r_orders_dup"] = """
+SELECT * FROM r_orders
+UNION ALL
+SELECT * REPLACE ('returned' AS status, _seq + 1000000000000 AS _seq)
+FROM r_orders WHERE order_id % 100 = 0"""
+CTES.update(orders_clean_ctes("r_orders_dup", "_dup"))
+
+CTES["r_orders_nt"] = "SELECT * REPLACE (CAST(NULL AS DOUBLE) AS total_amount) FROM r_orders"
+CTES.update(orders_clean_ctes("r_orders_nt", "_nt"))
+
+CTES["r_orders_ns"] = """
+SELECT * REPLACE (CASE WHEN order_id % 53 = 0 THEN NULL ELSE status END AS status) FROM r_orders"""
+
+_JUNK = "CASE WHEN order_id % 2 = 0 THEN 'n/a' ELSE 'abc' END"
+AMOUNT_COLUMNS = ("subtotal", "discount_percent", "shipping_cost", "tax_amount", "total_amount")
+CTES["r_orders_txt"] = "SELECT * REPLACE (" + ", ".join(
+    f"CASE WHEN order_id % 97 = 0 THEN {_JUNK} ELSE CAST({c} AS VARCHAR) END AS {c}"
+    for c in AMOUNT_COLUMNS) + ") FROM r_orders"
+
+CTES["r_orders_dt"] = """
+SELECT * REPLACE (CASE WHEN order_id % 89 = 0 THEN 'not a date'
+                       ELSE strftime(order_date, '%Y-%m-%d %H:%M:%S') END AS order_date)
+FROM r_orders"""
+
+NUMBER_RE = r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?"
+
+
+def to_number(x: str) -> str:
+    t = f"trim({x})"
+    return (f"CASE WHEN regexp_full_match({t}, '{NUMBER_RE}') THEN TRY_CAST({t} AS DOUBLE) "
+            f"WHEN lower({t}) IN ('inf', '+inf', 'infinity', '+infinity') THEN CAST('inf' AS DOUBLE) "
+            f"WHEN lower({t}) IN ('-inf', '-infinity') THEN CAST('-inf' AS DOUBLE) "
+            f"ELSE NULL END")
+
+
+def to_timestamp(x: str) -> str:
+    t = f"trim({x})"
+    fmts = ("%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d %H:%M:%S.%f", "%Y-%m-%d")
+    return "COALESCE(" + ", ".join(f"try_strptime({t}, '{f}')" for f in fmts) + ")"
+
 
 CTES["c_inventory"] = """
 SELECT inventory_id, product_id, warehouse_id,

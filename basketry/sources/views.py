@@ -159,6 +159,42 @@ class DriverViews:
             (F.col("s_nationkey").cast("bigint") * 100).alias("current_occupancy"),
         )
 
+    # -- dirty variants (FIXTURES.md "dirty variants") -----------------------
+    def orders_with_duplicates(self) -> DataFrame:
+        """Orders plus every 100th order again, later in arrival order, with
+        status 'returned' — keep-last must pick the re-sent row."""
+        o = self.orders()
+        again = (o.where(F.col("order_id") % 100 == 0)
+                 .withColumn("status", F.lit("returned"))
+                 .withColumn("_seq", F.col("_seq") + F.lit(10 ** 12)))
+        return o.unionByName(again)
+
+    def orders_text_amounts(self) -> DataFrame:
+        """Amounts as text; every 97th order's amounts replaced by junk text."""
+        o = self.orders()
+        junk = F.when(F.col("order_id") % 2 == 0, F.lit("n/a")).otherwise(F.lit("abc"))
+        cols = ["subtotal", "discount_percent", "shipping_cost", "tax_amount", "total_amount"]
+        return o.select(*[
+            (F.when(F.col("order_id") % 97 == 0, junk).otherwise(F.col(c).cast("string")).alias(c)
+             if c in cols else F.col(c)) for c in o.columns])
+
+    def orders_text_dates(self) -> DataFrame:
+        """order_date as text; every 89th order's date is 'not a date'."""
+        o = self.orders()
+        txt = F.date_format("order_date", "yyyy-MM-dd HH:mm:ss")
+        return o.withColumn("order_date", F.when(F.col("order_id") % 89 == 0, F.lit("not a date"))
+                            .otherwise(txt))
+
+    def orders_null_status(self) -> DataFrame:
+        """Every 53rd order loses its status."""
+        o = self.orders()
+        return o.withColumn("status", F.when(F.col("order_id") % 53 == 0, F.lit(None).cast("string"))
+                            .otherwise(F.col("status")))
+
+    def orders_null_totals(self) -> DataFrame:
+        """Every total_amount missing: the mean fill has nothing to average."""
+        return self.orders().withColumn("total_amount", F.lit(None).cast("double"))
+
     def all(self) -> dict[str, DataFrame]:
         """The eight source tables by logical name (lazy)."""
         return {
