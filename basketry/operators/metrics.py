@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from basketry.functions import derived as D
 from basketry.functions.semantics import money_mean, money_sum, rate, safe_div
 from basketry.operators.quantile import exact_quantile
+from basketry.session import materialize
 
 # ----------------------------------------------------------- fixed values --
 TOP_SPENDERS_N = 5
@@ -54,6 +55,9 @@ def top_spenders(eo: DataFrame, top_n: int = TOP_SPENDERS_N,
         F.min("email").alias("email"),
     ).withColumn("avg_ticket", safe_div("total_spent", "total_orders"))
     if percentile is not None:
+        # the per-customer table feeds the ranking and four quantile passes:
+        # compute it once (one row per customer, a fraction of the orders)
+        g = materialize(g)
         threshold = exact_quantile(g, "total_spent", percentile, alias="_threshold")
         g = (g.crossJoin(F.broadcast(threshold))          # one row
              .where(F.col("total_spent") >= F.col("_threshold")).drop("_threshold"))

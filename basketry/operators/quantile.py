@@ -25,19 +25,27 @@ DEFAULT_ACCURACY = 10000
 
 
 def exact_quantile(df: DataFrame, column: str, p: float, alias: str = "quantile",
-                   accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                   accuracy: int = DEFAULT_ACCURACY, materialize: bool = False) -> DataFrame:
     """One-row DataFrame with the exact ``p`` quantile of ``column``.
 
     Same definition as pandas ``Series.quantile`` / Spark ``percentile`` /
     DuckDB ``quantile_cont``: position ``p * (n - 1)`` over the sorted
     non-null values, linear interpolation between its two neighbours. NULL
     when there are no values.
+
+    The input is read four times (sketch, value counts, rank below, candidate
+    ranking); pass a materialised input, or ``materialize=True`` to
+    checkpoint the single value column first when the input is an expensive
+    plan.
     """
     if not 0.0 <= p <= 1.0:
         raise ValueError("p must be within [0, 1]")
     eps = 3.0 / accuracy
     v = F.col("_v")
     vals = df.select(F.col(column).cast("double").alias("_v")).where(v.isNotNull() & ~F.isnan(v))
+    if materialize:
+        from basketry.session import materialize as _materialize
+        vals = _materialize(vals)
     stats = vals.agg(
         F.count(F.lit(1)).alias("_n"),
         F.percentile_approx(v, F.lit(max(0.0, p - eps)), F.lit(accuracy)).alias("_a"),

@@ -172,3 +172,36 @@ def run_batch(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
         log, "run_id string, stage string, table string, rows bigint, recorded_at timestamp")
     metrics_df.coalesce(1).write.mode("append").parquet(f"{out}/run_metrics")
     return metrics_df
+
+
+def export_sources(tables: dict[str, DataFrame], source_dir: str, single_file: bool = False) -> None:
+    """Write the eight logical tables as the CSV raw zone ({stem}.csv each)."""
+    from basketry.schemas import SOURCE_TABLES
+
+    root = source_dir.rstrip("/")
+    in_parallel([
+        lambda n=n, df=df: write_csv(df.drop("_seq") if "_seq" in df.columns else df,
+                                     f"{root}/{SOURCE_TABLES[n]}.csv", single_file=single_file,
+                                     profile=False)
+        for n, df in tables.items()])
+
+
+def ingest_sources(spark: SparkSession, source_dir: str, out_dir: str, sep: str = ",",
+                   encoding: str = "utf-8") -> dict[str, DataFrame]:
+    """Parse every raw CSV once into typed Parquet under ``{out_dir}/raw``."""
+    from basketry.schemas import SCHEMAS, SOURCE_TABLES
+    from basketry.sources.csv import ingest_csv
+
+    root, out = source_dir.rstrip("/"), out_dir.rstrip("/")
+    names = list(SOURCE_TABLES)
+    frames = in_parallel([
+        lambda n=n: ingest_csv(spark, f"{root}/{SOURCE_TABLES[n]}.csv", f"{out}/raw/{n}",
+                               SCHEMAS[n], sep=sep, encoding=encoding)
+        for n in names])
+    return dict(zip(names, frames))
+
+
+def run_batch_from_csv(spark: SparkSession, source_dir: str, out_dir: str, **kw) -> DataFrame:
+    """Full run from the CSV raw zone: ingest -> clean -> enrich -> metrics -> load."""
+    tables = ingest_sources(spark, source_dir, out_dir)
+    return run_batch(spark, tables, out_dir, **kw)

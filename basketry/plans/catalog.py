@@ -27,40 +27,51 @@ from basketry.plans.enrich import enrich_inventory, enrich_orders, enrich_review
 from basketry.session import scratch_dir
 from basketry.sources.csv import read_csv
 from basketry.sources.sinks import write_csv, write_parquet
-from basketry.sources.views import DriverViews
+from basketry.sources.views import DriverViews, cached_plan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 # ------------------------------------------------------------ shared legs --
+# With check=True the checks run (eagerly) on every call; the unchecked plans
+# are built once per session and shared by the queries that read them.
+def _shared(spark, sf_dir, name, check, build):
+    if check:
+        return build()
+    return cached_plan(spark, ("plan", sf_dir.rstrip("/"), name), build)
+
+
 def cleaned_orders(spark, sf_dir, check=False) -> DataFrame:
-    return clean_orders(DriverViews(spark, sf_dir).orders(), check=check)
+    return _shared(spark, sf_dir, "cleaned_orders", check,
+                   lambda: clean_orders(DriverViews(spark, sf_dir).orders(), check=check))
 
 
 def cleaned_inventory(spark, sf_dir, check=False) -> DataFrame:
-    return clean_inventory(DriverViews(spark, sf_dir).inventory(), check=check)
+    return _shared(spark, sf_dir, "cleaned_inventory", check,
+                   lambda: clean_inventory(DriverViews(spark, sf_dir).inventory(), check=check))
 
 
 def cleaned_reviews(spark, sf_dir, check=False) -> DataFrame:
-    return clean_reviews(DriverViews(spark, sf_dir).reviews(), check=check)
+    return _shared(spark, sf_dir, "cleaned_reviews", check,
+                   lambda: clean_reviews(DriverViews(spark, sf_dir).reviews(), check=check))
 
 
 def enriched_orders(spark, sf_dir, check=False) -> DataFrame:
     v = DriverViews(spark, sf_dir)
-    return enrich_orders(clean_orders(v.orders(), check=check), v.customers(), v.promotions(),
-                         v.order_items(), check=check)
+    return _shared(spark, sf_dir, "enriched_orders", check, lambda: enrich_orders(
+        cleaned_orders(spark, sf_dir, check), v.customers(), v.promotions(), v.order_items(), check=check))
 
 
 def enriched_inventory(spark, sf_dir, check=False) -> DataFrame:
     v = DriverViews(spark, sf_dir)
-    return enrich_inventory(clean_inventory(v.inventory(), check=check), v.products(),
-                            v.warehouses(), check=check)
+    return _shared(spark, sf_dir, "enriched_inventory", check, lambda: enrich_inventory(
+        cleaned_inventory(spark, sf_dir, check), v.products(), v.warehouses(), check=check))
 
 
 def enriched_reviews(spark, sf_dir, check=False) -> DataFrame:
     v = DriverViews(spark, sf_dir)
-    return enrich_reviews(clean_reviews(v.reviews(), check=check), v.products(),
-                          v.customers(), check=check)
+    return _shared(spark, sf_dir, "enriched_reviews", check, lambda: enrich_reviews(
+        cleaned_reviews(spark, sf_dir, check), v.products(), v.customers(), check=check))
 
 
 # The metric queries read enriched tables built without re-running the

@@ -39,6 +39,28 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The session's checkpoint folder; created privately only when unset."""
+    base = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        base = tempfile.mkdtemp(prefix="basketry-ckpt-")
+        spark.conf.set(CHECKPOINT_CONF, base)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(base)
+    return base
+
+
+def materialize(df):
+    """Cut lineage: reliable checkpoint into the shared checkpoint folder.
+
+    Used where one intermediate feeds several branches of a plan that Spark
+    cannot share (differently pruned column sets): it is computed once, and
+    a lost executor re-reads the checkpoint instead of recomputing upstream.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_dir(spark: SparkSession, name: str = "") -> str:
     """A fresh directory under the cluster's shared checkpoint folder.
 
@@ -46,11 +68,6 @@ def scratch_dir(spark: SparkSession, name: str = "") -> str:
     (local runs, tests) is a private temporary folder created and registered
     as the checkpoint dir, so later ``checkpoint()`` calls land there too.
     """
-    base = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="basketry-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, base)
-        spark.sparkContext.setCheckpointDir(base)
-    base = base.rstrip("/")
+    base = ensure_checkpoint_dir(spark).rstrip("/")
     leaf = f"{name}-{uuid.uuid4().hex[:12]}" if name else uuid.uuid4().hex[:12]
     return f"{base}/basketry/{leaf}"

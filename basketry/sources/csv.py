@@ -5,11 +5,10 @@
   schema with non-raising expressions.
 * The pandas default null tokens (``NA``, ``null``, ``n/a``, ``NaN``, ...)
   become NULL; Spark alone only nulls the empty field.
-* Malformed rows: Spark flags both too-long and too-short rows in the
-  corrupt-record column. A flagged row is re-parsed with one extra column;
-  a non-null extra field means *too many* fields (the source system raises
-  ``SourceParseError``), otherwise the row was short and is kept with NULL
-  padding, as pandas does.
+* Malformed rows: the file is parsed with one extra trailing column; it is
+  non-NULL exactly when a row has *more* fields than the header (the source
+  system raises ``SourceParseError``). Short rows are padded with NULLs and
+  kept, as pandas does.
 * An empty file raises ``SourceParseError``; bytes that are invalid in the
   declared encoding (decoded by Spark to U+FFFD) raise ``SourceReadError``.
 * ``_seq`` records the row's position in its file for keep-last dedup.
@@ -39,7 +38,7 @@ TRUE_TOKENS = ("True", "TRUE", "true")
 FALSE_TOKENS = ("False", "FALSE", "false")
 ENCODING_ALIASES = {"latin-1": "ISO-8859-1", "latin1": "ISO-8859-1", "l1": "ISO-8859-1",
                     "utf8": "UTF-8", "utf-8": "UTF-8", "cp1252": "windows-1252"}
-CORRUPT = "_corrupt_record"
+EXTRA = "_extra_field"
 
 
 def _encoding(enc: str) -> str:
@@ -49,7 +48,7 @@ def _encoding(enc: str) -> str:
 def _reader(spark: SparkSession, sep: str, encoding: str):
     return (spark.read.option("header", True).option("sep", sep)
             .option("encoding", _encoding(encoding)).option("quote", '"').option("escape", '"')
-            .option("multiLine", True).option("mode", "PERMISSIVE").option("nullValue", None))
+            .option("multiLine", True).option("mode", "PERMISSIVE"))
 
 
 def header_columns(spark: SparkSession, path: str, sep: str = ",", encoding: str = "utf-8") -> list[str]:
@@ -80,59 +79,91 @@ def typed(c: Column, dtype: T.DataType) -> Column:
     return c.try_cast(dtype)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, *,
-             sep: str = ",", encoding: str = "utf-8", with_seq: bool = True,
-             validate: bool = True, malformed: str = "raise") -> DataFrame | tuple[DataFrame, DataFrame]:
-    """Read one delimited file (or directory) with the rules in the module doc.
-
-    ``malformed``: ``"raise"`` (default, source-system behaviour),
-    ``"quarantine"`` (returns ``(rows, long_rows)``) or ``"ignore"``.
-    """
-    if validate and spark.read.text(path).limit(1).count() == 0:
+def _flagged(spark: SparkSession, path: str, schema: T.StructType | None, sep: str,
+             encoding: str, with_seq: bool) -> tuple[DataFrame, T.StructType]:
+    """Text columns (null tokens applied) + ``_is_long`` + the raw record."""
+    if spark.read.text(path).limit(1).count() == 0:
         raise SourceParseError(f"empty file, no columns to parse: '{path}'")
     names = header_columns(spark, path, sep, encoding)
-    if schema is None:
-        schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+    # Columns bind by header NAME (as pandas does), in file order; declared
+    # types apply to the columns they name, any other column stays text.
+    declared = {f.name: f.dataType for f in schema.fields} if schema is not None else {}
+    schema = T.StructType([T.StructField(n, declared.get(n, T.StringType()), True) for n in names])
+    # Header names were read above and the schema follows them, so binding by
+    # position is exact; the extra trailing column catches over-long rows.
     text_schema = T.StructType(
         [T.StructField(f.name, T.StringType(), True) for f in schema.fields]
-        + [T.StructField(CORRUPT, T.StringType(), True)])
-    raw = (_reader(spark, sep, encoding).option("enforceSchema", False)
-           .option("columnNameOfCorruptRecord", CORRUPT).schema(text_schema).csv(path))
+        + [T.StructField(EXTRA, T.StringType(), True)])
+    raw = _reader(spark, sep, encoding).schema(text_schema).csv(path)
     if with_seq:
         raw = with_scan_order(raw, SEQ)
-    wide = T.StructType([T.StructField(f"c{i}", T.StringType(), True)
-                         for i in range(len(schema.fields) + 1)])
-    extra = F.from_csv(F.col(CORRUPT), wide.simpleString(), {"sep": sep, "quote": '"', "escape": '"'})
-    is_long = F.col(CORRUPT).isNotNull() & extra[f"c{len(schema.fields)}"].isNotNull()
     cleaned_text = [null_tokens(F.col(f.name)).alias(f.name) for f in schema.fields]
     flagged = raw.select(*cleaned_text, *([F.col(SEQ)] if with_seq else []),
-                         is_long.alias("_is_long"), F.col(CORRUPT))
+                         F.col(EXTRA).isNotNull().alias("_is_long"))
+    return flagged, schema
 
-    if validate and malformed == "raise":
-        bad_text = F.lit(False)
-        for f in schema.fields:
-            bad_text = bad_text | F.coalesce(F.col(f.name).contains("�"), F.lit(False))
-        # NB: the corrupt-record column must be referenced with data columns
-        counts = flagged.agg(F.count_if("_is_long").alias("long_rows"),
-                             F.count_if(bad_text).alias("undecodable")).first()
-        if counts["long_rows"]:
-            raise SourceParseError(
-                f"{counts['long_rows']} rows have more fields than the header in '{path}' "
-                f"(sep='{sep}', encoding={encoding})")
-        if counts["undecodable"]:
-            raise SourceReadError(
-                f"{counts['undecodable']} rows are not valid {encoding} in '{path}'; try another encoding")
 
+def _problem_counts(flagged: DataFrame, schema: T.StructType) -> list:
+    bad_text = F.lit(False)
+    for f in schema.fields:
+        bad_text = bad_text | F.coalesce(F.col(f.name).contains("\ufffd"), F.lit(False))
+    return [F.count_if("_is_long").alias("long_rows"), F.count_if(bad_text).alias("undecodable")]
+
+
+def _raise_problems(counts, path: str, sep: str, encoding: str) -> None:
+    if counts["long_rows"]:
+        raise SourceParseError(
+            f"{counts['long_rows']} rows have more fields than the header in '{path}' "
+            f"(sep='{sep}', encoding={encoding})")
+    if counts["undecodable"]:
+        raise SourceReadError(
+            f"{counts['undecodable']} rows are not valid {encoding} in '{path}'; try another encoding")
+
+
+def _typed_rows(flagged: DataFrame, schema: T.StructType, with_seq: bool) -> DataFrame:
+    return flagged.select(*[typed(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields],
+                          *([F.col(SEQ)] if with_seq else []))
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, *,
+             sep: str = ",", encoding: str = "utf-8", with_seq: bool = True,
+             validate: bool = True, malformed: str = "raise") -> DataFrame | tuple[DataFrame, DataFrame]:
+    """Read one delimited file (or directory) with the rules in the module doc.
+
+    ``malformed``: ``"raise"`` (default, source-system behaviour),
+    ``"quarantine"`` (returns ``(rows, long_rows)``) or ``"ignore"``.
+    """
+    flagged, schema = _flagged(spark, path, schema, sep, encoding, with_seq)
+    if validate and malformed == "raise":
+        _raise_problems(flagged.agg(*_problem_counts(flagged, schema)).first(), path, sep, encoding)
     rows = flagged
     if malformed in ("raise", "quarantine"):
         rows = flagged.where(~F.col("_is_long"))
-    out = rows.select(*[typed(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields],
-                      *([F.col(SEQ)] if with_seq else []))
+    out = _typed_rows(rows, schema, with_seq)
     if malformed == "quarantine":
-        return out, flagged.where(F.col("_is_long")).select(F.col(CORRUPT).alias("raw_record"))
+        return out, _typed_rows(flagged.where(F.col("_is_long")), schema, with_seq)
     return out
 
 
+def ingest_csv(spark: SparkSession, path: str, out_path: str, schema: T.StructType | None = None, *,
+               sep: str = ",", encoding: str = "utf-8", with_seq: bool = True) -> DataFrame:
+    """Parse a delimited file ONCE into typed Parquet and return the Parquet table.
+
+    The malformed-row and encoding checks are observed on the write itself
+    (``DataFrame.observe``), so the text is parsed a single time; the error is
+    raised after the write, before anything reads the staged table.
+    """
+    from pyspark.sql import Observation
+
+    flagged, schema = _flagged(spark, path, schema, sep, encoding, with_seq)
+    obs = Observation()
+    observed = flagged.observe(obs, *_problem_counts(flagged, schema))
+    _typed_rows(observed.where(~F.col("_is_long")), schema, with_seq) \
+        .write.mode("overwrite").parquet(out_path)
+    _raise_problems(obs.get, path, sep, encoding)
+    return spark.read.parquet(out_path)
+
+
 def read_source_table(spark: SparkSession, source_dir: str, name: str, *, sep: str = ",",
                       encoding: str = "utf-8", validate: bool = True) -> DataFrame:
     """One of the eight logical tables from ``{source_dir}/{stem}.csv``."""
