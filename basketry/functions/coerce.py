@@ -9,13 +9,11 @@ from pyspark.sql import types as T
 from basketry.functions.semantics import nan_to_null
 
 # What counts as a number and which datetime layouts are parsed.
-# A plain decimal/scientific literal, optionally signed (pandas.to_numeric
-# accepts this, and rejects Spark-only suffixes such as "1d" or "2L").
-NUMERIC_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-# Text tokens that pandas.to_numeric maps to a float rather than rejecting.
-NUMERIC_SPECIAL = {"nan": None, "inf": float("inf"), "+inf": float("inf"),
-                   "-inf": float("-inf"), "infinity": float("inf"),
-                   "+infinity": float("inf"), "-infinity": float("-inf")}
+# A number is what Spark's string->double cast parses (decimal or scientific
+# literal, optional sign, surrounding spaces, "inf"/"infinity"/"nan" in any
+# case) minus the Java-only type suffixes ("1d", "2f") that pandas.to_numeric
+# rejects; NaN counts as missing.
+JAVA_SUFFIXES = ("d", "D", "f", "F")
 DATETIME_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss",
                     "yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-dd")
 
@@ -41,14 +39,8 @@ def numeric_expr(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.BooleanType):
         return c.cast("bigint")
     txt = F.trim(c.cast("string"))
-    low = F.lower(txt)
-    special = F.when(F.lit(False), F.lit(None).cast("double"))
-    for token, value in NUMERIC_SPECIAL.items():
-        special = special.when(low == token, F.lit(value).cast("double"))
-    return (
-        F.when(txt.rlike(NUMERIC_PATTERN), txt.try_cast("double"))
-        .otherwise(special.otherwise(F.lit(None).cast("double")))
-    )
+    java_suffix = F.substring(txt, -1, 1).isin(list(JAVA_SUFFIXES)) & ~F.lower(txt).endswith("inf")
+    return F.when(java_suffix, F.lit(None).cast("double")).otherwise(nan_to_null(txt.try_cast("double")))
 
 
 def datetime_expr(c: Column, dtype: T.DataType, formats=DATETIME_FORMATS) -> Column:

@@ -45,13 +45,9 @@ def _keep_after_drops(drops: list[str]) -> Column:
     return cond
 
 
-def fill_statistics(df: DataFrame, plan: dict[str, NullStrategy]) -> DataFrame | None:
-    """One row with the fill value of every mean/median/mode column.
-
-    Statistics see the rows that survive DROP steps listed *before* their
-    column, as the sequential source semantics require, and include duplicate
-    rows (fills run before dedup). Means are exact decimal sums / counts.
-    """
+def _fill_parts(df: DataFrame, plan: dict[str, NullStrategy]) -> tuple[list[Column], list[DataFrame]]:
+    """Mean aggregates (plain, fusable into any aggregate over ``df``) and
+    one-row frames for median / mode statistics."""
     drops: list[str] = []
     mean_aggs: list[Column] = []
     frames: list[DataFrame] = []
@@ -71,14 +67,29 @@ def fill_statistics(df: DataFrame, plan: dict[str, NullStrategy]) -> DataFrame |
             frames.append(exact_quantile(src, c, 0.5, alias=_stat_name(c)))
         elif strategy is NullStrategy.FILL_MODE:
             frames.append(mode_value(df.where(keep), c, alias=_stat_name(c)))
-    if mean_aggs:
-        frames.insert(0, df.agg(*mean_aggs))
-    if not frames:
+    return mean_aggs, frames
+
+
+def _one_row(df: DataFrame, aggs: list[Column], frames: list[DataFrame]) -> DataFrame | None:
+    parts = ([df.agg(*aggs)] if aggs else []) + frames
+    if not parts:
         return None
-    stats = frames[0]
-    for f in frames[1:]:
-        stats = stats.crossJoin(f)
-    return stats
+    row = parts[0]
+    for f in parts[1:]:
+        row = row.crossJoin(f)
+    return row
+
+
+def fill_statistics(df: DataFrame, plan: dict[str, NullStrategy]) -> DataFrame | None:
+    """One row with the fill value of every mean/median/mode column.
+
+    Statistics see the rows that survive DROP steps listed *before* their
+    column, as the sequential source semantics require, and include duplicate
+    rows (fills run before dedup). Means are exact decimal sums / counts; all
+    means come from a single aggregate pass.
+    """
+    mean_aggs, frames = _fill_parts(df, plan)
+    return _one_row(df, mean_aggs, frames)
 
 
 def mode_value(df: DataFrame, column: str, alias: str = "mode") -> DataFrame:
@@ -134,27 +145,29 @@ def fill_nulls(df: DataFrame, plan: dict[str, NullStrategy]) -> DataFrame:
     return result
 
 
-def fill_report(df: DataFrame, plan: dict[str, NullStrategy]) -> DataFrame:
+def fill_report(df: DataFrame, plan: dict[str, NullStrategy],
+                extra: dict[str, Column] | None = None) -> DataFrame:
     """Per filled column: nulls before, nulls after, filled count (one row each).
 
-    Computed from one aggregate over the input plus the statistics row. The
+    Null counts and mean statistics come from ONE aggregate over the input
+    (``extra`` aggregates by name — e.g. key-null counts — ride along and
+    are repeated on every row); median/mode statistics add their own small passes. The
     nulls-after count follows from the statistic: a mean/median fill leaves
-    every coerced-NULL value NULL only when the statistic itself is NULL.
+    the coerced-NULL values NULL only when the statistic itself is NULL.
     """
     plan = {c: s for c, s in plan.items() if c in df.columns and s is not NullStrategy.DROP}
+    extra = dict(extra or {})
     if not plan:
-        return df.sparkSession.createDataFrame(
-            [], "column string, strategy string, nulls_before bigint, nulls_after bigint, filled bigint")
+        raise ValueError("fill_report needs at least one filled column present in the table")
     aggs = []
     for c, s in plan.items():
         dtype = df.schema[c].dataType
         aggs.append(F.count_if(F.col(c).isNull()).alias(f"_b_{c}"))
         if s in (NullStrategy.FILL_MEAN, NullStrategy.FILL_MEDIAN):
             aggs.append(F.count_if(numeric_expr(F.col(c), dtype).isNull()).alias(f"_cn_{c}"))
-    counts = df.agg(*aggs)
-    stats = fill_statistics(df, plan)
-    if stats is not None:
-        counts = counts.crossJoin(stats)
+    mean_aggs, frames = _fill_parts(df, plan)
+    counts = _one_row(df, aggs + mean_aggs + [e.alias(n) for n, e in extra.items()], frames)
+    extra_names = list(extra)
     rows = []
     for c, s in plan.items():
         before = F.col(f"_b_{c}")
@@ -170,7 +183,7 @@ def fill_report(df: DataFrame, plan: dict[str, NullStrategy]) -> DataFrame:
                              before.cast("bigint").alias("nulls_before"),
                              after.cast("bigint").alias("nulls_after"),
                              (before - after).cast("bigint").alias("filled")))
-    return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    return counts.select(F.explode(F.array(*rows)).alias("r"), *extra_names).select("r.*", *extra_names)
 
 
 def assert_fill_invariant(report_rows) -> None:

@@ -115,14 +115,8 @@ def _data_columns(df: DataFrame, rule: Rule) -> list[str]:
 
 
 # ------------------------------------------------------------------ data --
-def rule_metrics(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """One row holding every count the data rules need.
-
-    Columns: ``rows``; per null-checked column ``{c}__nulls``; per range
-    rule ``{c}__n``, ``{c}__below``, ``{c}__above``, ``{c}__min``,
-    ``{c}__max``; per unique column ``{c}__dups`` (rows beyond the first
-    of each value, NULLs equal).
-    """
+def _row_aggregates(df: DataFrame, rules: list[Rule]) -> tuple[list[Column], list[str]]:
+    """Aggregates of the row-level rules (+ the columns needing uniqueness)."""
     aggs: list[Column] = [F.count(F.lit(1)).alias("rows")]
     seen: set[str] = {"rows"}
     uniq: list[str] = []
@@ -146,12 +140,43 @@ def rule_metrics(df: DataFrame, rules: list[Rule]) -> DataFrame:
                 x = F.when(F.isnan(x), None).otherwise(x)
             add(f"{c}__nulls", F.count_if(x.isNull()))
             add(f"{c}__n", F.count(x))
-            add(f"{c}__below", F.count_if(x < rule.min_value) if rule.min_value is not None else F.lit(0).cast("bigint"))
-            add(f"{c}__above", F.count_if(x > rule.max_value) if rule.max_value is not None else F.lit(0).cast("bigint"))
+            add(f"{c}__below", F.count_if(x < rule.min_value) if rule.min_value is not None
+                else F.lit(0).cast("bigint"))
+            add(f"{c}__above", F.count_if(x > rule.max_value) if rule.max_value is not None
+                else F.lit(0).cast("bigint"))
             add(f"{c}__min", F.min(x).cast("double"))
             add(f"{c}__max", F.max(x).cast("double"))
         elif rule.kind == "unique":
             uniq += [c for c in cols if c not in uniq]
+    return aggs, uniq
+
+
+def observe_rules(df: DataFrame, rules: list[Rule]):
+    """Attach the row-level rule counts to ``df`` (no extra job).
+
+    Returns ``(observed_df, observation)``; after the action that consumes
+    ``observed_df`` (a write), ``evaluate(df, rules, observation.get)``
+    raises like ``enforce``. Uniqueness needs a shuffle and cannot be
+    observed: such rules must be satisfied by construction or checked apart.
+    """
+    from pyspark.sql import Observation
+
+    aggs, uniq = _row_aggregates(df, rules)
+    if uniq:
+        raise ValueError(f"uniqueness of {uniq} cannot be observed on a write")
+    obs = Observation()
+    return df.observe(obs, *aggs), obs
+
+
+def rule_metrics(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """One row holding every count the data rules need.
+
+    Columns: ``rows``; per null-checked column ``{c}__nulls``; per range
+    rule ``{c}__n``, ``{c}__below``, ``{c}__above``, ``{c}__min``,
+    ``{c}__max``; per unique column ``{c}__dups`` (rows beyond the first
+    of each value, NULLs equal).
+    """
+    aggs, uniq = _row_aggregates(df, rules)
     row = df.agg(*aggs)
     if uniq:
         row = row.crossJoin(duplicate_counts(df, uniq))

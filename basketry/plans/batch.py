@@ -29,13 +29,15 @@ from pyspark.sql import functions as F
 
 from basketry.operators import metrics as M
 from basketry.operators import quality as Q
-from basketry.operators.nulls import assert_fill_invariant, fill_report
 from basketry.plans import clean as C
+from basketry.plans import enrich as EN
 from basketry.plans.enrich import enrich_inventory, enrich_orders, enrich_reviews
 from basketry.sources.sinks import write_csv, write_parquet
 
 # Metric tables with a bounded row count (top-N, months, statuses, one row):
 # written as a single part file.
+DEDUP_TABLES = ("orders", "inventory", "reviews")
+
 BOUNDED_METRICS = {
     "top_spenders", "average_ticket", "top_products", "monthly_sales", "promotion_usage_rate",
     "status_funnel", "cancellation_rate", "delivery_rate", "backlog_in_progress",
@@ -44,22 +46,6 @@ BOUNDED_METRICS = {
 }
 
 
-def precheck(df: DataFrame, keys: list[str], fill: dict) -> None:
-    """Key nulls + fill invariant from one collected result (a few rows)."""
-    present = [c for c in fill if c in df.columns]
-    missing_keys = [c for c in keys if c not in df.columns]
-    if missing_keys:
-        from basketry.errors import MissingRequiredColumnsError
-        raise MissingRequiredColumnsError(missing_keys, df.columns)
-    key_counts = Q.rule_metrics(df, [Q.no_nulls(keys)])
-    rows = (fill_report(df, {c: fill[c] for c in present}).crossJoin(key_counts).collect()
-            if present else key_counts.collect())
-    first = rows[0].asDict()
-    Q.evaluate(df, [Q.no_nulls(keys)], first)
-    if present:
-        assert_fill_invariant(rows)
-
-
 def in_parallel(tasks, max_workers: int = 8) -> list:
     """Run independent driver-side actions concurrently (Spark runs concurrent
     jobs from several threads); re-raises the first failure in task order."""
@@ -71,56 +57,91 @@ def in_parallel(tasks, max_workers: int = 8) -> list:
         return [f.result() for f in futures]
 
 
-def _post_rules(rules):
-    return [r for r in rules if r.kind != "unique"]
+def enforce_all(df: DataFrame, rule_sets) -> None:
+    """Several rule lists on one table from ONE metrics job, each raised in order."""
+    rules = [r for rs in rule_sets for r in rs]
+    for r in rules:
+        if r.kind in ("required", "no_extra", "types"):
+            Q._check_schema_rule(df, r)
+    if any(r.kind not in ("required", "no_extra", "types") for r in rules):
+        metrics = Q.rule_metrics(df, rules).first().asDict()
+        for rs in rule_sets:
+            Q.evaluate(df, rs, metrics)
+
+
+def input_checks(tables: dict[str, DataFrame]) -> list:
+    """Every check on the inputs as independent actions (run concurrently).
+
+    Facts: key nulls + fill invariant (one job each). Dimensions: the guards
+    of every enrichment join that reads them, fused into one job per table.
+    """
+    t = tables
+    return [
+        lambda: C.precheck(t["orders"], C.ORDERS_KEYS, C.ORDERS_FILL),
+        lambda: C.precheck(t["inventory"], C.INVENTORY_KEYS, C.INVENTORY_FILL),
+        lambda: C.precheck(t["reviews"], C.REVIEWS_KEYS, C.REVIEWS_FILL),
+        lambda: enforce_all(t["customers"], [EN.CUSTOMER_RULES, EN.REVIEW_CUSTOMER_RULES]),
+        lambda: enforce_all(t["promotions"], [EN.PROMOTION_RULES]),
+        lambda: enforce_all(t["products"], [EN.INVENTORY_PRODUCT_RULES, EN.REVIEW_PRODUCT_RULES]),
+        lambda: enforce_all(t["warehouses"], [EN.WAREHOUSE_RULES]),
+    ]
 
 
 def clean_and_enrich(tables: dict[str, DataFrame], checks: str = "deferred") -> dict[str, DataFrame]:
-    """Lazy enriched plans for orders, inventory and reviews."""
+    """Lazy enriched plans for orders, inventory and reviews.
+
+    ``deferred``: input checks run concurrently up front (a few one-row
+    jobs); the cleaned tables' rule sets are then observed on their write.
+    ``eager``: each cleaner and enricher validates as it goes.
+    """
     eager = checks == "eager"
     t = tables
     if not eager:
-        in_parallel([
-            lambda: precheck(t["orders"], C.ORDERS_KEYS, C.ORDERS_FILL),
-            lambda: precheck(t["inventory"], C.INVENTORY_KEYS, C.INVENTORY_FILL),
-            lambda: precheck(t["reviews"], C.REVIEWS_KEYS, C.REVIEWS_FILL),
-        ])
-    co, ci, cr = in_parallel([
-        lambda: C.clean_orders(t["orders"], check=eager),
-        lambda: C.clean_inventory(t["inventory"], check=eager),
-        lambda: C.clean_reviews(t["reviews"], check=eager),
-    ])
-    eo, ei, er = in_parallel([
-        lambda: enrich_orders(co, t["customers"], t["promotions"], t["order_items"], check=True),
-        lambda: enrich_inventory(ci, t["products"], t["warehouses"], check=True),
-        lambda: enrich_reviews(cr, t["products"], t["customers"], check=True),
-    ])
-    return {"orders": eo, "inventory": ei, "reviews": er}
+        in_parallel(input_checks(t))
+    co = C.clean_orders(t["orders"], check=eager)
+    ci = C.clean_inventory(t["inventory"], check=eager)
+    cr = C.clean_reviews(t["reviews"], check=eager)
+    return {
+        "orders": enrich_orders(co, t["customers"], t["promotions"], t["order_items"], check=eager),
+        "inventory": enrich_inventory(ci, t["products"], t["warehouses"], check=eager),
+        "reviews": enrich_reviews(cr, t["products"], t["customers"], check=eager),
+    }
 
 
-def compute_metrics(eo: DataFrame, ei: DataFrame, er: DataFrame,
-                    order_items: DataFrame, products: DataFrame) -> dict[str, DataFrame]:
-    """The sixteen metric tables of a run (lazy)."""
+def metric_builders(eo: DataFrame, ei: DataFrame, er: DataFrame,
+                    order_items: DataFrame, products: DataFrame) -> dict:
+    """The sixteen metric tables of a run, as zero-argument builders.
+
+    Building is deferred so that metrics whose construction runs a job (the
+    top-spenders checkpoint) build concurrently with the other writes.
+    """
     return {
-        "top_spenders": M.top_spenders(eo, M.TOP_SPENDERS_N, M.TOP_SPENDERS_PERCENTILE),
-        "recurring_customers": M.recurring_customers(eo, M.RECURRING_MIN_ORDERS),
-        "average_ticket": M.average_ticket(eo),
-        "top_products": M.top_products_by_quantity(order_items, products, M.TOP_PRODUCTS_N),
-        "monthly_sales": M.monthly_sales(eo),
-        "promotion_usage_rate": M.promotion_usage_rate(eo),
-        "status_funnel": M.status_funnel(eo),
-        "cancellation_rate": M.cancellation_rate(eo),
-        "delivery_rate": M.delivery_rate(eo),
-        "backlog_in_progress": M.in_progress_backlog(eo),
-        "inventory_health": M.stock_health_summary(ei),
-        "low_stock_items": M.low_stock_items(ei, M.LOW_STOCK_ITEMS_N),
-        "warehouse_utilization": M.warehouse_utilization(ei),
-        "reviews_overview": M.rating_overview(er),
-        "reviews_by_product": M.rating_by_product(er, M.MIN_REVIEWS_FOR_PRODUCT, M.TOP_REVIEWED_PRODUCTS_N),
-        "reviews_monthly": M.monthly_review_volume(er),
+        "top_spenders": lambda: M.top_spenders(eo, M.TOP_SPENDERS_N, M.TOP_SPENDERS_PERCENTILE),
+        "recurring_customers": lambda: M.recurring_customers(eo, M.RECURRING_MIN_ORDERS),
+        "average_ticket": lambda: M.average_ticket(eo),
+        "top_products": lambda: M.top_products_by_quantity(order_items, products, M.TOP_PRODUCTS_N),
+        "monthly_sales": lambda: M.monthly_sales(eo),
+        "promotion_usage_rate": lambda: M.promotion_usage_rate(eo),
+        "status_funnel": lambda: M.status_funnel(eo),
+        "cancellation_rate": lambda: M.cancellation_rate(eo),
+        "delivery_rate": lambda: M.delivery_rate(eo),
+        "backlog_in_progress": lambda: M.in_progress_backlog(eo),
+        "inventory_health": lambda: M.stock_health_summary(ei),
+        "low_stock_items": lambda: M.low_stock_items(ei, M.LOW_STOCK_ITEMS_N),
+        "warehouse_utilization": lambda: M.warehouse_utilization(ei),
+        "reviews_overview": lambda: M.rating_overview(er),
+        "reviews_by_product": lambda: M.rating_by_product(er, M.MIN_REVIEWS_FOR_PRODUCT,
+                                                          M.TOP_REVIEWED_PRODUCTS_N),
+        "reviews_monthly": lambda: M.monthly_review_volume(er),
     }
 
 
+def compute_metrics(eo: DataFrame, ei: DataFrame, er: DataFrame,
+                    order_items: DataFrame, products: DataFrame) -> dict[str, DataFrame]:
+    """The sixteen metric tables of a run."""
+    return {k: build() for k, build in metric_builders(eo, ei, er, order_items, products).items()}
+
+
 def run_batch(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
               formats=("parquet", "csv"), checks: str = "deferred",
               run_id: str | None = None) -> DataFrame:
@@ -141,11 +162,15 @@ def run_batch(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
 
     def materialise(name: str, df: DataFrame) -> DataFrame:
         path = f"{out}/processed/parquet/{name}_enriched"
+        obs = None
+        if checks != "eager":
+            # the cleaned table's range/null rules ride on its single write
+            df, obs = Q.observe_rules(df, C._post_clean(rules[name]))
         prof = write_parquet(df, path)
+        if obs is not None:
+            Q.evaluate(df, C._post_clean(rules[name]), obs.get)
         note("load", f"{name}_enriched", prof["rows"])
         back = spark.read.parquet(path)
-        if checks != "eager":
-            Q.enforce(back, _post_rules(rules[name]))
         if "csv" in formats:
             write_csv(back, f"{out}/processed/csv/{name}_enriched", profile=False)
         return back
@@ -154,19 +179,19 @@ def run_batch(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
     done = in_parallel([lambda n=n: materialise(n, enriched[n]) for n in names])
     written = dict(zip(names, done))
 
-    results = compute_metrics(written["orders"], written["inventory"], written["reviews"],
-                              tables["order_items"], tables["products"])
+    builders = metric_builders(written["orders"], written["inventory"], written["reviews"],
+                               tables["order_items"], tables["products"])
 
-    def publish(name: str, df: DataFrame) -> None:
+    def publish(name: str, build) -> None:
         single = name in BOUNDED_METRICS
         ppath = f"{out}/output/parquet/{name}"
-        prof = write_parquet(df, ppath, single_file=single)
+        prof = write_parquet(build(), ppath, single_file=single)
         note("aggregate", name, prof["rows"])
         if "csv" in formats:
             write_csv(spark.read.parquet(ppath), f"{out}/output/csv/{name}", single_file=single,
                       profile=False)
 
-    in_parallel([lambda n=n, d=d: publish(n, d) for n, d in results.items()])
+    in_parallel([lambda n=n, b=b: publish(n, b) for n, b in builders.items()])
 
     metrics_df = spark.createDataFrame(
         log, "run_id string, stage string, table string, rows bigint, recorded_at timestamp")
@@ -174,16 +199,27 @@ def run_batch(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
     return metrics_df
 
 
-def export_sources(tables: dict[str, DataFrame], source_dir: str, single_file: bool = False) -> None:
-    """Write the eight logical tables as the CSV raw zone ({stem}.csv each)."""
+def export_sources(tables: dict[str, DataFrame], source_dir: str, files_per_table: int | None = None) -> None:
+    """Write the eight logical tables as a CSV raw zone ({stem}.csv/part-*).
+
+    Rows keep a deterministic order (by the table's natural key) so keep-last
+    sees the same arrival order on every export; ``files_per_table`` parts
+    per table (default: the default parallelism).
+    """
     from basketry.schemas import SOURCE_TABLES
 
     root = source_dir.rstrip("/")
-    in_parallel([
-        lambda n=n, df=df: write_csv(df.drop("_seq") if "_seq" in df.columns else df,
-                                     f"{root}/{SOURCE_TABLES[n]}.csv", single_file=single_file,
-                                     profile=False)
-        for n, df in tables.items()])
+
+    def one(name: str, df: DataFrame) -> None:
+        n = files_per_table or df.sparkSession.sparkContext.defaultParallelism
+        key = df.columns[0]
+        if "_seq" in df.columns:
+            df = df.repartitionByRange(n, "_seq").sortWithinPartitions("_seq").drop("_seq")
+        else:
+            df = df.repartitionByRange(n, key).sortWithinPartitions(key)
+        write_csv(df, f"{root}/{SOURCE_TABLES[name]}.csv", profile=False)
+
+    in_parallel([lambda n=n, df=df: one(n, df) for n, df in tables.items()])
 
 
 def ingest_sources(spark: SparkSession, source_dir: str, out_dir: str, sep: str = ",",
@@ -194,9 +230,10 @@ def ingest_sources(spark: SparkSession, source_dir: str, out_dir: str, sep: str
 
     root, out = source_dir.rstrip("/"), out_dir.rstrip("/")
     names = list(SOURCE_TABLES)
+    # only the tables deduplicated with keep-last need their arrival order
     frames = in_parallel([
         lambda n=n: ingest_csv(spark, f"{root}/{SOURCE_TABLES[n]}.csv", f"{out}/raw/{n}",
-                               SCHEMAS[n], sep=sep, encoding=encoding)
+                               SCHEMAS[n], sep=sep, encoding=encoding, with_seq=n in DEDUP_TABLES)
         for n in names])
     return dict(zip(names, frames))
 

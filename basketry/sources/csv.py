@@ -68,9 +68,10 @@ def typed(c: Column, dtype: T.DataType) -> Column:
         return (F.when(c.isin(list(TRUE_TOKENS)), F.lit(True))
                 .when(c.isin(list(FALSE_TOKENS)), F.lit(False)))
     if isinstance(dtype, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
-        # whole numbers only; "12.0" is kept (pandas would make the column float)
+        # integer text converts directly; otherwise whole numbers such as
+        # "12.0" or "1e3" are kept (pandas would read the column as float)
         num = numeric_expr(c, T.StringType())
-        return F.when(num == F.floor(num), num).try_cast(dtype)
+        return F.coalesce(c.try_cast(dtype), F.when(num == F.floor(num), num).try_cast(dtype))
     if isinstance(dtype, T.NumericType):
         return numeric_expr(c, T.StringType()).cast(dtype)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
