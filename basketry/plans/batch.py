@@ -87,16 +87,19 @@ def input_checks(tables: dict[str, DataFrame]) -> list:
     ]
 
 
-def clean_and_enrich(tables: dict[str, DataFrame], checks: str = "deferred") -> dict[str, DataFrame]:
+def clean_and_enrich(tables: dict[str, DataFrame], checks: str = "deferred",
+                     run_input_checks: bool = True) -> dict[str, DataFrame]:
     """Lazy enriched plans for orders, inventory and reviews.
 
-    ``deferred``: input checks run concurrently up front (a few one-row
-    jobs); the cleaned tables' rule sets are then observed on their write.
-    ``eager``: each cleaner and enricher validates as it goes.
+    ``deferred``: the input checks (a few one-row jobs) run concurrently —
+    here, or alongside the writes when the caller schedules them itself
+    (``run_input_checks=False``); the cleaned tables' rule sets are then
+    observed on their write. ``eager``: each cleaner and enricher validates
+    as it goes.
     """
     eager = checks == "eager"
     t = tables
-    if not eager:
+    if not eager and run_input_checks:
         in_parallel(input_checks(t))
     co = C.clean_orders(t["orders"], check=eager)
     ci = C.clean_inventory(t["inventory"], check=eager)
@@ -136,6 +139,16 @@ def metric_builders(eo: DataFrame, ei: DataFrame, er: DataFrame,
     }
 
 
+METRIC_SOURCE = {
+    "top_spenders": "orders", "recurring_customers": "orders", "average_ticket": "orders",
+    "top_products": None, "monthly_sales": "orders", "promotion_usage_rate": "orders",
+    "status_funnel": "orders", "cancellation_rate": "orders", "delivery_rate": "orders",
+    "backlog_in_progress": "orders", "inventory_health": "inventory", "low_stock_items": "inventory",
+    "warehouse_utilization": "inventory", "reviews_overview": "reviews",
+    "reviews_by_product": "reviews", "reviews_monthly": "reviews",
+}
+
+
 def compute_metrics(eo: DataFrame, ei: DataFrame, er: DataFrame,
                     order_items: DataFrame, products: DataFrame) -> dict[str, DataFrame]:
     """The sixteen metric tables of a run."""
@@ -154,47 +167,73 @@ def run_batch(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
     out = out_dir.rstrip("/")
     log: list[tuple] = []
 
-    def note(stage, table, rows):
-        log.append((run_id, stage, table, int(rows), _dt.datetime.now()))
+    def note(stage, table, rows, started):
+        now = _dt.datetime.now()
+        log.append((run_id, stage, table, int(rows), round((now - started).total_seconds(), 3), now))
 
-    enriched = clean_and_enrich(tables, checks)
+    eager = checks == "eager"
+    enriched = clean_and_enrich(tables, checks, run_input_checks=False)
     rules = {"orders": C.ORDERS_RULES, "inventory": C.INVENTORY_RULES, "reviews": C.REVIEWS_RULES}
 
+    def check_inputs() -> None:
+        started = _dt.datetime.now()
+        if not eager:
+            in_parallel(input_checks(tables))
+        note("check", "inputs", 0, started)
+
     def materialise(name: str, df: DataFrame) -> DataFrame:
+        started = _dt.datetime.now()
         path = f"{out}/processed/parquet/{name}_enriched"
         obs = None
-        if checks != "eager":
+        if not eager:
             # the cleaned table's range/null rules ride on its single write
             df, obs = Q.observe_rules(df, C._post_clean(rules[name]))
         prof = write_parquet(df, path)
         if obs is not None:
             Q.evaluate(df, C._post_clean(rules[name]), obs.get)
-        note("load", f"{name}_enriched", prof["rows"])
+        note("enrich", f"{name}_enriched", prof["rows"], started)
         back = spark.read.parquet(path)
         if "csv" in formats:
+            started = _dt.datetime.now()
             write_csv(back, f"{out}/processed/csv/{name}_enriched", profile=False)
+            note("load_csv", f"{name}_enriched", prof["rows"], started)
         return back
 
-    names = list(enriched)
-    done = in_parallel([lambda n=n: materialise(n, enriched[n]) for n in names])
-    written = dict(zip(names, done))
-
-    builders = metric_builders(written["orders"], written["inventory"], written["reviews"],
-                               tables["order_items"], tables["products"])
-
     def publish(name: str, build) -> None:
+        started = _dt.datetime.now()
         single = name in BOUNDED_METRICS
         ppath = f"{out}/output/parquet/{name}"
         prof = write_parquet(build(), ppath, single_file=single)
-        note("aggregate", name, prof["rows"])
+        note("aggregate", name, prof["rows"], started)
         if "csv" in formats:
+            started = _dt.datetime.now()
             write_csv(spark.read.parquet(ppath), f"{out}/output/csv/{name}", single_file=single,
                       profile=False)
-
-    in_parallel([lambda n=n, b=b: publish(n, b) for n, b in builders.items()])
+            note("load_csv", name, prof["rows"], started)
+
+    # Independent Spark jobs run side by side; a metric starts as soon as the
+    # enriched table it reads is written and the input checks have passed.
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        checked = pool.submit(check_inputs)
+        written = {n: pool.submit(materialise, n, df) for n, df in enriched.items()}
+
+        def metric(name: str):
+            checked.result()
+            src = METRIC_SOURCE[name]
+            eo, ei, er = (written[n].result() if src == n else None
+                          for n in ("orders", "inventory", "reviews"))
+            build = metric_builders(eo, ei, er, tables["order_items"], tables["products"])[name]
+            publish(name, build)
+
+        # metrics reading the same table start in the order their table is written
+        order = sorted(METRIC_SOURCE, key=lambda n: (METRIC_SOURCE[n] is not None, n == "top_spenders"))
+        pending = [pool.submit(metric, n) for n in order]
+        for f in [checked, *written.values(), *pending]:
+            f.result()
 
     metrics_df = spark.createDataFrame(
-        log, "run_id string, stage string, table string, rows bigint, recorded_at timestamp")
+        log, "run_id string, stage string, table string, rows bigint, seconds double, "
+             "recorded_at timestamp")
     metrics_df.coalesce(1).write.mode("append").parquet(f"{out}/run_metrics")
     return metrics_df
 

@@ -197,6 +197,35 @@ def _dim_checks(s, d):
             .crossJoin(tag(prod, "products")).crossJoin(tag(wh, "warehouses")))
 
 
+def batch_output_dir(s, d) -> str:
+    """Run the whole batch once per session over ``d``'s tables, from a CSV raw
+    zone exported from them; returns the output folder (cached by plan key)."""
+    from basketry.plans.batch import export_sources, run_batch_from_csv
+
+    def build():
+        src = scratch_dir(s, "raw-zone")
+        export_sources(DriverViews(s, d).all(), src)
+        out = scratch_dir(s, "batch-out")
+        run_batch_from_csv(s, src, out)
+        return s.createDataFrame([(out,)], "out string")
+    return cached_plan(s, ("batch", d.rstrip("/")), build).first()["out"]
+
+
+def _batch_output(zone: str, table: str):
+    return lambda s, d: s.read.parquet(f"{batch_output_dir(s, d)}/{zone}/parquet/{table}")
+
+
+BATCH_OUTPUTS = {
+    "batch_monthly_sales": ("output", "monthly_sales"),
+    "batch_top_spenders": ("output", "top_spenders"),
+    "batch_top_products": ("output", "top_products"),
+    "batch_inventory_health": ("output", "inventory_health"),
+    "batch_warehouse_utilization": ("output", "warehouse_utilization"),
+    "batch_reviews_by_product": ("output", "reviews_by_product"),
+    "batch_enriched_orders": ("processed", "orders_enriched"),
+}
+
+
 RANGE_RULES = [r for r in CL.ORDERS_RULES if r.kind == "range"]
 UNIQUE_COLUMNS = ["order_id", "customer_id", "status", "notes"]
 
@@ -252,6 +281,8 @@ def operator_queries() -> dict[str, Query]:
         "join_reviews_customers": lambda s, d: EN.join_review_customers(
             cleaned_reviews(s, d), DriverViews(s, d).customers()),
     })
+    # the batch run end to end (CSV raw zone -> written outputs)
+    q.update({name: _batch_output(zone, table) for name, (zone, table) in BATCH_OUTPUTS.items()})
     return q
 
 

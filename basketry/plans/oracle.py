@@ -310,8 +310,20 @@ FROM c_reviews r LEFT JOIN r_customers c ON c.customer_id = r.customer_id""",
 }
 
 
+# the batch writes the same tables the metric queries compute
+BATCH_SQL: dict[str, str] = {
+    "batch_monthly_sales": METRIC_SQL["monthly_sales"],
+    "batch_top_spenders": METRIC_SQL["top_spenders"],
+    "batch_top_products": METRIC_SQL["top_products_by_quantity"],
+    "batch_inventory_health": METRIC_SQL["inventory_health"],
+    "batch_warehouse_utilization": METRIC_SQL["warehouse_utilization"],
+    "batch_reviews_by_product": METRIC_SQL["reviews_by_product"],
+    "batch_enriched_orders": TABLE_SQL["enrich_orders"],
+}
+
+
 def oracle_sql() -> dict[str, str]:
     out = {}
-    for k, v in {**METRIC_SQL, **TABLE_SQL, **OPERATOR_SQL}.items():
+    for k, v in {**METRIC_SQL, **TABLE_SQL, **OPERATOR_SQL, **BATCH_SQL}.items():
         out[k] = with_ctes(v)
     return out
