@@ -14,7 +14,7 @@ before the shuffle) or global folds. Conventions shared by every metric:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,14 +85,16 @@ def _top_products(items: DataFrame, products: DataFrame, top_n: int, by: str,
     ``products``: fan-out only duplicates rows, so the first N rows of the
     joined ranking come from the first N products. Only those N ids
     (a broadcast of at most ``top_n`` rows) filter the product table, which
-    is therefore never shuffled.
+    is therefore never shuffled; the fact table is aggregated once (the N
+    rows are checkpointed).
     """
     g = _grouped(items, "product_id").agg(
         F.sum("quantity").alias("total_units"),
         _amount_sum(items, "subtotal").alias("revenue"),
     )
     order = [F.col(by).desc_nulls_last(), F.col("product_id").asc()]
-    top = g.orderBy(*order).limit(top_n)
+    # the N ranked rows feed both the result and the name filter: computed once
+    top = materialize(g.orderBy(*order).limit(top_n))
     names = (products.select("product_id", "product_name")
              .join(F.broadcast(top.select("product_id")), "product_id", "left_semi"))
     joined = top.join(names, "product_id", "left")
@@ -131,12 +133,15 @@ def promotion_usage_rate(eo: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------- order lifecycle --
 def status_funnel(eo: DataFrame) -> DataFrame:
-    """Orders per status (case-sensitive) and share; NULL status excluded from both."""
+    """Orders per status (case-sensitive) and share; NULL status excluded from both.
+
+    One scan: the per-status counts (one row per status value — the result
+    table itself) get their total from a window over that small table, so the
+    orders are aggregated once and never reach a single task.
+    """
     counts = _grouped(eo, "status").agg(F.count(F.lit(1)).alias("orders"))
-    total = counts.agg(F.sum("orders").alias("_total"))       # one row
-    return (counts.crossJoin(F.broadcast(total))
-            .withColumn("share", F.coalesce(safe_div("orders", "_total"), F.lit(0.0)))
-            .drop("_total")
+    total = F.sum("orders").over(Window.partitionBy())
+    return (counts.withColumn("share", F.coalesce(safe_div(F.col("orders"), total), F.lit(0.0)))
             .orderBy(F.col("orders").desc(), F.col("status").asc()))
 
 
@@ -195,17 +200,22 @@ def low_stock_items(ei: DataFrame, top_n: int = LOW_STOCK_ITEMS_N) -> DataFrame:
 def warehouse_utilization(ei: DataFrame) -> DataFrame:
     """Units per warehouse over declared capacity; zero capacity -> NULL.
 
-    Capacity is attached from the distinct (warehouse, capacity) pairs, so a
-    warehouse listed with two capacities yields two rows, as in the source.
+    One row per distinct (warehouse, capacity) pair, so a warehouse listed
+    with two capacities yields two rows (as a join with the distinct pairs
+    would). One scan: units are pre-aggregated per pair, then a window per
+    warehouse over that small table adds the warehouse-wide totals.
     """
-    g = _grouped(ei, "warehouse_id").agg(
-        F.min("location").alias("location"),
-        F.coalesce(F.sum("quantity"), F.lit(0)).alias("total_units"),
-    )
-    caps = ei.select("warehouse_id", "capacity_units").distinct()
-    return (g.join(caps, "warehouse_id", "left")
-            .withColumn("utilization", safe_div("total_units", "capacity_units"))
-            .orderBy(F.col("utilization").asc_nulls_last(), F.col("warehouse_id").asc()))
+    pairs = (ei.where(F.col("warehouse_id").isNotNull())
+             .groupBy("warehouse_id", "capacity_units")
+             .agg(F.min("location").alias("_loc"), F.sum("quantity").alias("_units")))
+    w = Window.partitionBy("warehouse_id")
+    return (pairs.select(
+        "warehouse_id",
+        F.min("_loc").over(w).alias("location"),
+        F.coalesce(F.sum("_units").over(w), F.lit(0)).alias("total_units"),
+        "capacity_units",
+    ).withColumn("utilization", safe_div("total_units", "capacity_units"))
+        .orderBy(F.col("utilization").asc_nulls_last(), F.col("warehouse_id").asc()))
 
 
 # --------------------------------------------------------------- reviews --
