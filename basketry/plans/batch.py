@@ -1,15 +1,16 @@
 """The batch run: extract -> clean -> enrich -> metrics -> load.
 
-Shape of the Spark jobs (per fact table):
-
-1. pre-check: ONE aggregate over the raw table for the key-null rule and
-   the fill invariant (the statistics the fills need are part of the plan);
-2. the cleaned + enriched plan is written ONCE as Parquet (processed zone);
-   the load profile is observed on that same write;
-3. the table's rule set runs as ONE aggregate over the written Parquet
-   (column-pruned) instead of re-running the cleaning plan;
-4. every metric is computed from the written enriched Parquet, written as
-   Parquet, and its CSV is rendered from the written Parquet (no recompute).
+Shape of the Spark jobs:
+
+1. input checks: ONE aggregate per raw fact table (key-null rule, fill
+   invariant, mean statistics) and ONE rule job per dimension table (the
+   guards of every join reading it), run concurrently;
+2. each cleaned + enriched plan is written ONCE as Parquet (processed zone);
+   the load profile and the cleaned table's range/null rules are observed on
+   that same write (``DataFrame.observe``: no extra job);
+3. every metric is computed from the written enriched Parquet as soon as its
+   table is written (and the input checks passed), written as Parquet, and
+   its CSV is rendered from the written Parquet (no recompute).
 
 ``checks="eager"`` instead validates the cleaned plan before anything is
 written, as the source system does, at the cost of one more pass.

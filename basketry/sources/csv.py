@@ -12,6 +12,11 @@
 * An empty file raises ``SourceParseError``; bytes that are invalid in the
   declared encoding (decoded by Spark to U+FFFD) raise ``SourceReadError``.
 * ``_seq`` records the row's position in its file for keep-last dedup.
+* ``multi_line=True`` (default) keeps quoted newlines inside a field, as
+  pandas does; Spark then reads each file as one split. For very large single
+  files whose fields never contain newlines, ``multi_line=False`` lets Spark
+  split the file across tasks (``_seq`` stays ordered through the split's
+  block offset).
 
 Validation runs as ONE aggregate job (long rows + undecodable values), or
 not at all with ``validate=False``; ``malformed="quarantine"`` instead
@@ -45,10 +50,10 @@ def _encoding(enc: str) -> str:
     return ENCODING_ALIASES.get(enc.lower(), enc)
 
 
-def _reader(spark: SparkSession, sep: str, encoding: str):
+def _reader(spark: SparkSession, sep: str, encoding: str, multi_line: bool = True):
     return (spark.read.option("header", True).option("sep", sep)
             .option("encoding", _encoding(encoding)).option("quote", '"').option("escape", '"')
-            .option("multiLine", True).option("mode", "PERMISSIVE"))
+            .option("multiLine", multi_line).option("mode", "PERMISSIVE"))
 
 
 def header_columns(spark: SparkSession, path: str, sep: str = ",", encoding: str = "utf-8") -> list[str]:
@@ -81,7 +86,7 @@ def typed(c: Column, dtype: T.DataType) -> Column:
 
 
 def _flagged(spark: SparkSession, path: str, schema: T.StructType | None, sep: str,
-             encoding: str, with_seq: bool) -> tuple[DataFrame, T.StructType]:
+             encoding: str, with_seq: bool, multi_line: bool = True) -> tuple[DataFrame, T.StructType]:
     """Text columns (null tokens applied) + ``_is_long`` + the raw record."""
     if spark.read.text(path).limit(1).count() == 0:
         raise SourceParseError(f"empty file, no columns to parse: '{path}'")
@@ -95,7 +100,7 @@ def _flagged(spark: SparkSession, path: str, schema: T.StructType | None, sep: s
     text_schema = T.StructType(
         [T.StructField(f.name, T.StringType(), True) for f in schema.fields]
         + [T.StructField(EXTRA, T.StringType(), True)])
-    raw = _reader(spark, sep, encoding).schema(text_schema).csv(path)
+    raw = _reader(spark, sep, encoding, multi_line).schema(text_schema).csv(path)
     if with_seq:
         raw = with_scan_order(raw, SEQ)
     cleaned_text = [null_tokens(F.col(f.name)).alias(f.name) for f in schema.fields]
@@ -128,13 +133,14 @@ def _typed_rows(flagged: DataFrame, schema: T.StructType, with_seq: bool) -> Dat
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, *,
              sep: str = ",", encoding: str = "utf-8", with_seq: bool = True,
-             validate: bool = True, malformed: str = "raise") -> DataFrame | tuple[DataFrame, DataFrame]:
+             validate: bool = True, malformed: str = "raise",
+             multi_line: bool = True) -> DataFrame | tuple[DataFrame, DataFrame]:
     """Read one delimited file (or directory) with the rules in the module doc.
 
     ``malformed``: ``"raise"`` (default, source-system behaviour),
     ``"quarantine"`` (returns ``(rows, long_rows)``) or ``"ignore"``.
     """
-    flagged, schema = _flagged(spark, path, schema, sep, encoding, with_seq)
+    flagged, schema = _flagged(spark, path, schema, sep, encoding, with_seq, multi_line)
     if validate and malformed == "raise":
         _raise_problems(flagged.agg(*_problem_counts(flagged, schema)).first(), path, sep, encoding)
     rows = flagged
@@ -147,7 +153,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
 
 
 def ingest_csv(spark: SparkSession, path: str, out_path: str, schema: T.StructType | None = None, *,
-               sep: str = ",", encoding: str = "utf-8", with_seq: bool = True) -> DataFrame:
+               sep: str = ",", encoding: str = "utf-8", with_seq: bool = True,
+               multi_line: bool = True) -> DataFrame:
     """Parse a delimited file ONCE into typed Parquet and return the Parquet table.
 
     The malformed-row and encoding checks are observed on the write itself
@@ -156,7 +163,7 @@ def ingest_csv(spark: SparkSession, path: str, out_path: str, schema: T.StructTy
     """
     from pyspark.sql import Observation
 
-    flagged, schema = _flagged(spark, path, schema, sep, encoding, with_seq)
+    flagged, schema = _flagged(spark, path, schema, sep, encoding, with_seq, multi_line)
     obs = Observation()
     observed = flagged.observe(obs, *_problem_counts(flagged, schema))
     _typed_rows(observed.where(~F.col("_is_long")), schema, with_seq) \
