@@ -7,7 +7,10 @@ grows with the data. This operator stays exact with bounded per-task state:
 1. values are pre-aggregated to (value, multiplicity) with a partial
    aggregate, so a value held by a third of all rows is one row;
 2. ``percentile_approx`` (bounded sketch, relative rank error 1/accuracy)
-   brackets the target rank between two values a <= b;
+   brackets the target rank between two values a <= b, widened by one
+   distinct value on each side (the interpolation needs the neighbours at
+   floor and ceil of the position, which the sketch alone can miss by one
+   rank);
 3. the rows below ``a`` are only counted; the distinct values inside
    [a, b] (about 6/accuracy of the data) are ranked exactly with a running
    sum, and the two neighbours of the target rank are interpolated.
@@ -52,7 +55,15 @@ def exact_quantile(df: DataFrame, column: str, p: float, alias: str = "quantile"
         F.percentile_approx(v, F.lit(min(1.0, p + eps)), F.lit(accuracy)).alias("_b"),
     ).withColumn("_pos", F.lit(p) * (F.col("_n") - 1))
     distinct = vals.groupBy("_v").agg(F.count(F.lit(1)).alias("_c"))
-    tagged = distinct.crossJoin(F.broadcast(stats))
+    # neighbours of the sketch bracket: the largest value below a, the
+    # smallest above b (one aggregate over the distinct values)
+    edges = (distinct.crossJoin(F.broadcast(stats))
+             .agg(F.max(F.when(v < F.col("_a"), v)).alias("_a_prev"),
+                  F.min(F.when(v > F.col("_b"), v)).alias("_b_next")))
+    bounds = (stats.crossJoin(edges)
+              .withColumn("_a", F.coalesce(F.col("_a_prev"), F.col("_a")))
+              .withColumn("_b", F.coalesce(F.col("_b_next"), F.col("_b"))))
+    tagged = distinct.crossJoin(F.broadcast(bounds))
     below = tagged.where(v < F.col("_a")).agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("_below"))
     cand = tagged.where((v >= F.col("_a")) & (v <= F.col("_b")))
     # Candidates are a bounded slice (~6/accuracy of the values): one ordered pass.
