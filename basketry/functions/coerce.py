@@ -39,8 +39,11 @@ def numeric_expr(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.BooleanType):
         return c.cast("bigint")
     txt = F.trim(c.cast("string"))
+    spelled_inf = F.lower(txt).contains("inf")
     java_suffix = F.substring(txt, -1, 1).isin(list(JAVA_SUFFIXES)) & ~F.lower(txt).endswith("inf")
-    return F.when(java_suffix, F.lit(None).cast("double")).otherwise(nan_to_null(txt.try_cast("double")))
+    num = nan_to_null(txt.try_cast("double"))
+    overflow = (F.abs(num) == float("inf")) & ~spelled_inf      # "1e309": pandas gives NaN
+    return F.when(java_suffix | overflow, F.lit(None).cast("double")).otherwise(num)
 
 
 def datetime_expr(c: Column, dtype: T.DataType, formats=DATETIME_FORMATS) -> Column:

@@ -137,3 +137,23 @@ def test_inventory_and_reviews_cleaners(spark):
                                 "helpful_votes long, created_at string, _seq long")
     with pytest.raises(RangeValidationError):
         clean_reviews(bad)
+
+
+# (text, what pandas.to_numeric(errors="coerce") gives)
+TO_NUMERIC_CASES = [
+    ("1", 1.0), (" 2.5 ", 2.5), ("1e3", 1000.0), ("1E-2", 0.01), ("abc", None), ("n/a", None),
+    ("inf", float("inf")), ("-inf", float("-inf")), ("Infinity", float("inf")), ("INF", float("inf")),
+    ("NaN", None), ("1d", None), ("2f", None), (".5", 0.5), ("5.", 5.0), ("+3", 3.0), ("1,000", None),
+    ("0x10", None), ("", None), ("1_000", None), ("1e", None), ("--1", None), ("12abc", None),
+    ("9999999999999999999", 1e19), ("1.7976931348623157e309", None), ("\t4\n", 4.0), ("true", None),
+]
+
+
+def test_numeric_coercion_matches_pandas_to_numeric(spark):
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from basketry.functions.coerce import numeric_expr
+    df = spark.createDataFrame([(t,) for t, _ in TO_NUMERIC_CASES], "t string")
+    got = [r[0] for r in df.select(numeric_expr(F.col("t"), T.StringType())).collect()]
+    assert got == [w for _, w in TO_NUMERIC_CASES]
