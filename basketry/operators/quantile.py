@@ -55,20 +55,25 @@ def exact_quantile(df: DataFrame, column: str, p: float, alias: str = "quantile"
         F.percentile_approx(v, F.lit(min(1.0, p + eps)), F.lit(accuracy)).alias("_b"),
     ).withColumn("_pos", F.lit(p) * (F.col("_n") - 1))
     distinct = vals.groupBy("_v").agg(F.count(F.lit(1)).alias("_c"))
-    # neighbours of the sketch bracket: the largest value below a, the
-    # smallest above b (one aggregate over the distinct values)
+    # One aggregate over the distinct values: the bracket's neighbours (largest
+    # value below a, smallest above b) and the row count below the widened lower
+    # end (rows below a, minus the multiplicity of that lower neighbour).
+    below_a = F.col("_v") < F.col("_a")
     edges = (distinct.crossJoin(F.broadcast(stats))
-             .agg(F.max(F.when(v < F.col("_a"), v)).alias("_a_prev"),
+             .agg(F.max(F.when(below_a, v)).alias("_a_prev"),
+                  F.max_by(F.col("_c"), F.when(below_a, v)).alias("_c_prev"),
+                  F.coalesce(F.sum(F.when(below_a, F.col("_c"))), F.lit(0)).alias("_below_a"),
                   F.min(F.when(v > F.col("_b"), v)).alias("_b_next")))
-    bounds = (stats.crossJoin(edges)
-              .withColumn("_a", F.coalesce(F.col("_a_prev"), F.col("_a")))
-              .withColumn("_b", F.coalesce(F.col("_b_next"), F.col("_b"))))
-    tagged = distinct.crossJoin(F.broadcast(bounds))
-    below = tagged.where(v < F.col("_a")).agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("_below"))
-    cand = tagged.where((v >= F.col("_a")) & (v <= F.col("_b")))
+    bounds = (stats.crossJoin(edges).select(
+        "_n", "_pos",
+        F.coalesce(F.col("_a_prev"), F.col("_a")).alias("_a"),
+        F.coalesce(F.col("_b_next"), F.col("_b")).alias("_b"),
+        (F.col("_below_a") - F.coalesce(F.col("_c_prev"), F.lit(0))).alias("_below")))
+    cand = (distinct.crossJoin(F.broadcast(bounds))
+            .where((v >= F.col("_a")) & (v <= F.col("_b"))))
     # Candidates are a bounded slice (~6/accuracy of the values): one ordered pass.
     w = Window.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (cand.crossJoin(F.broadcast(below))
+    ranked = (cand
               .withColumn("_cum", F.col("_below") + F.sum("_c").over(w))
               .withColumn("_prev", F.col("_cum") - F.col("_c")))
     lo = F.floor(F.col("_pos"))
