@@ -33,7 +33,7 @@ from basketry.operators import quality as Q
 from basketry.plans import clean as C
 from basketry.plans import enrich as EN
 from basketry.plans.enrich import enrich_inventory, enrich_orders, enrich_reviews
-from basketry.sources.sinks import write_csv, write_parquet
+from basketry.sources.sinks import write_csv, write_parquet, written_tables_size
 
 # Metric tables with a bounded row count (top-N, months, statuses, one row):
 # written as a single part file.
@@ -161,6 +161,10 @@ def run_batch(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
               run_id: str | None = None) -> DataFrame:
     """Run the whole batch; returns the run-metrics table (also appended to disk).
 
+    Run metrics: one row per step (``check`` / ``enrich`` / ``aggregate`` /
+    ``load_csv``: rows and seconds) and one ``files`` row per written table
+    (``rows`` holds the part-file count, ``seconds`` the size in MB).
+
     Layout under ``out_dir``: ``processed/parquet/{t}_enriched``,
     ``processed/csv/{t}_enriched``, ``output/{fmt}/{metric}``, ``run_metrics``.
     """
@@ -232,6 +236,13 @@ def run_batch(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
         for f in [checked, *written.values(), *pending]:
             f.result()
 
+    # post-load profile of every written table: one file-listing job
+    sizes = {r["target"]: (r["files"], r["file_size_mb"])
+             for r in written_tables_size(spark, out).collect()}
+    for target, (files, mb) in sorted(sizes.items()):
+        rel = target.split(f"{out}/", 1)[-1] if f"{out}/" in target else target
+        log.append((run_id, "files", rel, int(files), float(mb), _dt.datetime.now()))
+
     metrics_df = spark.createDataFrame(
         log, "run_id string, stage string, table string, rows bigint, seconds double, "
              "recorded_at timestamp")

@@ -93,6 +93,22 @@ def write_parquet(df: DataFrame, path: str, *, compression: str = "snappy",
     return profile_from_observation(obs, df) if obs is not None else None
 
 
+def written_tables_size(spark: SparkSession, root: str) -> DataFrame:
+    """Post-load profile of every table written under ``root`` in ONE job.
+
+    One row per table folder (``{zone}/{format}/{table}``): part-file count and
+    total size in MB (2 dp). Lists files only (``binaryFile`` without its
+    content column).
+    """
+    root = root.rstrip("/")
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .option("pathGlobFilter", "part-*").load(root).select("path", "length"))
+    table = F.regexp_extract("path", r"^(.*)/[^/]+$", 1)
+    return (files.groupBy(table.alias("target"))
+            .agg(F.count(F.lit(1)).alias("files"),
+                 F.round(F.sum("length") / (1024 * 1024), 2).alias("file_size_mb")))
+
+
 def written_size(spark: SparkSession, path: str) -> DataFrame:
     """Post-load profile: file count and total size (MB, 2 dp) of a written table.
 
