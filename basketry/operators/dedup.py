@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketry.operators.scalars import with_scalars
+
 SEQ = "_seq"
 
 
@@ -42,7 +44,7 @@ def dedup_report(before: DataFrame, after: DataFrame) -> DataFrame:
     """rows_before, rows_after, removed — from two global counts."""
     b = before.agg(F.count(F.lit(1)).alias("rows_before"))
     a = after.agg(F.count(F.lit(1)).alias("rows_after"))
-    return b.crossJoin(a).withColumn("removed", F.col("rows_before") - F.col("rows_after"))
+    return with_scalars(b, a).withColumn("removed", F.col("rows_before") - F.col("rows_after"))
 
 
 def distinct_pairs(df: DataFrame, *cols: str) -> DataFrame:

@@ -59,8 +59,7 @@ def top_spenders(eo: DataFrame, top_n: int = TOP_SPENDERS_N,
         # compute it once (one row per customer, a fraction of the orders)
         g = materialize(g)
         threshold = exact_quantile(g, "total_spent", percentile, alias="_threshold")
-        g = (g.crossJoin(F.broadcast(threshold))          # one row
-             .where(F.col("total_spent") >= F.col("_threshold")).drop("_threshold"))
+        g = g.where(F.col("total_spent") >= threshold.scalar())
     return (g.orderBy(F.col("total_spent").desc_nulls_last(), F.col("customer_id").asc())
             .limit(top_n))
 

@@ -1,10 +1,10 @@
 """Null-handling strategies (drop / zero / string / mean / median / mode).
 
 A fill plan is an ordered ``{column: NullStrategy}``. All statistics a plan
-needs are computed as one-row DataFrames (mean and mode with partial
-aggregation, median with :func:`exact_quantile`) and attached with a
-broadcast cross join of that single row, so the whole step stays one lazy
-plan with no driver round trip.
+needs are computed as one-row DataFrames (means in one partial aggregate,
+mode with two partial aggregations, median with :func:`exact_quantile`) and
+referenced as a scalar subquery, so the whole step stays one lazy plan with
+no join and no driver round trip.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from basketry.functions.coerce import numeric_expr
 from basketry.functions.derived import FILL_STRING_VALUE
 from basketry.functions.semantics import MONEY_DECIMAL, nan_to_null, safe_div
 from basketry.operators.quantile import exact_quantile
+from basketry.operators.scalars import attach, with_scalars
 
 
 class NullStrategy(Enum):
@@ -74,10 +75,7 @@ def _one_row(df: DataFrame, aggs: list[Column], frames: list[DataFrame]) -> Data
     parts = ([df.agg(*aggs)] if aggs else []) + frames
     if not parts:
         return None
-    row = parts[0]
-    for f in parts[1:]:
-        row = row.crossJoin(f)
-    return row
+    return with_scalars(parts[0], *parts[1:])
 
 
 def fill_statistics(df: DataFrame, plan: dict[str, NullStrategy]) -> DataFrame | None:
@@ -114,9 +112,11 @@ def fill_nulls(df: DataFrame, plan: dict[str, NullStrategy]) -> DataFrame:
     if not plan:
         return df
     stats = fill_statistics(df, plan)
-    base = df
-    if stats is not None:
-        base = df.crossJoin(F.broadcast(stats))  # one row: proven size bound
+    # the statistics row is a scalar subquery, projected once: computed once, no join
+    base = attach(df, stats, "__stats") if stats is not None else df
+
+    def stat(c: str):
+        return F.col(f"__stats.{_stat_name(c)}")
     out = []
     for f in df.schema.fields:
         c = F.col(f.name)
@@ -134,9 +134,9 @@ def fill_nulls(df: DataFrame, plan: dict[str, NullStrategy]) -> DataFrame:
             if isinstance(f.dataType, T.StringType):
                 c = F.coalesce(c, F.lit(FILL_STRING_VALUE))
         elif strategy in (NullStrategy.FILL_MEAN, NullStrategy.FILL_MEDIAN):
-            c = F.coalesce(numeric_expr(c, f.dataType), F.col(_stat_name(f.name)))
+            c = F.coalesce(numeric_expr(c, f.dataType), stat(f.name))
         elif strategy is NullStrategy.FILL_MODE:
-            c = F.coalesce(c, F.col(_stat_name(f.name)).cast(f.dataType))
+            c = F.coalesce(c, stat(f.name).cast(f.dataType))
         out.append(c.alias(f.name))
     result = base.select(*out)
     drops = [c for c, s in plan.items() if s is NullStrategy.DROP]

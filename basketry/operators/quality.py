@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basketry.operators.scalars import with_scalars
 from basketry.errors import (
     DataTypeMismatchError,
     DuplicateKeyError,
@@ -179,7 +180,7 @@ def rule_metrics(df: DataFrame, rules: list[Rule]) -> DataFrame:
     aggs, uniq = _row_aggregates(df, rules)
     row = df.agg(*aggs)
     if uniq:
-        row = row.crossJoin(duplicate_counts(df, uniq))
+        row = with_scalars(row, duplicate_counts(df, uniq))
     return row
 
 

@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketry.operators.scalars import join_row
+
 DEFAULT_ACCURACY = 10000
 
 
@@ -59,17 +61,17 @@ def exact_quantile(df: DataFrame, column: str, p: float, alias: str = "quantile"
     # value below a, smallest above b) and the row count below the widened lower
     # end (rows below a, minus the multiplicity of that lower neighbour).
     below_a = F.col("_v") < F.col("_a")
-    edges = (distinct.crossJoin(F.broadcast(stats))
+    edges = (join_row(distinct, stats)
              .agg(F.max(F.when(below_a, v)).alias("_a_prev"),
                   F.max_by(F.col("_c"), F.when(below_a, v)).alias("_c_prev"),
                   F.coalesce(F.sum(F.when(below_a, F.col("_c"))), F.lit(0)).alias("_below_a"),
                   F.min(F.when(v > F.col("_b"), v)).alias("_b_next")))
-    bounds = (stats.crossJoin(edges).select(
+    bounds = (join_row(stats, edges).select(
         "_n", "_pos",
         F.coalesce(F.col("_a_prev"), F.col("_a")).alias("_a"),
         F.coalesce(F.col("_b_next"), F.col("_b")).alias("_b"),
         (F.col("_below_a") - F.coalesce(F.col("_c_prev"), F.lit(0))).alias("_below")))
-    cand = (distinct.crossJoin(F.broadcast(bounds))
+    cand = (join_row(distinct, bounds)
             .where((v >= F.col("_a")) & (v <= F.col("_b"))))
     # Candidates are a bounded slice (~6/accuracy of the values): one ordered pass.
     w = Window.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -20,6 +20,7 @@ from basketry.operators.dedup import dedup_report, keep_last
 from basketry.operators.nulls import NullStrategy, fill_nulls, fill_report
 from basketry.operators.profile import profile
 from basketry.operators.quantile import exact_quantile
+from basketry.operators.scalars import with_scalars
 from basketry.plans import clean as CL
 from basketry.plans import enrich as EN
 from basketry.plans.clean import clean_inventory, clean_orders, clean_reviews
@@ -176,12 +177,10 @@ def _parquet_roundtrip(s, d):
 
 def _quantiles(s, d):
     o = _raw_orders(s, d)
-    out = None
-    for name, p in QUANTILES:
-        q = exact_quantile(o, "total_amount", p, alias=name)
-        out = q if out is None else out.crossJoin(q)
+    frames = [exact_quantile(o, "total_amount", p, alias=name) for name, p in QUANTILES]
     items = DriverViews(s, d).order_items()
-    return out.crossJoin(exact_quantile(items, "quantity", 0.5, alias="quantity_p50"))
+    frames.append(exact_quantile(items, "quantity", 0.5, alias="quantity_p50"))
+    return with_scalars(frames[0], *frames[1:])
 
 
 def _dim_checks(s, d):
@@ -193,8 +192,8 @@ def _dim_checks(s, d):
 
     def tag(df, prefix):
         return df.select(*[F.col(c).alias(f"{prefix}__{c}") for c in df.columns])
-    return (tag(cust, "customers").crossJoin(tag(promo, "promotions"))
-            .crossJoin(tag(prod, "products")).crossJoin(tag(wh, "warehouses")))
+    return with_scalars(tag(cust, "customers"), tag(promo, "promotions"), tag(prod, "products"),
+                        tag(wh, "warehouses"))
 
 
 def batch_output_dir(s, d) -> str:
