@@ -84,3 +84,13 @@ def test_parquet_scans_are_pruned(spark):
     assert schemas, plan
     # the monthly volume never needs the review text or the vote counts
     assert all("comment:" not in m and "helpful_votes:" not in m for m in schemas), schemas
+
+
+@pytest.mark.parametrize("name", ["monthly_sales", "coerce_datetime", "csv_roundtrip", "reviews_monthly"])
+def test_results_do_not_depend_on_session_time_zone(spark, duck, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        test_query_matches_oracle(spark, duck, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
