@@ -32,9 +32,6 @@ class NullStrategy(Enum):
     FILL_ZERO = "fill_zero"
 
 
-_STAT = {NullStrategy.FILL_MEAN, NullStrategy.FILL_MEDIAN, NullStrategy.FILL_MODE}
-
-
 def _stat_name(c: str) -> str:
     return f"__fill_{c}"
 

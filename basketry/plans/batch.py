@@ -26,7 +26,6 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from basketry.operators import metrics as M
 from basketry.operators import quality as Q
