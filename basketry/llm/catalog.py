@@ -6,10 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import licenses, rules, sharding
+from . import licenses, packing, rules, sharding
 from .common import table
 
 
+def tokenizer_file(name: str) -> str:
+    """Place of a public tokenizer file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packing_digest(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
 def op3_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licence_query(table(spark, sf_dir, "documents"))
 

@@ -46,15 +46,16 @@ def salted_rank(df: DataFrame, keys: list[str], order: list[str], salt: Column,
     (a well-mixed 64-bit hash), each part is ranked alone by ``order``, and
     the parts' counts give their starts. ``df`` is read twice.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    widths = sizes.select(*keys, F.greatest(F.lit(1), F.ceil(F.col("_n") / rows_per_part)).cast("long").alias("_w"))
-    cut = df.join(widths, keys).withColumn("_part", F.pmod(salt, F.col("_w")))
-    by = Window.partitionBy(*keys).orderBy("_part")
-    starts = (cut.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n"))
-              .select(*keys, "_part", (F.sum("_n").over(by) - F.col("_n")).alias("_start")))
-    within = Window.partitionBy(*keys, "_part").orderBy(*order)
-    return (cut.withColumn("_at", F.row_number().over(within) - 1).join(starts, [*keys, "_part"])
-            .withColumn(name, F.col("_start") + F.col("_at")).drop("_w", "_part", "_start", "_at"))
+    # a struct of nulls equals another in a join, a null does not
+    df = df.withColumn("_key", F.struct(*keys))
+    widths = df.groupBy("_key").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / rows_per_part)).cast("long").alias("_w"))
+    cut = df.join(widths, "_key").withColumn("_part", F.pmod(salt, F.col("_w")))
+    by = Window.partitionBy("_key").orderBy("_part")
+    starts = (cut.groupBy("_key", "_part").agg(F.count(F.lit(1)).alias("_n"))
+              .select("_key", "_part", (F.sum("_n").over(by) - F.col("_n")).alias("_start")))
+    within = Window.partitionBy("_key", "_part").orderBy(*order)
+    return (cut.withColumn("_at", F.row_number().over(within) - 1).join(starts, ["_key", "_part"])
+            .withColumn(name, F.col("_start") + F.col("_at")).drop("_key", "_w", "_part", "_start", "_at"))
 
 
 def components(edges: DataFrame, name: str = "cc") -> DataFrame:
