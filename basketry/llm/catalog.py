@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import licenses, packing, rules, sharding
+from . import licenses, packing, rules, sharding, token_files
 from .common import table
 
 
@@ -25,6 +25,10 @@ def op3_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licence_query(table(spark, sf_dir, "documents"))
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_file_digest(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 

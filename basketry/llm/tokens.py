@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
@@ -26,6 +27,24 @@ _SPLIT = re.compile(rf"[{_LETTERS}]+|[.,]|\n")
 _CHUNKS = re.compile(r"(?<=\S)(?= \S)")
 
 
+class _Places(dict):
+    """Chunk -> place. A key without a space stands for a space and the key; " " + x stands for x itself."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+        self.known = 0
+
+    def __missing__(self, key: str) -> int:
+        if not key or (key[0] != " " and (key[0].isspace() or key[-1].isspace())):
+            self[key] = -1  # cut elsewhere: its text needs its own cuts
+            return -1
+        place = self[key] = self.known
+        self.known += 1
+        self.new.append(key)
+        return place
+
+
 class ChunkEncoder:
     """Ids of texts under one tokenizer file, with a memory of chunks."""
 
@@ -35,89 +54,87 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
-        normalizer = self.tokenizer.normalizer
-        self.drops_space = normalizer is not None  # the word BPE: lower case, white space only separates
+        self.drops_space = self.tokenizer.normalizer is not None  # the word BPE: lower case, white space only separates
+        # the library's visible character for each byte, read off texts that hold them
+        show = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.visible: dict[int, str] = {}
+        for code in (*range(0x800), *range(0x800, 0xD800, 64), *range(0xE000, 0x110000, 4096)):
+            if not set(chr(code).encode()) <= self.visible.keys():
+                self.visible |= zip(chr(code).encode(), "".join(x for x, _ in show(chr(code))))
         self.forget()
 
     def forget(self) -> None:
-        self.place: dict[str, int] = {}  # chunk without its leading space
-        self.whole: dict[str, int] = {}  # chunk as it stands
+        self.place = _Places()
         self.pieces: dict[str, list[int]] = {}
         self.flat = np.zeros(1 << 16, np.int32)
         self.start, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-        self.known = self.used = 0
+        self.used = 0
 
     def _letters(self, word: str) -> list[int]:
         """Ids of one pre-token of letters or a mark, by the library's model."""
-        if (ids := self.pieces.get(word)) is None:
-            text = word.lower() if self.drops_space else word
-            mapped = "".join(x for x, _ in self.byte_level.pre_tokenize_str(text))
+        ids = self.pieces.get(word)
+        if ids is None:
+            mapped = word.encode().decode("latin-1").translate(self.visible)
             ids = self.pieces[word] = [t.id for t in self.model.tokenize(mapped)]
         return ids
 
     def _plain(self, chunk: str, spaced: bool) -> list[int]:
-        out: list[int] = []
-        for k, part in enumerate(_SPLIT.findall(chunk)):
-            if part != "\n" or not self.drops_space:
-                out += self._letters(" " + part if spaced and not k and not self.drops_space else part)
-        return out
-
-    def _learn(self, chunks: list[tuple[str, bool]]) -> list[int]:
-        """Places of new chunks; (text, whether a space leads it)."""
-        ids: list[list[int] | None] = [self._plain(c, s) if _PLAIN.fullmatch(c) else None for c, s in chunks]
-        rest = [k for k, x in enumerate(ids) if x is None]
-        full = [" " + chunks[k][0] if chunks[k][1] else chunks[k][0] for k in rest]
-        for k, e in zip(rest, self.tokenizer.encode_batch(full, add_special_tokens=False)):
+        parts = _SPLIT.findall(chunk)
+        if self.drops_space:
+            parts = [x.lower() for x in parts if x != "\n"]
+        elif spaced:
+            parts[0] = " " + parts[0]
+        return self._letters(parts[0]) if len(parts) == 1 else [i for x in parts for i in self._letters(x)]
+
+    def _learn(self) -> None:
+        """Ids of the chunks that the last look-ups met first."""
+        new = self.place.new
+        known, n = self.place.known - len(new), self.place.known
+        ids: list = [None] * len(new)
+        rest = []
+        for k, key in enumerate(new):
+            spaced = key[0] != " "
+            chunk = key if spaced else key[1:]
+            if _PLAIN.fullmatch(chunk):
+                ids[k] = self._plain(chunk, spaced)
+            else:
+                rest.append((k, " " + key if spaced else chunk))
+        for (k, _), e in zip(rest, self.tokenizer.encode_batch([x for _, x in rest], add_special_tokens=False)):
             ids[k] = e.ids
-        sizes = np.fromiter((len(x) for x in ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.int32, int(sizes.sum()))
-        n, m = self.known + len(ids), self.used + len(flat)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))
+        m = self.used + len(flat)
         while n > len(self.start):
             self.start, self.size = np.resize(self.start, 2 * len(self.start)), np.resize(self.size, 2 * len(self.size))
         while m > len(self.flat):
             self.flat = np.resize(self.flat, 2 * len(self.flat))
         self.flat[self.used:m] = flat
-        self.size[self.known:n] = sizes
-        self.start[self.known:n] = self.used + np.cumsum(sizes) - sizes
-        places = list(range(self.known, n))
-        self.known, self.used = n, m
-        return places
+        self.size[known:n] = sizes
+        self.start[known:n] = self.used + np.cumsum(sizes) - sizes
+        self.used = m
+        self.place.new = []
 
     def _places(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Places of all chunks of ``texts`` in order, and chunks of each text."""
-        split = [t.split(" ") for t in texts]
-        # parts that are empty or have white space at an end need the text's own cuts
-        odd = {p for parts in split for p in set(parts[1:]) if p not in self.place and (not p or p[0].isspace() or p[-1].isspace())}
-        rows: list[tuple[list[str], bool]] = []
-        for t, parts in zip(texts, split):
+        look_up = self.place.__getitem__
+        rows = []
+        for t in texts:
+            parts = t.split(" ")
             head = parts[0]
-            if (not head or head[-1].isspace() or (odd and not odd.isdisjoint(parts[1:]))) and t:
-                rows.append((_CHUNKS.split(t), False))
-            else:
-                rows.append((parts, True))
-        lone = {c for parts, regular in rows for c in (parts[:1] if regular else parts) if c and c not in self.whole}
-        spaced = {c for parts, regular in rows if regular for c in parts[1:] if c not in self.place}
-        lone, spaced = sorted(lone), sorted(spaced)
-        for found, (text, place) in zip([self.whole] * len(lone) + [self.place] * len(spaced),
-                                        zip(lone + spaced, self._learn([(c, False) for c in lone] + [(c, True) for c in spaced]))):
-            found[text] = place
-        out, counts = [], []
-        for parts, regular in rows:
-            if regular:
-                got = [self.whole[parts[0]]] if parts[0] else []
-                got += map(self.place.__getitem__, parts[1:])
-            else:
-                got = [self.whole[c] for c in parts if c]
-            out += got
-            counts.append(len(got))
-        return np.array(out, np.int64), np.array(counts, np.int64)
+            parts[0] = " " + head  # an empty or blank-ended head moves the first cut
+            got = list(map(look_up, parts)) if head and not head[-1].isspace() else [-1]
+            if -1 in got:
+                got = [look_up(" " + c) for c in _CHUNKS.split(t) if c]
+            rows.append(got)
+        counts = np.fromiter(map(len, rows), np.int64, len(rows))
+        return np.fromiter(chain.from_iterable(rows), np.int64, int(counts.sum())), counts
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in order, number of ids of each text)."""
-        if self.known > CACHE_CHUNKS:
+        if self.place.known > CACHE_CHUNKS:
             self.forget()
         place, counts = self._places(texts)
+        self._learn()
         sizes = self.size[place]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0

@@ -52,7 +52,7 @@ def test_memory_is_bounded(monkeypatch):
     monkeypatch.setattr("basketry.llm.tokens.CACHE_CHUNKS", 5)
     for k in range(4):
         same("byte_bpe_50k.json", [f"a{k} b{k} c{k} d{k}"])
-    assert ENCODERS["byte_bpe_50k.json"].known < 12
+    assert ENCODERS["byte_bpe_50k.json"].place.known < 12
 
 
 def test_batches():
