@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import licenses, packing, rules, sharding, token_files
+from . import licenses, packing, rules, sharding, token_files, unigram
 from .common import table
 
 
@@ -37,6 +37,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_digest(table(spark, sf_dir, "documents")).drop("failed_rule")
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unigram.segmentation_digest(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [f for name, f in sorted(globals().items()) if name.startswith("op") and callable(f)]
     return {f.__name__: f for f in found}

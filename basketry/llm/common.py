@@ -39,7 +39,7 @@ def let(value: Column, body) -> Column:
 
 
 def salted_rank(df: DataFrame, keys: list[str], order: list[str], salt: Column,
-                rows_per_part: int = 131_072, name: str = "rank") -> DataFrame:
+                rows_per_part: int = 512, name: str = "rank") -> DataFrame:
     """Add ``name``: 0.. within each key group, every value once.
 
     A group may hold any share of the rows: it is cut into parts by ``salt``

@@ -38,7 +38,7 @@ def test_grammar_shrinks_repeats():
     ends = np.zeros(8000, bool)
     ends[-1] = True
     rules, lengths, seq, _ = tf.compress(ids, ends, 8)
-    assert len(seq) <= 4000 and len(rules) == len(lengths) and max(lengths) >= 8
+    assert len(seq) <= 4000 and len(rules) == len(lengths) and max(lengths) >= 4
 
 
 def test_files(docs, spark):
