@@ -10,6 +10,7 @@ from basketry.session import scratch_dir
 
 #: A null doc_id sorts after every other one.
 LAST_ID = 2**63 - 1
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,9 +29,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage with a columnar file: later branches read only their
     columns, and a lost executor re-reads files instead of recomputing.
     """
-    path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")  # the write's shuffle files go when it ends
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEAN_UP) if before is None else spark.conf.set(CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def let(value: Column, body) -> Column:
