@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, licenses, packing, rules, sharding, token_files, unigram
+from . import classifier, jaccard, licenses, packing, rules, sharding, token_files, unigram, vectors
 from .common import table
 
 
@@ -25,10 +25,19 @@ def op3_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licence_query(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return classifier.scores(docs, classifier.fit(docs, labels))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_digest(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.linked_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
