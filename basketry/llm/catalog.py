@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import classifier, jaccard, licenses, packing, rules, sharding, token_files, unigram, vectors
+from . import classifier, jaccard, licenses, packing, rules, sharding, suffixes, token_files, unigram, vectors
 from .common import table
 
 
@@ -21,6 +21,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing_digest(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeat_digest(table(spark, sf_dir, "documents"))
+
+
 def op3_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licence_query(table(spark, sf_dir, "documents"))
 
