@@ -61,10 +61,10 @@ def shingle_set(text: str, size: int = SHINGLE) -> np.ndarray:
     hashes = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
     n = len(words) - size + 1
     if n < 1:
-        short = np.uint64(len(words))
+        short = np.array([len(words)], np.uint64)
         for h in hashes:
-            short = _mixed(np.array([short * _MULTIPLIER + h]))[0]
-        return np.array([short]).view(np.int64)
+            short = _mixed(short * _MULTIPLIER + h)
+        return short.view(np.int64)
     out = hashes[:n].copy()
     for k in range(1, size):
         out = out * _MULTIPLIER + hashes[k:k + n]
@@ -191,15 +191,26 @@ def similar_components(docs: DataFrame) -> DataFrame:
     # first round: short lists whole, long lists against a leader, groups against their first member
     leaders = lists.groupBy("token").agg(F.count(F.lit(1)).alias("length"), F.min(F.struct(
         F.xxhash64("token", "gid").alias("h"), "gid", "n", "pos")).alias("lead"))
-    headed = lists.join(leaders, "token")
+    headed = staged(lists.join(leaders, "token"), "headed-lists")
     short = headed.where(F.col("length") <= SHORT_LIST)
     whole = _side(short, "a_", "gid", "n", "pos").join(_side(short, "b_", "gid", "n", "pos"), "token").where(
-        (F.col("a_gid") < F.col("b_gid")) & _close("a_", "b_"))
+        F.col("a_gid") < F.col("b_gid"))
     led = headed.where(F.col("length") > SHORT_LIST).select(
         F.col("gid").alias("a_gid"), F.col("n").alias("a_n"), F.col("pos").alias("a_pos"),
-        F.col("lead.gid").alias("b_gid"), F.col("lead.n").alias("b_n"), F.col("lead.pos").alias("b_pos")).where(_close("a_", "b_"))
+        F.col("lead.gid").alias("b_gid"), F.col("lead.n").alias("b_n"), F.col("lead.pos").alias("b_pos")).where("a_gid <> b_gid")
     inside = of_group.where("vid <> gid").select(F.col("gid").alias("u"), F.col("vid").alias("v"))
-    tested = staged(_pairs(whole, "a_gid", "b_gid").unionByName(_pairs(led, "a_gid", "b_gid")).unionByName(inside).distinct(), "pairs-1")
+    sides = ["a_gid", "b_gid", "a_n", "b_n", _close("a_", "b_").alias("close")]
+    met = (whole.select(*sides, F.lit(1).alias("c")).unionByName(led.select(*sides, F.lit(0).alias("c")))
+           .select(F.least("a_gid", "b_gid").alias("u"), F.greatest("a_gid", "b_gid").alias("v"),
+                   F.least("a_n", "b_n").alias("less"), F.greatest("a_n", "b_n").alias("more"), "c", "close")
+           .groupBy("u", "v").agg(F.max("close").alias("close"), F.sum("c").alias("c"), F.max("less").alias("less"), F.max("more").alias("more")))
+    # what is common lies in both prefixes (counted in short lists; in long ones at most as
+    # many as either has there) or behind one prefix
+    many = headed.where(F.col("length") > SHORT_LIST).groupBy("gid").agg(F.count(F.lit(1)).alias("k"))
+    bounded = (met.join(many.toDF("u", "ku"), "u", "left").join(many.toDF("v", "kv"), "v", "left")
+               .where("close").where(F.col("c") + F.least(F.coalesce("ku", F.lit(0)), F.coalesce("kv", F.lit(0)))
+                      + F.ceil(F.col("more") * 4 / F.lit(5)) - 1 >= needed_overlap(F.col("less"), F.col("more"))))
+    tested = staged(bounded.select("u", "v").unionByName(inside).distinct(), "pairs-1")
     links = staged(linked_pairs(tested, of_group, rows), "links-1")
     merged = components(links.select(F.col("u").alias("a"), F.col("v").alias("b")), "cc-1")
 
