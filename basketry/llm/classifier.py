@@ -143,8 +143,9 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality") -> Model
     often as they stand. Without rows of both classes every score is the
     smoothed share of class 1.
     """
+    # one join plan for every size: both sides are shuffled by id, and a hot id is split
     marked = labels.where(F.col(label_col).isin(0, 1)).select("doc_id", F.col(label_col).cast("int").alias("y"))
-    rows = texts(docs).where(fold(F.col("doc_id")) != HELD_OUT_FOLD).join(marked, "doc_id")
+    rows = texts(docs).where(fold(F.col("doc_id")) != HELD_OUT_FOLD).join(marked.hint("merge"), "doc_id")
 
     def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
