@@ -176,7 +176,10 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality") -> Model
         share = (good + SMOOTH) / (good + bad + 2 * SMOOTH)
         return Model(np.zeros(BUCKETS), np.zeros(BUCKETS), 0.0, 0.0, float(np.log(share) - np.log1p(-share)))
     ratio = log_ratio(counts[:BUCKETS])
-    sample = data.orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id", "slots").limit(FIT_ROWS).collect()
+    # an even hash sample, sized to stay below the bound
+    share = min(1.0, 0.95 * FIT_ROWS / (good + bad)) if good + bad > FIT_ROWS else 1.0
+    place = F.pmod(F.xxhash64("doc_id", "slots"), F.lit(1 << 32))
+    sample = sorted(data.where(place < int(share * (1 << 32))).collect(), key=lambda r: (r["doc_id"], r["slots"]))[:FIT_ROWS]
     found = [np.frombuffer(r["slots"], "<u2").astype(np.int64) for r in sample]
     y = np.array([1.0 if r["y"] else -1.0 for r in sample])
     weights, bias = dual_coordinate_descent(found, y, ratio)
