@@ -1,124 +1,37 @@
-"""Typed errors, one per data-quality rule or I/O failure class.
+"""Errors of the library: what failed and where, as data.
 
-The hierarchy mirrors the failure classes of the source system so callers can
-catch a whole stage (``ExtractError``) or one rule (``RangeValidationError``).
-Messages are English; the numbers in them (counts, percentages, ranges) are
-the same ones the source system reports.
+``SourceError`` is about files, ``RuleViolation`` about rules. Each carries its
+facts as attributes; the message is put together from them in one place.
 """
 
 from __future__ import annotations
 
 
-class ETLError(Exception):
-    """Root of every error raised by basketry."""
+class BasketryError(Exception):
+    """Anything that the library raises on purpose."""
 
 
-# --- extract --------------------------------------------------------------
-class ExtractError(ETLError):
-    pass
+class SourceError(BasketryError):
+    """A file that can't be read as declared. ``problem``: layout or encoding."""
 
+    def __init__(self, problem: str, path: str, note: str):
+        super().__init__(f"{path}: {note}")
+        self.problem, self.path, self.note = problem, path, note
 
-class SourceNotFoundError(ExtractError):
-    pass
 
+class RuleViolation(BasketryError):
+    """A table that breaks a rule.
 
-class SourceParseError(ExtractError):
-    """Malformed file: too many fields in a row, or an empty file."""
+    ``rule`` is the rule's kind (required, no_extra, types, range, no_nulls,
+    unique or fill); ``found`` maps each offending column to what was seen
+    there, ``wanted`` says what the rule asks for.
+    """
 
+    def __init__(self, rule: str, found: dict[str, object], wanted: object = None):
+        seen = ", ".join(f"{c}={v!r}" if v is not None else c for c, v in found.items())
+        super().__init__(f"rule '{rule}' broken by {seen}" + (f"; wanted {wanted}" if wanted is not None else ""))
+        self.rule, self.found, self.wanted = rule, found, wanted
 
-class SourceReadError(ExtractError):
-    """The bytes could not be decoded with the configured encoding."""
-
-
-# --- load -----------------------------------------------------------------
-class LoadError(ETLError):
-    pass
-
-
-class LoadWriteError(LoadError):
-    pass
-
-
-# --- transform ------------------------------------------------------------
-class TransformError(ETLError):
-    pass
-
-
-class SchemaValidationError(TransformError):
-    pass
-
-
-class MissingRequiredColumnsError(SchemaValidationError):
-    def __init__(self, missing, available=None):
-        self.missing = sorted(missing)
-        msg = f"missing required columns: {self.missing}"
-        if available:
-            msg += f". available columns: {sorted(available)}"
-        super().__init__(msg)
-
-
-class UnexpectedColumnsError(SchemaValidationError):
-    def __init__(self, extra, expected=None):
-        self.extra = sorted(extra)
-        msg = f"unexpected columns: {self.extra}"
-        if expected:
-            msg += f". expected columns: {sorted(expected)}"
-        super().__init__(msg)
-
-
-class DataTypeMismatchError(SchemaValidationError):
-    def __init__(self, mismatches):
-        # mismatches: list of (column, expected, actual)
-        self.mismatches = list(mismatches)
-        details = "; ".join(f"'{c}': expected {e}, actual {a}" for c, e, a in self.mismatches)
-        super().__init__(f"data types do not match: [{details}]")
-
-
-class DataQualityError(TransformError):
-    pass
-
-
-class RangeValidationError(DataQualityError):
-    def __init__(self, column, min_value=None, max_value=None, violation_count=0,
-                 actual_min=None, actual_max=None):
-        self.column = column
-        self.violation_count = int(violation_count)
-        self.actual_min = actual_min
-        self.actual_max = actual_max
-        lo = "-inf" if min_value is None else min_value
-        hi = "+inf" if max_value is None else max_value
-        msg = f"column '{column}': {self.violation_count} values outside [{lo}, {hi}]"
-        if actual_min is not None or actual_max is not None:
-            msg += f". actual range: [{actual_min}, {actual_max}]"
-        super().__init__(msg)
-
-
-class NullConstraintError(DataQualityError):
-    def __init__(self, columns_with_nulls):
-        # columns_with_nulls: list of (column, null_count, percentage)
-        self.columns_with_nulls = list(columns_with_nulls)
-        if len(self.columns_with_nulls) == 1:
-            c, n, p = self.columns_with_nulls[0]
-            msg = f"column '{c}' contains {n} null values ({p}%)"
-        else:
-            details = "; ".join(f"'{c}': {n} nulls ({p}%)" for c, n, p in self.columns_with_nulls)
-            msg = f"columns with forbidden nulls: [{details}]"
-        super().__init__(msg)
-
-
-class DuplicateKeyError(DataQualityError):
-    def __init__(self, columns, duplicate_count):
-        self.columns = list(columns)
-        self.duplicate_count = int(duplicate_count)
-        cols = ", ".join(f"'{c}'" for c in self.columns)
-        super().__init__(f"found {self.duplicate_count} duplicate values in columns: [{cols}]")
-
-
-class CleaningInvariantError(TransformError):
-    def __init__(self, invariant, column=None, details=None):
-        msg = f"cleaning invariant violated: {invariant}"
-        if column:
-            msg += f" in column '{column}'"
-        if details:
-            msg += f". details: {details}"
-        super().__init__(msg)
+    @property
+    def columns(self) -> list[str]:
+        return list(self.found)

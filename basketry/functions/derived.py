@@ -81,10 +81,5 @@ def is_negative(rating="rating") -> Column:
     return false_if_null(col_(rating) <= NEGATIVE_RATING)
 
 
-def status_is(status, value: str) -> Column:
-    """Case-insensitive status equality; NULL status -> False."""
-    return false_if_null(F.lower(col_(status)) == value)
-
-
 def status_in(status, values) -> Column:
     return false_if_null(F.lower(col_(status)).isin(list(values)))

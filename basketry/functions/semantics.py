@@ -5,9 +5,9 @@ results depend on with JVM-side expressions only (no Python UDF):
 
 * comparisons with a missing operand are False, never NULL;
 * division by zero yields NULL instead of an ANSI error;
-* money sums are exact and order-independent: each value is summed as a
-  DECIMAL(38,6) and the total cast back to DOUBLE, so the result does not
-  change with partitioning (a plain double sum depends on task order);
+* money sums do not depend on task order: each value is summed as a
+  DECIMAL(38,6), and what that form cannot hold (digits past the sixth, huge
+  values, infinity) is summed apart as DOUBLE and added, so nothing is cut;
 * NaN is treated as missing.
 """
 
@@ -41,12 +41,23 @@ def safe_div(num, den) -> Column:
 
 
 def money_sum(c) -> Column:
-    """Exact, order-independent sum of a DOUBLE amount, returned as DOUBLE.
+    """Sum of a DOUBLE amount as DOUBLE; order-independent for values of up to six decimals.
 
-    NULL-only groups give NULL; wrap in ``coalesce(..., 0)`` where the source
-    system's sum-of-nothing-is-zero rule applies.
+    The part of each value that DECIMAL(38,6) holds is summed exactly; the rest
+    (0.0 for six-decimal amounts, the whole value for infinity) is a DOUBLE
+    sum. NULL-only groups give NULL; wrap in ``coalesce(..., 0)`` where the
+    sum of nothing is zero.
     """
-    return F.sum(col_(c).cast(MONEY_DECIMAL)).cast("double")
+    x = col_(c).cast("double")
+    held = x.try_cast(MONEY_DECIMAL)
+    rest = x - F.coalesce(held.cast("double"), F.lit(0.0))
+    return F.coalesce(F.sum(held).cast("double"), F.lit(0.0)) + F.sum(rest)
+
+
+def missing(c, dtype: T.DataType) -> Column:
+    """Whether a value counts as missing: NULL, or NaN in a floating column."""
+    c = col_(c)
+    return c.isNull() | F.isnan(c) if isinstance(dtype, (T.FloatType, T.DoubleType)) else c.isNull()
 
 
 def money_mean(c) -> Column:
@@ -57,7 +68,3 @@ def money_mean(c) -> Column:
 def rate(pred: Column) -> Column:
     """Share of rows where ``pred`` holds (NULL predicate counts as False)."""
     return F.avg(false_if_null(pred).cast("int"))
-
-
-def count_true(pred: Column) -> Column:
-    return F.count_if(false_if_null(pred))

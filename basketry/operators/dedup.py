@@ -1,12 +1,10 @@
-"""Keep-last deduplication and distinct projection."""
+"""Keep-last deduplication."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.operators.scalars import with_scalars
-
 SEQ = "_seq"
 
 
@@ -15,12 +13,15 @@ def with_scan_order(df: DataFrame, name: str = SEQ) -> DataFrame:
 
     (file path, block start, monotonically increasing id): the id increases
     with row order inside one input split, and splits of one file are ordered
-    by their block start. Exact for CSV (one split per multi-line file) and
-    for any single-split file; for other multi-file inputs pass an explicit
-    order column instead.
+    by their block start. Files are ordered by path with numbers as numbers, so
+    ``orders_10.csv`` comes after ``orders_9.csv``; where paths don't tell the
+    arrival order, pass an explicit order column instead.
     """
+    zeros = "0" * 20
+    padded = F.regexp_replace(F.col("_metadata.file_path"), "([0-9]+)", zeros + "$1")
+    natural = F.regexp_replace(padded, "0+([0-9]{20,})", "$1")
     return df.withColumn(name, F.struct(
-        F.col("_metadata.file_path").alias("file"),
+        natural.alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("pos")))
 
@@ -40,13 +41,9 @@ def keep_last(df: DataFrame, key: str | list[str], order: str = SEQ) -> DataFram
             .where(F.col("_rn") == 1).drop("_rn"))
 
 
-def dedup_report(before: DataFrame, after: DataFrame) -> DataFrame:
-    """rows_before, rows_after, removed — from two global counts."""
-    b = before.agg(F.count(F.lit(1)).alias("rows_before"))
-    a = after.agg(F.count(F.lit(1)).alias("rows_after"))
-    return with_scalars(b, a).withColumn("removed", F.col("rows_before") - F.col("rows_after"))
-
-
-def distinct_pairs(df: DataFrame, *cols: str) -> DataFrame:
-    """Distinct projection (a partial aggregate before the shuffle)."""
-    return df.select(*cols).distinct()
+def dedup_report(df: DataFrame, key: str | list[str]) -> DataFrame:
+    """rows_before, rows_after, removed of keep-last on ``key``: one pre-aggregated group-by."""
+    keys = [key] if isinstance(key, str) else list(key)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows_before"), F.count(F.lit(1)).alias("rows_after")) \
+        .withColumn("removed", F.col("rows_before") - F.col("rows_after"))

@@ -6,21 +6,11 @@ re-plans a sort-merge join into a broadcast join when the *measured* shuffle
 output of a side is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``
 and splits skewed partitions otherwise. Both are size checks with a
 shuffle-join fallback, so no dimension is force-broadcast on faith.
-
-``sized_broadcast`` is the explicit form for callers that want a hint: it
-counts at most ``max_rows + 1`` rows (a bounded job) and only then hints.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-
-def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
 
 
 def check_key_types(left: DataFrame, right: DataFrame, key: str) -> None:

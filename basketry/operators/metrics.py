@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from basketry.functions import derived as D
 from basketry.functions.semantics import money_mean, money_sum, rate, safe_div
 from basketry.operators.quantile import exact_quantile
+from basketry.operators.scalars import join_row
 from basketry.session import materialize
 
 # ----------------------------------------------------------- fixed values --
@@ -134,13 +135,12 @@ def promotion_usage_rate(eo: DataFrame) -> DataFrame:
 def status_funnel(eo: DataFrame) -> DataFrame:
     """Orders per status (case-sensitive) and share; NULL status excluded from both.
 
-    One scan: the per-status counts (one row per status value — the result
-    table itself) get their total from a window over that small table, so the
-    orders are aggregated once and never reach a single task.
+    The total is a one-row aggregate of the per-status counts, joined to them:
+    however many status values there are, they never meet in one task.
     """
     counts = _grouped(eo, "status").agg(F.count(F.lit(1)).alias("orders"))
-    total = F.sum("orders").over(Window.partitionBy())
-    return (counts.withColumn("share", F.coalesce(safe_div(F.col("orders"), total), F.lit(0.0)))
+    total = counts.agg(F.sum("orders").alias("_total"))
+    return (join_row(counts, total).withColumn("share", F.coalesce(safe_div("orders", "_total"), F.lit(0.0))).drop("_total")
             .orderBy(F.col("orders").desc(), F.col("status").asc()))
 
 

@@ -15,10 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.errors import CleaningInvariantError
+from basketry.errors import RuleViolation
 from basketry.functions.coerce import numeric_expr
 from basketry.functions.derived import FILL_STRING_VALUE
-from basketry.functions.semantics import MONEY_DECIMAL, nan_to_null, safe_div
+from basketry.functions.semantics import missing, money_sum, nan_to_null, safe_div
 from basketry.operators.quantile import exact_quantile
 from basketry.operators.scalars import attach, with_scalars
 
@@ -36,10 +36,10 @@ def _stat_name(c: str) -> str:
     return f"__fill_{c}"
 
 
-def _keep_after_drops(drops: list[str]) -> Column:
+def _keep_after_drops(df: DataFrame, drops: list[str]) -> Column:
     cond = F.lit(True)
     for d in drops:
-        cond = cond & F.col(d).isNotNull()
+        cond = cond & ~missing(d, df.schema[d].dataType)
     return cond
 
 
@@ -52,13 +52,13 @@ def _fill_parts(df: DataFrame, plan: dict[str, NullStrategy]) -> tuple[list[Colu
     for c, strategy in plan.items():
         if c not in df.columns:
             continue
-        keep = _keep_after_drops(drops)
+        keep = _keep_after_drops(df, drops)
         dtype = df.schema[c].dataType
         if strategy is NullStrategy.DROP:
             drops.append(c)
         elif strategy is NullStrategy.FILL_MEAN:
             num = F.when(keep, numeric_expr(F.col(c), dtype))
-            mean_aggs.append(safe_div(F.sum(num.cast(MONEY_DECIMAL)).cast("double"), F.count(num))
+            mean_aggs.append(safe_div(money_sum(num), F.count(num))
                              .alias(_stat_name(c)))
         elif strategy is NullStrategy.FILL_MEDIAN:
             src = df.where(keep).select(numeric_expr(F.col(c), dtype).alias(c))
@@ -93,7 +93,7 @@ def mode_value(df: DataFrame, column: str, alias: str = "mode") -> DataFrame:
     Two partial aggregations (value counts, then a min_by over them) instead of
     ``mode()``, whose single global buffer holds every distinct value.
     """
-    counts = (df.where(F.col(column).isNotNull())
+    counts = (df.where(~missing(column, df.schema[column].dataType))
               .groupBy(column).agg(F.count(F.lit(1)).alias("_cnt")))
     return counts.agg(F.min_by(F.col(column), F.struct(-F.col("_cnt"), F.col(column))).alias(alias))
 
@@ -133,12 +133,12 @@ def fill_nulls(df: DataFrame, plan: dict[str, NullStrategy]) -> DataFrame:
         elif strategy in (NullStrategy.FILL_MEAN, NullStrategy.FILL_MEDIAN):
             c = F.coalesce(numeric_expr(c, f.dataType), stat(f.name))
         elif strategy is NullStrategy.FILL_MODE:
-            c = F.coalesce(c, stat(f.name).cast(f.dataType))
+            c = F.when(missing(c, f.dataType), stat(f.name).cast(f.dataType)).otherwise(c)
         out.append(c.alias(f.name))
     result = base.select(*out)
     drops = [c for c, s in plan.items() if s is NullStrategy.DROP]
     if drops:
-        result = result.where(_keep_after_drops(drops))
+        result = result.where(_keep_after_drops(df, drops))
     return result
 
 
@@ -159,7 +159,7 @@ def fill_report(df: DataFrame, plan: dict[str, NullStrategy],
     aggs = []
     for c, s in plan.items():
         dtype = df.schema[c].dataType
-        aggs.append(F.count_if(F.col(c).isNull()).alias(f"_b_{c}"))
+        aggs.append(F.count_if(missing(c, dtype)).alias(f"_b_{c}"))
         if s in (NullStrategy.FILL_MEAN, NullStrategy.FILL_MEDIAN):
             aggs.append(F.count_if(numeric_expr(F.col(c), dtype).isNull()).alias(f"_cn_{c}"))
     mean_aggs, frames = _fill_parts(df, plan)
@@ -184,9 +184,7 @@ def fill_report(df: DataFrame, plan: dict[str, NullStrategy],
 
 
 def assert_fill_invariant(report_rows) -> None:
-    """Raise CleaningInvariantError if a fill increased a column's nulls."""
+    """Raise if a fill increased a column's nulls."""
     for r in report_rows:
         if r["nulls_after"] > r["nulls_before"]:
-            raise CleaningInvariantError(
-                "nulls must not increase after a fill strategy", column=r["column"],
-                details=f"strategy {r['strategy']}: before={r['nulls_before']}, after={r['nulls_after']}")
+            raise RuleViolation("fill", {r["column"]: r["nulls_after"]}, f"at most {r['nulls_before']} nulls after {r['strategy']}")

@@ -3,9 +3,9 @@
 A rule set is an ordered list. Schema rules (required columns, no extra
 columns, type families) are resolved on the driver from ``df.schema`` with no
 job. Data rules (ranges, nulls, uniqueness) become columns of ONE aggregate
-row: range and null counts in a single partial aggregate, uniqueness of all
-listed columns in one exploded group-by (one shuffle, pre-aggregated, nulls
-grouped together as equal values). ``enforce`` collects that single row and
+row: range and null counts in a single partial aggregate, uniqueness in
+one pre-aggregated group-by for each listed column (nulls grouped together as
+equal values). ``enforce`` collects that single row and
 raises the first failing rule in declared order, so the same error surfaces
 as with rule-by-rule evaluation. ``violations`` returns the offending rows
 themselves as a DataFrame.
@@ -20,14 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketry.operators.scalars import with_scalars
-from basketry.errors import (
-    DataTypeMismatchError,
-    DuplicateKeyError,
-    MissingRequiredColumnsError,
-    NullConstraintError,
-    RangeValidationError,
-    UnexpectedColumnsError,
-)
+from basketry.errors import RuleViolation
+from basketry.functions.semantics import missing as is_missing
 
 # Type families accepted for an expected type name.
 TYPE_FAMILIES: dict[str, tuple[type, ...]] = {
@@ -90,28 +84,28 @@ def _check_schema_rule(df: DataFrame, rule: Rule) -> None:
     if rule.kind == "required":
         missing = [c for c in rule.columns if c not in cols]
         if missing:
-            raise MissingRequiredColumnsError(missing, cols)
+            raise RuleViolation("required", dict.fromkeys(sorted(missing)), sorted(cols))
     elif rule.kind == "no_extra":
         extra = [c for c in cols if c not in rule.columns]
         if extra:
-            raise UnexpectedColumnsError(extra, rule.columns)
+            raise RuleViolation("no_extra", dict.fromkeys(sorted(extra)), sorted(rule.columns))
     elif rule.kind == "types":
         bad = []
         for c, expected in rule.types.items():
             if c not in cols:
-                raise MissingRequiredColumnsError([c], cols)
+                raise RuleViolation("required", {c: None}, sorted(cols))
             dt = df.schema[c].dataType
             if not type_matches(dt, expected):
                 bad.append((c, expected, dt.simpleString()))
         if bad:
-            raise DataTypeMismatchError(bad)
+            raise RuleViolation("types", {c: found for c, _, found in bad}, {c: expected for c, expected, _ in bad})
 
 
 def _data_columns(df: DataFrame, rule: Rule) -> list[str]:
     cols = rule.columns if rule.columns else list(df.columns)
     missing = [c for c in cols if c not in df.columns]
     if missing:
-        raise MissingRequiredColumnsError(missing, df.columns)
+        raise RuleViolation("required", dict.fromkeys(sorted(missing)), sorted(df.columns))
     return cols
 
 
@@ -133,7 +127,7 @@ def _row_aggregates(df: DataFrame, rules: list[Rule]) -> tuple[list[Column], lis
         cols = _data_columns(df, rule)
         if rule.kind == "no_nulls":
             for c in cols:
-                add(f"{c}__nulls", F.count_if(F.col(c).isNull()))
+                add(f"{c}__nulls", F.count_if(is_missing(c, df.schema[c].dataType)))
         elif rule.kind == "range":
             c = cols[0]
             x = F.col(c)
@@ -141,10 +135,10 @@ def _row_aggregates(df: DataFrame, rules: list[Rule]) -> tuple[list[Column], lis
                 x = F.when(F.isnan(x), None).otherwise(x)
             add(f"{c}__nulls", F.count_if(x.isNull()))
             add(f"{c}__n", F.count(x))
-            add(f"{c}__below", F.count_if(x < rule.min_value) if rule.min_value is not None
-                else F.lit(0).cast("bigint"))
-            add(f"{c}__above", F.count_if(x > rule.max_value) if rule.max_value is not None
-                else F.lit(0).cast("bigint"))
+            if rule.min_value is not None:
+                add(bound_name(c, "below", rule.min_value), F.count_if(x < rule.min_value))
+            if rule.max_value is not None:
+                add(bound_name(c, "above", rule.max_value), F.count_if(x > rule.max_value))
             add(f"{c}__min", F.min(x).cast("double"))
             add(f"{c}__max", F.max(x).cast("double"))
         elif rule.kind == "unique":
@@ -152,6 +146,11 @@ def _row_aggregates(df: DataFrame, rules: list[Rule]) -> tuple[list[Column], lis
     return aggs, uniq
 
 
+def bound_name(column: str, side: str, bound) -> str:
+    """Metric of one bound: two rules on a column with different bounds are two metrics."""
+    return f"{column}__{side}_{bound!r}".replace(".", "p").replace("-", "m")
+
+
 def observe_rules(df: DataFrame, rules: list[Rule]):
     """Attach the row-level rule counts to ``df`` (no extra job).
 
@@ -173,8 +172,8 @@ def rule_metrics(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """One row holding every count the data rules need.
 
     Columns: ``rows``; per null-checked column ``{c}__nulls``; per range
-    rule ``{c}__n``, ``{c}__below``, ``{c}__above``, ``{c}__min``,
-    ``{c}__max``; per unique column ``{c}__dups`` (rows beyond the first
+    rule ``{c}__n``, ``{c}__min``, ``{c}__max`` and for each bound
+    ``{c}__below_{bound}`` / ``{c}__above_{bound}``; per unique column ``{c}__dups`` (rows beyond the first
     of each value, NULLs equal).
     """
     aggs, uniq = _row_aggregates(df, rules)
@@ -185,21 +184,16 @@ def rule_metrics(df: DataFrame, rules: list[Rule]) -> DataFrame:
 
 
 def duplicate_counts(df: DataFrame, cols: list[str]) -> DataFrame:
-    """One row, ``{c}__dups`` per column, from a single exploded group-by.
+    """One row, ``{c}__dups`` per column: rows beyond the first of each value.
 
-    Every row contributes one (column, value) pair per checked column; the
-    pairs are counted with a partial aggregate (a value repeated by a third
-    of the rows collapses map-side) and the excess over 1 is summed.
+    Each column is grouped alone in its own type, reading only that column; a
+    value that a third of the rows hold collapses map-side.
     """
-    pairs = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("k"), F.col(c).cast("string").alias("v")) for c in cols
-    ])).alias("p")
-    counted = (df.select(pairs).select("p.k", "p.v")
-               .groupBy("k", "v").agg(F.count(F.lit(1)).alias("n")))
-    return counted.agg(*[
-        F.coalesce(F.sum(F.when(F.col("k") == c, F.col("n") - 1)), F.lit(0)).cast("bigint").alias(f"{c}__dups")
-        for c in cols
-    ])
+    def extra(c: str) -> DataFrame:
+        counted = df.groupBy(c).agg(F.count(F.lit(1)).alias("n"))
+        return counted.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias(f"{c}__dups"))
+
+    return with_scalars(*map(extra, cols))
 
 
 def _pct(n: int, total: int) -> float:
@@ -218,23 +212,23 @@ def evaluate(df: DataFrame, rules: list[Rule], metrics: dict) -> None:
             bad = [(c, metrics[f"{c}__nulls"], _pct(metrics[f"{c}__nulls"], total))
                    for c in cols if metrics[f"{c}__nulls"] > 0]
             if bad:
-                raise NullConstraintError(bad)
+                raise RuleViolation("no_nulls", {c: (n, share) for c, n, share in bad}, "no nulls (count, percent)")
         elif rule.kind == "range":
             c = cols[0]
             nulls = metrics[f"{c}__nulls"]
             if not rule.allow_nulls and nulls > 0:
-                raise NullConstraintError([(c, nulls, _pct(nulls, total))])
+                raise RuleViolation("no_nulls", {c: (nulls, _pct(nulls, total))}, "no nulls (count, percent)")
             if metrics[f"{c}__n"] == 0:
                 continue  # nothing to check (the source warns and passes)
-            for key in ("below", "above"):
-                n = metrics[f"{c}__{key}"]
+            for side, bound in (("below", rule.min_value), ("above", rule.max_value)):
+                n = 0 if bound is None else metrics[bound_name(c, side, bound)]
                 if n > 0:
-                    raise RangeValidationError(c, rule.min_value, rule.max_value, n,
-                                               metrics[f"{c}__min"], metrics[f"{c}__max"])
+                    raise RuleViolation("range", {c: {"outside": n, "low": metrics[f"{c}__min"], "high": metrics[f"{c}__max"]}},
+                                        (rule.min_value, rule.max_value))
         elif rule.kind == "unique":
             bad = [c for c in cols if metrics[f"{c}__dups"] > 0]
             if bad:
-                raise DuplicateKeyError(bad, sum(metrics[f"{c}__dups"] for c in bad))
+                raise RuleViolation("unique", {c: metrics[f"{c}__dups"] for c in bad}, "one row for each value")
 
 
 def enforce(df: DataFrame, rules: list[Rule]) -> DataFrame:
@@ -258,7 +252,7 @@ def violations(df: DataFrame, rule: Rule) -> DataFrame:
     if rule.kind == "no_nulls":
         cond = F.lit(False)
         for c in cols:
-            cond = cond | F.col(c).isNull()
+            cond = cond | is_missing(c, df.schema[c].dataType)
         return df.where(cond)
     if rule.kind == "range":
         x = F.col(cols[0])

@@ -12,8 +12,8 @@ grows with the data. This operator stays exact with bounded per-task state:
    floor and ceil of the position, which the sketch alone can miss by one
    rank);
 3. the rows below ``a`` are only counted; the distinct values inside
-   [a, b] (about 6/accuracy of the data) are ranked exactly with a running
-   sum, and the two neighbours of the target rank are interpolated.
+   [a, b] (about 6/accuracy of the data) are cut into ``BINS`` ranges of
+   value, ranked in each with a running sum over the totals before it, and the two neighbours of the target rank are interpolated.
 
 If the bracket ever missed the target the query fails through ``raise_error``
 instead of returning a wrong number.
@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from basketry.operators.scalars import join_row
 
 DEFAULT_ACCURACY = 10000
+#: Ranges of value that the candidates are ranked in.
+BINS = 1024
 
 
 def exact_quantile(df: DataFrame, column: str, p: float, alias: str = "quantile",
@@ -73,10 +75,17 @@ def exact_quantile(df: DataFrame, column: str, p: float, alias: str = "quantile"
         (F.col("_below_a") - F.coalesce(F.col("_c_prev"), F.lit(0))).alias("_below")))
     cand = (join_row(distinct, bounds)
             .where((v >= F.col("_a")) & (v <= F.col("_b"))))
-    # Candidates are a bounded slice (~6/accuracy of the values): one ordered pass.
-    w = Window.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (cand
-              .withColumn("_cum", F.col("_below") + F.sum("_c").over(w))
+    # Candidates are cut into BINS ranges of value; each is ranked alone and
+    # starts at the total of the ranges before it (a table of BINS rows).
+    share = F.try_divide(v - F.col("_a"), F.col("_b") - F.col("_a"))
+    bin_of = F.least(F.lit(BINS - 1), F.greatest(F.lit(0), F.coalesce(F.floor(F.nanvl(share, F.lit(0.0)) * BINS), F.lit(0))))
+    cand = cand.withColumn("_bin", bin_of)
+    before = Window.orderBy("_bin")
+    starts = (cand.groupBy("_bin").agg(F.sum("_c").alias("_m"))
+              .select("_bin", (F.sum("_m").over(before) - F.col("_m")).alias("_start")))
+    w = Window.partitionBy("_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = (cand.join(starts, "_bin")
+              .withColumn("_cum", F.col("_below") + F.col("_start") + F.sum("_c").over(w))
               .withColumn("_prev", F.col("_cum") - F.col("_c")))
     lo = F.floor(F.col("_pos"))
     hi = F.ceil(F.col("_pos"))

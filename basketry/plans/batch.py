@@ -10,10 +10,12 @@ Shape of the Spark jobs:
    that same write (``DataFrame.observe``: no extra job);
 3. every metric is computed from the written enriched Parquet as soon as its
    table is written (and the input checks passed), written as Parquet, and
-   its CSV is rendered from the written Parquet (no recompute).
+   its CSV is rendered from the written Parquet (no recompute). The four order
+   ratios come from one pass.
 
-``checks="eager"`` instead validates the cleaned plan before anything is
-written, as the source system does, at the cost of one more pass.
+All tables are written under the run's own folder. Only when every check and
+write has succeeded are they moved to the zones, table by table; a run that
+fails leaves the zones as they were.
 
 Uniqueness of the dedup key is guaranteed by keep-last and is not re-checked
 on the written tables (an enrichment join may legitimately fan rows out).
@@ -149,10 +151,30 @@ METRIC_SOURCE = {
 }
 
 
-def compute_metrics(eo: DataFrame, ei: DataFrame, er: DataFrame,
-                    order_items: DataFrame, products: DataFrame) -> dict[str, DataFrame]:
-    """The sixteen metric tables of a run."""
-    return {k: build() for k, build in metric_builders(eo, ei, er, order_items, products).items()}
+ORDER_RATES = ("average_ticket", "promotion_usage_rate", "cancellation_rate", "delivery_rate")
+
+
+def _move_tables(spark: SparkSession, run_dir: str, out: str) -> None:
+    """Replace the zones' tables by the run's, through the file system that holds them."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(out).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for zone in ("processed", "output"):
+        for fmt in ("parquet", "csv"):
+            source = path(f"{run_dir}/{zone}/{fmt}")
+            if not fs.exists(source):
+                continue
+            for entry in fs.listStatus(source):
+                target = path(f"{out}/{zone}/{fmt}/{entry.getPath().getName()}")
+                fs.mkdirs(target.getParent())
+                fs.delete(target, True)
+                if not fs.rename(entry.getPath(), target):
+                    raise OSError(f"could not move {entry.getPath()} to {target}")
+
+
+def _drop_folder(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def run_batch(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
@@ -168,7 +190,8 @@ def run_batch(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
     ``processed/csv/{t}_enriched``, ``output/{fmt}/{metric}``, ``run_metrics``.
     """
     run_id = run_id or uuid.uuid4().hex[:12]
-    out = out_dir.rstrip("/")
+    published = out_dir.rstrip("/")
+    out = f"{published}/_runs/{run_id}"
     log: list[tuple] = []
 
     def note(stage, table, rows, started):
@@ -226,18 +249,35 @@ def run_batch(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
             src = METRIC_SOURCE[name]
             eo, ei, er = (written[n].result() if src == n else None
                           for n in ("orders", "inventory", "reviews"))
-            build = metric_builders(eo, ei, er, tables["order_items"], tables["products"])[name]
+            if name in ORDER_RATES:
+                build = lambda: rates.result().select(name)
+            else:
+                build = metric_builders(eo, ei, er, tables["order_items"], tables["products"])[name]
             publish(name, build)
 
+        def order_rates() -> DataFrame:
+            checked.result()
+            path = f"{out}/work/order_rates"
+            M.order_rates(written["orders"].result()).write.parquet(path)
+            return spark.read.parquet(path)
+
+        rates = pool.submit(order_rates)
+
         # metrics reading the same table start in the order their table is written
         order = sorted(METRIC_SOURCE, key=lambda n: (METRIC_SOURCE[n] is not None, n == "top_spenders"))
         pending = [pool.submit(metric, n) for n in order]
-        for f in [checked, *written.values(), *pending]:
-            f.result()
-
+        try:
+            for f in [checked, *written.values(), *pending]:
+                f.result()
+        except BaseException:
+            for f in [rates, *pending]:
+                f.cancel()
+            pool.shutdown(wait=True)
+            _drop_folder(spark, out)
+            raise
     # post-load profile of every written table: one file-listing job
     sizes = {r["target"]: (r["files"], r["file_size_mb"])
-             for r in written_tables_size(spark, out).collect()}
+             for r in written_tables_size(spark, out).where("target not like '%/work/%'").collect()}
     for target, (files, mb) in sorted(sizes.items()):
         rel = target.split(f"{out}/", 1)[-1] if f"{out}/" in target else target
         log.append((run_id, "files", rel, int(files), float(mb), _dt.datetime.now()))
@@ -245,7 +285,9 @@ def run_batch(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
     metrics_df = spark.createDataFrame(
         log, "run_id string, stage string, table string, rows bigint, seconds double, "
              "recorded_at timestamp")
-    metrics_df.coalesce(1).write.mode("append").parquet(f"{out}/run_metrics")
+    _move_tables(spark, out, published)
+    _drop_folder(spark, out)
+    metrics_df.coalesce(1).write.mode("append").parquet(f"{published}/run_metrics")
     return metrics_df
 
 
@@ -273,9 +315,9 @@ def export_sources(tables: dict[str, DataFrame], source_dir: str, files_per_tabl
 
 
 def ingest_sources(spark: SparkSession, source_dir: str, out_dir: str, sep: str = ",",
-                   encoding: str = "utf-8") -> dict[str, DataFrame]:
+                   encoding: str = "utf-8", multi_line: bool = True) -> dict[str, DataFrame]:
     """Parse every raw CSV once into typed Parquet under ``{out_dir}/raw``."""
-    from basketry.schemas import SCHEMAS, SOURCE_TABLES
+    from basketry.schemas import COERCED, SCHEMAS, SOURCE_TABLES
     from basketry.sources.csv import ingest_csv
 
     root, out = source_dir.rstrip("/"), out_dir.rstrip("/")
@@ -283,12 +325,14 @@ def ingest_sources(spark: SparkSession, source_dir: str, out_dir: str, sep: str
     # only the tables deduplicated with keep-last need their arrival order
     frames = in_parallel([
         lambda n=n: ingest_csv(spark, f"{root}/{SOURCE_TABLES[n]}.csv", f"{out}/raw/{n}",
-                               SCHEMAS[n], sep=sep, encoding=encoding, with_seq=n in DEDUP_TABLES)
+                               SCHEMAS[n], sep=sep, encoding=encoding, with_seq=n in DEDUP_TABLES, multi_line=multi_line,
+                             coerced=COERCED.get(n, ()))
         for n in names])
     return dict(zip(names, frames))
 
 
-def run_batch_from_csv(spark: SparkSession, source_dir: str, out_dir: str, **kw) -> DataFrame:
+def run_batch_from_csv(spark: SparkSession, source_dir: str, out_dir: str, *, sep: str = ",", encoding: str = "utf-8",
+                       multi_line: bool = True, **kw) -> DataFrame:
     """Full run from the CSV raw zone: ingest -> clean -> enrich -> metrics -> load."""
-    tables = ingest_sources(spark, source_dir, out_dir)
+    tables = ingest_sources(spark, source_dir, out_dir, sep, encoding, multi_line)
     return run_batch(spark, tables, out_dir, **kw)

@@ -26,7 +26,8 @@ from basketry.plans import enrich as EN
 from basketry.plans.clean import clean_inventory, clean_orders, clean_reviews
 from basketry.plans.enrich import enrich_inventory, enrich_orders, enrich_reviews
 from basketry.session import scratch_dir
-from basketry.sources.csv import read_csv
+from basketry.schemas import COERCED, SCHEMAS
+from basketry.sources.csv import ingest_csv, read_csv
 from basketry.sources.sinks import write_csv, write_parquet
 from basketry.sources.views import DriverViews, cached_plan
 
@@ -197,17 +198,14 @@ def _dim_checks(s, d):
 
 
 def batch_output_dir(s, d) -> str:
-    """Run the whole batch once per session over ``d``'s tables, from a CSV raw
-    zone exported from them; returns the output folder (cached by plan key)."""
+    """Run the whole batch over ``d``'s tables, from a CSV raw zone exported
+    from them; returns the output folder. Each call is a run of its own."""
     from basketry.plans.batch import export_sources, run_batch_from_csv
 
-    def build():
-        src = scratch_dir(s, "raw-zone")
-        export_sources(DriverViews(s, d).all(), src)
-        out = scratch_dir(s, "batch-out")
-        run_batch_from_csv(s, src, out)
-        return s.createDataFrame([(out,)], "out string")
-    return cached_plan(s, ("batch", d.rstrip("/")), build).first()["out"]
+    src, out = scratch_dir(s, "raw-zone"), scratch_dir(s, "batch-out")
+    export_sources(DriverViews(s, d).all(), src)
+    run_batch_from_csv(s, src, out)
+    return out
 
 
 def _batch_output(zone: str, table: str):
@@ -221,10 +219,63 @@ BATCH_OUTPUTS = {
     "batch_inventory_health": ("output", "inventory_health"),
     "batch_warehouse_utilization": ("output", "warehouse_utilization"),
     "batch_reviews_by_product": ("output", "reviews_by_product"),
+    "batch_cancellation_rate": ("output", "cancellation_rate"),
+    "batch_status_funnel": ("output", "status_funnel"),
+    "batch_enriched_reviews": ("processed", "reviews_enriched"),
+    "batch_enriched_inventory": ("processed", "inventory_enriched"),
     "batch_enriched_orders": ("processed", "orders_enriched"),
 }
 
 
+# ---------------------------------------------------------- dirty CSV zone --
+def _from_csv(s, df, table, clean):
+    """Write ``df`` as the table's CSV, ingest that file and clean what was read."""
+    path = scratch_dir(s, "dirty-csv")
+    write_csv(df, f"{path}/raw.csv", profile=False)
+    return clean(ingest_csv(s, f"{path}/raw.csv", f"{path}/raw", SCHEMAS[table], coerced=COERCED[table]), check=False)
+
+
+def _junk(key: str, column: str, *cases):
+    """``column`` as text with (divisor of ``key``, text) put in; None keeps the number and adds a half."""
+    out, text = None, F.col(column).cast("string")
+    for divisor, junk in cases:
+        value = F.concat(F.regexp_replace(text, r"\.0$", ""), F.lit(".5")) if junk is None else F.lit(junk)
+        hit = F.col(key) % divisor == 0
+        out = F.when(hit, value) if out is None else out.when(hit, value)
+    return out.otherwise(text)
+
+
+def dirty_queries() -> dict[str, Query]:
+    return {
+        "batch_dirty_orders": lambda s, d: _from_csv(s, _raw_orders(s, d).withColumns({
+            "discount_percent": _junk("order_id", "discount_percent", (29, "abc")),
+            "shipping_cost": _junk("order_id", "shipping_cost", (31, "12 euros"))}), "orders", clean_orders),
+        "batch_dirty_inventory": lambda s, d: _from_csv(s, DriverViews(s, d).inventory().drop("_seq").withColumns({
+            "quantity": _junk("inventory_id", "quantity", (11, "abc"), (13, None)),
+            "min_stock_level": _junk("inventory_id", "min_stock_level", (17, None))}), "inventory", clean_inventory),
+        "batch_dirty_reviews": lambda s, d: _from_csv(s, DriverViews(s, d).reviews().drop("_seq").withColumns({
+            "rating": _junk("review_id", "rating", (17, "bad"), (19, "4.5")),
+            "helpful_votes": _junk("review_id", "helpful_votes", (23, "many"))}), "reviews", clean_reviews),
+        "csv_long_rows": _csv_long_rows,
+        "check_nulls_nan": lambda s, d: Q.rule_metrics(
+            _raw_orders(s, d).withColumn("subtotal", F.when(F.col("order_id") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("subtotal"))),
+            [Q.no_nulls(["subtotal", "total_amount"])]),
+        "check_range_split": lambda s, d: Q.rule_metrics(
+            _raw_orders(s, d), [Q.numeric_range("subtotal", min_value=1000), Q.numeric_range("subtotal", max_value=100000)]),
+    }
+
+
+def _csv_long_rows(s, d):
+    """Rows with too many fields, empty ones among them, are told from the others."""
+    path = scratch_dir(s, "long-rows") + "/rows.csv"
+    row = F.concat_ws(",", F.col("order_id").cast("string"), F.col("customer_id").cast("string"), "status")
+    extra = F.when(F.col("order_id") % 10 == 0, ",,LOST").when(F.col("order_id") % 10 == 1, ",").otherwise("")
+    (DriverViews(s, d).orders().select(F.concat(row, extra).alias("order_id,customer_id,status"))
+     .write.option("header", True).option("sep", "|").option("quote", "").csv(path))
+    kept, long_rows = read_csv(s, path, SCHEMAS["orders"], with_seq=False, validate=False, malformed="quarantine")
+    return (kept.withColumn("is_long", F.lit(False)).unionByName(long_rows.withColumn("is_long", F.lit(True))))
+
+
 RANGE_RULES = [r for r in CL.ORDERS_RULES if r.kind == "range"]
 UNIQUE_COLUMNS = ["order_id", "customer_id", "status", "notes"]
 
@@ -235,9 +286,7 @@ def operator_queries() -> dict[str, Query]:
         "fill_report": lambda s, d: fill_report(_raw_orders(s, d), CL.ORDERS_FILL),
         "dedup_keep_last": lambda s, d: keep_last(
             DriverViews(s, d).orders_with_duplicates(), "order_id", "_seq").drop("_seq"),
-        "dedup_report": lambda s, d: dedup_report(
-            DriverViews(s, d).orders_with_duplicates(),
-            keep_last(DriverViews(s, d).orders_with_duplicates(), "order_id", "_seq")),
+        "dedup_report": lambda s, d: dedup_report(DriverViews(s, d).orders_with_duplicates(), "order_id"),
         "coerce_numeric": lambda s, d: coerce_columns(
             DriverViews(s, d).orders_text_amounts().drop("_seq"), numeric=CL.ORDERS_NUMERIC),
         "coerce_datetime": lambda s, d: coerce_columns(
@@ -280,6 +329,7 @@ def operator_queries() -> dict[str, Query]:
         "join_reviews_customers": lambda s, d: EN.join_review_customers(
             cleaned_reviews(s, d), DriverViews(s, d).customers()),
     })
+    q.update(dirty_queries())
     # the batch run end to end (CSV raw zone -> written outputs)
     q.update({name: _batch_output(zone, table) for name, (zone, table) in BATCH_OUTPUTS.items()})
     return q

@@ -5,8 +5,9 @@ run before dedup), and text in a zero-filled column becomes NULL only at the
 later coercion step and then stays NULL.
 
 ``check``:
-  * ``True``  — eager: key-null check and fill invariant before cleaning,
-    the table's rule set on the cleaned plan (a few one-row aggregate jobs);
+  * ``True``  — eager: key-null check and fill invariant before cleaning, then
+    the cleaned plan is written once to the shared scratch folder with the
+    table's rule set observed on that write, and the written rows are returned;
   * ``False`` — build the lazy plan only; the batch run validates the
     written output instead of re-running the plan for the checks.
 """
@@ -16,11 +17,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.errors import MissingRequiredColumnsError
+from basketry.errors import RuleViolation
 from basketry.functions.coerce import coerce_columns
+from basketry.functions.semantics import missing
 from basketry.operators import quality as Q
 from basketry.operators.dedup import SEQ, keep_last
 from basketry.operators.nulls import NullStrategy, assert_fill_invariant, fill_nulls, fill_report
+from basketry.session import scratch_dir
 
 # ----------------------------------------------------------- fixed values --
 ORDERS_KEYS = ["order_id", "customer_id", "order_date"]
@@ -109,10 +112,10 @@ def precheck(df: DataFrame, keys: list[str], fill: dict) -> None:
     """
     missing_keys = [c for c in keys if c not in df.columns]
     if missing_keys:
-        raise MissingRequiredColumnsError(missing_keys, df.columns)
+        raise RuleViolation("required", dict.fromkeys(sorted(missing_keys)), sorted(df.columns))
     present = {c: s for c, s in fill.items() if c in df.columns}
     key_aggs = {"rows": F.count(F.lit(1))}
-    key_aggs.update({f"{k}__nulls": F.count_if(F.col(k).isNull()) for k in keys})
+    key_aggs.update({f"{k}__nulls": F.count_if(missing(k, df.schema[k].dataType)) for k in keys})
     if not present:
         Q.enforce(df, [Q.no_nulls(keys)])
         return
@@ -127,6 +130,16 @@ def _post_clean(rules):
     return [r for r in rules if r.kind != "unique"]
 
 
+def _checked(df: DataFrame, rules) -> DataFrame:
+    """``df`` written once with its rules observed on the write; raises, or returns the written rows."""
+    rules = _post_clean(rules)
+    observed, obs = Q.observe_rules(df, rules)
+    path = scratch_dir(df.sparkSession, "checked")
+    observed.write.parquet(path)
+    Q.evaluate(df, rules, obs.get)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _require_order(df: DataFrame, order: str) -> None:
     if order not in df.columns:
         raise ValueError(
@@ -150,24 +163,18 @@ def clean_orders(df: DataFrame, check: bool = True, order: str = SEQ) -> DataFra
                  numeric=ORDERS_NUMERIC, dates=ORDERS_DATES, rules=ORDERS_RULES,
                  check=check, order=order)
     out = recalc_total(out)
-    if check:
-        Q.enforce(out, _post_clean(ORDERS_RULES))
-    return out
+    return _checked(out, ORDERS_RULES) if check else out
 
 
 def clean_inventory(df: DataFrame, check: bool = True, order: str = SEQ) -> DataFrame:
     out = _clean(df, keys=INVENTORY_KEYS, fill=INVENTORY_FILL, key_col="inventory_id", ids=[],
                  numeric=INVENTORY_NUMERIC, dates=INVENTORY_DATES, rules=INVENTORY_RULES,
                  check=check, order=order)
-    if check:
-        Q.enforce(out, _post_clean(INVENTORY_RULES))
-    return out
+    return _checked(out, INVENTORY_RULES) if check else out
 
 
 def clean_reviews(df: DataFrame, check: bool = True, order: str = SEQ) -> DataFrame:
     out = _clean(df, keys=REVIEWS_KEYS, fill=REVIEWS_FILL, key_col="review_id", ids=[],
                  numeric=REVIEWS_NUMERIC, dates=REVIEWS_DATES, rules=REVIEWS_RULES,
                  check=check, order=order)
-    if check:
-        Q.enforce(out, _post_clean(REVIEWS_RULES))
-    return out
+    return _checked(out, REVIEWS_RULES) if check else out

@@ -82,8 +82,8 @@ def join_review_customers(reviews: DataFrame, customers: DataFrame) -> DataFrame
     """J7: reviews ⟕ customers (+segment, city, country)."""
     missing = [c for c in REVIEW_CUSTOMER_COLS if c not in customers.columns]
     if missing:
-        from basketry.errors import MissingRequiredColumnsError
-        raise MissingRequiredColumnsError(missing, customers.columns)
+        from basketry.errors import RuleViolation
+        raise RuleViolation("required", dict.fromkeys(sorted(missing)), sorted(customers.columns))
     return left_join(reviews, customers, "customer_id", REVIEW_CUSTOMER_COLS)
 
 

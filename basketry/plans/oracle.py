@@ -162,10 +162,10 @@ def rule_metrics_sql(table: str, rules, all_columns=None, prefix: str = "") -> s
             x = f"(CASE WHEN isnan({c}) THEN NULL ELSE {c} END)" if c in DOUBLE_ORDER_COLUMNS else c
             items.setdefault(f"{c}__nulls", f"COUNT(*) FILTER (WHERE {x} IS NULL)")
             items.setdefault(f"{c}__n", f"COUNT({x})")
-            items.setdefault(f"{c}__below", f"COUNT(*) FILTER (WHERE {x} < {r.min_value})"
-                             if r.min_value is not None else "CAST(0 AS BIGINT)")
-            items.setdefault(f"{c}__above", f"COUNT(*) FILTER (WHERE {x} > {r.max_value})"
-                             if r.max_value is not None else "CAST(0 AS BIGINT)")
+            for side, sign, bound in (("below", "<", r.min_value), ("above", ">", r.max_value)):
+                if bound is not None:
+                    name = str(bound).translate({ord("."): "p", ord("-"): "m"})
+                    items[f"{c}__{side}_{name}"] = f"COUNT(*) FILTER (WHERE {x} {sign} {bound})"
             items.setdefault(f"{c}__min", f"CAST(MIN({x}) AS DOUBLE)")
             items.setdefault(f"{c}__max", f"CAST(MAX({x}) AS DOUBLE)")
         elif r.kind == "unique":
@@ -319,6 +319,35 @@ BATCH_SQL: dict[str, str] = {
     "batch_warehouse_utilization": METRIC_SQL["warehouse_utilization"],
     "batch_reviews_by_product": METRIC_SQL["reviews_by_product"],
     "batch_enriched_orders": TABLE_SQL["enrich_orders"],
+    "batch_cancellation_rate": METRIC_SQL["cancellation_rate"],
+    "batch_status_funnel": METRIC_SQL["status_funnel"],
+    "batch_enriched_reviews": TABLE_SQL["enrich_reviews"],
+    "batch_enriched_inventory": TABLE_SQL["enrich_inventory"],
+    # text that isn't a number survives the fill and is missing after it
+    "batch_dirty_orders": """
+SELECT * REPLACE (CASE WHEN order_id % 29 = 0 THEN NULL ELSE discount_percent END AS discount_percent,
+                  CASE WHEN order_id % 31 = 0 THEN NULL ELSE shipping_cost END AS shipping_cost) FROM c_orders""",
+    "batch_dirty_inventory": """
+SELECT c.* REPLACE (CASE WHEN c.inventory_id % 11 = 0 THEN NULL
+                         WHEN c.inventory_id % 13 = 0 AND r.quantity IS NOT NULL THEN CAST(c.quantity AS DOUBLE) + 0.5
+                         ELSE CAST(c.quantity AS DOUBLE) END AS quantity,
+                    CASE WHEN c.inventory_id % 17 = 0 THEN CAST(c.min_stock_level AS DOUBLE) + 0.5
+                         ELSE CAST(c.min_stock_level AS DOUBLE) END AS min_stock_level)
+FROM c_inventory c JOIN r_inventory r ON r.inventory_id = c.inventory_id""",
+    "batch_dirty_reviews": """
+SELECT * REPLACE (CASE WHEN review_id % 17 = 0 THEN NULL WHEN review_id % 19 = 0 THEN 4.5E0
+                       ELSE CAST(rating AS DOUBLE) END AS rating,
+                  CASE WHEN review_id % 23 = 0 THEN NULL ELSE CAST(helpful_votes AS DOUBLE) END AS helpful_votes)
+FROM c_reviews""",
+    "csv_long_rows": """
+SELECT order_id, customer_id, status, order_id % 10 IN (0, 1) AS is_long FROM r_orders""",
+    "check_nulls_nan": """
+SELECT COUNT(*) AS rows, COUNT(*) FILTER (WHERE order_id % 5 = 0 OR subtotal IS NULL) AS subtotal__nulls,
+       COUNT(*) FILTER (WHERE total_amount IS NULL) AS total_amount__nulls FROM r_orders""",
+    "check_range_split": """
+SELECT COUNT(*) AS rows, COUNT(*) FILTER (WHERE subtotal IS NULL) AS subtotal__nulls, COUNT(subtotal) AS subtotal__n,
+       COUNT(*) FILTER (WHERE subtotal < 1000) AS subtotal__below_1000, COUNT(*) FILTER (WHERE subtotal > 100000) AS subtotal__above_100000,
+       MIN(subtotal) AS subtotal__min, MAX(subtotal) AS subtotal__max FROM r_orders""",
 }
 
 

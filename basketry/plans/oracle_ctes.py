@@ -4,14 +4,15 @@ Independent SQL statements of the same semantics as the Spark operators,
 written against the driver's pre-registered tables. Each block is a CTE
 with its dependencies; ``with_ctes`` emits the blocks a final SELECT needs in
 dependency order. Money sums follow the same exact-decimal rule as the Spark
-side (SUM over DECIMAL(38,6), cast to DOUBLE).
+side (SUM over DECIMAL(38,6) as DOUBLE, plus the sum of what that form cuts).
 """
 
 from __future__ import annotations
 
 import re
 
-MSUM = "CAST(SUM(CAST({x} AS DECIMAL(38,6))) AS DOUBLE)"
+MSUM = ("(CAST(SUM(CAST({x} AS DECIMAL(38,6))) AS DOUBLE)"
+        " + SUM(CAST({x} AS DOUBLE) - CAST(CAST({x} AS DECIMAL(38,6)) AS DOUBLE)))")
 
 
 def msum(x: str) -> str:
@@ -88,7 +89,7 @@ SELECT l_partkey*100000+l_suppkey AS inventory_id, l_partkey AS product_id,
 FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY l_partkey, l_suppkey"""
 
 CTES["r_reviews"] = """
-SELECT event_id AS review_id, event_id % 150 AS product_id, user_id AS customer_id,
+SELECT event_id AS review_id, event_id % (SELECT COUNT(*) FROM part) AS product_id, user_id AS customer_id,
        CAST(regexp_extract(props,'([0-9]+)',1) AS BIGINT) % 5 + 1 AS rating,
        CASE WHEN event_type='error' THEN NULL ELSE event_type END AS comment,
        CASE WHEN event_id % 6 = 0 THEN CAST(NULL AS BIGINT) ELSE event_id % 6 END AS helpful_votes,

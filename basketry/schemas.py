@@ -1,10 +1,10 @@
 """Source-table contracts: logical name -> (file stem, schema).
 
-Columns the cleaners coerce (amounts, stock levels, ratings, dates) are
-typed here as what they *should* hold; the CSV source reads every field as
-text and converts with explicit, non-raising expressions, so a dirty value
-becomes NULL instead of failing or silently shifting the row. Date columns
-stay text until a cleaner/enricher parses them, as in the source system.
+Types say what a column *should* hold. The CSV source reads every field as
+text and converts with explicit, non-raising expressions. The ``COERCED``
+columns (a cleaner's ids, amounts, stock levels and ratings) stay text where a
+file holds anything else, so fills come before coercion. Date columns stay text
+until a cleaner/enricher parses them.
 """
 
 from __future__ import annotations
@@ -50,3 +50,11 @@ SCHEMAS: dict[str, T.StructType] = {
     "reviews": _schema(("review_id", L), ("product_id", L), ("customer_id", L), ("rating", L),
                        ("comment", S), ("helpful_votes", L), ("created_at", S)),
 }
+
+#: Columns that a cleaner coerces: their values decide how they are read.
+COERCED: dict[str, tuple[str, ...]] = {
+    "orders": ("order_id", "customer_id", "promotion_id", "subtotal", "discount_percent", "shipping_cost",
+               "tax_amount", "total_amount"),
+    "inventory": ("quantity", "min_stock_level", "max_stock_level"),
+    "reviews": ("rating", "helpful_votes"),
+}

@@ -40,9 +40,14 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; created privately only when unset."""
+    """The session's checkpoint folder; created privately only when unset.
+
+    A private folder is on this machine, so that is for local masters only.
+    """
     base = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="basketry-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, base)
     if not spark.sparkContext.getCheckpointDir():

@@ -5,12 +5,18 @@
   schema with non-raising expressions.
 * The pandas default null tokens (``NA``, ``null``, ``n/a``, ``NaN``, ...)
   become NULL; Spark alone only nulls the empty field.
-* Malformed rows: the file is parsed with one extra trailing column; it is
-  non-NULL exactly when a row has *more* fields than the header (the source
-  system raises ``SourceParseError``). Short rows are padded with NULLs and
-  kept, as pandas does.
-* An empty file raises ``SourceParseError``; bytes that are invalid in the
-  declared encoding (decoded by Spark to U+FFFD) raise ``SourceReadError``.
+* Malformed rows: the parser marks every row whose number of fields differs
+  from the header's and keeps its text; a marked row is long if that text,
+  without its quoted fields, holds as many separators as the header has
+  columns or more, whatever the fields hold. Long rows raise a ``SourceError``
+  or go to quarantine. Short rows are padded with NULLs and kept.
+* Every file's header is checked against the first one's; a file whose columns
+  differ or stand in another order is refused.
+* Columns that a cleaner coerces (``COERCED``) take the narrowest type that all
+  their values have (whole numbers, numbers, else text), so a fill sees what
+  the file holds and the cleaner's coercion comes after it.
+* An empty file, and bytes that are invalid in the declared encoding (decoded
+  by Spark to U+FFFD), raise ``SourceError``.
 * ``_seq`` records the row's position in its file for keep-last dedup.
 * ``multi_line=True`` (default) keeps quoted newlines inside a field, as
   pandas does; Spark then reads each file as one split. For very large single
@@ -25,14 +31,17 @@ returns the long rows as a separate DataFrame, lazily.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.errors import SourceParseError, SourceReadError
+from basketry.errors import SourceError
 from basketry.functions.coerce import numeric_expr
 from basketry.operators.dedup import SEQ, with_scan_order
-from basketry.schemas import SCHEMAS, SOURCE_TABLES
+from basketry.schemas import COERCED, SCHEMAS, SOURCE_TABLES
 
 # The tokens pandas.read_csv treats as missing by default.
 PANDAS_NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -43,7 +52,7 @@ TRUE_TOKENS = ("True", "TRUE", "true")
 FALSE_TOKENS = ("False", "FALSE", "false")
 ENCODING_ALIASES = {"latin-1": "ISO-8859-1", "latin1": "ISO-8859-1", "l1": "ISO-8859-1",
                     "utf8": "UTF-8", "utf-8": "UTF-8", "cp1252": "windows-1252"}
-EXTRA = "_extra_field"
+BROKEN = "_broken_row"
 
 
 def _encoding(enc: str) -> str:
@@ -53,7 +62,8 @@ def _encoding(enc: str) -> str:
 def _reader(spark: SparkSession, sep: str, encoding: str, multi_line: bool = True):
     return (spark.read.option("header", True).option("sep", sep)
             .option("encoding", _encoding(encoding)).option("quote", '"').option("escape", '"')
-            .option("multiLine", multi_line).option("mode", "PERMISSIVE"))
+            .option("multiLine", multi_line).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", BROKEN).option("enforceSchema", False))
 
 
 def header_columns(spark: SparkSession, path: str, sep: str = ",", encoding: str = "utf-8") -> list[str]:
@@ -85,27 +95,35 @@ def typed(c: Column, dtype: T.DataType) -> Column:
     return c.try_cast(dtype)
 
 
+def _fields(record: Column, sep: str) -> Column:
+    """Fields of a raw row: separators outside quotes, and one."""
+    bare = F.regexp_replace(record, '"(?:[^"]|"")*"', "q")
+    return F.size(F.split(bare, "\\Q" + sep + "\\E", -1))
+
+
 def _flagged(spark: SparkSession, path: str, schema: T.StructType | None, sep: str,
              encoding: str, with_seq: bool, multi_line: bool = True) -> tuple[DataFrame, T.StructType]:
     """Text columns (null tokens applied) + ``_is_long`` + the raw record."""
     if spark.read.text(path).limit(1).count() == 0:
-        raise SourceParseError(f"empty file, no columns to parse: '{path}'")
+        raise SourceError("layout", path, "empty file, no columns")
     names = header_columns(spark, path, sep, encoding)
     # Columns bind by header NAME (as pandas does), in file order; declared
     # types apply to the columns they name, any other column stays text.
     declared = {f.name: f.dataType for f in schema.fields} if schema is not None else {}
     schema = T.StructType([T.StructField(n, declared.get(n, T.StringType()), True) for n in names])
-    # Header names were read above and the schema follows them, so binding by
-    # position is exact; the extra trailing column catches over-long rows.
+    # The schema follows the first header and the reader checks it against the
+    # header of every file, so binding by position is exact.
     text_schema = T.StructType(
         [T.StructField(f.name, T.StringType(), True) for f in schema.fields]
-        + [T.StructField(EXTRA, T.StringType(), True)])
+        + [T.StructField(BROKEN, T.StringType(), True)])
     raw = _reader(spark, sep, encoding, multi_line).schema(text_schema).csv(path)
     if with_seq:
         raw = with_scan_order(raw, SEQ)
     cleaned_text = [null_tokens(F.col(f.name)).alias(f.name) for f in schema.fields]
+    # always true, but it needs every column: a pruned scan doesn't see how many fields a row has
+    parsed = reduce(add, [F.coalesce(F.length(F.col(f"`{n}`")), F.lit(0)) for n in names]) >= 0
     flagged = raw.select(*cleaned_text, *([F.col(SEQ)] if with_seq else []),
-                         F.col(EXTRA).isNotNull().alias("_is_long"))
+                         (F.coalesce(_fields(F.col(BROKEN), sep) > len(names), F.lit(False)) & parsed).alias("_is_long"))
     return flagged, schema
 
 
@@ -116,14 +134,37 @@ def _problem_counts(flagged: DataFrame, schema: T.StructType) -> list:
     return [F.count_if("_is_long").alias("long_rows"), F.count_if(bad_text).alias("undecodable")]
 
 
+def _shape_counts(schema: T.StructType, coerced: tuple[str, ...]) -> list[Column]:
+    """For each coerced column: values that are not numbers, and not whole numbers."""
+    out = []
+    for name in coerced:
+        if name in schema.names:
+            c = F.col(name)
+            num = numeric_expr(c, T.StringType())
+            out += [F.count_if(~F.col("_is_long") & c.isNotNull() & num.isNull()).alias(f"_text_{name}"),
+                    F.count_if(~F.col("_is_long") & c.isNotNull() & c.try_cast("bigint").isNull()).alias(f"_part_{name}")]
+    return out
+
+
+def _narrowed(schema: T.StructType, coerced: tuple[str, ...], counts) -> T.StructType:
+    """``schema`` with each coerced column as wide as its values need; text where they weren't counted."""
+    def kind(f: T.StructField) -> T.DataType:
+        if f.name not in coerced:
+            return f.dataType
+        if counts is None or counts[f"_text_{f.name}"]:
+            return T.StringType()
+        whole = isinstance(f.dataType, T.LongType) and not counts[f"_part_{f.name}"]
+        return T.LongType() if whole else T.DoubleType()
+
+    return T.StructType([T.StructField(f.name, kind(f), True) for f in schema.fields])
+
+
 def _raise_problems(counts, path: str, sep: str, encoding: str) -> None:
     if counts["long_rows"]:
-        raise SourceParseError(
-            f"{counts['long_rows']} rows have more fields than the header in '{path}' "
-            f"(sep='{sep}', encoding={encoding})")
+        raise SourceError("layout", path, f"{counts['long_rows']} rows have more fields than the header "
+                                          f"(sep={sep!r}, encoding={encoding})")
     if counts["undecodable"]:
-        raise SourceReadError(
-            f"{counts['undecodable']} rows are not valid {encoding} in '{path}'; try another encoding")
+        raise SourceError("encoding", path, f"{counts['undecodable']} rows are not valid {encoding}")
 
 
 def _typed_rows(flagged: DataFrame, schema: T.StructType, with_seq: bool) -> DataFrame:
@@ -134,15 +175,21 @@ def _typed_rows(flagged: DataFrame, schema: T.StructType, with_seq: bool) -> Dat
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, *,
              sep: str = ",", encoding: str = "utf-8", with_seq: bool = True,
              validate: bool = True, malformed: str = "raise",
-             multi_line: bool = True) -> DataFrame | tuple[DataFrame, DataFrame]:
+             multi_line: bool = True, coerced: tuple[str, ...] = ()) -> DataFrame | tuple[DataFrame, DataFrame]:
     """Read one delimited file (or directory) with the rules in the module doc.
 
     ``malformed``: ``"raise"`` (default, source-system behaviour),
     ``"quarantine"`` (returns ``(rows, long_rows)``) or ``"ignore"``.
+    ``coerced`` columns are typed by their values, from the validating job;
+    with ``validate=False`` they stay text.
     """
     flagged, schema = _flagged(spark, path, schema, sep, encoding, with_seq, multi_line)
-    if validate and malformed == "raise":
-        _raise_problems(flagged.agg(*_problem_counts(flagged, schema)).first(), path, sep, encoding)
+    counts = None
+    if validate and (malformed == "raise" or coerced):
+        counts = flagged.agg(*_problem_counts(flagged, schema), *_shape_counts(schema, coerced)).first()
+        if malformed == "raise":
+            _raise_problems(counts, path, sep, encoding)
+    schema = _narrowed(schema, coerced, counts)
     rows = flagged
     if malformed in ("raise", "quarantine"):
         rows = flagged.where(~F.col("_is_long"))
@@ -154,9 +201,12 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
 
 def ingest_csv(spark: SparkSession, path: str, out_path: str, schema: T.StructType | None = None, *,
                sep: str = ",", encoding: str = "utf-8", with_seq: bool = True,
-               multi_line: bool = True) -> DataFrame:
+               multi_line: bool = True, coerced: tuple[str, ...] = ()) -> DataFrame:
     """Parse a delimited file ONCE into typed Parquet and return the Parquet table.
 
+    ``coerced`` columns are written as text and counted on the write; the
+    returned table reads them in the type that the counts allow.
+
     The malformed-row and encoding checks are observed on the write itself
     (``DataFrame.observe``), so the text is parsed a single time; the error is
     raised after the write, before anything reads the staged table.
@@ -165,23 +215,21 @@ def ingest_csv(spark: SparkSession, path: str, out_path: str, schema: T.StructTy
 
     flagged, schema = _flagged(spark, path, schema, sep, encoding, with_seq, multi_line)
     obs = Observation()
-    observed = flagged.observe(obs, *_problem_counts(flagged, schema))
-    _typed_rows(observed.where(~F.col("_is_long")), schema, with_seq) \
+    observed = flagged.observe(obs, *_problem_counts(flagged, schema), *_shape_counts(schema, coerced))
+    as_text = _narrowed(schema, coerced, None)
+    _typed_rows(observed.where(~F.col("_is_long")), as_text, with_seq) \
         .write.mode("overwrite").parquet(out_path)
-    _raise_problems(obs.get, path, sep, encoding)
-    return spark.read.parquet(out_path)
+    counts = obs.get
+    _raise_problems(counts, path, sep, encoding)
+    return _typed_rows(spark.read.parquet(out_path), T.StructType([
+        f if f.name in coerced else T.StructField(f.name, T.StringType()) for f in _narrowed(schema, coerced, counts).fields]), with_seq)
 
 
 def read_source_table(spark: SparkSession, source_dir: str, name: str, *, sep: str = ",",
-                      encoding: str = "utf-8", validate: bool = True) -> DataFrame:
+                      encoding: str = "utf-8", validate: bool = True, multi_line: bool = True) -> DataFrame:
     """One of the eight logical tables from ``{source_dir}/{stem}.csv``."""
     if not name:
         raise ValueError("source name is required")
     stem = SOURCE_TABLES.get(name, name)
     return read_csv(spark, f"{source_dir.rstrip('/')}/{stem}.csv", SCHEMAS.get(name),
-                    sep=sep, encoding=encoding, validate=validate)
-
-
-def extract_all(spark: SparkSession, source_dir: str, names=None, **kw) -> dict[str, DataFrame]:
-    """Every logical source table by name (lazy plans, validated per file)."""
-    return {n: read_source_table(spark, source_dir, n, **kw) for n in (names or SOURCE_TABLES)}
+                    sep=sep, encoding=encoding, validate=validate, multi_line=multi_line, coerced=COERCED.get(name, ()))

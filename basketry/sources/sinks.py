@@ -27,15 +27,13 @@ def timestamp_text(c):
 
 
 def double_text(c):
-    """Plain decimal text for doubles in [1e-4, 1e16) (``48705233.797266``,
-    ``120.0``) instead of Java's scientific form above 1e7; other magnitudes
-    keep Spark's rendering. NULL and NaN are written empty."""
+    """Plain decimal text (``48705233.797266``, ``120.0``) where it reads back as
+    the same double, else Spark's shortest form (``1.0E-7``), which always does.
+    NULL and NaN are written empty."""
     plain = c.try_cast("decimal(38,18)").cast("string")
     plain = F.regexp_replace(F.regexp_replace(plain, r"0+$", ""), r"\.$", ".0")
-    a = F.abs(c)
     return (F.when(c.isNull() | F.isnan(c), F.lit(None).cast("string"))
-            .when((a >= 1e-4) & (a < 1e16), plain)
-            .when(a == 0, F.lit("0.0"))
+            .when((plain.try_cast("double") == c) & (F.abs(c) >= 1e-4), plain)
             .otherwise(c.cast("string")))
 
 
@@ -77,6 +75,7 @@ def write_csv(df: DataFrame, path: str, *, sep: str = ",", encoding: str = "utf-
         data = data.coalesce(1)
     (data.write.mode("overwrite").option("header", True).option("sep", sep)
      .option("encoding", encoding).option("quote", '"').option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(path))
     return profile_from_observation(obs, df) if obs is not None else None
 

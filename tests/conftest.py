@@ -40,84 +40,87 @@ def d(s: str) -> dt.datetime:
     return dt.datetime.fromisoformat(s)
 
 
+def with_month(df, source, name):
+    from pyspark.sql import functions as F
+    return df.withColumn(name, F.trunc(source, "MM"))
+
+
+# A small bakery: every table has a missing key, a missing amount or a tie.
 @pytest.fixture
-def enriched_orders_sample(spark):
-    dates = ["2024-01-15", "2024-01-20", "2024-02-10", "2024-02-18", "2024-03-05"]
+def paid_orders(spark):
     rows = [
-        (101, 1, d(dates[0]), 120.0, True, "online", "user1@example.com"),
-        (102, 1, d(dates[1]), 80.0, False, "store", "user1@example.com"),
-        (103, 2, d(dates[2]), 200.0, True, "online", "user2@example.com"),
-        (104, 3, d(dates[3]), 150.0, False, "store", "user3@example.com"),
-        (105, 3, d(dates[4]), 50.0, False, "online", "user3@example.com"),
+        (7001, 40, d("2023-11-30"), 15.5, False, "mo@mail.test"),
+        (7002, 41, d("2023-12-01"), 64.5, True, "ann@mail.test"),
+        (7003, 40, d("2023-12-24"), 44.5, True, "mo@mail.test"),
+        (7004, 42, d("2023-12-31"), 60.0, False, "li@mail.test"),
+        (7005, 43, d("2024-02-29"), 5.0, True, "bo@mail.test"),
+        (7006, 40, d("2024-02-29"), None, False, "mo@mail.test"),
+        (7007, None, d("2024-02-01"), 10.0, False, None),
     ]
-    df = spark.createDataFrame(rows, "order_id long, customer_id long, order_date timestamp_ntz, "
-                                     "total_amount double, used_promotion boolean, channel string, email string")
-    from pyspark.sql import functions as F
-    return df.withColumn("order_month", F.trunc("order_date", "MM"))
+    return with_month(spark.createDataFrame(
+        rows, "order_id long, customer_id long, order_date timestamp_ntz, total_amount double, "
+              "used_promotion boolean, email string"), "order_date", "order_month")
 
 
 @pytest.fixture
-def order_items_sample(spark):
-    rows = [(101, 10, 2, 40.0), (101, 11, 1, 30.0), (102, 10, 1, 20.0),
-            (103, 12, 3, 90.0), (104, 12, 2, 60.0), (105, 13, 4, 120.0)]
+def basket_lines(spark):
+    rows = [(7001, 501, 3, 9.0), (7001, 502, 1, 6.5), (7002, 503, 1, 64.5), (7003, 501, 10, 30.0),
+            (7003, 504, 2, 14.5), (7004, 502, 4, 26.0), (7004, 505, None, 34.0), (7005, None, 9, 5.0)]
     return spark.createDataFrame(rows, "order_id long, product_id long, quantity long, subtotal double")
 
 
 @pytest.fixture
-def products_catalog(spark):
-    rows = [(10, "Gadget"), (11, "Widget"), (12, "Device"), (13, "Bundle")]
-    return spark.createDataFrame(rows, "product_id long, product_name string")
+def catalogue(spark):
+    return spark.createDataFrame([(501, "roll"), (502, "pie"), (503, "cake"), (504, "bun")],
+                                 "product_id long, product_name string")
 
 
 @pytest.fixture
-def inventory_sample(spark):
+def stock(spark):
     rows = [
-        (10, "Gadget", 1, "LocationA", 5, 10, 100, True, False, 500),
-        (11, "Widget", 1, "LocationA", 50, 20, 80, False, False, 500),
-        (12, "Device", 2, "LocationB", 200, 100, 250, False, False, 400),
-        (13, "Bundle", 2, "LocationB", 300, 100, 260, False, True, 400),
-        (14, "Pack", 3, "LocationC", 20, 15, 50, False, False, 200),
+        (501, "roll", 8, "north", 3, 9, 40, True, False, 60),
+        (502, "pie", 8, "north", 12, 4, 30, False, False, 60),
+        (503, "cake", 9, "south", None, 1, 5, False, False, 0),
+        (504, "bun", 9, "south", 90, 10, 50, False, True, 0),
+        (501, "roll", 6, "east", 0, 2, 10, True, False, 25),
+        (502, "pie", 6, "east", 4, 4, 10, False, False, 25),
     ]
-    return spark.createDataFrame(rows, "product_id long, product_name string, warehouse_id long, "
-                                       "location string, quantity long, min_stock_level long, "
-                                       "max_stock_level long, is_low_stock boolean, is_overstock boolean, "
-                                       "capacity_units long")
+    return spark.createDataFrame(rows, "product_id long, product_name string, warehouse_id long, location string, "
+                                       "quantity long, min_stock_level long, max_stock_level long, "
+                                       "is_low_stock boolean, is_overstock boolean, capacity_units long")
 
 
 @pytest.fixture
-def reviews_enriched_sample(spark):
-    from pyspark.sql import functions as F
-    dates = ["2024-01-10", "2024-01-12", "2024-02-05", "2024-02-20", "2024-03-01", "2024-03-15"]
+def ratings(spark):
     rows = [
-        (1, 10, "Gadget", 5, True, False, d(dates[0])),
-        (2, 10, "Gadget", 4, True, False, d(dates[1])),
-        (3, 11, "Widget", 2, False, True, d(dates[2])),
-        (4, 12, "Device", 3, False, False, d(dates[3])),
-        (5, 12, "Device", 1, False, True, d(dates[4])),
-        (6, 12, "Device", 5, True, False, d(dates[5])),
+        (1, 501, "roll", 5, True, False, d("2023-12-30")), (2, 501, "roll", 2, False, True, d("2023-12-31")),
+        (3, 501, "roll", 4, True, False, d("2024-01-01")), (4, 502, "pie", 4, True, False, d("2024-01-31")),
+        (5, 502, "pie", 4, True, False, d("2024-02-01")), (6, 503, "cake", 1, False, True, d("2024-02-02")),
+        (7, None, None, 3, False, False, d("2024-02-03")),
     ]
-    df = spark.createDataFrame(rows, "review_id long, product_id long, product_name string, rating long, "
-                                     "is_positive boolean, is_negative boolean, created_at timestamp_ntz")
-    return df.withColumn("review_month", F.trunc("created_at", "MM"))
+    return with_month(spark.createDataFrame(
+        rows, "review_id long, product_id long, product_name string, rating long, is_positive boolean, "
+              "is_negative boolean, created_at timestamp_ntz"), "created_at", "review_month")
 
 
 @pytest.fixture
-def orders_status_sample(spark):
-    from pyspark.sql import functions as F
-    dates = ["2024-01-05", "2024-01-06", "2024-01-07", "2024-02-10", "2024-02-12", "2024-03-01"]
-    statuses = ["pending", "processing", "shipped", "delivered", "cancelled", "delivered"]
-    amounts = [100.0, 120.0, 80.0, 150.0, 60.0, 200.0]
-    rows = [(201 + i, statuses[i], d(dates[i]), amounts[i]) for i in range(6)]
-    df = spark.createDataFrame(rows, "order_id long, status string, order_date timestamp_ntz, total_amount double")
-    return df.withColumn("order_month", F.trunc("order_date", "MM"))
+def order_states(spark):
+    rows = [
+        (1, "Shipped", d("2023-12-31"), 7.0), (2, "PENDING", d("2024-01-01"), 3.5),
+        (3, "cancelled", d("2024-01-02"), 9.0), (4, None, d("2024-01-03"), 1.0),
+        (5, "delivered", d("2024-01-04"), 2.0), (6, "Delivered", d("2024-01-05"), 2.0),
+        (7, "processing", d("2024-01-06"), None), (8, "returned", d("2024-01-07"), 4.0),
+    ]
+    return with_month(spark.createDataFrame(
+        rows, "order_id long, status string, order_date timestamp_ntz, total_amount double"), "order_date", "order_month")
 
 
 @pytest.fixture
-def raw_orders_valid_keys(spark):
+def raw_orders(spark):
     rows = [
-        (1, 10, "2024-01-01", 100.0, 10.0, None, 8.0, None, None, None, 1),
-        (2, 20, "2024-01-02", None, None, 5.0, None, 150.0, "Urgent", 100, 2),
-        (3, 30, "2024-01-03", 50.0, 5.0, None, 4.0, None, None, None, 3),
+        (11, 5, "2023-12-31", 40.0, None, None, 2.0, None, "gift", None, 1),
+        (11, 5, "2023-12-31", 60.0, 5.0, 1.0, None, 61.0, None, 7, 2),
+        (12, 6, "2024-02-29", None, None, 4.0, None, 29.0, None, None, 3),
     ]
     return spark.createDataFrame(rows, "order_id long, customer_id long, order_date string, subtotal double, "
                                        "discount_percent double, shipping_cost double, tax_amount double, "
@@ -125,12 +128,42 @@ def raw_orders_valid_keys(spark):
 
 
 @pytest.fixture
-def raw_orders_missing_total(spark):
+def raw_orders_without_totals(spark):
     rows = [
-        (1, 10, "2024-01-01", 100.0, 10.0, 0.0, 8.0, None, 1),
-        (2, 20, "2024-01-02", 200.0, 0.0, 5.0, 10.0, 150.0, 2),
-        (3, 12, "2024-01-03", 50.0, 5.0, 0.0, 4.0, None, 3),
+        (21, 5, "2024-01-01", 80.0, 25.0, 3.0, 1.0, None, 1),
+        (22, 5, "2024-01-02", 10.0, 0.0, 0.0, 0.5, 99.0, 2),
+        (23, 6, "2024-01-03", None, 50.0, 2.0, 0.0, None, 3),
     ]
     return spark.createDataFrame(rows, "order_id long, customer_id long, order_date string, subtotal double, "
                                        "discount_percent double, shipping_cost double, tax_amount double, "
                                        "total_amount double, _seq long")
+
+
+@pytest.fixture
+def batch_tables(spark):
+    def frame(schema, *rows):
+        return spark.createDataFrame(list(rows), schema)
+
+    return {
+        "orders": frame("order_id long, customer_id long, order_date string, promotion_id long, subtotal double, "
+                        "discount_percent double, shipping_cost double, tax_amount double, total_amount double, "
+                        "status string, notes string, _seq long",
+                        (31, 5, "2023-12-31", 7, 20.0, 10.0, 0.0, 1.0, 19.0, "Delivered", None, 1),
+                        (32, 6, "2024-01-01", None, 8.0, None, 2.5, 0.5, None, "pending", "x", 2),
+                        (33, 5, "2024-01-02", None, 5.0, 0.0, 0.0, 0.0, 5.0, "cancelled", None, 3)),
+        "customers": frame("customer_id long, segment string, registration_date string, email string, city string, country string",
+                           (5, "cafe", "2022-05-01", "five@mail.test", "Ulm", "DE"), (6, "home", "2023-01-31", None, "Lund", "SE")),
+        "promotions": frame("promotion_id long, promotion_type string, discount_value double, is_active boolean, "
+                            "start_date string, end_date string", (7, "early", 10.0, True, "2023-12-01", "2023-12-31")),
+        "order_items": frame("order_id long, product_id long, quantity long, subtotal double",
+                             (31, 501, 4, 12.0), (31, 502, 1, 8.0), (32, 502, 1, 8.0), (33, 501, 1, 5.0)),
+        "products": frame("product_id long, product_name string, category_id long, brand_id long",
+                          (501, "roll", 1, 1), (502, "pie", 2, 1)),
+        "warehouses": frame("warehouse_id long, location string, capacity_units long, current_occupancy long", (8, "north", 60, 15)),
+        "inventory": frame("inventory_id long, product_id long, warehouse_id long, quantity long, min_stock_level long, "
+                           "max_stock_level long, last_restock_date timestamp_ntz, _seq long",
+                           (1, 501, 8, 3, 9, 40, d("2024-01-01"), 1), (2, 502, 8, None, 4, 30, None, 2)),
+        "reviews": frame("review_id long, product_id long, customer_id long, rating long, comment string, "
+                         "helpful_votes long, created_at string, _seq long",
+                         (1, 501, 5, 4, "crisp", None, "2024-01-10", 1), (2, 502, 6, 1, None, 3, "2024-02-12", 2)),
+    }

@@ -2,70 +2,49 @@
 
 from __future__ import annotations
 
-import datetime as dt
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
-from basketry.errors import NullConstraintError, RangeValidationError
-from basketry.plans.batch import run_batch
-
-
-def _tables(spark, order_key=1, subtotal=100.0):
-    orders = spark.createDataFrame(
-        [(order_key, 10, "2024-01-14", 100, subtotal, 10.0, 0.0, 19.0, 109.0, "delivered", None, 1),
-         (2, 10, "2024-02-01", None, 50.0, None, 5.0, 2.0, None, "Cancelled", "x", 2)],
-        "order_id long, customer_id long, order_date string, promotion_id long, subtotal double, "
-        "discount_percent double, shipping_cost double, tax_amount double, total_amount double, "
-        "status string, notes string, _seq long")
-    customers = spark.createDataFrame([(10, "vip", "2023-12-01", "vip@example.com", "CityA", "CountryA")],
-                                      "customer_id long, segment string, registration_date string, "
-                                      "email string, city string, country string")
-    promotions = spark.createDataFrame([(100, "coupon", 10.0, True, "2024-01-01", "2024-02-01")],
-                                       "promotion_id long, promotion_type string, discount_value double, "
-                                       "is_active boolean, start_date string, end_date string")
-    items = spark.createDataFrame([(1, 10, 1, 40.0), (1, 11, 2, 60.0), (2, 10, 1, 50.0)],
-                                  "order_id long, product_id long, quantity long, subtotal double")
-    products = spark.createDataFrame([(10, "Gadget", 1, 2), (11, "Widget", 1, 3)],
-                                     "product_id long, product_name string, category_id long, brand_id long")
-    warehouses = spark.createDataFrame([(1, "LocationA", 500, 250)],
-                                       "warehouse_id long, location string, capacity_units long, "
-                                       "current_occupancy long")
-    inventory = spark.createDataFrame([(1, 10, 1, 5, 10, 100, dt.datetime(2024, 1, 1), 1),
-                                       (2, 11, 1, None, 3, 20, None, 2)],
-                                      "inventory_id long, product_id long, warehouse_id long, quantity long, "
-                                      "min_stock_level long, max_stock_level long, "
-                                      "last_restock_date timestamp_ntz, _seq long")
-    reviews = spark.createDataFrame([(1, 10, 10, 5, "great", None, "2024-01-10", 1),
-                                     (2, 11, 10, 2, None, 1, "2024-01-12", 2)],
-                                    "review_id long, product_id long, customer_id long, rating long, "
-                                    "comment string, helpful_votes long, created_at string, _seq long")
-    return {"orders": orders, "order_items": items, "customers": customers, "promotions": promotions,
-            "products": products, "warehouses": warehouses, "inventory": inventory, "reviews": reviews}
+from basketry.errors import RuleViolation
+from basketry.plans.batch import export_sources, run_batch, run_batch_from_csv
 
 
 @pytest.mark.parametrize("checks", ["deferred", "eager"])
-def test_batch_writes_every_table(spark, tmp_dir, checks):
+def test_batch_writes_every_table(spark, tmp_dir, batch_tables, checks):
     out = os.path.join(tmp_dir, "out")
-    m = {(r["stage"], r["table"]): r for r in run_batch(spark, _tables(spark), out, checks=checks).collect()}
-    assert m[("enrich", "orders_enriched")]["rows"] == 2
+    m = {(r["stage"], r["table"]): r for r in run_batch(spark, batch_tables, out, checks=checks).collect()}
+    assert m[("enrich", "orders_enriched")]["rows"] == 3
     assert m[("aggregate", "monthly_sales")]["rows"] == 2
     for zone in ("output/parquet", "output/csv"):
         assert len(os.listdir(os.path.join(out, zone))) == 16
     ms = {str(r["order_month"]): r["orders"] for r in spark.read.parquet(f"{out}/output/parquet/monthly_sales").collect()}
-    assert ms == {"2024-01-01": 1, "2024-02-01": 1}
+    assert ms == {"2023-12-01": 1, "2024-01-01": 2}
+    rates = {n: spark.read.parquet(f"{out}/output/parquet/{n}").first()[n]
+             for n in ("cancellation_rate", "delivery_rate", "promotion_usage_rate")}
+    assert rates == {n: pytest.approx(1 / 3) for n in rates}
     # files rows: one per written table, with a size
     assert any(k[0] == "files" and k[1] == "processed/parquet/orders_enriched" for k in m)
+    assert not any("work" in k[1] for k in m if k[0] == "files")
 
 
-def test_batch_raises_on_null_key(spark, tmp_dir):
-    with pytest.raises(NullConstraintError):
-        run_batch(spark, _tables(spark, order_key=None), os.path.join(tmp_dir, "out"))
+def test_batch_raises_on_null_key(spark, tmp_dir, batch_tables):
+    keyless = dict(batch_tables, orders=batch_tables["orders"].withColumn("order_id", F.nullif("order_id", F.lit(31))))
+    with pytest.raises(RuleViolation, match="no_nulls"):
+        run_batch(spark, keyless, os.path.join(tmp_dir, "out"))
 
 
-def test_batch_observed_rule_check_raises(spark, tmp_dir):
+def test_batch_observed_rule_check_raises(spark, tmp_dir, batch_tables):
     out = os.path.join(tmp_dir, "out")
-    with pytest.raises(RangeValidationError):
-        run_batch(spark, _tables(spark, subtotal=-5.0), out)
-    # metrics reading the failed table are never published
-    assert not os.path.exists(os.path.join(out, "output", "parquet", "monthly_sales"))
+    with pytest.raises(RuleViolation, match="range"):
+        run_batch(spark, dict(batch_tables, orders=batch_tables["orders"].withColumn("subtotal", F.lit(-5.0))), out)
+    # nothing of the failed run is published
+    assert not os.path.exists(os.path.join(out, "output")) and not os.path.exists(os.path.join(out, "processed"))
+
+
+def test_run_from_csv_takes_the_layout(spark, tmp_dir, batch_tables):
+    raw, out = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "out")
+    export_sources(batch_tables, raw, files_per_table=1)
+    run_batch_from_csv(spark, raw, out, multi_line=False, formats=("parquet",))
+    assert spark.read.parquet(f"{out}/processed/parquet/orders_enriched").count() == 3

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import pytest
 
-from basketry.errors import CleaningInvariantError, NullConstraintError, RangeValidationError
+from basketry.errors import RuleViolation
+from basketry.functions.derived import FILL_STRING_VALUE
 from basketry.functions.coerce import coerce_columns, coercion_report
 from basketry.operators.dedup import keep_last
 from basketry.operators.nulls import NullStrategy, assert_fill_invariant, fill_nulls, fill_report
@@ -46,38 +47,38 @@ def test_fill_absent_column_is_noop(spark):
 def test_fill_mean_on_text_increases_nulls(spark):
     df = spark.createDataFrame([("abc",), (None,)], "a string")
     report = fill_report(df, {"a": NullStrategy.FILL_MEAN}).collect()
-    with pytest.raises(CleaningInvariantError):
+    with pytest.raises(RuleViolation, match="fill"):
         assert_fill_invariant(report)
 
 
-def test_fill_mean_includes_duplicates(raw_orders_valid_keys, spark):
-    out = rows(clean_orders(raw_orders_valid_keys))
-    # means 75.0 (subtotal) and 150.0 (total_amount); zero / string fills
-    assert [r["subtotal"] for r in out] == [100.0, 75.0, 50.0]
-    assert [r["total_amount"] for r in out] == [150.0, 150.0, 150.0]
-    assert [r["shipping_cost"] for r in out] == [0.0, 5.0, 0.0]
-    assert [r["notes"] for r in out] == ["Sin Especificar", "Urgent", "Sin Especificar"]
-    assert [r["promotion_id"] for r in out] == [0, 100, 0]
-    assert out[0]["order_date"].year == 2024
+def test_fill_mean_includes_duplicates(raw_orders):
+    out = sorted(rows(clean_orders(raw_orders)), key=lambda r: r["order_id"])
+    # means over all three rows: 50.0 (subtotal) and 45.0 (total); the later row of order 11 wins
+    assert [(r["order_id"], r["subtotal"], r["total_amount"]) for r in out] == [(11, 60.0, 61.0), (12, 50.0, 29.0)]
+    assert [(r["shipping_cost"], r["tax_amount"], r["discount_percent"]) for r in out] == [(1.0, 0.0, 5.0), (4.0, 0.0, 0.0)]
+    assert [r["notes"] for r in out] == [FILL_STRING_VALUE] * 2
+    assert [r["promotion_id"] for r in out] == [7, 0]
+    assert out[1]["order_date"].day == 29
 
 
 def test_key_nulls_raise(spark):
     df = spark.createDataFrame([(1, 10, "2024-01-01", 1), (None, 11, None, 2)],
                                "order_id long, customer_id long, order_date string, _seq long")
-    with pytest.raises(NullConstraintError):
+    with pytest.raises(RuleViolation, match="no_nulls"):
         clean_orders(df)
 
 
-def test_recalc_total(raw_orders_missing_total):
-    out = rows(recalc_total(raw_orders_missing_total))
-    assert [r["total_amount"] for r in out] == [98.0, 150.0, 51.5]
+def test_recalc_total(raw_orders_without_totals):
+    out = rows(recalc_total(raw_orders_without_totals))
+    assert [r["total_amount"] for r in out] == [64.0, 99.0, None]
 
 
-def test_recalc_inside_clean_when_all_totals_missing(spark, raw_orders_missing_total):
+def test_recalc_inside_clean_when_all_totals_missing(raw_orders_without_totals):
     from pyspark.sql import functions as F
-    df = raw_orders_missing_total.withColumn("total_amount", F.lit(None).cast("double"))
-    out = rows(clean_orders(df))
-    assert [r["total_amount"] for r in out] == [98.0, 215.0, 51.5]
+    df = raw_orders_without_totals.withColumn("total_amount", F.lit(None).cast("double"))
+    out = sorted(rows(clean_orders(df)), key=lambda r: r["order_id"])
+    # the missing subtotal is the mean of 80 and 10 first
+    assert [r["total_amount"] for r in out] == [64.0, 10.5, 24.5]
 
 
 def test_keep_last(spark):
@@ -117,7 +118,7 @@ def test_orders_rules_reject_negative_amounts(spark):
                                "order_id long, customer_id long, order_date string, subtotal double, "
                                "discount_percent double, shipping_cost double, tax_amount double, "
                                "total_amount double, _seq long")
-    with pytest.raises(RangeValidationError):
+    with pytest.raises(RuleViolation, match="range"):
         clean_orders(df)
 
 
@@ -135,7 +136,7 @@ def test_inventory_and_reviews_cleaners(spark):
     bad = spark.createDataFrame([(1, 10, 101, 7, 0, "2024-01-10", 1)],
                                 "review_id long, product_id long, customer_id long, rating long, "
                                 "helpful_votes long, created_at string, _seq long")
-    with pytest.raises(RangeValidationError):
+    with pytest.raises(RuleViolation, match="range"):
         clean_reviews(bad)
 
 

@@ -7,12 +7,7 @@ import datetime as dt
 import pytest
 
 from basketry.errors import (
-    DataTypeMismatchError,
-    DuplicateKeyError,
-    MissingRequiredColumnsError,
-    NullConstraintError,
-    RangeValidationError,
-    UnexpectedColumnsError,
+    RuleViolation,
 )
 from basketry.operators import quality as Q
 
@@ -35,37 +30,37 @@ def test_valid_table_passes_all_rules(valid):
 
 
 def test_required_columns_case_sensitive(valid):
-    with pytest.raises(MissingRequiredColumnsError) as e:
+    with pytest.raises(RuleViolation) as e:
         Q.enforce(valid, [Q.required_columns(["ID", "missing"])])
-    assert "['ID', 'missing']" in str(e.value)
+    assert e.value.rule == "required" and e.value.columns == ["ID", "missing"]
 
 
 def test_extra_columns(valid):
-    with pytest.raises(UnexpectedColumnsError):
+    with pytest.raises(RuleViolation, match="no_extra"):
         Q.enforce(valid, [Q.no_extra_columns(["id", "name"])])
 
 
 def test_types_collect_all_mismatches(spark):
     df = spark.createDataFrame([("1", "2.5", 3.0)], "id string, price string, quantity double")
-    with pytest.raises(DataTypeMismatchError) as e:
+    with pytest.raises(RuleViolation) as e:
         Q.enforce(df, [Q.data_types({"id": "int", "price": "float", "quantity": "int"})])
-    assert len(e.value.mismatches) == 3
+    assert e.value.rule == "types" and len(e.value.found) == 3
 
 
 def test_range_bounds_inclusive_and_counts(spark):
     df = spark.createDataFrame([(0.0,), (100.0,), (None,)], "p double")
     Q.enforce(df, [Q.numeric_range("p", 0, 100)])
     bad = spark.createDataFrame([(-5.0,), (150.0,), (10.0,)], "p double")
-    with pytest.raises(RangeValidationError) as e:
+    with pytest.raises(RuleViolation) as e:
         Q.enforce(bad, [Q.numeric_range("p", 0, 100)])
-    assert e.value.violation_count == 1 and e.value.actual_min == -5.0 and e.value.actual_max == 150.0
+    assert e.value.rule == "range" and e.value.found == {"p": {"outside": 1, "low": -5.0, "high": 150.0}}
 
 
 def test_range_disallowed_nulls(spark):
     df = spark.createDataFrame([(1.0,), (None,)], "p double")
-    with pytest.raises(NullConstraintError) as e:
+    with pytest.raises(RuleViolation) as e:
         Q.enforce(df, [Q.numeric_range("p", 0, allow_nulls=False)])
-    assert "50.0%" in str(e.value)
+    assert e.value.found == {"p": (1, 50.0)}
 
 
 def test_range_all_null_passes(spark):
@@ -75,25 +70,25 @@ def test_range_all_null_passes(spark):
 
 def test_no_nulls_all_columns_when_empty_list(spark):
     df = spark.createDataFrame([(1, None), (None, "x")], "a long, b string")
-    with pytest.raises(NullConstraintError) as e:
+    with pytest.raises(RuleViolation) as e:
         Q.enforce(df, [Q.no_nulls([])])
-    assert len(e.value.columns_with_nulls) == 2
+    assert len(e.value.found) == 2
 
 
 def test_unique_counts_per_column(spark):
     df = spark.createDataFrame([(1, "A"), (2, "B"), (2, "C"), (3, "B"), (None, None), (None, "D")],
                                "id long, name string")
-    with pytest.raises(DuplicateKeyError) as e:
+    with pytest.raises(RuleViolation) as e:
         Q.enforce(df, [Q.unique(["id", "name"])])
     # id: one extra 2, one extra NULL; name: one extra B
-    assert e.value.duplicate_count == 3 and e.value.columns == ["id", "name"]
+    assert e.value.rule == "unique" and e.value.found == {"id": 2, "name": 1}
 
 
 def test_first_failing_rule_in_declared_order(spark):
     df = spark.createDataFrame([(-1.0, None)], "p double, q string")
-    with pytest.raises(NullConstraintError):
+    with pytest.raises(RuleViolation, match="no_nulls"):
         Q.enforce(df, [Q.no_nulls(["q"]), Q.numeric_range("p", 0)])
-    with pytest.raises(RangeValidationError):
+    with pytest.raises(RuleViolation, match="range"):
         Q.enforce(df, [Q.numeric_range("p", 0), Q.no_nulls(["q"])])
 
 

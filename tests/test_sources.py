@@ -7,7 +7,7 @@ import os
 import pytest
 from pyspark.sql import types as T
 
-from basketry.errors import SourceParseError, SourceReadError
+from basketry.errors import SourceError
 from basketry.operators.profile import profile
 from basketry.sources.csv import ingest_csv, read_csv
 from basketry.sources.sinks import write_csv, write_parquet, written_size
@@ -52,7 +52,7 @@ def test_short_row_padded_long_row_raises(spark, tmp_dir):
     out = [r.asDict() for r in read_csv(spark, short, with_seq=False).collect()]
     assert out[1] == {"a": "4", "b": "5", "c": None}
     long = _write(os.path.join(tmp_dir, "long.csv"), "a,b\n1,2\n3,4,5\n")
-    with pytest.raises(SourceParseError):
+    with pytest.raises(SourceError):
         read_csv(spark, long)
     rows, bad = read_csv(spark, long, malformed="quarantine")
     assert rows.count() == 1 and bad.count() == 1
@@ -60,14 +60,14 @@ def test_short_row_padded_long_row_raises(spark, tmp_dir):
 
 def test_empty_file_raises(spark, tmp_dir):
     p = _write(os.path.join(tmp_dir, "empty.csv"), "")
-    with pytest.raises(SourceParseError):
+    with pytest.raises(SourceError):
         read_csv(spark, p)
 
 
 def test_encoding_alias_and_wrong_encoding(spark, tmp_dir):
     p = _write(os.path.join(tmp_dir, "l1.csv"), "name\nañejo\n", encoding="latin-1")
     assert read_csv(spark, p, encoding="latin-1", with_seq=False).collect()[0]["name"] == "añejo"
-    with pytest.raises(SourceReadError):
+    with pytest.raises(SourceError):
         read_csv(spark, p, encoding="utf-8")
 
 
@@ -112,5 +112,5 @@ def test_ingest_once_validates_on_write(spark, tmp_dir):
                      T.StructType([T.StructField("a", T.LongType())]))
     assert out.count() == 2 and dict(out.dtypes)["a"] == "bigint"
     long = _write(os.path.join(tmp_dir, "l.csv"), "a,b\n1,2\n3,4,5\n")
-    with pytest.raises(SourceParseError):
+    with pytest.raises(SourceError):
         ingest_csv(spark, long, os.path.join(tmp_dir, "l.parquet"))
