@@ -6,11 +6,14 @@ import datetime as dt
 import decimal
 import math
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
 
 import __spark_entry__ as E
+from basketry.plans import catalog, oracle
 from tests.conftest import SF_SMOKE
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -45,15 +48,24 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(catalog.queries()) == set(oracle.oracle_sql())
+    assert set(catalog.queries()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_entry_without_the_corpus_part():
+    """The entry module works where the corpus operators and their pipeline are absent."""
+    code = ("import sys; sys.modules['corpus_pipeline'] = None; sys.modules['basketry.llm'] = None; import __spark_entry__ as E; "
+            "assert E.queries().keys() == E.oracle_sql().keys() and 'pipeline' not in E.queries()")
+    root = os.path.dirname(os.path.abspath(E.__file__))
+    assert subprocess.run([sys.executable, "-c", code], cwd=root).returncode == 0
+
+
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_matches_oracle(spark, duck, name):
-    sdf = E.queries()[name](spark, SF_SMOKE)
+    sdf = catalog.queries()[name](spark, SF_SMOKE)
     cols = sdf.columns
     srows = [tuple(_norm(v) for v in r) for r in sdf.collect()]
-    cur = duck.execute(E.oracle_sql()[name])
+    cur = duck.execute(oracle.oracle_sql()[name])
     dcols = [c[0] for c in cur.description]
     drows = [tuple(_norm(v) for v in r) for r in cur.fetchall()]
     assert sorted(cols) == sorted(dcols)
@@ -64,21 +76,21 @@ def test_query_matches_oracle(spark, duck, name):
     assert s == d
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(n for n in catalog.queries() if n not in catalog.BATCH_OUTPUTS))
 def test_no_python_udf_in_plans(spark, name):
-    plan = E.queries()[name](spark, SF_SMOKE)._jdf.queryExecution().executedPlan().toString()
+    plan = catalog.queries()[name](spark, SF_SMOKE)._jdf.queryExecution().executedPlan().toString()
     assert "EvalPython" not in plan and "PythonUDF" not in plan
 
 
 def test_top_n_plans_use_take_ordered(spark):
     for name in ("top_spenders", "top_products_by_quantity", "low_stock_items", "reviews_by_product"):
-        plan = E.queries()[name](spark, SF_SMOKE)._jdf.queryExecution().executedPlan().toString()
+        plan = catalog.queries()[name](spark, SF_SMOKE)._jdf.queryExecution().executedPlan().toString()
         assert "TakeOrderedAndProject" in plan, name
 
 
 def test_parquet_scans_are_pruned(spark):
     import re
-    q = E.queries()["reviews_monthly"](spark, SF_SMOKE)
+    q = catalog.queries()["reviews_monthly"](spark, SF_SMOKE)
     plan = q._jdf.queryExecution().executedPlan().toString()
     schemas = [m for m in re.findall(r"ReadSchema: struct<([^>]*)>", plan) if "review_id" in m]
     assert schemas, plan
