@@ -188,9 +188,10 @@ def similar_components(docs: DataFrame) -> DataFrame:
     lists = staged(index.withColumn("_other", F.coalesce(F.lag("gid").over(near), F.lead("gid").over(near)))
                    .where("_other is not null").drop("_other"), "lists")
 
-    # first round: short lists whole, long lists against a leader, groups against their first member
+    # first round: short lists whole, long lists against a leader, groups against their first member;
+    # the leader has the fewest rarer shingles before the list's, so it is the least edited copy
     leaders = lists.groupBy("token").agg(F.count(F.lit(1)).alias("length"), F.min(F.struct(
-        F.xxhash64("token", "gid").alias("h"), "gid", "n", "pos")).alias("lead"))
+        "pos", F.xxhash64("token", "gid").alias("h"), "gid", "n")).alias("lead"))
     headed = staged(lists.join(leaders, "token"), "headed-lists")
     short = headed.where(F.col("length") <= SHORT_LIST)
     whole = _side(short, "a_", "gid", "n", "pos").join(_side(short, "b_", "gid", "n", "pos"), "token").where(
