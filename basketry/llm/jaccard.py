@@ -38,9 +38,11 @@ _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
 class _WordHashes(dict):
+    """Hashes of words met; each task empties it, so a worker does not keep it beside other operators' memories."""
+
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 2_000_000:
+        if len(self) < 500_000:
             self[word] = value
         return value
 
@@ -95,6 +97,7 @@ def frequency_order(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             for k in range(0, batch.num_rows, 500):
                 sets = [shingle_set(t) for t in batch.column(0).slice(k, 500).to_pylist()]
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets))], names=["shingle"])
+        _HASHES.clear()
 
     counted = (picked.mapInArrow(shingles, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
                .where("n > 1").orderBy(F.desc("n"), "shingle").limit(ORDER_SHINGLES).toPandas().sort_values("shingle"))
@@ -124,6 +127,7 @@ def prefixes(rows: DataFrame, order: tuple[np.ndarray, np.ndarray]) -> DataFrame
             kinds = [("n", pa.int64()), *((k, pa.int64()) for k in ("fa", "fb", "ga", "gb")), ("prefix", pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(out[k], t) for k, t in kinds)],
                                              names=["doc_id", "th", *(k for k, _ in kinds)])
+        _HASHES.clear()
 
     return rows.select("doc_id", "th", "text").mapInArrow(
         run, "doc_id long, th long, n long, fa long, fb long, ga long, gb long, prefix array<long>")
@@ -145,6 +149,7 @@ def linked_pairs(pairs: DataFrame, vertices: DataFrame, rows: DataFrame) -> Data
                 kept.append(100 * common >= 80 * (len(x) + len(y) - common))
             keep = pa.array(kept, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["u", "v"])
+        _HASHES.clear()
 
     return both.mapInArrow(run, "u long, v long")
 

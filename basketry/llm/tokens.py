@@ -16,10 +16,10 @@ from itertools import chain
 
 import numpy as np
 
-#: Chunks that a worker remembers before it starts again.
-CACHE_CHUNKS = 800_000
+#: Chunks that a worker remembers before it starts again, and pre-tokens.
+CACHE_CHUNKS, CACHE_PIECES = 800_000, 200_000
 #: Characters of text that are encoded in one go.
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 1_000_000
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN = re.compile(rf"[{_LETTERS}]+[.,]?(?:\n[{_LETTERS}]+[.,]?)*")
@@ -75,7 +75,9 @@ class ChunkEncoder:
         ids = self.pieces.get(word)
         if ids is None:
             mapped = word.encode().decode("latin-1").translate(self.visible)
-            ids = self.pieces[word] = [t.id for t in self.model.tokenize(mapped)]
+            ids = [t.id for t in self.model.tokenize(mapped)]
+            if len(self.pieces) < CACHE_PIECES:
+                self.pieces[word] = ids
         return ids
 
     def _plain(self, chunk: str, spaced: bool) -> list[int]:
