@@ -1,9 +1,10 @@
 """Licence scans by sentence rules, in DataFrame and SQL functions only.
 
-A text is cut into sentences, each is normalised, known licence sentences are
-mapped to their identifiers, and the text's identifier sequence is matched
-against ordered licence rules: a rule fires where its identifiers follow each
-other; identifiers that a rule has used are not used again by a later one.
+A text is normalised to words with marks where a line or sentence ends, known
+licence sentences between two marks are mapped to their identifiers, and the
+text's identifier sequence is matched against ordered licence rules: a rule
+fires where its identifiers follow each other; identifiers that a rule has used
+are not used again by a later one.
 """
 
 from __future__ import annotations
@@ -69,25 +70,59 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
 ]
 #: Every known sentence holds one of these, so texts without them are done.
 TRIGGER = "(?i)license|permission|warrant|redistribut|licensed"
+#: Words after which the printed notice holds a stop inside the sentence ("free software: you", "v. 2.0").
+STOPS: dict[str, tuple[str, ...]] = {
+    "gpl-free": ("free software", "software foundation"), "gpl2-free": ("free software", "software foundation"),
+    "gpl-asis": ("any warranty",), "mpl2-terms": ("license v",),
+}
+#: Comment marks at a line's start that would read as a stop or a word; other marks are dropped as any sign is.
+MARKS = (r"\n[ \t]*(?:[.!?;:]+|dnl|@?[Rr][Ee][Mm])(?=[ \t\r\n])", "\n#")
 #: A line that goes on in lower case continues its sentence; both steps use explicit classes.
-WRAPPED = (r"[ \t\r]*\n[ \t\r]*([a-z])", r" $1")
-ENDS = (r"([.!?;:])[ \t\r\n]+", "$1\n")
+WRAPPED = (r"\n[ \t\r]*([a-z])", " $1")
+#: In place of a line's end (a sentence may end or go on there) and of a stop (it ends, but for STOPS).
+LINE, STOP = "\x01", "\x02"
+ENDS = (r"[.!?;:][ \t\r\n]+", STOP)
+#: The address ends its sentence without a stop, also on one line.
+ADDRESS = (r"((?i:apache\.org/licenses/license-2\.0))[ \t\r\n]+([A-Z])", f"$1{STOP}$2")
 
 assert all(any(t in s for t in ("license", "permission", "warrant", "redistribut")) for s in SENTENCES.values())
 
 
-def sentences(text: Column) -> Column:
-    """Normalised sentences of a text in their order; empty ones are left out."""
-    joined = F.regexp_replace(text, WRAPPED[0], WRAPPED[1])
-    cut = F.split(F.regexp_replace(joined, ENDS[0], ENDS[1]), "\n")
-    plain = F.transform(cut, lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
-    return F.filter(plain, lambda s: s != "")
+def marked(text: Column) -> Column:
+    """A text's words between single spaces, ``LINE`` or ``STOP`` marks; it begins and ends with a mark."""
+    steps = (ADDRESS, MARKS, WRAPPED, ENDS)
+    cut = F.concat(F.lit(STOP + "\n"), F.translate(text, LINE + STOP, "##"), F.lit(STOP))
+    cut = F.lower(reduce(lambda t, step: F.regexp_replace(t, *step), steps, cut))
+    cut = F.translate(cut, "\n", LINE)
+    # each run between two words is looked at once, from its start
+    cut = F.regexp_replace(cut, f"(?<![^a-z0-9])[^a-z0-9{STOP}]*{STOP}[^a-z0-9]*", STOP)
+    cut = F.regexp_replace(cut, f"(?<![^a-z0-9])[^a-z0-9{LINE}{STOP}]*{LINE}[^a-z0-9{STOP}]*", LINE)
+    return F.regexp_replace(cut, f"[^a-z0-9{LINE}{STOP}]+", " ")
+
+
+def _pattern(key: str) -> str:
+    """A known sentence in a marked text: lines may end between any two words, stops only at its own."""
+    words = SENTENCES[key].split(" ")
+    out = words[0]
+    for k in range(1, len(words)):
+        stop = " ".join(words[max(0, k - 2):k]) in STOPS.get(key, ())
+        out += f"[ {LINE}{STOP if stop else ''}]{words[k]}"
+    return out
+
+
+#: Longer sentences first, so that none hides one that goes on.
+KNOWN = f"[{LINE}{STOP}]({'|'.join(_pattern(k) for k in sorted(SENTENCES, key=lambda k: -len(SENTENCES[k])))})(?=[{LINE}{STOP}])"
 
 
 def identifiers(text: Column) -> Column:
-    """Identifiers of the known sentences of a text, in their order."""
+    """Identifiers of the known sentences of a text, in their order.
+
+    A known sentence begins and ends at a line's end or a stop, and may be
+    wrapped or commented between any two of its words.
+    """
     known = F.create_map(*(F.lit(x) for key, s in SENTENCES.items() for x in (s, key)))
-    ids = F.transform(F.filter(sentences(text), lambda s: F.array_contains(F.map_keys(known), s)), lambda s: known[s])
+    ids = F.transform(F.regexp_extract_all(marked(text), F.lit(KNOWN), F.lit(1)),
+                      lambda s: known[F.translate(s, LINE + STOP, "  ")])
     return F.when(text.rlike(TRIGGER), ids).otherwise(F.array().cast("array<string>"))
 
 
@@ -124,7 +159,7 @@ def licence_query(docs: DataFrame) -> DataFrame:
 
 
 def licence_sql() -> str:
-    """The same in DuckDB."""
+    """The same in DuckDB, but for known sentences that hold a stop or are wrapped before other than lower case: it cuts those."""
     rows = ", ".join(f"('{s}', '{k}')" for k, s in SENTENCES.items())
     state, found = "seq", []
     steps = []

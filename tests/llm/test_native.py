@@ -105,3 +105,58 @@ def test_licence_rules(docs):
     assert got[3, ""] == got[4, ""] == got[6, ""] == ""
     assert got[5, "ccbync4-notice,apache2-notice"] == "Apache-2.0,CC-BY-NC-4.0"
     assert got[None, "mit-notice"] == "MIT" and got[8, "ccbync4-notice"] == "CC-BY-NC-4.0"
+
+
+NOTICES = {
+    "GPL-3.0-or-later": (
+        "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\n"
+        "the Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.\n\n"
+        "This program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\n"
+        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU General Public License for more details.\n\n"
+        "You should have received a copy of the GNU General Public License\nalong with this program.  If not, see <https://www.gnu.org/licenses/>.",
+        "gpl-free,gpl-asis,gpl-see,gpl-copy"),
+    "GPL-2.0-or-later": (
+        "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\n"
+        "the Free Software Foundation; either version 2 of the License, or\n(at your option) any later version.\n\n"
+        "This program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\n"
+        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU General Public License for more details.\n\n"
+        "You should have received a copy of the GNU General Public License along\nwith this program; if not, write to the Free Software Foundation, Inc.,\n"
+        "51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA.", "gpl2-free,gpl-asis,gpl-see,gpl-copy"),
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\n"
+        "file, You can obtain one at https://mozilla.org/MPL/2.0/.", "mpl2-terms"),
+    "MIT": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\n"
+        "in the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\n"
+        "copies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:\n\n"
+        "The above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the Software.\n\n"
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR\nIMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,\n"
+        "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE\nAUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM.",
+        "mit-grant,mit-keep,mit-asis"),
+    "Apache-2.0": (
+        "Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance with the License.\n"
+        "You may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\n"
+        "Unless required by applicable law or agreed to in writing, software\ndistributed under the License is distributed on an \"AS IS\" BASIS,\n"
+        "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.\nSee the License for the specific language governing permissions and\n"
+        "limitations under the License.", "apache2-header,apache2-use,apache2-copy,apache2-asis,apache2-see"),
+}
+
+
+def test_licence_notices_as_printed(docs):
+    rows, want = [], {}
+    for licence, (notice, ids) in NOTICES.items():
+        forms = [notice, notice.replace("\n", "\r\n"), "/*\n" + "".join(f" * {x}".rstrip() + "\n" for x in notice.split("\n")) + " */\nint x;\n"]
+        forms += ["code()\n" + "".join(f"{mark} {x}".rstrip() + "\n" for x in notice.split("\n")) for mark in ("#", "//", ";;", "!", "dnl", "REM", "--")]
+        for form in [*forms, " ".join(notice.split())]:
+            want[len(rows)] = (ids, licence)
+            rows.append((len(rows), form))
+    got = {r.doc_id: (r.sentence_ids, r.licences) for r in licenses.licence_query(docs(rows)).collect()}
+    assert got == want
+
+
+def test_licence_sentences_end_at_lines_and_stops(docs):
+    rows = [(1, "Released under the MIT License\nBy me"), (2, "Licensed under the MIT license\nwith changes"), (3, "MIT\n* licensed under cc by 4.0"),
+            (4, "Licensed under. The MIT license."), (5, "Not licensed under the MIT license"), (6, "Licensed under\x01the MIT license\n\n\n"),
+            (7, "Licensed under the Apache License, Version 2.0\nLicensed under the MIT license"), (8, " \n; \n" * 50_000 + "Licensed under the MIT license")]
+    got = {r.doc_id: r.sentence_ids for r in licenses.licence_query(docs(rows)).collect()}
+    assert got == {1: "mit-notice", 2: "", 3: "ccby4-notice", 4: "", 5: "", 6: "mit-notice-2", 7: "apache2-notice,mit-notice-2", 8: "mit-notice-2"}
