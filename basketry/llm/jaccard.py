@@ -167,20 +167,23 @@ def _side(lists: DataFrame, prefix: str, *names: str) -> DataFrame:
     return lists.select("token", *(F.col(c).alias(prefix + c) for c in names))
 
 
-def similar_components(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row.
+def _smallest() -> Column:
+    """Key of the smallest row, by id and text hash; a null id comes after the largest one."""
+    return F.min(F.struct(F.coalesce("doc_id", F.lit(LAST_ID)).alias("at"), F.col("doc_id").isNull().alias("unnamed"), "doc_id", "th"))
 
-    Links join sets with 100 * common >= 80 * united. A null or empty text, or
-    one without words, has an empty set and links with nothing. ``component_id``
-    is the smallest doc_id reached; null ids count as the largest. Repeated
-    rows each give a row; equal sets are linked, and are compared once.
+
+def _linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every row's set, and the component of every distinct set that is not empty.
+
+    (doc_id, th, n, fa, fb, ...), and (vid, comp, doc_id, th, fa, fb, n) with the
+    (doc_id, text hash) of the set's smallest row; null ids count as the largest.
     """
     rows = texts(docs).withColumn("th", F.xxhash64("text"))
     sets = staged(prefixes(rows, frequency_order(rows)), "shingle-sets")
     key = ["fa", "fb", "n"]
     vertices = staged(
         sets.where("n > 0").groupBy(*key, "ga", "gb").agg(
-            F.min(F.struct(F.coalesce("doc_id", F.lit(LAST_ID)).alias("at"), "doc_id", "th")).alias("rep"),
+            _smallest().alias("rep"),
             F.first("prefix").alias("prefix"))
         .select(F.monotonically_increasing_id().alias("vid"), "rep.doc_id", "rep.th", *key, "ga", "gb", "prefix"), "vertices")
     # groups: equal prefix and size
@@ -249,7 +252,20 @@ def similar_components(docs: DataFrame) -> DataFrame:
         merged = components(stars.unionByName(more.select(F.col("u").alias("a"), F.col("v").alias("b"))), "cc-2")
 
     final = (of_group.join(merged.withColumnRenamed("id", "vid"), "vid", "left")
-             .withColumn("comp", F.coalesce("component_id", "vid")).select("vid", "comp", "doc_id", *key))
+             .withColumn("comp", F.coalesce("component_id", "vid")).select("vid", "comp", "doc_id", "th", *key))
+    return sets, final
+
+
+def similar_components(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row.
+
+    Links join sets with 100 * common >= 80 * united. A null or empty text, or
+    one without words, has an empty set and links with nothing. ``component_id``
+    is the smallest doc_id reached; null ids count as the largest. Repeated
+    rows each give a row; equal sets are linked, and are compared once.
+    """
+    sets, final = _linked_sets(docs)
+    key = ["fa", "fb", "n"]
     smallest = final.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     by_set = final.join(smallest, "comp").select(*key, "component_id")
     linked = sets.where("n > 0").join(by_set, key).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
@@ -257,11 +273,21 @@ def similar_components(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` that stay when one document of each component is kept: the smallest doc_id.
+    """Rows of ``docs`` that stay when one document of each component is kept: the smallest (doc_id, text hash).
 
-    Empty texts link with nothing and stay. Rows that repeat a kept doc_id with
-    the same text count as that document: one stays. Rows without an id stay.
+    A row is told by its doc_id and text, so of a doc_id that repeats with other
+    texts each row goes with its own component. Null ids count as the largest.
+    Rows that repeat a kept document wholly count as that document: one stays.
+    Empty texts link with nothing and stay, one for each doc_id and text, all without an id.
     """
-    kept = similar_components(docs).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return named.unionByName(docs.where("doc_id is null"))
+    _, final = _linked_sets(docs)
+    kept = (final.groupBy("comp").agg(_smallest().alias("rep"))
+            .select(F.struct("rep.doc_id").alias("_id"), F.col("rep.th").alias("_th")))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    empty = F.translate(text, " \t\n\r\x0b\x0c", "") == ""
+    # a struct of nulls equals another in a join, a null does not
+    keyed = docs.where(~empty).withColumns({"_id": F.struct(F.col("doc_id").cast("long").alias("doc_id")), "_th": F.xxhash64(text)})
+    named = keyed.join(kept, ["_id", "_th"], "left_semi").dropDuplicates(["_id", "_th", "text"]).select(*docs.columns)
+    bare = docs.where(empty)
+    return (named.unionByName(bare.where("doc_id is not null").dropDuplicates(["doc_id", "text"]))
+            .unionByName(bare.where("doc_id is null")))

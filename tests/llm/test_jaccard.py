@@ -87,6 +87,22 @@ def test_one_of_each(docs):
     assert jaccard.one_of_each(docs(rows)).columns == docs(rows).columns
 
 
+def test_one_of_each_tells_rows_by_id_and_text(docs):
+    def words(name, n=30):
+        return " ".join(f"{name}{k}" for k in range(n))
+
+    near = words("b") + " more"
+    rows = [(3, words("b")), (5, words("a")), (5, near), (None, near), (None, words("c")), (None, words("c")), (None, words("c") + " x"),
+            (9, words("d")), (9, words("d") + " x"), (9, words("d")), (2**63 - 1, words("e")), (None, words("e")),
+            (None, None), (None, ""), (None, ""), (11, " \n"), (11, " \n"), (12, None)]
+    got = [(r.doc_id, r.text) for r in jaccard.one_of_each(docs(rows)).collect()]
+    full = [(i, t) for i, t in got if (t or "").strip()]
+    assert sorted(((i, t[0]) for i, t in full), key=str) == sorted([(3, "b"), (5, "a"), (None, "c"), (9, "d"), (2**63 - 1, "e")], key=str)
+    assert (5, words("a")) in full and (5, near) not in full and set(full) <= set(rows)
+    bare = [(i, t) for i, t in got if not (t or "").strip()]
+    assert sorted(bare, key=str) == sorted([(None, None), (None, ""), (None, ""), (11, " \n"), (12, None)], key=str)
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(k, k + 1) for k in range(300)] + [(1000, 1000 + k) for k in range(1, 200)] + [(rng.randrange(2000, 2200), rng.randrange(2000, 2200)) for _ in range(150)]
