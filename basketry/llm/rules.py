@@ -17,14 +17,14 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let
+from .common import let, staged
 
 #: White space that separates words.
 SPACE = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
-#: Rows that the order of the rules is estimated on.
+#: Rows, about, of the even sample that the order of the rules is estimated on.
 SAMPLE_ROWS = 400
 
 
@@ -103,18 +103,21 @@ RULES = [
     Rule("word_length", lambda m: (m("word_chars") < 2 * m("n_words")) | (m("word_chars") > 20 * m("n_words"))),
 ]
 BASE = ("few_words", "repeated_words")
+#: Metrics that the digest returns; others are only evaluated where the cascade asks for them.
+RETURNED = tuple(METRICS)
 METRICS["n_lines"] = lambda text: F.size(full_lines(text)).cast("long")
 
 
 def rule_order(docs: DataFrame, rules: list[Rule] = RULES, text_col: str = "text",
                sample_rows: int = SAMPLE_ROWS) -> list[str]:
-    """Names of ``rules`` by rejection per cost, measured on ``sample_rows`` rows.
+    """Names of ``rules`` by rejection per cost, measured on an even sample of about ``sample_rows`` rows.
 
     Cost is the time of evaluating the rule over the sample beyond that of a
-    constant; selectivity is its failing share. Both only set the order.
+    constant; selectivity is its failing share. Both only set the order. The
+    sample stays in the cluster's shared folder; the driver gets the counts.
     """
-    sample = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).limit(sample_rows)
-    sample = sample.sparkSession.createDataFrame(sample.collect(), "text string")
+    share = min(1.0, sample_rows / max(1, docs.count()))
+    sample = staged(docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).sample(share, 11).repartition(4), "rules-sample")
 
     def run(predicate: Column) -> tuple[float, int]:
         began = time.perf_counter()
@@ -124,8 +127,8 @@ def rule_order(docs: DataFrame, rules: list[Rule] = RULES, text_col: str = "text
     def metric(name: str) -> Column:
         return METRICS[name](F.col("text"))
 
-    run(F.lit(False))
-    idle, _ = run(F.lit(False))
+    run(F.char_length("text") < 0)
+    idle, _ = run(F.char_length("text") < 0)
     score = {}
     for rule in rules:
         took, failed = run(rule.fails(metric))
@@ -144,24 +147,24 @@ def first_failure(metric: Callable[[str], Column], order: list[str], rules: list
 
 
 def cascade(docs: DataFrame, rules: list[Rule] = RULES, text_col: str = "text",
-            out_col: str = "failed_rule", order: list[str] | None = None) -> DataFrame:
+            out_col: str = "failed_rule", order: list[str] | None = None, counted: tuple[str, ...] = ()) -> DataFrame:
     """``docs`` with ``out_col``: the first failed rule, or null for kept rows.
 
     A null text counts as empty (it fails ``few_words``). No shuffle; metrics
-    are evaluated inside the CASE, only for texts that came that far.
+    are evaluated inside the CASE, only for texts that came that far; those
+    ``counted`` are columns of ``docs`` already.
     """
     order = rule_order(docs, rules, text_col) if order is None else order
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.withColumn(out_col, first_failure(lambda name: METRICS[name](text), order, rules))
+    return docs.withColumn(out_col, first_failure(
+        lambda name: F.col(name) if name in counted else METRICS[name](text), order, rules))
 
 
 def quality_digest(docs: DataFrame) -> DataFrame:
     """Every document's base metrics, whether a base rule fails, and the cascade's verdict."""
     order = rule_order(docs)
     text = F.coalesce(F.col("text"), F.lit(""))
-    counted = docs.select("doc_id", *(METRICS[m](text).alias(m) for m in METRICS))
-    failed = first_failure(F.col, order)
+    counted = docs.select("doc_id", "text", *(METRICS[m](text).alias(m) for m in RETURNED))
     base = first_failure(F.col, [n for n in order if n in BASE])
-    return counted.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                          base.isNotNull().alias("base_failed"), failed.isNull().alias("kept"),
-                          failed.alias("failed_rule"))
+    return cascade(counted, order=order, counted=RETURNED).select(
+        "doc_id", *RETURNED, base.isNotNull().alias("base_failed"), F.col("failed_rule").isNull().alias("kept"), "failed_rule")

@@ -46,6 +46,22 @@ def test_rules_of_empty_table(docs):
     assert rules.quality_digest(docs([(1, "a")]).where("false")).count() == 0
 
 
+def test_digest_counts_only_what_it_returns(docs):
+    d = rules.quality_digest(docs(EDGE))
+    assert "n_lines" not in d._jdf.queryExecution().optimizedPlan().toString()
+    names = [r.name for r in rules.RULES]
+    by_rule = {(r.doc_id, r.text): r.failed_rule is None for r in rules.cascade(docs(EDGE), order=names).collect()}
+    assert Counter((r.doc_id, r.kept) for r in d.collect()) == Counter((i, by_rule[i, t]) for i, t in EDGE)
+
+
+def test_rule_order_takes_no_texts_to_the_driver(docs, monkeypatch):
+    d, sent = docs([(k, "long text " * 5000) for k in range(3)] + EDGE), []
+    plain = type(d).collect
+    monkeypatch.setattr(type(d), "collect", lambda self: sent.extend(rows := plain(self)) or rows)
+    assert sorted(rules.rule_order(d)) == sorted(r.name for r in rules.RULES)
+    assert sent and all(isinstance(x, int) for row in sent for x in row)
+
+
 def test_rules_run_no_python(docs, spark):
     plan = rules.quality_digest(docs(EDGE))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
