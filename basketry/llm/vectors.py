@@ -58,7 +58,8 @@ def unique_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str =
 def block_entries(unique: DataFrame, threshold: float) -> DataFrame:
     """Where each vertex stands in each block: its own cell, and the cells where lower neighbours look for it.
 
-    (dim, label, block, cell, home, vid, part): ``home`` marks the own cell.
+    (dim, label, block, cell, home, vid, part): ``home`` marks the own cell,
+    ``label`` is a hash of the label, whatever its type.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turned: dict[int, np.ndarray] = {}
@@ -92,12 +93,12 @@ def block_entries(unique: DataFrame, threshold: float) -> DataFrame:
                             names=["dim", "label", "block", *(f"c{g}" for g in range(GRID)), "home", "vid", "part"])
 
     cells = ", ".join(f"c{g} long" for g in range(GRID))
-    return unique.select("vid", "vector", "dim", F.col("label").cast("long").alias("label")).mapInArrow(
+    return unique.select("vid", "vector", "dim", F.xxhash64("label").alias("label")).mapInArrow(
         run, f"dim int, label long, block int, {cells}, home boolean, vid long, part array<double>")
 
 
 def candidate_pairs(unique: DataFrame, threshold: float) -> DataFrame:
-    """Distinct (u, v), u < v, within budget in some block."""
+    """Distinct (u, v), u < v, within budget in some block; labels are equal by hash."""
     entries = staged(block_entries(unique, threshold), "blocks")
     cell = ["dim", "label", "block", *(f"c{g}" for g in range(GRID))]
     crowd = entries.groupBy(*cell).agg(F.count(F.lit(1)).alias("held"), F.max("home").alias("lived"))
@@ -135,9 +136,10 @@ def candidate_pairs(unique: DataFrame, threshold: float) -> DataFrame:
 
 
 def vector_links(unique: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(u, v) of all vertex pairs with cosine >= threshold, in double precision."""
-    named = unique.select("vid", "vector")
-    found = (candidate_pairs(unique, threshold).join(named.toDF("u", "x"), "u").join(named.toDF("v", "y"), "v"))
+    """(u, v) of all vertex pairs of one label with cosine >= threshold, in double precision."""
+    named = unique.select("vid", "vector", "label")
+    found = (candidate_pairs(unique, threshold).join(named.toDF("u", "x", "a"), "u")
+             .join(named.toDF("v", "y", "b"), "v").where("a = b"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,6 +1,7 @@
 """Pigeonhole join against all pairs."""
 
 import math
+from decimal import Decimal
 
 import numpy as np
 import pytest
@@ -73,3 +74,11 @@ def test_one_common_vector(spark):
     rows = [(k, [1.0, 2.0, 3.0] if k % 3 else [float(k), 1.0, -1.0], 0) for k in range(150)]
     got = run(spark, rows)
     assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == brute(rows)
+
+
+@pytest.mark.parametrize("kind,labels", [("double", (1.2, 1.7, 1.2)), ("string", ("a", "b", "a")), ("decimal(4,2)", (Decimal("0.25"), Decimal("0.50"), Decimal("0.25")))])
+def test_labels_of_any_type(spark, kind, labels):
+    vectors_ = ([1.0, 0.0, 0.0], [1.0, 0.01, 0.0], [1.0, 0.0, 0.01])
+    rows = [(k, v, label) for k, (v, label) in enumerate(zip(vectors_, labels))] + [(3, vectors_[1], None)]
+    got = vectors.linked_vectors(spark.createDataFrame(rows, f"vec_id long, embedding array<double>, label {kind}")).collect()
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == {0: (1, 0, True), 1: (0, 1, True), 2: (1, 0, False), 3: (0, 3, True)}
