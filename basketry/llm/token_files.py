@@ -36,11 +36,10 @@ HEAD = struct.Struct("<4sIIQQI")
 END_ID = 1
 #: Ids after which a shard is closed at the next document's end.
 SHARD_IDS = 2_000_000
-#: Rounds of replacement, pairs replaced in a round at most, and uses that a pair needs.
-ROUNDS, ROUND_PAIRS, LEAST_USES = 3, 4096, 8
-#: Sweeps that choose among overlapping pairs in a round.
-PASSES = 2
-SYMBOLS = 1 << 16
+#: Pairs replaced in a round at most, and uses that a pair needs.
+ROUND_PAIRS, LEAST_USES = 4096, 8
+#: Symbols of a shard: as many as two bytes hold, or four where the ids leave no room in two.
+SYMBOLS, WIDE_SYMBOLS = 1 << 16, 1 << 32
 FILE_SCHEMA = "part long, block int, n_docs long, n_ids long, payload binary"
 ROW_SCHEMA = "part long, block int, place long, doc_id long, at long, n_tokens long, ids_crc32 long"
 
@@ -48,6 +47,8 @@ ROW_SCHEMA = "part long, block int, place long, doc_id long, at long, n_tokens l
 def _uses(code: np.ndarray, inner: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places whose pair is one of ``pairs``, and its index there."""
     def slot(x: np.ndarray) -> np.ndarray:
+        if x.dtype == np.uint64:
+            return (x * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)
         return (x * np.uint32(2654435761)) >> np.uint32(16)
 
     wanted = np.zeros(1 << 16, bool)
@@ -64,16 +65,25 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray,
 
     ``ends`` marks the last id of each document. Each round counts all pairs,
     takes the most frequent ones, and where two chosen pairs overlap keeps the
-    more frequent one (of equals the left one).
+    more frequent one (of equals the left one). Rounds go on until no pair is
+    frequent or the symbols run out.
     """
+    wide = base > SYMBOLS - 256
+    most = WIDE_SYMBOLS if wide else SYMBOLS
+    kind, half = (np.uint64, np.uint64(32)) if wide else (np.uint32, np.uint32(16))
+    low = kind((1 << int(half)) - 1)
     seq, last = ids.astype(np.uint32), ends.copy()
     rules: list[np.ndarray] = []
-    lengths = np.ones(base, np.int64)
-    for _ in range(ROUNDS):
-        room = min(ROUND_PAIRS, SYMBOLS - len(lengths))
+    lengths = np.zeros(0, np.int64)
+
+    def expands(x: np.ndarray) -> np.ndarray:
+        return np.array([1 if k < base else lengths[k - base] for k in x.tolist()], np.int64)
+
+    while True:
+        room = min(ROUND_PAIRS, most - base - len(lengths))
         if room <= 0 or len(seq) < 2:
             break
-        code = (seq[:-1] << np.uint32(16)) | seq[1:]
+        code = (seq[:-1].astype(kind) << half) | seq[1:]
         inner = ~last[:-1]
         ordered = np.sort(code[inner])
         if not len(ordered):
@@ -86,8 +96,13 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray,
         often = often[np.argsort(-uses[often], kind="stable")[:room]]
         pairs = ordered[first[often]]
         at, rank = _uses(code, inner, pairs)
+        # a run of one id overlaps itself: every second place of it counts
+        place = np.arange(len(at))
+        run = np.concatenate(([True], (np.diff(at) != 1) | (rank[1:] != rank[:-1])))
+        odd = (place - np.maximum.accumulate(np.where(run, place, 0))) % 2 == 1
+        at, rank = at[~odd], rank[~odd]
         taken = np.zeros(0, np.int64)
-        for _ in range(PASSES):  # what lies between two kept pairs may still hold one
+        while len(at):  # what lies between two kept pairs may still hold one
             touching = np.diff(at) == 1
             kept = np.ones(len(at), bool)
             kept[1:] &= ~touching | (rank[1:] < rank[:-1])
@@ -99,16 +114,16 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray,
             at, rank = at[free], rank[free]
         taken.sort()
         symbol = np.searchsorted(pairs[by_code := np.argsort(pairs)], code[taken])
-        symbol = by_code[symbol].astype(np.uint32) + np.uint32(len(lengths))
-        rules.append(np.stack((pairs >> np.uint32(16), pairs & np.uint32(0xFFFF)), axis=1).astype(np.uint32))
-        lengths = np.concatenate((lengths, lengths[rules[-1][:, 0]] + lengths[rules[-1][:, 1]]))
+        symbol = by_code[symbol].astype(np.uint32) + np.uint32(base + len(lengths))
+        rules.append(np.stack((pairs >> half, pairs & low), axis=1).astype(np.uint32))
+        lengths = np.concatenate((lengths, expands(rules[-1][:, 0]) + expands(rules[-1][:, 1])))
         seq[taken] = symbol
         last[taken] = last[taken + 1]
         keep = np.ones(len(seq), bool)
         keep[taken + 1] = False
         seq, last = seq[keep], last[keep]
     found = np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
-    return found, lengths[base:], seq, last
+    return found, lengths, seq, last
 
 
 def pack_shard(doc_ids: list[int | None], ids: np.ndarray, counts: np.ndarray) -> bytes:
@@ -116,10 +131,7 @@ def pack_shard(doc_ids: list[int | None], ids: np.ndarray, counts: np.ndarray) -
     ends = np.zeros(len(ids), bool)
     ends[np.cumsum(counts) - 1] = True
     base = int(ids.max()) + 1 if len(ids) else 1
-    if base <= SYMBOLS - 256:
-        rules, lengths, seq, last = compress(ids, ends, base)
-    else:  # wider ids than pair codes hold are stored as they are
-        rules, lengths, seq, last = np.zeros((0, 2), np.uint32), np.zeros(0, np.int64), ids, ends
+    rules, lengths, seq, last = compress(ids, ends, base)
     width = 2 if base + len(rules) <= SYMBOLS else 4
     firsts = np.concatenate(([0], np.flatnonzero(last)[:-1] + 1)) if len(last) else np.zeros(0, np.int64)
     known = np.array([x is not None for x in doc_ids], np.uint8)

@@ -69,3 +69,19 @@ def test_small_shards_decode(docs, spark, tmp_path):
 
 def test_empty(docs):
     assert tf.token_file_digest(docs([(1, "a")]).where("false"), PATH).count() == 0
+
+
+@pytest.mark.parametrize("first_id", [0, 40_000, 70_000])
+def test_rounds_go_on_until_no_pair_is_frequent(first_id):
+    rng = np.random.default_rng(4)
+    passage = rng.integers(0, 300, 256)
+    docs = [np.concatenate((rng.integers(300, 600, 3), passage, rng.integers(300, 600, 2))) + first_id for _ in range(40)]
+    docs += [np.full(5000, 7) + first_id, np.arange(400) + first_id]
+    ids, counts = np.concatenate(docs).astype(np.uint32), np.array([len(x) for x in docs])
+    ends = np.zeros(len(ids), bool)
+    ends[np.cumsum(counts) - 1] = True
+    _, lengths, seq, last = tf.compress(ids, ends, int(ids.max()) + 1)
+    pairs = np.stack((seq[:-1], seq[1:]))[:, ~last[:-1]]
+    assert lengths.max() >= 256 and np.unique(pairs, axis=1, return_counts=True)[1].max() < tf.LEAST_USES
+    shard = tf.Shard(tf.pack_shard(list(range(len(docs))), ids, counts))
+    assert all(np.array_equal(x, y) for (_, x), y in zip(shard.documents(), docs))
