@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import classifier, jaccard, licenses, packing, rules, sharding, suffixes, token_files, unigram, vectors
+from . import (
+    classifier,
+    clusters,
+    jaccard,
+    licenses,
+    packing,
+    rules,
+    sharding,
+    suffixes,
+    token_files,
+    unigram,
+    vectors,
+)
 from .common import table
 
 
@@ -58,6 +70,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unigram.segmentation_digest(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.centroid_clusters(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [f for name, f in sorted(globals().items()) if name.startswith("op") and callable(f)]
     return {f.__name__: f for f in found}
@@ -92,4 +108,5 @@ FROM m
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_license_scans": licenses.licence_sql(), "op9_quality_rules": RULES_SQL}
+    return {"op3_license_scans": licenses.licence_sql(), "op9_quality_rules": RULES_SQL,
+            "op11_centroid_clusters": clusters.CLUSTERS_SQL}

@@ -29,6 +29,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage with a columnar file: later branches read only their
     columns, and a lost executor re-reads files instead of recomputing.
     """
+    return staged_at(df, name)[0]
+
+
+def staged_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``staged``, with the folder, for a caller that gives it back with ``released``."""
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     before = spark.conf.get(CLEAN_UP, None)
@@ -37,7 +42,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.unset(CLEAN_UP) if before is None else spark.conf.set(CLEAN_UP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def released(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder that nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def let(value: Column, body) -> Column:
