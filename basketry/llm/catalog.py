@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import (
     classifier,
     clusters,
+    divergence,
     jaccard,
     licenses,
     packing,
@@ -74,6 +75,10 @@ def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.centroid_clusters(table(spark, sf_dir, "embeddings"))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [f for name, f in sorted(globals().items()) if name.startswith("op") and callable(f)]
     return {f.__name__: f for f in found}
@@ -109,4 +114,5 @@ FROM m
 
 def oracle_sql() -> dict[str, str]:
     return {"op3_license_scans": licenses.licence_sql(), "op9_quality_rules": RULES_SQL,
-            "op11_centroid_clusters": clusters.CLUSTERS_SQL}
+            "op11_centroid_clusters": clusters.CLUSTERS_SQL,
+            "op13_source_divergence": divergence.DIVERGENCE_SQL}
