@@ -13,6 +13,7 @@ from . import (
     jaccard,
     licenses,
     packing,
+    personal,
     rules,
     sharding,
     suffixes,
@@ -75,6 +76,10 @@ def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.centroid_clusters(table(spark, sf_dir, "embeddings"))
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(table(spark, sf_dir, "documents"))
 

@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_number_is_registered():
     numbers = [int(m[1]) for n in E.queries() if (m := re.match(r"op(\d+)_", n))]
-    assert sorted(numbers) == [*range(1, 12), 13] and "pipeline" in E.queries()
+    assert sorted(numbers) == list(range(1, 14)) and "pipeline" in E.queries()
 
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="no test data")
