@@ -29,7 +29,7 @@ from .common import staged
 #: Documents of a language that must hold a term, the unit of shares, and ranks of part ``term``.
 LEAST_DOCS, UNIT, TOP_TERMS = 3, 10**9, 200
 #: Distinct (source, term) that a task counts before it passes them on, and bytes of text cut at once.
-HELD_TERMS, PIECE = 300_000, 1 << 20
+HELD_TERMS, PIECE = 200_000, 1 << 20
 #: Node-ancestor combinations that are computed at once.
 COMBINATIONS = 500_000
 
@@ -99,7 +99,8 @@ def distance(p: Column, q: Column) -> Column:
 
 
 def _distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
-    return (p - q) ** 2 // q
+    apart = p - q
+    return ((apart * apart).view(np.uint64) // q.view(np.uint64)).view(np.int64)  # unsigned division needs no floor
 
 
 def common_starts(lang: np.ndarray, start: np.ndarray, size: np.ndarray, *values: np.ndarray) -> np.ndarray:
@@ -135,9 +136,9 @@ def tree_corrections(lang: np.ndarray, start: np.ndarray, size: np.ndarray, time
             a, x, b, y = p[up], base[up], p[node], base[node]
             to = (_distance(a, b) - _distance(a, y) - _distance(x, b) + _distance(x, y)) * w
             back = (_distance(b, a) - _distance(b, x) - _distance(y, a) + _distance(y, x)) * w
-            g, h = source[up].ravel(), np.broadcast_to(source[node], up.shape).ravel()
-            of = np.repeat(lang[r], depth)
-            yield np.tile(of, 2), np.concatenate((g, h)), np.concatenate((h, g)), np.concatenate((to.ravel(), back.ravel()))
+            g, h, of = source[up].ravel(), np.repeat(source[node[:, 0]], depth), np.repeat(lang[r], depth)
+            yield of, g, h, to.ravel()
+            yield of, h, g, back.ravel()
 
 
 def pair_corrections(patterns: DataFrame) -> DataFrame:
@@ -149,16 +150,20 @@ def pair_corrections(patterns: DataFrame) -> DataFrame:
             size = items.value_lengths().to_numpy().astype(np.int64)
             flat = items.flatten()
             source, count, p, base = (flat.field(k).to_numpy().astype(np.int64) for k in range(4))
-            found = list(tree_corrections(langs.indices.to_numpy().astype(np.int64), np.cumsum(size) - size, size,
-                                          batch.column(2).to_numpy(), source, count, p, base))
-            if not found:
-                continue
-            lang, g, h, value = (np.concatenate(x) for x in zip(*found))
-            keys, place = np.unique(np.stack((lang, g, h)), axis=1, return_inverse=True)
-            total = np.zeros(keys.shape[1], np.int64)
-            np.add.at(total, place.ravel(), value)
+            wide = int(source.max(initial=0)) + 1
+            keys, totals = np.zeros(0, np.int64), np.zeros(0, np.int64)  # (lang, g, h) met so far, ascending, and their sums
+            for lang, g, h, value in tree_corrections(langs.indices.to_numpy().astype(np.int64), np.cumsum(size) - size, size,
+                                                      batch.column(2).to_numpy(), source, count, p, base):
+                key = (lang * wide + g) * wide + h
+                order = np.argsort(key, kind="stable")
+                key = key[order]
+                first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+                keys, place = np.unique(np.concatenate((keys, key[first])), return_inverse=True)
+                more = np.concatenate((totals, np.add.reduceat(value[order], first)))
+                totals = np.zeros(len(keys), np.int64)
+                np.add.at(totals, place, more)
             yield pa.RecordBatch.from_arrays(
-                [langs.dictionary.take(pa.array(keys[0])), pa.array(keys[1]), pa.array(keys[2]), pa.array(total)],
+                [langs.dictionary.take(pa.array(keys // wide // wide)), pa.array(keys // wide % wide), pa.array(keys % wide), pa.array(totals)],
                 names=["lang", "g", "h", "value"])
 
     return patterns.select("lang", "items", "times").mapInArrow(run, "lang string, g long, h long, value long")
@@ -199,7 +204,9 @@ def source_divergence(docs: DataFrame, least_docs: int = LEAST_DOCS, top_terms:
         "lang", "times", F.transform("items", lambda i: F.struct(
             i["o"].alias("o"), i["n"].alias("n"), share(i["n"], F.col("sizes")[i["o"]]["total"]).alias("p"),
             F.col("sizes")[i["o"]]["base"].alias("base"))).alias("items")), "divergence-patterns")
-    both = pair_corrections(patterns.repartitionByRange("lang", "items").sortWithinPartitions("lang", "items"))
+    # rows that begin alike come together; a hash divides those that share their first three entries
+    near = patterns.repartitionByRange("lang", *[F.get("items", F.lit(k))[c] for k in range(3) for c in ("o", "n")], F.xxhash64("items"))
+    both = pair_corrections(near.sortWithinPartitions("lang", "items"))
 
     # terms that one of two sources uses: its distinct counts against the other's base
     levels = (patterns.select("lang", "times", F.explode("items").alias("i"))

@@ -114,9 +114,9 @@ def test_tree_equals_all_pairs_of_entries(seed):
     for lang, g, h, value in divergence.tree_corrections(
             np.array([r[0] for r in rows]), np.cumsum(size) - size, size, np.array(times), np.array([x[1] for x in flat]),
             np.array([x[2] for x in flat]), np.array([known[x] for x in flat]), np.array([base[x[:2]] for x in flat])):
-        combinations += len(value) // 2
+        combinations += len(value)
         for key, v in zip(zip(lang.tolist(), g.tolist(), h.tolist()), value.tolist()):
             got[key] += v
     assert got == want
     nodes = {(lang, items[:k + 1]) for lang, items in rows for k in range(len(items))}
-    assert combinations == sum(len(path) - 1 for _, path in nodes)  # each node meets each ancestor once
+    assert combinations == 2 * sum(len(path) - 1 for _, path in nodes)  # each node meets each ancestor once, both ways
