@@ -23,6 +23,7 @@ from basketry.operators.quantile import exact_quantile
 from basketry.operators.scalars import with_scalars
 from basketry.plans import clean as CL
 from basketry.plans import enrich as EN
+from basketry.plans import source_queries
 from basketry.plans.clean import clean_inventory, clean_orders, clean_reviews
 from basketry.plans.enrich import enrich_inventory, enrich_orders, enrich_reviews
 from basketry.session import scratch_dir
@@ -340,4 +341,5 @@ def queries() -> dict[str, Query]:
     out.update(metric_queries())
     out.update(table_queries())
     out.update(operator_queries())
+    out.update(source_queries.queries())
     return out

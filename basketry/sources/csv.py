@@ -1,38 +1,34 @@
 """Delimited-file source with pandas-compatible parsing rules.
 
-* Every field is read as text (``header``, quoted fields with doubled-quote
-  escapes, quoted newlines via ``multiLine``), then converted to the target
-  schema with non-raising expressions.
+* Records are found by ``sources.records``: a file is read by many tasks, also
+  where quoted fields hold newlines, and every record gets its number in the
+  table (``_seq``, for keep-last dedup). Fields are text at first (quotes
+  removed, doubled quotes halved), then converted to the target schema with
+  non-raising expressions. White-space-only lines are skipped.
 * The pandas default null tokens (``NA``, ``null``, ``n/a``, ``NaN``, ...)
-  become NULL; Spark alone only nulls the empty field.
-* Malformed rows: the parser marks every row whose number of fields differs
-  from the header's and keeps its text; a marked row is long if that text,
-  without its quoted fields, holds as many separators as the header has
-  columns or more, whatever the fields hold. Long rows raise a ``SourceError``
-  or go to quarantine. Short rows are padded with NULLs and kept.
-* Every file's header is checked against the first one's; a file whose columns
-  differ or stand in another order is refused.
+  become NULL.
+* Malformed rows: a row with more fields than the header is long, whatever the
+  fields hold. Long rows raise a ``SourceError`` or go to quarantine. Short
+  rows are padded with NULLs and kept.
+* Every file must have the same header. An empty name becomes ``Unnamed: 3``,
+  a repeated one ``a.1``.
 * Columns that a cleaner coerces (``COERCED``) take the narrowest type that all
   their values have (whole numbers, numbers, else text), so a fill sees what
-  the file holds and the cleaner's coercion comes after it.
-* An empty file, and bytes that are invalid in the declared encoding (decoded
-  by Spark to U+FFFD), raise ``SourceError``.
-* ``_seq`` records the row's position in its file for keep-last dedup.
-* ``multi_line=True`` (default) keeps quoted newlines inside a field, as
-  pandas does; Spark then reads each file as one split. For very large single
-  files whose fields never contain newlines, ``multi_line=False`` lets Spark
-  split the file across tasks (``_seq`` stays ordered through the split's
-  block offset).
-
-Validation runs as ONE aggregate job (long rows + undecodable values), or
-not at all with ``validate=False``; ``malformed="quarantine"`` instead
-returns the long rows as a separate DataFrame, lazily.
+  the file holds and the cleaner's coercion comes after it. With
+  ``infer_types`` columns that the schema doesn't name do so too, booleans
+  included.
+* An empty file, a quote that is never closed, and bytes that are invalid in
+  the declared encoding (checked before decoding) raise ``SourceError``.
+* ``multi_line=False`` ends a record at every newline, quoted or not.
+
+Validation is ONE aggregate job (long rows, types), or none with
+``validate=False``; ``malformed="quarantine"`` instead returns the long rows as
+a separate DataFrame, lazily.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,8 +36,9 @@ from pyspark.sql import types as T
 
 from basketry.errors import SourceError
 from basketry.functions.coerce import numeric_expr
-from basketry.operators.dedup import SEQ, with_scan_order
+from basketry.operators.dedup import SEQ
 from basketry.schemas import COERCED, SCHEMAS, SOURCE_TABLES
+from basketry.sources.records import fields, read_records
 
 # The tokens pandas.read_csv treats as missing by default.
 PANDAS_NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -50,25 +47,9 @@ PANDAS_NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN"
 # Text pandas reads as booleans.
 TRUE_TOKENS = ("True", "TRUE", "true")
 FALSE_TOKENS = ("False", "FALSE", "false")
-ENCODING_ALIASES = {"latin-1": "ISO-8859-1", "latin1": "ISO-8859-1", "l1": "ISO-8859-1",
-                    "utf8": "UTF-8", "utf-8": "UTF-8", "cp1252": "windows-1252"}
-BROKEN = "_broken_row"
-
-
-def _encoding(enc: str) -> str:
-    return ENCODING_ALIASES.get(enc.lower(), enc)
-
-
-def _reader(spark: SparkSession, sep: str, encoding: str, multi_line: bool = True):
-    return (spark.read.option("header", True).option("sep", sep)
-            .option("encoding", _encoding(encoding)).option("quote", '"').option("escape", '"')
-            .option("multiLine", multi_line).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", BROKEN).option("enforceSchema", False))
-
-
-def header_columns(spark: SparkSession, path: str, sep: str = ",", encoding: str = "utf-8") -> list[str]:
-    """Column names from the header line (no data pass, no inference)."""
-    return list(_reader(spark, sep, encoding).csv(path).columns)
+def named(name: str) -> Column:
+    """The column of that name, whatever characters it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def null_tokens(c: Column, tokens=PANDAS_NA_TOKENS) -> Column:
@@ -95,141 +76,141 @@ def typed(c: Column, dtype: T.DataType) -> Column:
     return c.try_cast(dtype)
 
 
-def _fields(record: Column, sep: str) -> Column:
-    """Fields of a raw row: separators outside quotes, and one."""
-    bare = F.regexp_replace(record, '"(?:[^"]|"")*"', "q")
-    return F.size(F.split(bare, "\\Q" + sep + "\\E", -1))
-
-
-def _flagged(spark: SparkSession, path: str, schema: T.StructType | None, sep: str,
-             encoding: str, with_seq: bool, multi_line: bool = True) -> tuple[DataFrame, T.StructType]:
-    """Text columns (null tokens applied) + ``_is_long`` + the raw record."""
-    if spark.read.text(path).limit(1).count() == 0:
-        raise SourceError("layout", path, "empty file, no columns")
-    names = header_columns(spark, path, sep, encoding)
+def _flagged(spark: SparkSession, path: str, schema: T.StructType | None, sep: str, encoding: str,
+             multi_line: bool, validate: bool) -> tuple[DataFrame, T.StructType]:
+    """Text columns (null tokens applied), ``_seq`` and ``_is_long``; the schema in file order."""
+    found = read_records(spark, path, sep, encoding, multi_line, validate)
     # Columns bind by header NAME (as pandas does), in file order; declared
-    # types apply to the columns they name, any other column stays text.
+    # types apply to the columns they name, any other column is text at first.
     declared = {f.name: f.dataType for f in schema.fields} if schema is not None else {}
-    schema = T.StructType([T.StructField(n, declared.get(n, T.StringType()), True) for n in names])
-    # The schema follows the first header and the reader checks it against the
-    # header of every file, so binding by position is exact.
-    text_schema = T.StructType(
-        [T.StructField(f.name, T.StringType(), True) for f in schema.fields]
-        + [T.StructField(BROKEN, T.StringType(), True)])
-    raw = _reader(spark, sep, encoding, multi_line).schema(text_schema).csv(path)
-    if with_seq:
-        raw = with_scan_order(raw, SEQ)
-    cleaned_text = [null_tokens(F.col(f.name)).alias(f.name) for f in schema.fields]
-    # always true, but it needs every column: a pruned scan doesn't see how many fields a row has
-    parsed = reduce(add, [F.coalesce(F.length(F.col(f"`{n}`")), F.lit(0)) for n in names]) >= 0
-    flagged = raw.select(*cleaned_text, *([F.col(SEQ)] if with_seq else []),
-                         (F.coalesce(_fields(F.col(BROKEN), sep) > len(names), F.lit(False)) & parsed).alias("_is_long"))
+    schema = T.StructType([T.StructField(n, declared.get(n, T.StringType()), True) for n in found.names])
+    split = found.rows.select(fields(F.col("record"), sep).alias("_fields"), SEQ)
+    flagged = split.select(*[null_tokens(F.get("_fields", F.lit(k))).alias(n) for k, n in enumerate(found.names)], SEQ,
+                           (F.size("_fields") > len(found.names)).alias("_is_long"))
     return flagged, schema
 
 
-def _problem_counts(flagged: DataFrame, schema: T.StructType) -> list:
-    bad_text = F.lit(False)
-    for f in schema.fields:
-        bad_text = bad_text | F.coalesce(F.col(f.name).contains("\ufffd"), F.lit(False))
-    return [F.count_if("_is_long").alias("long_rows"), F.count_if(bad_text).alias("undecodable")]
+def _problem_counts() -> list[Column]:
+    return [F.count_if("_is_long").alias("long_rows")]
 
 
-def _shape_counts(schema: T.StructType, coerced: tuple[str, ...]) -> list[Column]:
-    """For each coerced column: values that are not numbers, and not whole numbers."""
+def _shape_counts(schema: T.StructType, free: Iterable[str]) -> list[Column]:
+    """For each column typed by its values: values at all, values that are not numbers, not whole numbers, not booleans."""
     out = []
-    for name in coerced:
+    for name in free:
         if name in schema.names:
-            c = F.col(name)
+            c = named(name)
             num = numeric_expr(c, T.StringType())
-            out += [F.count_if(~F.col("_is_long") & c.isNotNull() & num.isNull()).alias(f"_text_{name}"),
-                    F.count_if(~F.col("_is_long") & c.isNotNull() & c.try_cast("bigint").isNull()).alias(f"_part_{name}")]
+            beyond = c.rlike(r"^\s*[+-]?[0-9]+\s*$") & c.try_cast("bigint").isNull()  # whole, but no 64-bit number
+            held = ~F.col("_is_long") & c.isNotNull()
+            out += [F.count_if(held).alias(f"_any_{name}"), F.count_if(held & (num.isNull() | beyond)).alias(f"_text_{name}"),
+                    F.count_if(held & c.try_cast("bigint").isNull()).alias(f"_part_{name}"),
+                    F.count_if(held & ~c.isin(list(TRUE_TOKENS + FALSE_TOKENS))).alias(f"_other_{name}")]
     return out
 
 
-def _narrowed(schema: T.StructType, coerced: tuple[str, ...], counts) -> T.StructType:
-    """``schema`` with each coerced column as wide as its values need; text where they weren't counted."""
+def _narrowed(schema: T.StructType, coerced: Iterable[str], undeclared: Iterable[str], counts) -> T.StructType:
+    """``schema`` with each column typed by its values as wide as they need; text where they weren't counted.
+
+    The lattice: nothing (a DOUBLE column of NULLs, as in pandas), booleans, whole numbers, numbers, text.
+    """
     def kind(f: T.StructField) -> T.DataType:
-        if f.name not in coerced:
+        if f.name not in coerced and f.name not in undeclared:
             return f.dataType
-        if counts is None or counts[f"_text_{f.name}"]:
+        if counts is None:
             return T.StringType()
-        whole = isinstance(f.dataType, T.LongType) and not counts[f"_part_{f.name}"]
+        free = f.name in undeclared
+        if free and not counts[f"_any_{f.name}"]:
+            return T.DoubleType()
+        if free and not counts[f"_other_{f.name}"]:
+            return T.BooleanType()
+        if counts[f"_text_{f.name}"]:
+            return T.StringType()
+        whole = (free or isinstance(f.dataType, T.LongType)) and not counts[f"_part_{f.name}"]
         return T.LongType() if whole else T.DoubleType()
 
     return T.StructType([T.StructField(f.name, kind(f), True) for f in schema.fields])
 
 
+def _free(schema: T.StructType, declared: T.StructType | None, infer_types: bool) -> tuple[str, ...]:
+    known = set(declared.names) if declared is not None else set()
+    return tuple(n for n in schema.names if infer_types and n not in known)
+
+
 def _raise_problems(counts, path: str, sep: str, encoding: str) -> None:
     if counts["long_rows"]:
         raise SourceError("layout", path, f"{counts['long_rows']} rows have more fields than the header "
                                           f"(sep={sep!r}, encoding={encoding})")
-    if counts["undecodable"]:
-        raise SourceError("encoding", path, f"{counts['undecodable']} rows are not valid {encoding}")
 
 
 def _typed_rows(flagged: DataFrame, schema: T.StructType, with_seq: bool) -> DataFrame:
-    return flagged.select(*[typed(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields],
+    return flagged.select(*[typed(named(f.name), f.dataType).alias(f.name) for f in schema.fields],
                           *([F.col(SEQ)] if with_seq else []))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, *,
              sep: str = ",", encoding: str = "utf-8", with_seq: bool = True,
              validate: bool = True, malformed: str = "raise",
-             multi_line: bool = True, coerced: tuple[str, ...] = ()) -> DataFrame | tuple[DataFrame, DataFrame]:
+             multi_line: bool = True, coerced: tuple[str, ...] = (),
+             infer_types: bool = False) -> DataFrame | tuple[DataFrame, DataFrame]:
     """Read one delimited file (or directory) with the rules in the module doc.
 
     ``malformed``: ``"raise"`` (default, source-system behaviour),
     ``"quarantine"`` (returns ``(rows, long_rows)``) or ``"ignore"``.
     ``coerced`` columns are typed by their values, from the validating job;
-    with ``validate=False`` they stay text.
+    with ``validate=False`` they stay text. So are columns that ``schema``
+    doesn't name, with ``infer_types``.
     """
-    flagged, schema = _flagged(spark, path, schema, sep, encoding, with_seq, multi_line)
+    flagged, declared = _flagged(spark, path, schema, sep, encoding, multi_line, validate)
+    free = _free(declared, schema, infer_types)
     counts = None
-    if validate and (malformed == "raise" or coerced):
-        counts = flagged.agg(*_problem_counts(flagged, schema), *_shape_counts(schema, coerced)).first()
+    if validate and (malformed == "raise" or coerced or free):
+        counts = flagged.agg(*_problem_counts(), *_shape_counts(declared, (*coerced, *free))).first()
         if malformed == "raise":
             _raise_problems(counts, path, sep, encoding)
-    schema = _narrowed(schema, coerced, counts)
+    kinds = _narrowed(declared, coerced, free, counts)
     rows = flagged
     if malformed in ("raise", "quarantine"):
         rows = flagged.where(~F.col("_is_long"))
-    out = _typed_rows(rows, schema, with_seq)
+    out = _typed_rows(rows, kinds, with_seq)
     if malformed == "quarantine":
-        return out, _typed_rows(flagged.where(F.col("_is_long")), schema, with_seq)
+        return out, _typed_rows(flagged.where(F.col("_is_long")), kinds, with_seq)
     return out
 
 
 def ingest_csv(spark: SparkSession, path: str, out_path: str, schema: T.StructType | None = None, *,
                sep: str = ",", encoding: str = "utf-8", with_seq: bool = True,
-               multi_line: bool = True, coerced: tuple[str, ...] = ()) -> DataFrame:
+               multi_line: bool = True, coerced: tuple[str, ...] = (), infer_types: bool = False) -> DataFrame:
     """Parse a delimited file ONCE into typed Parquet and return the Parquet table.
 
-    ``coerced`` columns are written as text and counted on the write; the
-    returned table reads them in the type that the counts allow.
+    Columns typed by their values are written as text and counted on the write;
+    the returned table reads them in the type that the counts allow.
 
-    The malformed-row and encoding checks are observed on the write itself
-    (``DataFrame.observe``), so the text is parsed a single time; the error is
+    The malformed-row check is observed on the write itself
+    (``DataFrame.observe``), so fields are parsed a single time; the error is
     raised after the write, before anything reads the staged table.
     """
     from pyspark.sql import Observation
 
-    flagged, schema = _flagged(spark, path, schema, sep, encoding, with_seq, multi_line)
+    flagged, declared = _flagged(spark, path, schema, sep, encoding, multi_line, True)
+    free = _free(declared, schema, infer_types)
     obs = Observation()
-    observed = flagged.observe(obs, *_problem_counts(flagged, schema), *_shape_counts(schema, coerced))
-    as_text = _narrowed(schema, coerced, None)
+    observed = flagged.observe(obs, *_problem_counts(), *_shape_counts(declared, (*coerced, *free)))
+    as_text = _narrowed(declared, coerced, free, None)
     _typed_rows(observed.where(~F.col("_is_long")), as_text, with_seq) \
         .write.mode("overwrite").parquet(out_path)
     counts = obs.get
     _raise_problems(counts, path, sep, encoding)
     return _typed_rows(spark.read.parquet(out_path), T.StructType([
-        f if f.name in coerced else T.StructField(f.name, T.StringType()) for f in _narrowed(schema, coerced, counts).fields]), with_seq)
+        f if f.name in coerced or f.name in free else T.StructField(f.name, T.StringType())
+        for f in _narrowed(declared, coerced, free, counts).fields]), with_seq)
 
 
 def read_source_table(spark: SparkSession, source_dir: str, name: str, *, sep: str = ",",
                       encoding: str = "utf-8", validate: bool = True, multi_line: bool = True) -> DataFrame:
-    """One of the eight logical tables from ``{source_dir}/{stem}.csv``."""
+    """One of the eight logical tables from ``{source_dir}/{stem}.csv``; columns beyond its schema are typed by their values."""
     if not name:
         raise ValueError("source name is required")
     stem = SOURCE_TABLES.get(name, name)
-    return read_csv(spark, f"{source_dir.rstrip('/')}/{stem}.csv", SCHEMAS.get(name),
-                    sep=sep, encoding=encoding, validate=validate, multi_line=multi_line, coerced=COERCED.get(name, ()))
+    return read_csv(spark, f"{source_dir.rstrip('/')}/{stem}.csv", SCHEMAS.get(name), sep=sep, encoding=encoding,
+                    validate=validate, multi_line=multi_line, coerced=COERCED.get(name, ()), infer_types=True)
