@@ -5,7 +5,9 @@ A text's features are indicators of n-grams: bytes (1 to 3), words, and runs of
 slots. Each slot is scaled by the log ratio of its smoothed counts in the two
 classes, counted over all labelled training rows. A linear hinge-loss model is
 fitted on the scaled, length-normalised indicators of a bounded sample by dual
-coordinate descent, and a logistic curve turns margins into scores.
+coordinate descent, and a logistic curve turns margins into scores. The sample
+has the distinct rows of each class up to half of the bound; a row weighs as much
+as the rows that it stands for.
 """
 
 from __future__ import annotations
@@ -19,10 +21,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged, texts
+from .common import map_rows, staged, texts
 
 BUCKETS = 1 << 16
-#: Rows that the linear model is fitted on at most (the log ratios use all).
+#: Distinct rows that the linear model is fitted on at most, half of them for each class (the log ratios use all rows).
 FIT_ROWS = 8_000
 #: Hinge-loss cost, passes of the descent, and smoothing of the counts.
 COST, EPOCHS, SMOOTH = 1.0, 20, 1.0
@@ -93,17 +95,18 @@ def log_ratio(counts: np.ndarray) -> np.ndarray:
 
 
 def dual_coordinate_descent(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, cost: float = COST,
-                            epochs: int = EPOCHS, seed: int = 3) -> tuple[np.ndarray, float]:
-    """Weights over scaled features and the bias of a linear hinge-loss model."""
+                            epochs: int = EPOCHS, seed: int = 3, weight: np.ndarray | None = None) -> tuple[np.ndarray, float]:
+    """Weights over scaled features and the bias of a linear hinge-loss model; a row's loss counts ``weight`` times."""
     rng = np.random.default_rng(seed)
     values = [ratio[s] / (np.sqrt((ratio[s] ** 2).sum()) or 1.0) for s in rows]
     square = np.array([v @ v + 1.0 for v in values])
+    most = cost * (np.ones(len(rows)) if weight is None else weight)
     weights, bias, alpha = np.zeros(len(ratio)), 0.0, np.zeros(len(rows))
     for _ in range(epochs):
         moved = 0.0
         for k in rng.permutation(len(rows)):
             slope = y[k] * (weights[rows[k]] @ values[k] + bias) - 1.0
-            new = min(max(alpha[k] - slope / square[k], 0.0), cost)
+            new = min(max(alpha[k] - slope / square[k], 0.0), most[k])
             step = (new - alpha[k]) * y[k]
             if step:
                 weights[rows[k]] += step * values[k]
@@ -115,15 +118,17 @@ def dual_coordinate_descent(rows: list[np.ndarray], y: np.ndarray, ratio: np.nda
     return weights, bias
 
 
-def logistic_curve(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+def logistic_curve(margin: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> tuple[float, float]:
     """Slope and offset that fit P(class 1) to margins, with softened targets."""
-    pos, neg = (y > 0).sum(), (y < 0).sum()
+    weight = np.ones(len(y)) if weight is None else weight
+    pos, neg = weight[y > 0].sum(), weight[y < 0].sum()
     target = np.where(y > 0, (pos + 1) / (pos + 2), 1 / (neg + 2))
     a, b = 1.0, 0.0
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(a * margin + b, -40, 40)))
-        w = np.maximum(p * (1 - p), 1e-9)
-        gradient = np.array([((p - target) * margin).sum() + 1e-3 * a, (p - target).sum()])
+        w = weight * np.maximum(p * (1 - p), 1e-9)
+        off = weight * (p - target)
+        gradient = np.array([(off * margin).sum() + 1e-3 * a, off.sum()])
         hessian = np.array([[(w * margin * margin).sum() + 1e-3, (w * margin).sum()], [(w * margin).sum(), w.sum() + 1e-6]])
         step = np.linalg.solve(hessian, gradient)
         a, b = a - step[0], b - step[1]
@@ -132,6 +137,26 @@ def logistic_curve(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(float(a), 0.0), float(b)
 
 
+def fit_sample(data: DataFrame, most: int = FIT_ROWS) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """(slots, class as 1 or -1, weight) of at most ``most`` distinct rows of (y, slots), half of them of each class.
+
+    Rows are drawn by a hash of their slots, so all copies of a row are one
+    drawn row. Its weight is its number of copies over the share of its class
+    that was drawn, scaled so that the least is 1: no class is too rare to count.
+    """
+    keyed = data.withColumn("h", F.xxhash64("slots")).withColumn("g", F.xxhash64(F.lit(7), F.col("slots")))
+    held = {r["y"]: r["n"] for r in keyed.groupBy("y", "h", "g").agg(F.count(F.lit(1)).alias("k")).groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    half, rows = most // 2, []
+    for y in sorted(held):
+        share = min(1.0, 0.9 * half / held[y]) if held[y] > half else 1.0
+        place = F.pmod(F.col("h"), F.lit(1 << 32))
+        picked = (keyed.where((F.col("y") == y) & (place < int(share * (1 << 32)))).groupBy("h", "g")
+                  .agg(F.first("slots").alias("slots"), F.count(F.lit(1)).alias("n")).orderBy("h", "g").limit(half))
+        rows += [(r["slots"], 1.0 if y else -1.0, r["n"] / share) for r in picked.collect()]
+    weight = np.array([w for _, _, w in rows])
+    return [np.frombuffer(s, "<u2").astype(np.int64) for s, _, _ in rows], np.array([y for _, y, _ in rows]), weight / weight.min()
+
+
 def fold(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))), F.lit(FOLDS))
 
@@ -176,17 +201,12 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality") -> Model
         share = (good + SMOOTH) / (good + bad + 2 * SMOOTH)
         return Model(np.zeros(BUCKETS), np.zeros(BUCKETS), 0.0, 0.0, float(np.log(share) - np.log1p(-share)))
     ratio = log_ratio(counts[:BUCKETS])
-    # an even hash sample, sized to stay below the bound
-    share = min(1.0, 0.95 * FIT_ROWS / (good + bad)) if good + bad > FIT_ROWS else 1.0
-    place = F.pmod(F.xxhash64("doc_id", "slots"), F.lit(1 << 32))
-    sample = sorted(data.where(place < int(share * (1 << 32))).collect(), key=lambda r: (r["doc_id"], r["slots"]))[:FIT_ROWS]
-    found = [np.frombuffer(r["slots"], "<u2").astype(np.int64) for r in sample]
-    y = np.array([1.0 if r["y"] else -1.0 for r in sample])
-    weights, bias = dual_coordinate_descent(found, y, ratio)
+    found, y, weight = fit_sample(data.select("y", "slots"))
+    weights, bias = dual_coordinate_descent(found, y, ratio, weight=weight)
     model = Model(weights * ratio, ratio, bias, 1.0, 0.0)
     length = [np.sqrt((ratio[s] ** 2).sum()) or 1.0 for s in found]
     margin = np.array([model.weights[s].sum() / n + bias for s, n in zip(found, length)])
-    slope, offset = logistic_curve(margin, y)
+    slope, offset = logistic_curve(margin, y, weight)
     return Model(weights * ratio, ratio, bias, slope, offset)
 
 
@@ -206,7 +226,10 @@ def scores(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataF
 
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """Rows of ``docs``, all columns, whose text scores ``threshold`` or more."""
+    """Rows of ``docs``, all columns, whose text scores ``threshold`` or more.
+
+    A null text is scored as an empty one; repeated rows all stay or all go.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
@@ -216,4 +239,4 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Da
             good = [sent.value.score(features(t or "")) >= threshold for t in batch.column(at).to_pylist()]
             yield batch.filter(pa.array(good, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_rows(docs, run, docs.schema)

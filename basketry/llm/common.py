@@ -51,6 +51,28 @@ def released(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """``names``, each with as many underscores before it as it takes to be none of ``columns`` (in any case)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def quoted(columns: list[str]) -> list[Column]:
+    """Columns by name, whatever characters the names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in columns]
+
+
+def map_rows(df: DataFrame, run, schema: T.StructType) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` for columns of any name, dots included: ``run`` sees and gives them by position."""
+    plain = T.StructType([T.StructField(f"c{k}", f.dataType, f.nullable) for k, f in enumerate(schema.fields)])
+    return df.toDF(*[f"c{k}" for k in range(len(df.columns))]).mapInArrow(run, plain).toDF(*schema.names)
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once (a one-element transform)."""
     return F.transform(F.array(value), body)[0]

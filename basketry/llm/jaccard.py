@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LAST_ID, components, staged, texts
+from .common import LAST_ID, components, quoted, staged, texts, unused
 
 #: Words of a shingle; links need COMMON / UNION >= 4 / 5.
 SHINGLE = 5
@@ -281,13 +281,15 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     Empty texts link with nothing and stay, one for each doc_id and text, all without an id.
     """
     _, final = _linked_sets(docs)
+    # private columns beside those of docs, whatever their names
+    key, own = unused(docs.columns, "id", "th")
     kept = (final.groupBy("comp").agg(_smallest().alias("rep"))
-            .select(F.struct("rep.doc_id").alias("_id"), F.col("rep.th").alias("_th")))
+            .select(F.struct("rep.doc_id").alias(key), F.col("rep.th").alias(own)))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     empty = F.translate(text, " \t\n\r\x0b\x0c", "") == ""
     # a struct of nulls equals another in a join, a null does not
-    keyed = docs.where(~empty).withColumns({"_id": F.struct(F.col("doc_id").cast("long").alias("doc_id")), "_th": F.xxhash64(text)})
-    named = keyed.join(kept, ["_id", "_th"], "left_semi").dropDuplicates(["_id", "_th", "text"]).select(*docs.columns)
+    keyed = docs.where(~empty).withColumns({key: F.struct(F.col("doc_id").cast("long").alias("doc_id")), own: F.xxhash64(text)})
+    named = keyed.join(kept, [key, own], "left_semi").dropDuplicates([key, own, "text"]).select(*quoted(docs.columns))
     bare = docs.where(empty)
     return (named.unionByName(bare.where("doc_id is not null").dropDuplicates(["doc_id", "text"]))
             .unionByName(bare.where("doc_id is null")))

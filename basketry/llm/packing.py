@@ -62,6 +62,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
                         out["ids"].append(full[first + at:first + at + size].tobytes())
                 yield pa.RecordBatch.from_pydict(out, schema=pa.schema([
                     ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())]))
+        enc.forget()
 
     return texts(docs).mapInArrow(cut, PIECES)
 

@@ -17,7 +17,7 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, staged
+from .common import let, quoted, staged, unused
 
 #: White space that separates words.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -160,8 +160,18 @@ def cascade(docs: DataFrame, rules: list[Rule] = RULES, text_col: str = "text",
         lambda name: F.col(name) if name in counted else METRICS[name](text), order, rules))
 
 
+def keep_passing(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
+    """Rows of ``docs``, all columns, whose text fails no rule. A null or empty text fails ``few_words``; repeated rows all stay."""
+    failed, = unused(docs.columns, "failed_rule")
+    return cascade(docs, rules, out_col=failed).where(F.col(failed).isNull()).select(*quoted(docs.columns))
+
+
 def quality_digest(docs: DataFrame) -> DataFrame:
-    """Every document's base metrics, whether a base rule fails, and the cascade's verdict."""
+    """Every document's base metrics, whether a base rule fails, and the cascade's verdict.
+
+    A null text counts as empty; repeated rows and null ids each give a row; an
+    empty table gives none. Other columns are not read.
+    """
     order = rule_order(docs)
     text = F.coalesce(F.col("text"), F.lit(""))
     counted = docs.select("doc_id", "text", *(METRICS[m](text).alias(m) for m in RETURNED))

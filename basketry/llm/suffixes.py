@@ -33,7 +33,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LAST_ID, staged, texts
+from .common import LAST_ID, map_rows, quoted, staged, texts, unused
 
 LENGTH = 50
 GRAM = 16
@@ -381,9 +381,12 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     A character stays whole if one of its bytes stays. Rows whose text goes
     altogether are dropped; empty texts stay.
     """
-    keyed = docs.withColumns({"_at": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), "_text": F.coalesce("text", F.lit(""))})
-    keyed = keyed.withColumns({"t1": F.xxhash64("_text"), "t2": F.xxhash64(F.lit(7), F.col("_text"))})
-    rows = keyed.join(window_masks(docs, length), ["t1", "t2"]).select(*docs.columns, (F.col("_at") > F.col("least")).alias("_copy"), F.col("marks").alias("_marks"))
+    # private columns beside those of docs, whatever their names
+    t1, t2, least, marked, own_at, own_text, is_copy = unused(docs.columns, "t1", "t2", "least", "marks", "at", "plain", "copy")
+    keyed = docs.withColumns({own_at: F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), own_text: F.coalesce("text", F.lit(""))})
+    keyed = keyed.withColumns({t1: F.xxhash64(own_text), t2: F.xxhash64(F.lit(7), F.col(own_text))})
+    masks = window_masks(docs, length).select(F.col("t1").alias(t1), F.col("t2").alias(t2), F.col("least").alias(least), F.col("marks").alias(marked))
+    rows = keyed.join(masks, [t1, t2]).select(*quoted(docs.columns), (F.col(own_at) > F.col(least)).alias(is_copy), F.col(marked))
     names = docs.columns
     at, chars = names.index("text"), names.index("n_chars") if "n_chars" in names else None
 
@@ -410,10 +413,11 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             columns[at] = pa.array(kept, pa.string())
             if chars is not None:
                 columns[chars] = pa.array([n if t is None else len(t) for t, n in zip(kept, columns[chars].to_pylist())], columns[chars].type)
-            yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(columns, names=[f"c{k}" for k in range(len(names))]).filter(pa.array(keep, pa.bool_()))
 
-    return rows.mapInArrow(cut, docs.schema)
+    return map_rows(rows, cut, docs.schema)
 
 
 def repeat_digest(docs: DataFrame) -> DataFrame:
+    """``repeated_spans`` without the spans; nulls, empty and repeated rows as there."""
     return repeated_spans(docs).drop("spans")

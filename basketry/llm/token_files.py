@@ -226,7 +226,7 @@ def write_files(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = E
 
         for batch in batches:
             doc_ids, rows = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in in_batches(rows, 1_000_000):
+            for a, b in in_batches(rows):
                 ids, counts = enc.encode(rows[a:b])
                 held.append(np.insert(ids, np.cumsum(counts), end_id).astype(np.uint32))
                 sizes.append(counts + 1)
@@ -235,6 +235,7 @@ def write_files(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = E
                     yield close()
         if names:
             yield close()
+        enc.forget()
 
     rows = texts(docs)
     mix = F.xxhash64("text")

@@ -1,7 +1,9 @@
 """Unigram segmentation with a SentencePiece vocabulary, and its inverse.
 
 The pieces of a model file are laid out as a double-array trie over UTF-8
-bytes, with their scores as log scores. A text's spaces become whitespace
+bytes, with log scores. A file of merges holds ranks in the place of scores, so
+``learned`` counts the pieces that the file's own encoder uses over all
+documents; a piece's score is the logarithm of its share. A text's spaces become whitespace
 markers, one marker leads the text, and the best-scoring sequence of pieces is
 found by Viterbi; of equal scores the one whose last piece is longer wins. A
 character that no piece covers costs ``UNKNOWN`` below the lowest score and is
@@ -15,14 +17,18 @@ Viterbi runs over many chunks side by side.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import texts
 from .tokens import in_batches
@@ -30,6 +36,8 @@ from .tokens import in_batches
 MARK = "▁"
 #: How far below the lowest piece an uncovered character scores.
 UNKNOWN = 10.0
+#: Added to every piece's count.
+SMOOTH = 0.5
 CACHE_CHUNKS = 800_000
 _CHUNKS = re.compile(r" *[^ ]+| +$")
 
@@ -105,14 +113,19 @@ class Vocabulary:
         self.trie = DoubleArray({p.encode(): i for p, (i, _) in pieces.items()})
 
     @classmethod
-    def load(cls, path: str) -> "Vocabulary":
+    def load(cls, path: str, counts: dict[int, int] | None = None) -> "Vocabulary":
+        """Pieces of a model file, scored by the logarithm of their smoothed shares in ``counts``, else as the file says."""
         from sentencepiece import SentencePieceProcessor
 
         sp = SentencePieceProcessor(model_file=path)
         ids = range(sp.get_piece_size())
         byte_ids = {sp.id_to_piece(i): i for i in ids if sp.is_byte(i)}
-        pieces = {sp.id_to_piece(i): (i, sp.get_score(i)) for i in ids
-                  if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))}
+        usual = [i for i in ids if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
+        score = {i: sp.get_score(i) for i in usual}
+        if counts is not None:
+            total = sum(counts.get(i, 0) for i in usual) + SMOOTH * len(usual)
+            score = {i: math.log((counts.get(i, 0) + SMOOTH) / total) for i in usual}
+        pieces = {sp.id_to_piece(i): (i, score[i]) for i in usual}
         return cls(pieces, [byte_ids[f"<0x{b:02X}>"] for b in range(256)])
 
     def segment(self, chunks: list[bytes]) -> list[list[int]]:
@@ -216,15 +229,51 @@ class Encoder:
         return [np.concatenate([self.known[c] for c in parts]) if parts else np.zeros(0, np.int32) for parts in cut]
 
 
+#: Counts of pieces by id, as (id, count) pairs; None stands for the scores of the file.
+Counts = tuple[tuple[int, int], ...] | None
+
+
 @lru_cache(maxsize=1)
-def _encoder(path: str) -> Encoder:
-    return Encoder(Vocabulary.load(path))
+def _encoder(path: str, counts: Counts = None) -> Encoder:
+    return Encoder(Vocabulary.load(path, None if counts is None else dict(counts)))
+
+
+@lru_cache(maxsize=1)
+def _own_encoder(path: str):
+    from sentencepiece import SentencePieceProcessor
+
+    return SentencePieceProcessor(model_file=path)
+
 
+def learned(docs: DataFrame, model_path: str) -> Counts:
+    """How often the file's own encoder uses each piece, over the words of all documents.
 
-def encode(docs: DataFrame, model_path: str) -> DataFrame:
+    A word is counted with the space before it; of neighbouring spaces and
+    literal markers only the words between them count. Tasks number the distinct
+    words of a batch and encode each once; the driver gets a row for each piece.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = _own_encoder(model_path)
+        total = np.zeros(own.get_piece_size(), np.int64)
+        for batch in batches:
+            rows = batch.column(1).to_pylist()
+            for a, b in in_batches(rows):
+                words = pc.value_counts(pc.split_pattern(pa.array(rows[a:b], pa.large_string()), " ").flatten())
+                text, times = words.field(0).to_pylist(), words.field(1).to_numpy()
+                ids = own.encode([w if w and MARK not in w else "" for w in text], num_threads=1)
+                sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+                np.add.at(total, np.fromiter(chain.from_iterable(ids), np.int64, int(sizes.sum())), np.repeat(times, sizes))
+        met = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(total[met])], names=["piece", "n"])
+
+    found = texts(docs).mapInArrow(run, "piece long, n long").groupBy("piece").agg(F.sum("n").alias("n")).collect()  # at most the vocabulary
+    return tuple(sorted((r["piece"], r["n"]) for r in found))
+
+
+def encode(docs: DataFrame, model_path: str, counts: Counts = None) -> DataFrame:
     """(doc_id, ids) of every row; null and empty texts have no ids, long texts are encoded whole."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _encoder(model_path)
+        enc = _encoder(model_path, counts)
         for batch in batches:
             doc_ids, rows = batch.column(0), batch.column(1).to_pylist()
             for a, b in in_batches(rows, 1_000_000):
@@ -251,14 +300,16 @@ def decode(rows: DataFrame, model_path: str) -> DataFrame:
     return rows.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def segmentation_digest(docs: DataFrame, model_path: str) -> DataFrame:
-    """Encode and decode every document in one pass.
+def segmentation_digest(docs: DataFrame, model_path: str, counts: Counts = None) -> DataFrame:
+    """Encode and decode every document, with scores learned from them unless ``counts`` are given.
 
     (doc_id, n_pieces, n_byte_pieces, ids_crc32 of the ids as little-endian
     unsigned 32-bit, round_trip: whether decoding gives the text back).
     """
+    counts = learned(docs, model_path) if counts is None else counts
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _encoder(model_path)
+        enc = _encoder(model_path, counts)
         vocabulary = enc.vocabulary
         spelled = {i: t.replace(MARK.encode(), b" ") for i, t in vocabulary.text.items()}
         spelled |= {i: bytes([b]) for b, i in enumerate(vocabulary.byte_ids)}
@@ -274,5 +325,6 @@ def segmentation_digest(docs: DataFrame, model_path: str) -> DataFrame:
                     "ids_crc32": [zlib.crc32(x.astype("<u4").tobytes()) for x in ids], "round_trip": same},
                     schema=pa.schema([("doc_id", pa.int64()), ("n_pieces", pa.int64()), ("n_byte_pieces", pa.int64()),
                                       ("ids_crc32", pa.int64()), ("round_trip", pa.bool_())]))
+        enc.known = {}  # nothing of a task stays beside other operators
 
     return texts(docs).mapInArrow(run, "doc_id long, n_pieces long, n_byte_pieces long, ids_crc32 long, round_trip boolean")

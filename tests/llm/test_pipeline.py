@@ -82,3 +82,19 @@ def test_stages_keep_columns_and_take_edges(spark, docs):
             assert out.columns == frame.columns
             out.count()
         P.STAGES[-1][1](spark, rows, SF).count()
+
+
+def test_stages_leave_columns_of_any_name_alone(spark):
+    import corpus_pipeline as P
+
+    names = ["t1", "t2", "least", "marks", "_at", "at", "_text", "plain", "copy", "_copy", "_marks", "_id", "id", "_th", "th", "_failed_rule", "failed_rule",
+             "comp", "n", "vid", "rank", "a.b", "score", "Held_Out"]
+    text = "plain words of a text that a reader likes to see on many pages of a book and of another one"
+    rows = [(k, f"{text} number {k} and {k * 7}, then more of it for everyone here" if k % 3 else text) for k in range(9)]
+    frame = spark.createDataFrame([(i, t, *[f"{n} {i}" for n in names]) for i, t in rows], "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, frame, SF)
+        assert out.columns == frame.columns
+        found = out.collect()
+        assert found and all(r[n] == f"{n} {r.doc_id}" for r in found for n in names)
+    P.STAGES[-1][1](spark, frame, SF).count()

@@ -1,6 +1,7 @@
 """Unigram segmentation against plain dynamic programming, and exact round trips."""
 
 import math
+import os
 from functools import lru_cache
 
 import public_tokenizers
@@ -98,3 +99,57 @@ def test_frames(docs):
     back = sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in U.decode(U.encode(frame, PATH), PATH).collect())
     assert back == sorted((i is None, i or 0, t or "") for i, t in rows)
     assert U.segmentation_digest(frame.where("false"), PATH).count() == 0
+
+
+SF = "/root/testdata/sf0.001"
+
+
+def library_unigram(counts):
+    """The library's own unigram model over the same pieces and scores."""
+    from sentencepiece import SentencePieceProcessor, sentencepiece_model_pb2
+
+    own = U.Vocabulary.load(PATH, dict(counts))
+    model = sentencepiece_model_pb2.ModelProto()
+    with open(PATH, "rb") as f:
+        model.ParseFromString(f.read())
+    model.trainer_spec.model_type = sentencepiece_model_pb2.TrainerSpec.UNIGRAM
+    byte = set(own.byte_ids)
+    for i, piece in enumerate(model.pieces):
+        if i in own.text and i not in byte:
+            piece.score = float(own.score[i])
+    return SentencePieceProcessor(model_proto=model.SerializeToString())
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="no test data")
+def test_learned_scores_against_the_librarys_unigram(spark):
+    from collections import Counter
+
+    from sentencepiece import SentencePieceProcessor
+
+    frame = spark.read.parquet(f"{SF}/documents.parquet").repartition(3)
+    rows = [r.text or "" for r in frame.collect()]
+    counts = U.learned(frame, PATH)
+    own, want = SentencePieceProcessor(model_file=PATH), Counter()
+    for t in rows:
+        for w in t.split(" "):
+            if w and U.MARK not in w:
+                want.update(own.encode(w))
+    assert dict(counts) == want
+    vocabulary, library = U.Vocabulary.load(PATH, dict(counts)), library_unigram(counts)
+    found = U.Encoder(vocabulary).encode(rows)
+    for t, ids in zip(rows, found):
+        theirs = library.encode(t)
+        if ids.tolist() != theirs:  # a tie, or the library's single precision: the scores are the same
+            assert sum(vocabulary.score[ids]) == pytest.approx(sum(vocabulary.score[theirs]), rel=1e-6)
+    assert sum(x.tolist() == library.encode(t) for x, t in zip(found, rows)) > 0.9 * len(rows)
+    # about as many pieces as the file's own encoder needs
+    assert sum(map(len, found)) <= 1.01 * sum(len(own.encode(t)) for t in rows)
+    words = Counter(w for t in rows for w in t.split(" ") if w)
+    same = sum(n for (w, n), ids in zip(words.items(), U.Encoder(vocabulary).encode(list(words))) if ids.tolist() == own.encode(w))
+    assert same > 0.75 * sum(words.values())
+    assert vocabulary.decode(U.Encoder(vocabulary).encode(["Hello world"])[0].tolist()) == "Hello world"
+
+
+def test_scores_without_documents(docs):
+    assert U.learned(docs([]), PATH) == () and U.learned(docs([(1, None), (2, "  ")]), PATH) == ()
+    assert U.segmentation_digest(docs([(1, None), (2, " x ")]), PATH).where("round_trip").count() == 2
