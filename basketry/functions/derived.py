@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from basketry.functions.semantics import col_, false_if_null, safe_div
+from basketry.functions.semantics import col_, false_if_null, nan_to_null, safe_div
 
 # Fixed values of the source system.
 HIGH_DISCOUNT_PERCENT = 20
@@ -56,11 +56,11 @@ def avg_item_price(total="total_amount", items="items_count") -> Column:
 
 
 def is_low_stock(qty="quantity", min_level="min_stock_level") -> Column:
-    return false_if_null(col_(qty) <= col_(min_level))
+    return false_if_null(nan_to_null(qty) <= nan_to_null(min_level))
 
 
 def is_overstock(qty="quantity", max_level="max_stock_level") -> Column:
-    return false_if_null(col_(qty) >= col_(max_level))
+    return false_if_null(nan_to_null(qty) >= nan_to_null(max_level))
 
 
 def stock_gap(qty="quantity", min_level="min_stock_level") -> Column:
@@ -74,11 +74,11 @@ def comment_length(comment="comment") -> Column:
 
 
 def is_positive(rating="rating") -> Column:
-    return false_if_null(col_(rating) >= POSITIVE_RATING)
+    return false_if_null(nan_to_null(rating) >= POSITIVE_RATING)
 
 
 def is_negative(rating="rating") -> Column:
-    return false_if_null(col_(rating) <= NEGATIVE_RATING)
+    return false_if_null(nan_to_null(rating) <= NEGATIVE_RATING)
 
 
 def status_in(status, values) -> Column:

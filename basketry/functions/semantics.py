@@ -5,9 +5,10 @@ results depend on with JVM-side expressions only (no Python UDF):
 
 * comparisons with a missing operand are False, never NULL;
 * division by zero yields NULL instead of an ANSI error;
-* money sums do not depend on task order: each value is summed as a
-  DECIMAL(38,6), and what that form cannot hold (digits past the sixth, huge
-  values, infinity) is summed apart as DOUBLE and added, so nothing is cut;
+* money sums of six-decimal amounts do not depend on task order: each value is
+  summed as a DECIMAL, and what that form cannot hold (digits past the sixth,
+  huge values, infinity) is summed apart as DOUBLE and added, so nothing is cut
+  (``operators.exact_sum`` depends on no order at all);
 * NaN is treated as missing.
 """
 
@@ -17,7 +18,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MONEY_DECIMAL = T.DecimalType(38, 6)
+MONEY_DECIMAL = T.DecimalType(24, 6)  # sums of it have 38 digits: they hold 10^14 values
 
 
 def col_(c) -> Column:
@@ -43,12 +44,12 @@ def safe_div(num, den) -> Column:
 def money_sum(c) -> Column:
     """Sum of a DOUBLE amount as DOUBLE; order-independent for values of up to six decimals.
 
-    The part of each value that DECIMAL(38,6) holds is summed exactly; the rest
+    The part of each value that the DECIMAL holds is summed exactly; the rest
     (0.0 for six-decimal amounts, the whole value for infinity) is a DOUBLE
-    sum. NULL-only groups give NULL; wrap in ``coalesce(..., 0)`` where the
+    sum. NaN is missing. NULL-only groups give NULL; wrap in ``coalesce(..., 0)`` where the
     sum of nothing is zero.
     """
-    x = col_(c).cast("double")
+    x = nan_to_null(col_(c).cast("double"))
     held = x.try_cast(MONEY_DECIMAL)
     rest = x - F.coalesce(held.cast("double"), F.lit(0.0))
     return F.coalesce(F.sum(held).cast("double"), F.lit(0.0)) + F.sum(rest)
@@ -62,7 +63,7 @@ def missing(c, dtype: T.DataType) -> Column:
 
 def money_mean(c) -> Column:
     """Mean of a DOUBLE amount via the exact sum; NULL if no values."""
-    return safe_div(money_sum(c), F.count(col_(c)))
+    return safe_div(money_sum(c), F.count(nan_to_null(col_(c).cast("double"))))
 
 
 def rate(pred: Column) -> Column:

@@ -4,7 +4,7 @@ All are group-bys with partial aggregation (a hot key is combined map-side
 before the shuffle) or global folds. Conventions shared by every metric:
 
 * NULL group keys are dropped before grouping (pandas ``groupby``);
-* money sums are exact decimal sums returned as DOUBLE, 0 for an empty group;
+* money sums are exact (``exact_sum``) and returned as DOUBLE, 0 for an empty group; NaN is missing;
 * "first" of a column that is functionally dependent on the group key (a
   joined dimension attribute) is ``min`` — deterministic and partial-aggregable;
 * top-N is ``orderBy(...).limit(n)`` (TakeOrderedAndProject: each task keeps
@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketry.functions import derived as D
-from basketry.functions.semantics import money_mean, money_sum, rate, safe_div
+from basketry.functions.semantics import false_if_null, nan_to_null, rate, safe_div
+from basketry.operators.exact_sum import Partial, exact_mean, exact_sums, is_decimal
 from basketry.operators.quantile import exact_quantile
 from basketry.operators.scalars import join_row
 from basketry.session import materialize
@@ -35,26 +36,28 @@ RATING_BY_PRODUCT_MIN_DEFAULT = 5  # operator default
 TOP_REVIEWED_PRODUCTS_N = 20
 
 
-def _amount_sum(df: DataFrame, c: str) -> Column:
-    if isinstance(df.schema[c].dataType, T.DecimalType):
-        return F.coalesce(F.sum(c).cast("double"), F.lit(0.0))
-    return F.coalesce(money_sum(c), F.lit(0.0))
+def _summed(df: DataFrame, keys: list[str], name: str, amount: str, others: dict[str, Partial]) -> DataFrame:
+    """Groups with the exact sum of an amount, 0 for nothing, and other aggregates."""
+    if is_decimal(df, amount):
+        return df.groupBy(*keys).agg(F.coalesce(F.sum(amount).cast("double"), F.lit(0.0)).alias(name), *[one.alias(k) for k, (one, _) in others.items()])
+    return exact_sums(df, keys, {name: amount}, others).select(*keys, F.coalesce(name, F.lit(0.0)).alias(name), *others)
+
+
+def _keyed(df: DataFrame, key: str) -> DataFrame:
+    return df.where(F.col(key).isNotNull())
 
 
 def _grouped(df: DataFrame, key: str):
-    return df.where(F.col(key).isNotNull()).groupBy(key)
+    return _keyed(df, key).groupBy(key)
 
 
 # ------------------------------------------------------------- customers --
 def top_spenders(eo: DataFrame, top_n: int = TOP_SPENDERS_N,
                  percentile: float | None = TOP_SPENDERS_PERCENTILE) -> DataFrame:
     """Customers above the spend ``percentile`` (exact, interpolated), top N by spend."""
-    g = _grouped(eo, "customer_id").agg(
-        F.count("order_id").alias("total_orders"),
-        _amount_sum(eo, "total_amount").alias("total_spent"),
-        F.max("order_date").alias("last_order_date"),
-        F.min("email").alias("email"),
-    ).withColumn("avg_ticket", safe_div("total_spent", "total_orders"))
+    g = (_summed(_keyed(eo, "customer_id"), ["customer_id"], "total_spent", "total_amount", {
+        "total_orders": (F.count("order_id"), F.sum), "last_order_date": (F.max("order_date"), F.max), "email": (F.min("email"), F.min)})
+        .select("customer_id", "total_orders", "total_spent", "last_order_date", "email", safe_div("total_spent", "total_orders").alias("avg_ticket")))
     if percentile is not None:
         # the per-customer table feeds the ranking and four quantile passes:
         # compute it once (one row per customer, a fraction of the orders)
@@ -73,7 +76,7 @@ def recurring_customers(eo: DataFrame, min_orders: int = RECURRING_MIN_ORDERS) -
 
 
 def average_ticket(eo: DataFrame) -> DataFrame:
-    return eo.agg(F.coalesce(money_mean("total_amount"), F.lit(0.0)).alias("average_ticket"))
+    return exact_sums(eo, [], {"total": "total_amount"}).select(F.coalesce(exact_mean("total"), F.lit(0.0)).alias("average_ticket"))
 
 
 # -------------------------------------------------------------- products --
@@ -88,10 +91,7 @@ def _top_products(items: DataFrame, products: DataFrame, top_n: int, by: str,
     is therefore never shuffled; the fact table is aggregated once (the N
     rows are checkpointed).
     """
-    g = _grouped(items, "product_id").agg(
-        F.sum("quantity").alias("total_units"),
-        _amount_sum(items, "subtotal").alias("revenue"),
-    )
+    g = _summed(_keyed(items, "product_id"), ["product_id"], "revenue", "subtotal", {"total_units": (F.sum("quantity"), F.sum)})
     order = [F.col(by).desc_nulls_last(), F.col("product_id").asc()]
     # the N ranked rows feed both the result and the name filter: computed once
     top = materialize(g.orderBy(*order).limit(top_n))
@@ -120,10 +120,8 @@ def items_per_order(order_items: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------------------- sales --
 def monthly_sales(eo: DataFrame) -> DataFrame:
-    return (_grouped(eo, "order_month").agg(
-        _amount_sum(eo, "total_amount").alias("total_revenue"),
-        F.count("order_id").alias("orders"),
-    ).orderBy("order_month"))
+    return _summed(_keyed(eo, "order_month"), ["order_month"], "total_revenue", "total_amount",
+                   {"orders": (F.count("order_id"), F.sum)}).orderBy("order_month")
 
 
 def promotion_usage_rate(eo: DataFrame) -> DataFrame:
@@ -155,20 +153,23 @@ def delivery_rate(eo: DataFrame) -> DataFrame:
 
 def in_progress_backlog(eo: DataFrame) -> DataFrame:
     live = eo.where(D.status_in("status", D.IN_PROGRESS_STATUSES))
-    return (_grouped(live, "order_month").agg(
-        F.count("order_id").alias("backlog_orders"),
-        _amount_sum(eo, "total_amount").alias("backlog_value"),
-    ).orderBy("order_month"))
+    return (_summed(_keyed(live, "order_month"), ["order_month"], "backlog_value", "total_amount", {"backlog_orders": (F.count("order_id"), F.sum)})
+            .select("order_month", "backlog_orders", "backlog_value").orderBy("order_month"))
 
 
 def order_rates(eo: DataFrame) -> DataFrame:
     """The four global order ratios in one pass (A3, A7, A9, A10 together)."""
-    return eo.agg(
-        F.coalesce(money_mean("total_amount"), F.lit(0.0)).alias("average_ticket"),
-        F.avg(F.col("used_promotion").cast("int")).alias("promotion_usage_rate"),
-        rate(F.lower("status") == D.CANCELLED_STATUS).alias("cancellation_rate"),
-        rate(F.lower("status") == D.DELIVERED_STATUS).alias("delivery_rate"),
-    )
+    def yes(pred: Column) -> Partial:
+        return F.sum(pred.cast("int")), F.sum
+
+    used = F.col("used_promotion")
+    found = exact_sums(eo, [], {"total": "total_amount"}, {
+        "used": yes(used), "used_n": (F.count(used), F.sum), "rows": (F.count(F.lit(1)), F.sum),
+        "cancelled": yes(false_if_null(F.lower("status") == D.CANCELLED_STATUS)),
+        "delivered": yes(false_if_null(F.lower("status") == D.DELIVERED_STATUS))})
+    return found.select(
+        F.coalesce(exact_mean("total"), F.lit(0.0)).alias("average_ticket"), safe_div("used", "used_n").alias("promotion_usage_rate"),
+        safe_div("cancelled", "rows").alias("cancellation_rate"), safe_div("delivered", "rows").alias("delivery_rate"))
 
 
 # ------------------------------------------------------------- inventory --
@@ -220,7 +221,7 @@ def warehouse_utilization(ei: DataFrame) -> DataFrame:
 # --------------------------------------------------------------- reviews --
 def rating_overview(er: DataFrame) -> DataFrame:
     return er.agg(
-        F.avg("rating").alias("average_rating"),
+        F.avg(nan_to_null("rating")).alias("average_rating"),
         F.avg(F.col("is_positive").cast("int")).alias("positive_rate"),
         F.avg(F.col("is_negative").cast("int")).alias("negative_rate"),
         F.count(F.lit(1)).alias("review_count"),
@@ -231,7 +232,7 @@ def rating_by_product(er: DataFrame, min_reviews: int = RATING_BY_PRODUCT_MIN_DE
                       top_n: int = TOP_REVIEWED_PRODUCTS_N) -> DataFrame:
     g = _grouped(er, "product_id").agg(
         F.min("product_name").alias("product_name"),
-        F.avg("rating").alias("average_rating"),
+        F.avg(nan_to_null("rating")).alias("average_rating"),
         F.count("review_id").alias("review_count"),
         F.avg(F.col("is_positive").cast("int")).alias("positive_rate"),
     )
@@ -244,5 +245,5 @@ def rating_by_product(er: DataFrame, min_reviews: int = RATING_BY_PRODUCT_MIN_DE
 def monthly_review_volume(er: DataFrame) -> DataFrame:
     return (_grouped(er, "review_month").agg(
         F.count("review_id").alias("volume"),
-        F.avg("rating").alias("average_rating"),
+        F.avg(nan_to_null("rating")).alias("average_rating"),
     ).orderBy("review_month"))

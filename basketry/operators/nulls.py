@@ -1,8 +1,8 @@
 """Null-handling strategies (drop / zero / string / mean / median / mode).
 
 A fill plan is an ordered ``{column: NullStrategy}``. All statistics a plan
-needs are computed as one-row DataFrames (means in one partial aggregate,
-mode with two partial aggregations, median with :func:`exact_quantile`) and
+needs are computed as one-row DataFrames (means with :func:`exact_sums`, mode
+with two partial aggregations, medians with :func:`exact_quantiles`) and
 referenced as a scalar subquery, so the whole step stays one lazy plan with
 no join and no driver round trip.
 """
@@ -18,8 +18,9 @@ from pyspark.sql import types as T
 from basketry.errors import RuleViolation
 from basketry.functions.coerce import numeric_expr
 from basketry.functions.derived import FILL_STRING_VALUE
-from basketry.functions.semantics import missing, money_sum, nan_to_null, safe_div
-from basketry.operators.quantile import exact_quantile
+from basketry.functions.semantics import missing, nan_to_null
+from basketry.operators.exact_sum import exact_mean, exact_sums
+from basketry.operators.quantile import exact_quantiles
 from basketry.operators.scalars import attach, with_scalars
 
 
@@ -43,11 +44,11 @@ def _keep_after_drops(df: DataFrame, drops: list[str]) -> Column:
     return cond
 
 
-def _fill_parts(df: DataFrame, plan: dict[str, NullStrategy]) -> tuple[list[Column], list[DataFrame]]:
-    """Mean aggregates (plain, fusable into any aggregate over ``df``) and
-    one-row frames for median / mode statistics."""
+def _fill_parts(df: DataFrame, plan: dict[str, NullStrategy]) -> tuple[dict[str, Column], list[DataFrame]]:
+    """The values that each mean is taken of, and one-row frames of the median and mode statistics."""
     drops: list[str] = []
-    mean_aggs: list[Column] = []
+    means: dict[str, Column] = {}
+    medians: dict[str, tuple[Column, float]] = {}
     frames: list[DataFrame] = []
     for c, strategy in plan.items():
         if c not in df.columns:
@@ -57,15 +58,14 @@ def _fill_parts(df: DataFrame, plan: dict[str, NullStrategy]) -> tuple[list[Colu
         if strategy is NullStrategy.DROP:
             drops.append(c)
         elif strategy is NullStrategy.FILL_MEAN:
-            num = F.when(keep, numeric_expr(F.col(c), dtype))
-            mean_aggs.append(safe_div(money_sum(num), F.count(num))
-                             .alias(_stat_name(c)))
+            means[_stat_name(c)] = F.when(keep, numeric_expr(F.col(c), dtype))
         elif strategy is NullStrategy.FILL_MEDIAN:
-            src = df.where(keep).select(numeric_expr(F.col(c), dtype).alias(c))
-            frames.append(exact_quantile(src, c, 0.5, alias=_stat_name(c)))
+            medians[_stat_name(c)] = (F.when(keep, numeric_expr(F.col(c), dtype)), 0.5)
         elif strategy is NullStrategy.FILL_MODE:
             frames.append(mode_value(df.where(keep), c, alias=_stat_name(c)))
-    return mean_aggs, frames
+    if medians:
+        frames.insert(0, exact_quantiles(df, medians))
+    return means, frames
 
 
 def _one_row(df: DataFrame, aggs: list[Column], frames: list[DataFrame]) -> DataFrame | None:
@@ -80,11 +80,13 @@ def fill_statistics(df: DataFrame, plan: dict[str, NullStrategy]) -> DataFrame |
 
     Statistics see the rows that survive DROP steps listed *before* their
     column, as the sequential source semantics require, and include duplicate
-    rows (fills run before dedup). Means are exact decimal sums / counts; all
-    means come from a single aggregate pass.
+    rows (fills run before dedup). Means are exact sums / counts; all means come
+    from one pass, all medians from two.
     """
-    mean_aggs, frames = _fill_parts(df, plan)
-    return _one_row(df, mean_aggs, frames)
+    means, frames = _fill_parts(df, plan)
+    if means:
+        frames.insert(0, exact_sums(df, [], means).select(*[exact_mean(c).alias(c) for c in means]))
+    return _one_row(df, [], frames)
 
 
 def mode_value(df: DataFrame, column: str, alias: str = "mode") -> DataFrame:
@@ -146,7 +148,7 @@ def fill_report(df: DataFrame, plan: dict[str, NullStrategy],
                 extra: dict[str, Column] | None = None) -> DataFrame:
     """Per filled column: nulls before, nulls after, filled count (one row each).
 
-    Null counts and mean statistics come from ONE aggregate over the input
+    Null counts come from ONE aggregate over the input
     (``extra`` aggregates by name — e.g. key-null counts — ride along and
     are repeated on every row); median/mode statistics add their own small passes. The
     nulls-after count follows from the statistic: a mean/median fill leaves
@@ -162,8 +164,10 @@ def fill_report(df: DataFrame, plan: dict[str, NullStrategy],
         aggs.append(F.count_if(missing(c, dtype)).alias(f"_b_{c}"))
         if s in (NullStrategy.FILL_MEAN, NullStrategy.FILL_MEDIAN):
             aggs.append(F.count_if(numeric_expr(F.col(c), dtype).isNull()).alias(f"_cn_{c}"))
-    mean_aggs, frames = _fill_parts(df, plan)
-    counts = _one_row(df, aggs + mean_aggs + [e.alias(n) for n, e in extra.items()], frames)
+    means, frames = _fill_parts(df, plan)
+    # whether there is a mean is all that counts here
+    there = [F.when(F.count(nan_to_null(v.cast("double"))) > 0, F.lit(0.0)).alias(c) for c, v in means.items()]
+    counts = _one_row(df, aggs + there + [e.alias(n) for n, e in extra.items()], frames)
     extra_names = list(extra)
     rows = []
     for c, s in plan.items():

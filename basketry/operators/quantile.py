@@ -1,105 +1,110 @@
-"""Exact quantile (linear interpolation) without one task holding every value.
+"""Exact quantiles (linear interpolation) without one task holding every value.
 
 ``percentile``/``median``/``mode`` keep a map of every distinct value in one
 final buffer; for a global aggregate that buffer lands in a single task and
-grows with the data. This operator stays exact with bounded per-task state:
-
-1. values are pre-aggregated to (value, multiplicity) with a partial
-   aggregate, so a value held by a third of all rows is one row;
-2. ``percentile_approx`` (bounded sketch, relative rank error 1/accuracy)
-   brackets the target rank between two values a <= b, widened by one
-   distinct value on each side (the interpolation needs the neighbours at
-   floor and ceil of the position, which the sketch alone can miss by one
-   rank);
-3. the rows below ``a`` are only counted; the distinct values inside
-   [a, b] (about 6/accuracy of the data) are cut into ``BINS`` ranges of
-   value, ranked in each with a running sum over the totals before it, and the two neighbours of the target rank are interpolated.
-
-If the bracket ever missed the target the query fails through ``raise_error``
-instead of returning a wrong number.
+grows with the data. Here any number of columns and probabilities share two
+scans with bounded per-task state:
+
+1. one aggregate sketches every column (``percentile_approx``, bounded, relative
+   rank error 1/accuracy) and cuts the surroundings of each wanted rank at
+   ``CUTS`` steps of that error: a histogram that is fine where it matters;
+2. one group-by counts, for each wanted rank, the values below and above its cuts
+   (one row a task) and every distinct value between them (about 6/accuracy of
+   the data). The cuts divide those evenly by rank, whatever their spread; each
+   part is divided again by value, ranked alone, and starts at the total of the
+   parts before it.
+
+The two neighbours of the rank are interpolated. The sketch can be one rank off
+where there are few values, so the largest value below and the smallest above
+count for the ranks next to the cuts. If a rank still lay outside, the query
+fails through ``raise_error`` instead of returning a wrong number.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.operators.scalars import join_row
+from basketry.functions.semantics import col_, nan_to_null
+from basketry.operators.scalars import attach
 
 DEFAULT_ACCURACY = 10000
-#: Ranges of value that the candidates are ranked in.
-BINS = 1024
+#: Cuts around a rank, one step of the sketch's error apart, and parts by value between two of them.
+CUTS, SLOTS = 7, 128
 
 
 def exact_quantile(df: DataFrame, column: str, p: float, alias: str = "quantile",
                    accuracy: int = DEFAULT_ACCURACY, materialize: bool = False) -> DataFrame:
-    """One-row DataFrame with the exact ``p`` quantile of ``column``.
+    """One-row DataFrame with the exact ``p`` quantile of ``column``; see ``exact_quantiles``.
+
+    ``materialize=True`` checkpoints the single value column first, for an input
+    that is an expensive plan.
+    """
+    if materialize:
+        from basketry.session import materialize as _materialize
+        df = _materialize(df.select(column))
+    return exact_quantiles(df, {alias: (column, p)}, accuracy)
+
+
+def exact_quantiles(df: DataFrame, wanted: dict[str, tuple[str | Column, float]],
+                    accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+    """One row with a column for each alias: the exact quantile of (column, probability).
 
     Same definition as pandas ``Series.quantile`` / Spark ``percentile`` /
     DuckDB ``quantile_cont``: position ``p * (n - 1)`` over the sorted
-    non-null values, linear interpolation between its two neighbours. NULL
-    when there are no values.
-
-    The input is read four times (sketch, value counts, rank below, candidate
-    ranking); pass a materialised input, or ``materialize=True`` to
-    checkpoint the single value column first when the input is an expensive
-    plan.
+    non-null values (NaN is missing), linear interpolation between its two
+    neighbours. NULL when there are no values. The input is read twice.
     """
-    if not 0.0 <= p <= 1.0:
+    if not wanted:
+        raise ValueError("no quantile is wanted")
+    if not all(0.0 <= p <= 1.0 for _, p in wanted.values()):
         raise ValueError("p must be within [0, 1]")
-    eps = 3.0 / accuracy
-    v = F.col("_v")
-    vals = df.select(F.col(column).cast("double").alias("_v")).where(v.isNotNull() & ~F.isnan(v))
-    if materialize:
-        from basketry.session import materialize as _materialize
-        vals = _materialize(vals)
-    stats = vals.agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx(v, F.lit(max(0.0, p - eps)), F.lit(accuracy)).alias("_a"),
-        F.percentile_approx(v, F.lit(min(1.0, p + eps)), F.lit(accuracy)).alias("_b"),
-    ).withColumn("_pos", F.lit(p) * (F.col("_n") - 1))
-    distinct = vals.groupBy("_v").agg(F.count(F.lit(1)).alias("_c"))
-    # One aggregate over the distinct values: the bracket's neighbours (largest
-    # value below a, smallest above b) and the row count below the widened lower
-    # end (rows below a, minus the multiplicity of that lower neighbour).
-    below_a = F.col("_v") < F.col("_a")
-    edges = (join_row(distinct, stats)
-             .agg(F.max(F.when(below_a, v)).alias("_a_prev"),
-                  F.max_by(F.col("_c"), F.when(below_a, v)).alias("_c_prev"),
-                  F.coalesce(F.sum(F.when(below_a, F.col("_c"))), F.lit(0)).alias("_below_a"),
-                  F.min(F.when(v > F.col("_b"), v)).alias("_b_next")))
-    bounds = (join_row(stats, edges).select(
-        "_n", "_pos",
-        F.coalesce(F.col("_a_prev"), F.col("_a")).alias("_a"),
-        F.coalesce(F.col("_b_next"), F.col("_b")).alias("_b"),
-        (F.col("_below_a") - F.coalesce(F.col("_c_prev"), F.lit(0))).alias("_below")))
-    cand = (join_row(distinct, bounds)
-            .where((v >= F.col("_a")) & (v <= F.col("_b"))))
-    # Candidates are cut into BINS ranges of value; each is ranked alone and
-    # starts at the total of the ranges before it (a table of BINS rows).
-    share = F.try_divide(v - F.col("_a"), F.col("_b") - F.col("_a"))
-    bin_of = F.least(F.lit(BINS - 1), F.greatest(F.lit(0), F.coalesce(F.floor(F.nanvl(share, F.lit(0.0)) * BINS), F.lit(0))))
-    cand = cand.withColumn("_bin", bin_of)
-    before = Window.orderBy("_bin")
-    starts = (cand.groupBy("_bin").agg(F.sum("_c").alias("_m"))
-              .select("_bin", (F.sum("_m").over(before) - F.col("_m")).alias("_start")))
-    w = Window.partitionBy("_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (cand.join(starts, "_bin")
-              .withColumn("_cum", F.col("_below") + F.col("_start") + F.sum("_c").over(w))
-              .withColumn("_prev", F.col("_cum") - F.col("_c")))
-    lo = F.floor(F.col("_pos"))
-    hi = F.ceil(F.col("_pos"))
-    picked = ranked.agg(
-        F.max(F.when((F.col("_prev") <= lo) & (lo < F.col("_cum")), v)).alias("_lo"),
-        F.max(F.when((F.col("_prev") <= hi) & (hi < F.col("_cum")), v)).alias("_hi"),
-        F.max(F.col("_pos") - lo).alias("_frac"),
-        F.max("_n").alias("_n"),
-    )
-    interp = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(
-        F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac"))
-    out = (F.when(F.col("_n").isNull(), F.lit(None).cast("double"))
-           .when(F.col("_lo").isNull() | F.col("_hi").isNull(),
-                 F.raise_error(F.lit("exact_quantile: approximate bracket missed the target rank"))
-                 .cast("double"))
-           .otherwise(interp))
-    return picked.select(out.alias(alias))
+    names: dict[str, str] = {}
+    for c, _ in wanted.values():
+        names.setdefault(str(c), f"_v{len(names)}")
+    of = {str(c): c for c, _ in wanted.values()}
+    vals = df.select(*[nan_to_null(col_(of[k]).cast("double")).alias(n) for k, n in names.items()])
+    asked = [(alias, names[str(c)], float(p)) for alias, (c, p) in wanted.items()]
+    steps = [(k - CUTS // 2) / accuracy for k in range(CUTS)]
+    sketch = vals.agg(*[
+        F.percentile_approx(n, F.array(*[F.lit(min(1.0, max(0.0, p + s))) for _, m, p in asked if m == n for s in steps]),
+                            F.lit(accuracy)).alias(n) for n in names.values()])
+    place = {alias: sum(m == n for _, m, _ in asked[:k]) * CUTS + 1 for k, (alias, n, _) in enumerate(asked)}
+    held = attach(vals, sketch, "_s").select(F.explode(F.array(*[
+        F.struct(F.lit(k).alias("q"), F.col(n).alias("v"), F.slice(F.col(f"_s.{n}"), place[alias], CUTS).alias("cuts"))
+        for k, (alias, n, _) in enumerate(asked)])).alias("r")).select("r.*").where("v is not null")
+
+    # 0: below the cuts, CUTS + 1: above, else between two of them
+    v, cuts = F.col("v"), F.col("cuts")
+    part = F.when(v > F.element_at(cuts, CUTS), F.lit(CUTS + 1)).otherwise(F.size(F.filter(cuts, lambda c: c <= v)))
+    inside = F.col("part").between(1, CUTS)
+    low, high = F.get(cuts, F.col("part") - 1), F.get(cuts, F.col("part"))
+    spread = F.nanvl(F.try_divide(v - low, high - low), F.lit(0.0)) * SLOTS
+    slot = F.when(inside & (F.abs(high - low) < float("inf")), F.least(F.floor(F.coalesce(spread, F.lit(0.0))), F.lit(SLOTS - 1)))
+    cells = (held.withColumn("part", part).withColumn("slot", F.coalesce(slot, F.lit(0)).cast("int"))
+             .groupBy("q", "part", "slot", F.when(inside, v).alias("value"))
+             .agg(F.count(F.lit(1)).alias("n"), F.max("v").alias("most"), F.min("v").alias("least")))
+
+    before = Window.partitionBy("q").orderBy("part", "slot").rowsBetween(Window.unboundedPreceding, -1)
+    parts = cells.groupBy("q", "part", "slot").agg(F.sum("n").alias("m")).select(
+        "q", "part", "slot", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("start"), F.sum("m").over(Window.partitionBy("q")).alias("all"))
+    upto = Window.partitionBy("q", "part", "slot").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    end = F.col("start") + F.sum("n").over(upto)
+    # below the cuts only the last rank is known, above them only the first
+    ranked = cells.join(parts, ["q", "part", "slot"]).select(
+        "q", "all", F.when(F.col("part") == 0, F.col("most")).when(F.col("part") == CUTS + 1, F.col("least")).otherwise(F.col("value")).alias("value"),
+        F.when(F.col("part") == 0, end - 1).otherwise(end - F.col("n")).alias("first"),
+        F.when(F.col("part") == CUTS + 1, F.col("start") + 1).otherwise(end).alias("end"))
+    position = F.element_at(F.array(*[F.lit(p) for _, _, p in asked]), F.col("q") + 1) * (F.col("all") - 1)
+    value = F.col("value")
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("first") <= rank) & (rank < F.col("end")), value))
+
+    position_ = F.col("position")
+    picked = (ranked.withColumn("position", position).groupBy("q")
+              .agg(at(F.floor(position_)).alias("lo"), at(F.ceil(position_)).alias("hi"), F.max(position_ - F.floor(position_)).alias("share")))
+    lo, hi = F.col("lo"), F.col("hi")
+    out = (F.when(lo.isNull() | hi.isNull(), F.raise_error(F.lit("exact_quantiles: the sketch missed a rank")).cast("double"))
+           .when(lo == hi, lo).otherwise(lo + (hi - lo) * F.col("share")))
+    return picked.select("q", out.alias("value")).agg(*[F.max(F.when(F.col("q") == k, F.col("value"))).alias(alias) for k, (alias, _, _) in enumerate(asked)])

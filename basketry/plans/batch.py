@@ -13,9 +13,10 @@ Shape of the Spark jobs:
    its CSV is rendered from the written Parquet (no recompute). The four order
    ratios come from one pass.
 
-All tables are written under the run's own folder. Only when every check and
-write has succeeded are they moved to the zones, table by table; a run that
-fails leaves the zones as they were.
+All tables are written under the run's own folder, the ingested raw tables too.
+Only when every check and write has succeeded does one switch publish them
+(``plans.publish``); a run that fails or is killed leaves readers on the version
+before.
 
 Uniqueness of the dedup key is guaranteed by keep-last and is not re-checked
 on the written tables (an enrichment join may legitimately fan rows out).
@@ -33,6 +34,7 @@ from basketry.operators import metrics as M
 from basketry.operators import quality as Q
 from basketry.plans import clean as C
 from basketry.plans import enrich as EN
+from basketry.plans import publish as P
 from basketry.plans.enrich import enrich_inventory, enrich_orders, enrich_reviews
 from basketry.sources.sinks import write_csv, write_parquet, written_tables_size
 
@@ -154,27 +156,9 @@ METRIC_SOURCE = {
 ORDER_RATES = ("average_ticket", "promotion_usage_rate", "cancellation_rate", "delivery_rate")
 
 
-def _move_tables(spark: SparkSession, run_dir: str, out: str) -> None:
-    """Replace the zones' tables by the run's, through the file system that holds them."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path
-    fs = path(out).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for zone in ("processed", "output"):
-        for fmt in ("parquet", "csv"):
-            source = path(f"{run_dir}/{zone}/{fmt}")
-            if not fs.exists(source):
-                continue
-            for entry in fs.listStatus(source):
-                target = path(f"{out}/{zone}/{fmt}/{entry.getPath().getName()}")
-                fs.mkdirs(target.getParent())
-                fs.delete(target, True)
-                if not fs.rename(entry.getPath(), target):
-                    raise OSError(f"could not move {entry.getPath()} to {target}")
-
-
-def _drop_folder(spark: SparkSession, folder: str) -> None:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def run_folder(out_dir: str, run_id: str) -> str:
+    """Where a run writes until it is published."""
+    return f"{out_dir.rstrip('/')}/_runs/{run_id}"
 
 
 def run_batch(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
@@ -186,12 +170,13 @@ def run_batch(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
     ``load_csv``: rows and seconds) and one ``files`` row per written table
     (``rows`` holds the part-file count, ``seconds`` the size in MB).
 
-    Layout under ``out_dir``: ``processed/parquet/{t}_enriched``,
-    ``processed/csv/{t}_enriched``, ``output/{fmt}/{metric}``, ``run_metrics``.
+    Layout of a version (``publish.version``, ``publish.read_table``):
+    ``processed/parquet/{t}_enriched``, ``processed/csv/{t}_enriched``,
+    ``output/{fmt}/{metric}``; beside the versions, ``run_metrics``.
     """
     run_id = run_id or uuid.uuid4().hex[:12]
     published = out_dir.rstrip("/")
-    out = f"{published}/_runs/{run_id}"
+    out = run_folder(published, run_id)
     log: list[tuple] = []
 
     def note(stage, table, rows, started):
@@ -273,11 +258,11 @@ def run_batch(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
             for f in [rates, *pending]:
                 f.cancel()
             pool.shutdown(wait=True)
-            _drop_folder(spark, out)
+            P.drop(spark, out)
             raise
     # post-load profile of every written table: one file-listing job
     sizes = {r["target"]: (r["files"], r["file_size_mb"])
-             for r in written_tables_size(spark, out).where("target not like '%/work/%'").collect()}
+             for r in written_tables_size(spark, out).where("target not like '%/work/%' and target not like '%/raw/%'").collect()}
     for target, (files, mb) in sorted(sizes.items()):
         rel = target.split(f"{out}/", 1)[-1] if f"{out}/" in target else target
         log.append((run_id, "files", rel, int(files), float(mb), _dt.datetime.now()))
@@ -285,8 +270,8 @@ def run_batch(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
     metrics_df = spark.createDataFrame(
         log, "run_id string, stage string, table string, rows bigint, seconds double, "
              "recorded_at timestamp")
-    _move_tables(spark, out, published)
-    _drop_folder(spark, out)
+    P.drop(spark, f"{out}/work")
+    P.publish(spark, published, run_id, out)
     metrics_df.coalesce(1).write.mode("append").parquet(f"{published}/run_metrics")
     return metrics_df
 
@@ -334,5 +319,10 @@ def ingest_sources(spark: SparkSession, source_dir: str, out_dir: str, sep: str
 def run_batch_from_csv(spark: SparkSession, source_dir: str, out_dir: str, *, sep: str = ",", encoding: str = "utf-8",
                        multi_line: bool = True, **kw) -> DataFrame:
     """Full run from the CSV raw zone: ingest -> clean -> enrich -> metrics -> load."""
-    tables = ingest_sources(spark, source_dir, out_dir, sep, encoding, multi_line)
-    return run_batch(spark, tables, out_dir, **kw)
+    run_id = kw.pop("run_id", None) or uuid.uuid4().hex[:12]
+    try:
+        tables = ingest_sources(spark, source_dir, run_folder(out_dir, run_id), sep, encoding, multi_line)
+    except BaseException:
+        P.drop(spark, run_folder(out_dir, run_id))
+        raise
+    return run_batch(spark, tables, out_dir, run_id=run_id, **kw)

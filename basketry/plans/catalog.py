@@ -19,13 +19,14 @@ from basketry.operators import quality as Q
 from basketry.operators.dedup import dedup_report, keep_last
 from basketry.operators.nulls import NullStrategy, fill_nulls, fill_report
 from basketry.operators.profile import profile
-from basketry.operators.quantile import exact_quantile
+from basketry.operators.quantile import exact_quantiles
 from basketry.operators.scalars import with_scalars
 from basketry.plans import clean as CL
 from basketry.plans import enrich as EN
-from basketry.plans import source_queries
+from basketry.plans import date_queries, number_queries, source_queries
 from basketry.plans.clean import clean_inventory, clean_orders, clean_reviews
 from basketry.plans.enrich import enrich_inventory, enrich_orders, enrich_reviews
+from basketry.plans.publish import read_table
 from basketry.session import scratch_dir
 from basketry.schemas import COERCED, SCHEMAS
 from basketry.sources.csv import ingest_csv, read_csv
@@ -179,10 +180,9 @@ def _parquet_roundtrip(s, d):
 
 def _quantiles(s, d):
     o = _raw_orders(s, d)
-    frames = [exact_quantile(o, "total_amount", p, alias=name) for name, p in QUANTILES]
     items = DriverViews(s, d).order_items()
-    frames.append(exact_quantile(items, "quantity", 0.5, alias="quantity_p50"))
-    return with_scalars(frames[0], *frames[1:])
+    return with_scalars(exact_quantiles(o, {name: ("total_amount", p) for name, p in QUANTILES}),
+                        exact_quantiles(items, {"quantity_p50": ("quantity", 0.5)}))
 
 
 def _dim_checks(s, d):
@@ -210,7 +210,7 @@ def batch_output_dir(s, d) -> str:
 
 
 def _batch_output(zone: str, table: str):
-    return lambda s, d: s.read.parquet(f"{batch_output_dir(s, d)}/{zone}/parquet/{table}")
+    return lambda s, d: read_table(s, batch_output_dir(s, d), f"{zone}/parquet/{table}")
 
 
 BATCH_OUTPUTS = {
@@ -342,4 +342,6 @@ def queries() -> dict[str, Query]:
     out.update(table_queries())
     out.update(operator_queries())
     out.update(source_queries.queries())
+    out.update(number_queries.queries())
+    out.update(date_queries.queries())
     return out

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from basketry.errors import RuleViolation
 from basketry.functions.coerce import coerce_columns
+from basketry.operators.datetimes import coerce_datetimes, infer_layouts
 from basketry.functions.semantics import missing
 from basketry.operators import quality as Q
 from basketry.operators.dedup import SEQ, keep_last
@@ -152,10 +153,12 @@ def _clean(df: DataFrame, *, keys, fill, key_col, ids, numeric, dates, rules,
     _require_order(df, order)
     if check:
         precheck(df, keys, fill)
+    layouts = infer_layouts(df, dates, order)
     out = fill_nulls(df, fill)
     out = keep_last(out, key_col, order).drop(order)
-    out = coerce_columns(out, numeric=numeric, dates=dates, ids=ids)
-    return out
+    out = coerce_columns(out, numeric=numeric, ids=ids)
+    # dates in the column's own layout, or in an ISO one
+    return coerce_datetimes(out, dates, layouts=layouts, iso_too=True)
 
 
 def clean_orders(df: DataFrame, check: bool = True, order: str = SEQ) -> DataFrame:

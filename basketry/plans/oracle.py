@@ -5,7 +5,7 @@ from __future__ import annotations
 from basketry.operators import quality as Q
 from basketry.plans import clean as CL
 from basketry.plans import enrich as EN
-from basketry.plans import source_queries
+from basketry.plans import date_queries, number_queries, source_queries
 from basketry.plans.oracle_ctes import AMOUNT_COLUMNS, msum, to_number, to_timestamp, with_ctes
 
 _SPEND = f"COALESCE({msum('total_amount')}, 0.0)"
@@ -356,4 +356,4 @@ def oracle_sql() -> dict[str, str]:
     out = {}
     for k, v in {**METRIC_SQL, **TABLE_SQL, **OPERATOR_SQL, **BATCH_SQL}.items():
         out[k] = with_ctes(v)
-    return out | source_queries.oracle_sql()
+    return out | source_queries.oracle_sql() | number_queries.oracle_sql() | date_queries.oracle_sql()

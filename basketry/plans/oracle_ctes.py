@@ -3,16 +3,15 @@
 Independent SQL statements of the same semantics as the Spark operators,
 written against the driver's pre-registered tables. Each block is a CTE
 with its dependencies; ``with_ctes`` emits the blocks a final SELECT needs in
-dependency order. Money sums follow the same exact-decimal rule as the Spark
-side (SUM over DECIMAL(38,6) as DOUBLE, plus the sum of what that form cuts).
+dependency order. Money sums are sums of the amounts' shortest decimal texts
+(of up to 15 decimals), rounded once by parsing the sum's text.
 """
 
 from __future__ import annotations
 
 import re
 
-MSUM = ("(CAST(SUM(CAST({x} AS DECIMAL(38,6))) AS DOUBLE)"
-        " + SUM(CAST({x} AS DOUBLE) - CAST(CAST({x} AS DECIMAL(38,6)) AS DOUBLE)))")
+MSUM = "CAST(CAST(SUM(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,15))) AS VARCHAR) AS DOUBLE)"
 
 
 def msum(x: str) -> str:

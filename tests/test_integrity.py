@@ -13,6 +13,7 @@ from basketry.operators import quality as Q
 from basketry.operators.dedup import keep_last
 from basketry.operators.nulls import NullStrategy, fill_nulls, fill_report
 from basketry.operators.quantile import exact_quantile
+from basketry.plans import publish
 from basketry.plans.batch import run_batch
 from basketry.plans.clean import clean_inventory, clean_orders, clean_reviews
 from basketry.schemas import COERCED, SCHEMAS
@@ -125,7 +126,7 @@ def test_failed_run_leaves_the_zones(spark, batch_tables, tmp_path):
     run_batch(spark, batch_tables, out, formats=("parquet",))
 
     def read():
-        return {t: sorted(map(str, spark.read.parquet(f"{out}/{t}").collect()))
+        return {t: sorted(map(str, publish.read_table(spark, out, t).collect()))
                 for t in ("processed/parquet/orders_enriched", "output/parquet/monthly_sales", "output/parquet/delivery_rate")}
 
     before = read()
@@ -137,6 +138,43 @@ def test_failed_run_leaves_the_zones(spark, batch_tables, tmp_path):
     assert os.listdir(f"{out}/_runs") == []
 
 
+@pytest.mark.parametrize("step", ["place", "switch"])
+def test_a_killed_publish_leaves_readers_on_the_old_run(spark, batch_tables, tmp_path, monkeypatch, step):
+    out = str(tmp_path / "out")
+    tables = ("processed/parquet/orders_enriched", "output/parquet/monthly_sales", "output/parquet/average_ticket")
+
+    def read():
+        return {t: sorted(map(str, publish.read_table(spark, out, t).collect())) for t in tables}
+
+    run_batch(spark, batch_tables, out, formats=("parquet",), run_id="first")
+    before = read()
+    more = dict(batch_tables, orders=batch_tables["orders"].withColumn("total_amount", F.lit(5.0)))
+    with monkeypatch.context() as m:
+        def killed(*args):
+            raise KeyboardInterrupt
+
+        m.setattr(publish, step, killed)
+        with pytest.raises(KeyboardInterrupt):
+            run_batch(spark, more, out, formats=("parquet",), run_id="second")
+    assert read() == before and publish.version(spark, out).endswith("/first")
+    run_batch(spark, more, out, formats=("parquet",), run_id="third")
+    assert publish.version(spark, out).endswith("/third") and read() != before
+    publish.prune(spark, out, orphans=True)
+    assert sorted(os.listdir(f"{out}/_versions")) == ["first", "third"] and os.listdir(f"{out}/_runs") == []
+
+
+def test_old_versions_go(spark, tmp_path):
+    out = str(tmp_path)
+    assert publish.version(spark, out) is None
+    for k in range(5):
+        spark.range(k).write.parquet(f"{out}/_runs/r{k}/output/t")
+        publish.publish(spark, out, f"r{k}", f"{out}/_runs/r{k}")
+        assert publish.read_table(spark, out, "output/t").count() == k
+    assert sorted(os.listdir(f"{out}/_versions")) == ["r2", "r3", "r4"]
+    with pytest.raises(FileExistsError):
+        publish.place(spark, out, "r4", f"{out}/_runs/r4")
+
+
 def test_private_scratch_is_for_local_masters(spark, monkeypatch):
     class Context:
         master = "spark://host:7077"
