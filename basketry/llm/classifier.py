@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, staged, texts
+from .common import map_rows, released, staged_at, texts
 
 BUCKETS = 1 << 16
 #: Distinct rows that the linear model is fitted on at most, half of them for each class (the log ratios use all rows).
@@ -180,7 +180,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality") -> Model
                 found = [features(t).astype("<u2").tobytes() for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(found, pa.binary())], names=["doc_id", "y", "slots"])
 
-    data = staged(rows.select("doc_id", "text", "y").mapInArrow(slots, "doc_id long, y int, slots binary"), "quality-slots")
+    data, path = staged_at(rows.select("doc_id", "text", "y").mapInArrow(slots, "doc_id long, y int, slots binary"), "quality-slots")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros((2, BUCKETS), np.int64), np.zeros(2, np.int64)
@@ -198,10 +198,12 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality") -> Model
     counts[counted["slot"].to_numpy()] = counted[["good", "bad"]].to_numpy()
     good, bad = counts[BUCKETS]
     if not good or not bad:
+        released(docs.sparkSession, path)
         share = (good + SMOOTH) / (good + bad + 2 * SMOOTH)
         return Model(np.zeros(BUCKETS), np.zeros(BUCKETS), 0.0, 0.0, float(np.log(share) - np.log1p(-share)))
     ratio = log_ratio(counts[:BUCKETS])
     found, y, weight = fit_sample(data.select("y", "slots"))
+    released(docs.sparkSession, path)
     weights, bias = dual_coordinate_descent(found, y, ratio, weight=weight)
     model = Model(weights * ratio, ratio, bias, 1.0, 0.0)
     length = [np.sqrt((ratio[s] ** 2).sum()) or 1.0 for s in found]

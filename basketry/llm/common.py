@@ -107,7 +107,7 @@ def components(edges: DataFrame, name: str = "cc") -> DataFrame:
     longest path. Each round is staged, so a lost executor re-reads it.
     A vertex of any degree is handled by a partial ``min`` and a plain join.
     """
-    cur = staged(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    cur, path = staged_at(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                  .where("u <> v").distinct(), f"{name}-0")
     step = 0
     while True:
@@ -115,18 +115,20 @@ def components(edges: DataFrame, name: str = "cc") -> DataFrame:
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = (both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .where("u <> v").distinct())
-        down = staged(large, f"{name}-{step}l")
+        down, down_path = staged_at(large, f"{name}-{step}l")
         low = down.groupBy("u").agg(F.min("v").alias("m"))
         small = (down.join(low, "u").select(F.explode(F.array(
             F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
             .select("e.u", "e.v").where("u <> v").distinct())
-        nxt = staged(small, f"{name}-{step}s")
+        nxt, nxt_path = staged_at(small, f"{name}-{step}s")
+        for old in (path, down_path):  # nothing reads them any more
+            released(edges.sparkSession, old)
         step += 1
         # stars have one parent for each child, and no parent is a child
         left = nxt.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
         state = (left.join(nxt.select(F.col("v").alias("u")).distinct().withColumn("p", F.lit(1)), "u", "left")
                  .where("n > 1 or p is not null").limit(1).count())
-        cur = nxt
+        cur, path = nxt, nxt_path
         if not state:
             break
     return cur.select(F.col("u").alias("id"), F.col("v").alias("component_id")).unionByName(

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LAST_ID, components, quoted, staged, texts, unused
+from .common import LAST_ID, components, quoted, released, staged, staged_at, texts, unused
 
 #: Words of a shingle; links need COMMON / UNION >= 4 / 5.
 SHINGLE = 5
@@ -172,16 +172,23 @@ def _smallest() -> Column:
     return F.min(F.struct(F.coalesce("doc_id", F.lit(LAST_ID)).alias("at"), F.col("doc_id").isNull().alias("unnamed"), "doc_id", "th"))
 
 
-def _linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Every row's set, and the component of every distinct set that is not empty.
+def _linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame, str]:
+    """Every row's set, the component of every distinct set that is not empty, and the folder of the first.
 
     (doc_id, th, n, fa, fb, ...), and (vid, comp, doc_id, th, fa, fb, n) with the
     (doc_id, text hash) of the set's smallest row; null ids count as the largest.
     """
     rows = texts(docs).withColumn("th", F.xxhash64("text"))
-    sets = staged(prefixes(rows, frequency_order(rows)), "shingle-sets")
+    used: list[str] = []  # staged folders that only the way to the result reads
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        out, path = staged_at(df, name)
+        used.append(path)
+        return out
+
+    sets, sets_path = staged_at(prefixes(rows, frequency_order(rows)), "shingle-sets")
     key = ["fa", "fb", "n"]
-    vertices = staged(
+    vertices = kept(
         sets.where("n > 0").groupBy(*key, "ga", "gb").agg(
             _smallest().alias("rep"),
             F.first("prefix").alias("prefix"))
@@ -193,14 +200,14 @@ def _linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     index = (vertices.join(of_group.where("vid = gid").select("vid", "members"), "vid")
              .select(F.col("vid").alias("gid"), "n", "members", F.posexplode("prefix").alias("pos", "token")))
     near = Window.partitionBy("token").orderBy("gid")
-    lists = staged(index.withColumn("_other", F.coalesce(F.lag("gid").over(near), F.lead("gid").over(near)))
+    lists = kept(index.withColumn("_other", F.coalesce(F.lag("gid").over(near), F.lead("gid").over(near)))
                    .where("_other is not null").drop("_other"), "lists")
 
     # first round: short lists whole, long lists against a leader, groups against their first member;
     # the leader has the fewest rarer shingles before the list's, so it is the least edited copy
     leaders = lists.groupBy("token").agg(F.count(F.lit(1)).alias("length"), F.min(F.struct(
         "pos", F.xxhash64("token", "gid").alias("h"), "gid", "n")).alias("lead"))
-    headed = staged(lists.join(leaders, "token"), "headed-lists")
+    headed = kept(lists.join(leaders, "token"), "headed-lists")
     short = headed.where(F.col("length") <= SHORT_LIST)
     whole = _side(short, "a_", "gid", "n", "pos").join(_side(short, "b_", "gid", "n", "pos"), "token").where(
         F.col("a_gid") < F.col("b_gid"))
@@ -219,12 +226,12 @@ def _linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     bounded = (met.join(many.toDF("u", "ku"), "u", "left").join(many.toDF("v", "kv"), "v", "left")
                .where("close").where(F.col("c") + F.least(F.coalesce("ku", F.lit(0)), F.coalesce("kv", F.lit(0)))
                       + F.ceil(F.col("more") * 4 / F.lit(5)) - 1 >= needed_overlap(F.col("less"), F.col("more"))))
-    tested = staged(bounded.select("u", "v").unionByName(inside).distinct(), "pairs-1")
-    links = staged(linked_pairs(tested, of_group, rows), "links-1")
+    tested = kept(bounded.select("u", "v").unionByName(inside).distinct(), "pairs-1")
+    links = kept(linked_pairs(tested, of_group, rows), "links-1")
     merged = components(links.select(F.col("u").alias("a"), F.col("v").alias("b")), "cc-1")
 
     # second round: what may still join two components
-    placed = staged(of_group.join(merged.withColumnRenamed("id", "vid"), "vid", "left")
+    placed = kept(of_group.join(merged.withColumnRenamed("id", "vid"), "vid", "left")
                     .withColumn("comp", F.coalesce("component_id", "vid")).drop("component_id"), "placed")
     pure = placed.groupBy("gid").agg(F.when(F.min("comp") == F.max("comp"), F.min("comp")).alias("gcomp"))
     open_lists = (headed.where((F.col("length") > SHORT_LIST) | (F.col("members") > 1)).select("token").distinct()
@@ -245,7 +252,7 @@ def _linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                 .select(F.least("uv", "vv").alias("u"), F.greatest("uv", "vv").alias("v")))
     mixed = member.join(pure.where("gcomp is null").select("gid"), "gid")
     within = (mixed.toDF("g", "u", "uc").join(mixed.toDF("g", "v", "vc"), "g").where("u < v and uc <> vc").select("u", "v"))
-    again = staged(expanded.unionByName(within).distinct().join(tested, ["u", "v"], "left_anti"), "pairs-2")
+    again = kept(expanded.unionByName(within).distinct().join(tested, ["u", "v"], "left_anti"), "pairs-2")
     if again.limit(1).count():
         more = linked_pairs(again, of_group, rows)
         stars = merged.where("id <> component_id").select(F.col("id").alias("a"), F.col("component_id").alias("b"))
@@ -253,7 +260,9 @@ def _linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     final = (of_group.join(merged.withColumnRenamed("id", "vid"), "vid", "left")
              .withColumn("comp", F.coalesce("component_id", "vid")).select("vid", "comp", "doc_id", "th", *key))
-    return sets, final
+    for path in used:
+        released(docs.sparkSession, path)
+    return sets, final, sets_path
 
 
 def similar_components(docs: DataFrame) -> DataFrame:
@@ -264,7 +273,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
     is the smallest doc_id reached; null ids count as the largest. Repeated
     rows each give a row; equal sets are linked, and are compared once.
     """
-    sets, final = _linked_sets(docs)
+    sets, final, _ = _linked_sets(docs)
     key = ["fa", "fb", "n"]
     smallest = final.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     by_set = final.join(smallest, "comp").select(*key, "component_id")
@@ -280,7 +289,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     Rows that repeat a kept document wholly count as that document: one stays.
     Empty texts link with nothing and stay, one for each doc_id and text, all without an id.
     """
-    _, final = _linked_sets(docs)
+    _, final, sets_path = _linked_sets(docs)
+    released(docs.sparkSession, sets_path)
     # private columns beside those of docs, whatever their names
     key, own = unused(docs.columns, "id", "th")
     kept = (final.groupBy("comp").agg(_smallest().alias("rep"))

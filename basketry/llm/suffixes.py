@@ -33,7 +33,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LAST_ID, map_rows, quoted, staged, texts, unused
+from .common import LAST_ID, map_rows, quoted, released, staged, staged_at, texts, unused
 
 LENGTH = 50
 GRAM = 16
@@ -305,19 +305,20 @@ def window_masks(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         raise ValueError(f"length must be {GRAM + 1} to {GRAM + 62}")
     rows = _keyed(docs)
     sizes = rows.groupBy("t1", "t2").agg(F.min("at").alias("at"), F.first(F.octet_length("text")).cast("long").alias("n"))
-    distinct = staged(sizes, "distinct-texts")
+    distinct, distinct_path = staged_at(sizes, "distinct-texts")
     total = distinct.agg(F.sum("n")).first()[0] or 0
     eligible = rows.where(F.octet_length("text") >= length)
-    listed = staged(repeated_anchors(eligible, total, length).groupBy("t1").agg(F.collect_list("pos").alias("places")), "anchors")
+    listed, listed_path = staged_at(repeated_anchors(eligible, total, length).groupBy("t1").agg(F.collect_list("pos").alias("places")), "anchors")
     held = listed.agg(F.sum(F.size("places"))).first()[0] or 0
     named = listed.join(distinct.select("t1", "t2", "at"), "t1")
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _contexts(batches, length)
 
-    found = staged(eligible.select("t1", "t2", "at", "text").join(named, ["t1", "t2", "at"]).select("t1", "t2", "at", "text", "places")
+    found, found_path = staged_at(eligible.select("t1", "t2", "at", "text").join(named, ["t1", "t2", "at"]).select("t1", "t2", "at", "text", "places")
                    .mapInArrow(contexts, "t1 long, t2 long, at long, start long, k long, off long, context binary")
                    .withColumn("ch", F.xxhash64("context")), "contexts")
+    released(docs.sparkSession, listed_path)
     buckets = max(1, math.ceil(held / BUCKET_CONTEXTS))
 
     def firsts(table: pa.Table) -> pa.Table:
@@ -327,10 +328,14 @@ def window_masks(docs: DataFrame, length: int = LENGTH) -> DataFrame:
               .groupBy(F.pmod("k", F.lit(buckets)).alias("bucket"))
               .applyInArrow(firsts, "k long, off long, context binary, firsts array<long>")
               .withColumn("ch", F.xxhash64("context")).drop("context"))
-    marks = (found.select("t1", "t2", "at", "start", "k", "off", "ch").join(staged(ranked, "firsts"), ["k", "off", "ch"])
+    firsts_of, firsts_path = staged_at(ranked, "firsts")
+    marks = (found.select("t1", "t2", "at", "start", "k", "off", "ch").join(firsts_of, ["k", "off", "ch"])
              .select("t1", "t2", "at", "start", "firsts").mapInArrow(_masks, "t1 long, t2 long, start long, mask long"))
     by_text = marks.groupBy("t1", "t2").agg(F.collect_set(F.struct("start", "mask")).alias("marks"))
-    return staged(distinct.join(by_text, ["t1", "t2"], "left").select("t1", "t2", F.col("at").alias("least"), "marks"), "marks")
+    out = staged(distinct.join(by_text, ["t1", "t2"], "left").select("t1", "t2", F.col("at").alias("least"), "marks"), "marks")
+    for path in (distinct_path, found_path, firsts_path):  # nothing reads them any more
+        released(docs.sparkSession, path)
+    return out
 
 
 def removed_spans(marks: list[dict] | None, n: int, copy: bool, length: int) -> list[tuple[int, int]]:

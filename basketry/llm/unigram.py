@@ -31,14 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import texts
-from .tokens import in_batches
+from .tokens import CACHE_BYTES, WORD_BYTES, _spans, in_batches
 
 MARK = "▁"
 #: How far below the lowest piece an uncovered character scores.
 UNKNOWN = 10.0
 #: Added to every piece's count.
 SMOOTH = 0.5
-CACHE_CHUNKS = 800_000
+#: Mark of a finished row on the way back, and cells of the tables of one Viterbi run.
+DONE, TABLE_CELLS = -2, 4_000_000
 _CHUNKS = re.compile(r" *[^ ]+| +$")
 
 
@@ -128,19 +129,31 @@ class Vocabulary:
         pieces = {sp.id_to_piece(i): (i, score[i]) for i in usual}
         return cls(pieces, [byte_ids[f"<0x{b:02X}>"] for b in range(256)])
 
-    def segment(self, chunks: list[bytes]) -> list[list[int]]:
-        """Best ids of each chunk (UTF-8, spaces already markers); a byte 0xFF stands for an uncoverable literal marker."""
-        out: list[list[int]] = [[]] * len(chunks)
+    def segment(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Best ids of each chunk (UTF-8, spaces already markers), one after another, and how many each has.
+
+        A byte 0xFF stands for an uncoverable literal marker.
+        """
+        sizes = np.zeros(len(chunks), np.int64)
         by_length: dict[int, list[int]] = {}
         for k, c in enumerate(chunks):
             by_length.setdefault(len(c), []).append(k)
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for n, rows in by_length.items():
-            if n:
-                for k, ids in zip(rows, self._viterbi(np.frombuffer(b"".join(chunks[r] for r in rows), np.uint8).reshape(len(rows), n))):
-                    out[k] = ids
-        return out
-
-    def _viterbi(self, text: np.ndarray) -> list[list[int]]:
+            # cells of the tables are bounded, whatever the length
+            step = max(1, TABLE_CELLS // (n + 1))
+            for at in range(0, len(rows) if n else 0, step):
+                part = rows[at:at + step]
+                ids, count = self._viterbi(np.frombuffer(b"".join(chunks[r] for r in part), np.uint8).reshape(len(part), n))
+                sizes[part] = count
+                found.append((np.array(part), ids, count))
+        ends = np.cumsum(sizes)
+        out = np.zeros(int(ends[-1]) if len(ends) else 0, np.int32)
+        for rows, ids, count in found:
+            out[_spans(ends[rows] - count, count)] = ids
+        return out, sizes
+
+    def _viterbi(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         rows, n = text.shape
         best = np.full((n + 1, rows), -np.inf)
         best[0] = 0.0
@@ -180,7 +193,18 @@ class Vocabulary:
                 better = score > best[end, bare]
                 r, e = bare[better], end[better]
                 best[e, r], came[e, r], piece[e, r] = score[better], i, -1
-        return [self._back(text[k], came[:, k], piece[:, k]) for k in range(rows)]
+        # all rows walk back side by side, a piece a step
+        at, every, steps = np.full(rows, n), np.arange(rows), []
+        while (open_ := at > 0).any():
+            steps.append(np.where(open_, piece[at, every], DONE))
+            at = np.where(open_, came[at, every], 0)
+        back = np.array(steps).reshape(-1, rows)[::-1].T
+        kept = back != DONE
+        bare = (back == -1).any(axis=1)  # rows with byte pieces go one by one
+        if not bare.any():
+            return back[kept].astype(np.int32), kept.sum(axis=1)
+        lists = [np.array(self._back(text[k], came[:, k], piece[:, k]), np.int32) if bare[k] else back[k][kept[k]].astype(np.int32) for k in range(rows)]
+        return np.concatenate(lists), np.array([len(x) for x in lists])
 
     def _back(self, text: np.ndarray, came: np.ndarray, piece: np.ndarray) -> list[int]:
         out: list[int] = []
@@ -210,23 +234,66 @@ def _prepared(chunk: str) -> bytes:
 
 
 class Encoder:
-    """Ids of texts, with a memory of chunks."""
+    """Ids of texts, with a memory of words."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.known: dict[str, np.ndarray] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.flat = np.zeros(1 << 12, np.int32)
+        self.start, self.size = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        self.used = self.held = 0
+
+    def _cut(self, rows: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """(words, first word of each text, words of each text); a word stands for the space before it, too."""
+        column = pa.array(rows, pa.large_string())
+        other = pc.match_substring_regex(column, "  |^ | $|^$").to_numpy(zero_copy_only=False)
+        cut = pc.split_pattern(column.filter(pa.array(~other)), " ")
+        rest = [[c[1:] for c in _CHUNKS.findall(" " + rows[k])] if rows[k] else [] for k in np.flatnonzero(other)]
+        size = np.zeros(len(rows), np.int64)
+        size[~other] = cut.value_lengths().to_numpy()
+        size[other] = [len(r) for r in rest]
+        order = np.argsort(other, kind="stable")
+        start = np.zeros(len(rows), np.int64)
+        start[order] = np.cumsum(size[order]) - size[order]
+        return pa.concat_arrays([cut.flatten(), pa.array(list(chain.from_iterable(rest)), pa.large_string())]), start, size
+
+    def _places(self, words: list[str]) -> np.ndarray:
+        """Places of words; new ones are segmented."""
+        known = self.place
+        found = np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
+        fresh = np.flatnonzero(found < 0)
+        if len(fresh):
+            new = [words[k] for k in fresh.tolist()]
+            ids, sizes = self.vocabulary.segment([_prepared(" " + w) for w in new])
+            n, m = len(known), self.used + len(ids)
+            while n + len(new) > len(self.start):
+                self.start, self.size = np.resize(self.start, 2 * len(self.start)), np.resize(self.size, 2 * len(self.size))
+            while m > len(self.flat):
+                self.flat = np.resize(self.flat, 2 * len(self.flat))
+            self.flat[self.used:m] = ids
+            self.size[n:n + len(new)] = sizes
+            self.start[n:n + len(new)] = self.used + np.cumsum(sizes) - sizes
+            found[fresh] = np.arange(n, n + len(new))
+            known.update(zip(new, range(n, n + len(new))))
+            self.held += sum(map(len, new)) + 4 * len(ids) + WORD_BYTES * len(new)
+            self.used = m
+        return found
 
     def encode(self, rows: list[str]) -> list[np.ndarray]:
         """Ids of each text; an empty text has none."""
-        if len(self.known) > CACHE_CHUNKS:
-            self.known = {}
-        cut = [[] if not t else t.split(" ") for t in rows]
-        for k, parts in enumerate(cut):
-            if parts and "" in parts:  # neighbouring, leading or trailing spaces
-                cut[k] = [c[1:] for c in _CHUNKS.findall(" " + rows[k])]
-        new = list({c for parts in cut for c in parts if c not in self.known})
-        self.known.update(zip(new, (np.array(x, np.int32) for x in self.vocabulary.segment([_prepared(" " + c) for c in new]))))
-        return [np.concatenate([self.known[c] for c in parts]) if parts else np.zeros(0, np.int32) for parts in cut]
+        if self.held > CACHE_BYTES:
+            self.forget()
+        words, first, count = self._cut(rows)
+        coded = words.dictionary_encode()
+        place = self._places(coded.dictionary.to_pylist())
+        at = place[coded.indices.to_numpy().astype(np.int64)[_spans(first, count)]]
+        size = self.size[at]
+        ids = self.flat[_spans(self.start[at], size)]
+        ends = np.concatenate(([0], np.cumsum(size)))[np.cumsum(count)]
+        return np.split(ids, ends[:-1]) if len(rows) else []
 
 
 #: Counts of pieces by id, as (id, count) pairs; None stands for the scores of the file.
@@ -276,7 +343,7 @@ def encode(docs: DataFrame, model_path: str, counts: Counts = None) -> DataFrame
         enc = _encoder(model_path, counts)
         for batch in batches:
             doc_ids, rows = batch.column(0), batch.column(1).to_pylist()
-            for a, b in in_batches(rows, 1_000_000):
+            for a, b in in_batches(rows):
                 ids = enc.encode(rows[a:b])
                 ends = np.cumsum([0, *map(len, ids)])
                 yield pa.RecordBatch.from_arrays([
@@ -317,7 +384,7 @@ def segmentation_digest(docs: DataFrame, model_path: str, counts: Counts = None)
         is_byte[vocabulary.byte_ids] = True
         for batch in batches:
             doc_ids, rows = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in in_batches(rows, 1_000_000):
+            for a, b in in_batches(rows):
                 ids = enc.encode(rows[a:b])
                 same = [b"".join(map(spelled.__getitem__, x.tolist()))[1:] == t.encode() for x, t in zip(ids, rows[a:b])]
                 yield pa.RecordBatch.from_pydict({
@@ -325,6 +392,6 @@ def segmentation_digest(docs: DataFrame, model_path: str, counts: Counts = None)
                     "ids_crc32": [zlib.crc32(x.astype("<u4").tobytes()) for x in ids], "round_trip": same},
                     schema=pa.schema([("doc_id", pa.int64()), ("n_pieces", pa.int64()), ("n_byte_pieces", pa.int64()),
                                       ("ids_crc32", pa.int64()), ("round_trip", pa.bool_())]))
-        enc.known = {}  # nothing of a task stays beside other operators
+        enc.forget()  # nothing of a task stays beside other operators
 
     return texts(docs).mapInArrow(run, "doc_id long, n_pieces long, n_byte_pieces long, ids_crc32 long, round_trip boolean")
