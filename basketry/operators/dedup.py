@@ -5,27 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: A row's number in its table, by file and place (``sources.records``).
 SEQ = "_seq"
 
 
-def with_scan_order(df: DataFrame, name: str = SEQ) -> DataFrame:
-    """Attach the row's position in its source file as a sortable struct.
-
-    (file path, block start, monotonically increasing id): the id increases
-    with row order inside one input split, and splits of one file are ordered
-    by their block start. Files are ordered by path with numbers as numbers, so
-    ``orders_10.csv`` comes after ``orders_9.csv``; where paths don't tell the
-    arrival order, pass an explicit order column instead.
-    """
-    zeros = "0" * 20
-    padded = F.regexp_replace(F.col("_metadata.file_path"), "([0-9]+)", zeros + "$1")
-    natural = F.regexp_replace(padded, "0+([0-9]{20,})", "$1")
-    return df.withColumn(name, F.struct(
-        natural.alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("pos")))
-
-
 def keep_last(df: DataFrame, key: str | list[str], order: str = SEQ) -> DataFrame:
     """One row per key: the row that comes last in ``order``.
 

@@ -222,12 +222,22 @@ BATCH_OUTPUTS = {
     "batch_reviews_by_product": ("output", "reviews_by_product"),
     "batch_cancellation_rate": ("output", "cancellation_rate"),
     "batch_status_funnel": ("output", "status_funnel"),
+    "batch_recurring_customers": ("output", "recurring_customers"),
+    "batch_backlog_in_progress": ("output", "backlog_in_progress"),
+    "batch_low_stock_items": ("output", "low_stock_items"),
+    "batch_reviews_monthly": ("output", "reviews_monthly"),
     "batch_enriched_reviews": ("processed", "reviews_enriched"),
     "batch_enriched_inventory": ("processed", "inventory_enriched"),
     "batch_enriched_orders": ("processed", "orders_enriched"),
 }
 
 
+def _batch_scalars(s, d):
+    """The one-row tables of a run, side by side."""
+    out = batch_output_dir(s, d)
+    return with_scalars(*[read_table(s, out, f"output/parquet/{t}") for t in ("average_ticket", "promotion_usage_rate", "delivery_rate", "reviews_overview")])
+
+
 # ---------------------------------------------------------- dirty CSV zone --
 def _from_csv(s, df, table, clean):
     """Write ``df`` as the table's CSV, ingest that file and clean what was read."""
@@ -302,6 +312,10 @@ def operator_queries() -> dict[str, Query]:
         "cancellation_rate_null_status": lambda s, d: M.cancellation_rate(
             DriverViews(s, d).orders_null_status()),
         "check_keys": lambda s, d: Q.rule_metrics(_raw_orders(s, d), [Q.no_nulls(CL.ORDERS_KEYS)]),
+        "check_keys_inventory": lambda s, d: Q.rule_metrics(DriverViews(s, d).inventory().drop("_seq"), [Q.no_nulls(CL.INVENTORY_KEYS)]),
+        "check_keys_reviews": lambda s, d: Q.rule_metrics(DriverViews(s, d).reviews().drop("_seq"), [Q.no_nulls(CL.REVIEWS_KEYS)]),
+        "fill_absent": lambda s, d: fill_nulls(_raw_orders(s, d), {
+            "no_such_column": NullStrategy.FILL_ZERO, "notes": NullStrategy.FILL_STRING, "another": NullStrategy.FILL_MEAN}),
         "check_nulls": lambda s, d: Q.rule_metrics(_raw_orders(s, d), [Q.no_nulls(None)]),
         "check_range": lambda s, d: Q.rule_metrics(_raw_orders(s, d), RANGE_RULES),
         "check_unique": lambda s, d: Q.rule_metrics(
@@ -333,6 +347,7 @@ def operator_queries() -> dict[str, Query]:
     q.update(dirty_queries())
     # the batch run end to end (CSV raw zone -> written outputs)
     q.update({name: _batch_output(zone, table) for name, (zone, table) in BATCH_OUTPUTS.items()})
+    q["batch_scalars"] = _batch_scalars
     return q
 
 

@@ -19,6 +19,7 @@ from basketry.functions import derived as D
 from basketry.functions.coerce import datetime_expr
 from basketry.operators import quality as Q
 from basketry.operators.joins import left_join
+from basketry.operators.metrics import items_per_order
 
 # ----------------------------------------------------------- fixed values --
 CUSTOMER_COLS = ["customer_id", "segment", "registration_date", "city", "country", "email"]
@@ -44,12 +45,6 @@ def _with_ts(df: DataFrame, cols) -> DataFrame:
         for f in df.schema.fields])
 
 
-def items_per_order(order_items: DataFrame) -> DataFrame:
-    """Σ quantity by order_id -> items_count (partial aggregate before the shuffle)."""
-    return (order_items.where(F.col("order_id").isNotNull())
-            .groupBy("order_id").agg(F.sum("quantity").alias("items_count")))
-
-
 # ---------------------------------------------------------------- joins --
 def join_customers(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """J1: orders ⟕ customers (+segment, registration_date, city, country, email)."""

@@ -272,6 +272,9 @@ FROM r_orders_ns WHERE status IS NOT NULL GROUP BY status""",
 SELECT AVG(CAST(COALESCE(lower(status) = 'cancelled', FALSE) AS INTEGER)) AS cancellation_rate
 FROM r_orders_ns""",
     "check_keys": rule_metrics_sql("r_orders", [Q.no_nulls(CL.ORDERS_KEYS)]),
+    "check_keys_inventory": rule_metrics_sql("r_inventory", [Q.no_nulls(CL.INVENTORY_KEYS)]),
+    "check_keys_reviews": rule_metrics_sql("r_reviews", [Q.no_nulls(CL.REVIEWS_KEYS)]),
+    "fill_absent": _fill_sql({"notes": "COALESCE(notes, 'Sin Especificar')"}),
     "check_nulls": rule_metrics_sql("r_orders", [Q.no_nulls(None)], ORDER_COLUMNS),
     "check_range": rule_metrics_sql("r_orders", _ORDERS_RANGE),
     "check_unique": rule_metrics_sql("r_orders_dup", [Q.unique(_UNIQUE_COLUMNS)]),
@@ -322,6 +325,12 @@ BATCH_SQL: dict[str, str] = {
     "batch_enriched_orders": TABLE_SQL["enrich_orders"],
     "batch_cancellation_rate": METRIC_SQL["cancellation_rate"],
     "batch_status_funnel": METRIC_SQL["status_funnel"],
+    "batch_recurring_customers": METRIC_SQL["recurring_customers"],
+    "batch_backlog_in_progress": METRIC_SQL["backlog_in_progress"],
+    "batch_low_stock_items": METRIC_SQL["low_stock_items"],
+    "batch_reviews_monthly": METRIC_SQL["reviews_monthly"],
+    "batch_scalars": "SELECT * FROM (" + METRIC_SQL["average_ticket"] + ") a, (" + METRIC_SQL["promotion_usage_rate"] + ") b, ("
+                     + METRIC_SQL["delivery_rate"] + ") c, (" + METRIC_SQL["reviews_overview"] + ") d",
     "batch_enriched_reviews": TABLE_SQL["enrich_reviews"],
     "batch_enriched_inventory": TABLE_SQL["enrich_inventory"],
     # text that isn't a number survives the fill and is missing after it

@@ -15,11 +15,13 @@ from basketry.operators.dedup import keep_last
 from basketry.plans.oracle_ctes import with_ctes
 from basketry.schemas import SCHEMAS
 from basketry.session import scratch_dir
-from basketry.sources.csv import read_csv
+from basketry.sources.csv import PANDAS_NA_TOKENS, read_csv
 from basketry.sources.sinks import write_csv
 from basketry.sources.views import DriverViews
 
 Query = Callable[[SparkSession, str], DataFrame]
+#: Texts that are none of the tokens.
+NEARLY_MISSING = ("nil", "nA", "N/a", "-", " NA", "0")
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,13 +109,25 @@ def csv_header_names(spark: SparkSession, sf_dir: str) -> DataFrame:
                     SCHEMAS["orders"], with_seq=False)
 
 
+def csv_null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every token that stands for a missing value, quoted or not, and texts that nearly are one."""
+    words = [*PANDAS_NA_TOKENS, *NEARLY_MISSING]
+    note = F.element_at(F.array(*map(F.lit, words)), (F.col("order_id") % len(words) + 1).cast("int"))
+    path = scratch_dir(spark, "null-tokens") + "/orders.csv"
+    write_csv(_orders(spark, sf_dir).select("order_id", note.alias("notes"), "status"), path, profile=False)
+    return read_csv(spark, path, SCHEMAS["orders"], with_seq=False)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (csv_split_quoted, csv_stray_quotes, csv_keep_last_files, csv_encoding_bytes, csv_latin1,
+    return {f.__name__: f for f in (csv_null_tokens, csv_split_quoted, csv_stray_quotes, csv_keep_last_files, csv_encoding_bytes, csv_latin1,
                                     csv_inferred_types, csv_header_names)}
 
 
 _NL, _Q = "chr(10)", "'\"'"
+_TOKENS = len(PANDAS_NA_TOKENS)
 SOURCE_SQL: dict[str, str] = {
+    "csv_null_tokens": "SELECT order_id, status, CASE order_id % " + str(_TOKENS + len(NEARLY_MISSING)) + " " + " ".join(
+        f"WHEN {_TOKENS + k} THEN '{w}'" for k, w in enumerate(NEARLY_MISSING)) + " END AS notes FROM r_orders",
     "csv_split_quoted": f"""
 SELECT order_id, CASE WHEN order_id % 3 = 0 THEN concat('first, "', order_id, '"', {_NL}, {_NL}, 'last "line"', {_NL}, ',', status)
                       WHEN order_id % 3 = 1 THEN concat(order_id, '" wide') ELSE notes END AS notes, status FROM r_orders""",
