@@ -19,6 +19,7 @@ from __future__ import annotations
 import codecs
 import csv
 import io
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,6 +31,8 @@ from pyspark.sql import functions as F
 from basketry.errors import SourceError
 from basketry.session import materialize
 
+#: Splits whose starts are worked out on the driver and sent with the second pass; more are joined to it.
+MANY_SPLITS = 20_000
 #: A line's function by (state after outside) + 2 * (state after inside).
 ALWAYS_OUT, SWAPS, KEEPS, ALWAYS_IN = 0, 1, 2, 3
 SPLIT = ["file", "block"]
@@ -71,9 +74,15 @@ def _states(codes: np.ndarray, state: int) -> np.ndarray:
     return np.where(known, (codes[at] == ALWAYS_IN) ^ ((flips - flips[at]) & 1), state ^ (flips & 1)).astype(np.int8)
 
 
-def _tagged(spark: SparkSession, path: str, sep: str, encoding: str, multi_line: bool, with_text: bool) -> DataFrame:
+#: What a split begins with: its state, the records of its file before it, and the rows of files before.
+Starts = dict[tuple[int, int], tuple[int, int, int]]
+
+
+def _tagged(spark: SparkSession, path: str, sep: str, encoding: str, multi_line: bool, with_text: bool,
+            starts_of: Starts | None = None) -> DataFrame:
     """Every line with its split, place in it, and for both states that the split may begin in (0, 1):
-    the state before and after the line and the records begun so far."""
+    the state before and after the line and the records begun so far. With ``starts_of`` only the
+    lines of records, under the state that their split does begin in."""
     charset = codec(encoding)
     native = charset in NATIVE
     raw = spark.read.option("lineSep", "\n").text(path)
@@ -95,7 +104,7 @@ def _tagged(spark: SparkSession, path: str, sep: str, encoding: str, multi_line:
             file, block, codes = (batch.column(c).to_numpy() for c in ("file", "block", "code"))
             blank = batch.column("blank").to_numpy(zero_copy_only=False)
             edges = np.flatnonzero((file[1:] != file[:-1]) | (block[1:] != block[:-1])) + 1
-            before, after, count, place = [], [], [], []
+            before, after, count, place, of = [], [], [], [], []
             for a, b in zip([0, *edges], [*edges, len(file)]):
                 if b == a:
                     continue
@@ -108,9 +117,20 @@ def _tagged(spark: SparkSession, path: str, sep: str, encoding: str, multi_line:
                 after.append(ends)
                 count.append(counts)
                 place.append(np.arange(k, k + b - a))
+                if starts_of is not None:
+                    real, past, rows = starts_of[int(file[a]), int(block[a])]
+                    of.append((starts[real], ends[real], counts[real] + past, np.full(b - a, rows)))
                 state, begun, k = [int(e[-1]) for e in ends], [int(c[-1]) for c in counts], k + b - a
             if not place:
                 continue
+            if starts_of is not None:
+                was, becomes, number, rows = (np.concatenate(x) for x in zip(*of))
+                keep = pa.array((number > 1) & ~((was == 0) & blank))
+                text = batch.column("line") if native else _decoded(batch.column("line"), charset)[0]
+                out = [batch.column("file"), batch.column("block"), pa.array(np.concatenate(place)), text, pa.array(was), pa.array(becomes),
+                       pa.array(number), pa.array(rows)]
+                yield pa.RecordBatch.from_arrays([x.filter(keep) for x in out], names=["file", "block", "k", "line", "from", "to", "number", "earlier"])
+                continue
             both = [np.concatenate([x[s] for x in group]) for group in (before, after, count) for s in (0, 1)]
             text, valid = batch.column("line"), batch.column("valid")
             if not native:
@@ -125,6 +145,8 @@ def _tagged(spark: SparkSession, path: str, sep: str, encoding: str, multi_line:
 
     if with_text:
         lines = lines.withColumn("path", F.lit(None).cast("string"))
+    if starts_of is not None:
+        return lines.mapInArrow(run, "file long, block long, k long, line binary, from byte, to byte, number long, earlier long")
     return lines.mapInArrow(run, "file long, block long, path string, line binary, valid boolean, blank boolean, k long, "
                                  "from0 byte, from1 byte, to0 byte, to1 byte, n0 long, n1 long")
 
@@ -170,6 +192,33 @@ def split_starts(splits: DataFrame) -> DataFrame:
     return placed.join(rows, "file").select(*SPLIT, "state", "before", "earlier", "records", "pieces", "ends", "head", "invalid", "path")
 
 
+def _worked_out(splits: list) -> tuple[Starts, dict, list[str]]:
+    """``split_starts`` for a bounded number of splits, with the facts and headers that the checks need."""
+    def natural(path: str) -> str:
+        return re.sub("[0-9]+", lambda m: m[0].lstrip("0").rjust(20, "0"), path)
+
+    files: dict[int, list] = {}
+    for r in sorted(splits, key=lambda r: r["block"]):
+        files.setdefault(r["file"], []).append(r)
+    starts: Starts = {}
+    facts = {"files": len(files), "open": None, "invalid": 0, "pieces": 0}
+    earlier, heads = 0, set()
+    for file, own in sorted(files.items(), key=lambda f: (natural(f[1][0]["path"]), f[0])):
+        state = before = 0
+        for r in own:
+            starts[file, r["block"]] = (state, before, earlier)
+            before += r[f"n{state}"]
+            facts["pieces"] += r[f"pieces{state}"]
+            facts["invalid"] += r["invalid"]
+            state = r[f"to{state}"]
+        if state:
+            facts["open"] = min(filter(None, (facts["open"], own[0]["path"])))
+        if own[0]["block"] == 0:
+            heads.add(own[0]["head"].removesuffix("\r"))
+        earlier += before - 1
+    return starts, facts, sorted(heads)[:2]
+
+
 @dataclass(frozen=True)
 class Records:
     """Records of a table's files: ``rows`` has (record, _seq); headers apart."""
@@ -211,12 +260,17 @@ def read_records(spark: SparkSession, path: str, sep: str = ",", encoding: str =
         F.max("n0").alias("n0"), F.max("n1").alias("n1"), F.count_if(~whole0).alias("pieces0"), F.count_if(~whole1).alias("pieces1"),
         F.count_if(~F.col("valid")).alias("invalid"),
         F.array_join(F.transform(F.array_sort(F.collect_list(head)), lambda x: x["line"].cast("string")), "\n").alias("head"))
-    starts = materialize(split_starts(splits))
-    last = F.max_by("ends", "block")
-    facts = (starts.groupBy("file").agg(last.alias("open"), F.min("path").alias("path"), F.sum("invalid").alias("invalid"), F.sum("pieces").alias("pieces"))
-             .agg(F.count(F.lit(1)).alias("files"), F.min(F.when(F.col("open") == 1, F.col("path"))).alias("open"),
-                  F.coalesce(F.sum("invalid"), F.lit(0)).alias("invalid"), F.coalesce(F.sum("pieces"), F.lit(0)).alias("pieces")).first())
-    heads = [r["head"] for r in starts.where("block = 0").select(F.regexp_replace("head", "\r$", "").alias("head")).distinct().limit(2).collect()]
+    known = splits.limit(MANY_SPLITS + 1).collect()
+    starts, starts_of = None, None
+    if len(known) <= MANY_SPLITS:
+        starts_of, facts, heads = _worked_out(known)
+    else:
+        starts = materialize(split_starts(splits))
+        last = F.max_by("ends", "block")
+        facts = (starts.groupBy("file").agg(last.alias("open"), F.min("path").alias("path"), F.sum("invalid").alias("invalid"), F.sum("pieces").alias("pieces"))
+                 .agg(F.count(F.lit(1)).alias("files"), F.min(F.when(F.col("open") == 1, F.col("path"))).alias("open"),
+                      F.coalesce(F.sum("invalid"), F.lit(0)).alias("invalid"), F.coalesce(F.sum("pieces"), F.lit(0)).alias("pieces")).first().asDict())
+        heads = [r["head"] for r in starts.where("block = 0").select(F.regexp_replace("head", "\r$", "").alias("head")).distinct().limit(2).collect()]
     if not facts["files"] or not heads or heads == [""]:
         raise SourceError("layout", path, "empty file, no columns")
     if validate and facts["invalid"]:
@@ -230,6 +284,8 @@ def read_records(spark: SparkSession, path: str, sep: str = ",", encoding: str =
         return F.when(F.col("state") == 0, F.col(name + "0")).otherwise(F.col(name + "1"))
 
     def second() -> DataFrame:
+        if starts_of is not None:
+            return _tagged(spark, path, sep, encoding, multi_line, True, starts_of)
         lines = _tagged(spark, path, sep, encoding, multi_line, with_text=True).join(starts.select(*SPLIT, "state", "before", "earlier"), SPLIT)
         return lines.select("file", "block", "k", "line", "blank", of("from").alias("from"), of("to").alias("to"),
                             (F.col("before") + of("n")).alias("number"), "earlier").where("number > 1 and not (`from` = 0 and blank)")

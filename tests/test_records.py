@@ -56,8 +56,9 @@ def rows_of(rng, n, sep=","):
     return "\n".join(out) + rng.choice(["", "\n"])
 
 
-@pytest.mark.parametrize("seed,sep", [(1, ","), (2, ";"), (3, "|")])
-def test_random_files_in_many_splits(spark, tmp_path, small_splits, seed, sep):
+@pytest.mark.parametrize("seed,sep,most", [(1, ",", 20_000), (2, ";", 20_000), (3, "|", 0)])
+def test_random_files_in_many_splits(spark, tmp_path, small_splits, monkeypatch, seed, sep, most):
+    monkeypatch.setattr(R, "MANY_SPLITS", most)  # 0: the starts of splits are a table
     data = rows_of(random.Random(seed), 900, sep).encode()
     path = put(tmp_path, "r.csv", data)
     names, got = fields_of(spark, path, sep=sep)
@@ -78,7 +79,9 @@ def test_windows_line_ends_and_a_byte_order_mark(spark, tmp_path):
     assert fields_of(spark, put(tmp_path, "w.csv", data)) == (["id", "t"], [("1", "a\r\nb"), ("2", "c"), ("3", "d")])
 
 
-def test_rows_are_numbered_over_files(spark, tmp_path, small_splits):
+@pytest.mark.parametrize("most", [20_000, 0])
+def test_rows_are_numbered_over_files(spark, tmp_path, small_splits, monkeypatch, most):
+    monkeypatch.setattr(R, "MANY_SPLITS", most)
     for k in (10, 9, 1):
         put(tmp_path / "d", f"part_{k}.csv", "id,t\n" + "".join(f'{k},"{j}\n."\n' for j in range(500)))
     _, got = fields_of(spark, str(tmp_path / "d"))
