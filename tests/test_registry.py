@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import decimal
+import functools
 import math
 import os
 import subprocess
@@ -41,6 +42,15 @@ def duck():
     return con
 
 
+@pytest.fixture(scope="module", autouse=True)
+def one_batch_run():
+    """The queries that read a batch run's tables share one run here; outside the tests each makes its own."""
+    own = catalog.batch_output_dir
+    catalog.batch_output_dir = functools.lru_cache(own)
+    yield
+    catalog.batch_output_dir = own
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
