@@ -51,13 +51,22 @@ def _uses(code: np.ndarray, inner: np.ndarray, pairs: np.ndarray) -> tuple[np.nd
             return (x * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)
         return (x * np.uint32(2654435761)) >> np.uint32(16)
 
-    wanted = np.zeros(1 << 16, bool)
-    wanted[slot(pairs)] = True
-    at = np.flatnonzero(wanted[slot(code)] & inner)
-    order = np.argsort(pairs)
-    place = np.minimum(np.searchsorted(pairs[order], code[at]), len(pairs) - 1)
-    hit = pairs[order][place] == code[at]
-    return at[hit], order[place[hit]]
+    own = slot(pairs)
+    holder = np.full(1 << 16, -1, np.int32)
+    holder[own] = np.arange(len(pairs), dtype=np.int32)
+    rank = holder[slot(code)]
+    at = np.flatnonzero((rank >= 0) & inner)
+    rank, here = rank[at], code[at]
+    hit = pairs[rank] == here
+    lost = np.flatnonzero(holder[own] != np.arange(len(pairs)))  # pairs whose slot holds another one
+    if len(lost):
+        lost = lost[np.argsort(pairs[lost])]
+        miss = np.flatnonzero(~hit)
+        place = np.minimum(np.searchsorted(pairs[lost], here[miss]), len(lost) - 1)
+        found = pairs[lost[place]] == here[miss]
+        rank[miss[found]] = lost[place[found]]
+        hit[miss[found]] = True
+    return at[hit], rank[hit].astype(np.int64)
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -101,20 +110,19 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray,
         run = np.concatenate(([True], (np.diff(at) != 1) | (rank[1:] != rank[:-1])))
         odd = (place - np.maximum.accumulate(np.where(run, place, 0))) % 2 == 1
         at, rank = at[~odd], rank[~odd]
-        taken = np.zeros(0, np.int64)
+        taken, chosen = np.zeros(0, np.int64), np.zeros(0, np.int64)
         while len(at):  # what lies between two kept pairs may still hold one
             touching = np.diff(at) == 1
             kept = np.ones(len(at), bool)
             kept[1:] &= ~touching | (rank[1:] < rank[:-1])
             kept[:-1] &= ~touching | (rank[:-1] <= rank[1:])
-            taken = np.concatenate((taken, at[kept]))
+            taken, chosen = np.concatenate((taken, at[kept])), np.concatenate((chosen, rank[kept]))
             free = ~kept
             free[1:] &= ~(touching & kept[:-1])
             free[:-1] &= ~(touching & kept[1:])
             at, rank = at[free], rank[free]
-        taken.sort()
-        symbol = np.searchsorted(pairs[by_code := np.argsort(pairs)], code[taken])
-        symbol = by_code[symbol].astype(np.uint32) + np.uint32(base + len(lengths))
+        in_order = np.argsort(taken)
+        taken, symbol = taken[in_order], chosen[in_order].astype(np.uint32) + np.uint32(base + len(lengths))
         rules.append(np.stack((pairs >> half, pairs & low), axis=1).astype(np.uint32))
         lengths = np.concatenate((lengths, expands(rules[-1][:, 0]) + expands(rules[-1][:, 1])))
         seq[taken] = symbol
