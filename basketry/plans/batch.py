@@ -163,7 +163,7 @@ def run_folder(out_dir: str, run_id: str) -> str:
 
 def run_batch(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
               formats=("parquet", "csv"), checks: str = "deferred",
-              run_id: str | None = None) -> DataFrame:
+              run_id: str | None = None, csv_compression: str | None = None) -> DataFrame:
     """Run the whole batch; returns the run-metrics table (also appended to disk).
 
     Run metrics: one row per step (``check`` / ``enrich`` / ``aggregate`` /
@@ -172,7 +172,9 @@ def run_batch(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
 
     Layout of a version (``publish.version``, ``publish.read_table``):
     ``processed/parquet/{t}_enriched``, ``processed/csv/{t}_enriched``,
-    ``output/{fmt}/{metric}``; beside the versions, ``run_metrics``.
+    ``output/{fmt}/{metric}``; beside the versions, ``run_metrics``. The CSV of
+    the enriched tables, which grows with the input, is written plain or by
+    ``csv_compression``; the metrics' CSV is plain.
     """
     run_id = run_id or uuid.uuid4().hex[:12]
     published = out_dir.rstrip("/")
@@ -207,7 +209,7 @@ def run_batch(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
         back = spark.read.parquet(path)
         if "csv" in formats:
             started = _dt.datetime.now()
-            write_csv(back, f"{out}/processed/csv/{name}_enriched", profile=False)
+            write_csv(back, f"{out}/processed/csv/{name}_enriched", profile=False, compression=csv_compression)
             note("load_csv", f"{name}_enriched", prof["rows"], started)
         return back
 
@@ -276,25 +278,28 @@ def run_batch(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
     return metrics_df
 
 
-def export_sources(tables: dict[str, DataFrame], source_dir: str, files_per_table: int | None = None) -> None:
+def export_sources(tables: dict[str, DataFrame], source_dir: str, files_per_table: int | None = None,
+                   compression: str | None = None) -> None:
     """Write the eight logical tables as a CSV raw zone ({stem}.csv/part-*).
 
-    Rows keep a deterministic order (by the table's natural key) so keep-last
-    sees the same arrival order on every export; ``files_per_table`` parts
-    per table (default: the default parallelism).
+    Rows of a table with an arrival order (``_seq``) keep it, so keep-last
+    sees the same one on every export: ``files_per_table`` parts of ranges
+    (default: the default parallelism, or the partitions if they are more, so
+    that a part's size stays bounded). Of the others nothing depends on the
+    order: without ``files_per_table`` their partitions are written as they are.
     """
     from basketry.schemas import SOURCE_TABLES
 
     root = source_dir.rstrip("/")
 
     def one(name: str, df: DataFrame) -> None:
-        n = files_per_table or df.sparkSession.sparkContext.defaultParallelism
-        key = df.columns[0]
         if "_seq" in df.columns:
+            n = files_per_table or max(df.sparkSession.sparkContext.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
             df = df.repartitionByRange(n, "_seq").sortWithinPartitions("_seq").drop("_seq")
-        else:
-            df = df.repartitionByRange(n, key).sortWithinPartitions(key)
-        write_csv(df, f"{root}/{SOURCE_TABLES[name]}.csv", profile=False)
+        elif files_per_table:
+            key = df.columns[0]
+            df = df.repartitionByRange(files_per_table, key).sortWithinPartitions(key)
+        write_csv(df, f"{root}/{SOURCE_TABLES[name]}.csv", profile=False, compression=compression)
 
     in_parallel([lambda n=n, df=df: one(n, df) for n, df in tables.items()])
 
