@@ -202,7 +202,7 @@ def run_batch(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
         if not eager:
             # the cleaned table's range/null rules ride on its single write
             df, obs = Q.observe_rules(df, C._post_clean(rules[name]))
-        prof = write_parquet(df, path)
+        prof = write_parquet(df, path, compression="zstd")
         if obs is not None:
             Q.evaluate(df, C._post_clean(rules[name]), obs.get)
         note("enrich", f"{name}_enriched", prof["rows"], started)
