@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from basketry.session import scratch_dir
 
 from .common import texts
-from .tokens import encoder, in_batches
+from .tokens import encoder, in_batches, strings
 
 MAGIC = b"RPG1"
 HEAD = struct.Struct("<4sIIQQI")
@@ -233,7 +233,7 @@ def write_files(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = E
                 ("part", pa.int64()), ("block", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("payload", pa.binary())]))
 
         for batch in batches:
-            doc_ids, rows = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            doc_ids, rows = batch.column(0).to_pylist(), strings(batch.column(1))
             for a, b in in_batches(rows):
                 ids, counts = enc.encode(rows[a:b])
                 held.append(np.insert(ids, np.cumsum(counts), end_id).astype(np.uint32))

@@ -15,7 +15,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +46,11 @@ def _spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(start - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
 
 
+def strings(column: pa.Array) -> list[str]:
+    """Strings of a column without nulls, made all at once: ``to_pylist`` makes an Arrow scalar for each."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 class WordEncoder:
     """Ids of texts under one tokenizer file, with a memory of words."""
 
@@ -119,7 +124,7 @@ class WordEncoder:
     def _learned(self, words: list[str], plain: np.ndarray) -> np.ndarray:
         """Places of words; new ones are encoded. ``plain``: letters only, with the space before them."""
         known = self.place
-        found = np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
+        found = np.fromiter(map(known.get, words, repeat(-1)), np.int64, len(words))
         fresh = np.flatnonzero(found < 0)
         if not len(fresh):
             return found
@@ -182,7 +187,7 @@ class WordEncoder:
         of_key = words.indices.to_numpy().astype(np.int64)
         plain_word = np.zeros(len(words.dictionary), bool)
         plain_word[of_key] = is_plain
-        place = self._learned(words.dictionary.to_pylist(), plain_word)[of_key]
+        place = self._learned(strings(words.dictionary), plain_word)[of_key]
 
         # ids of the batch's distinct keys: a newline, the word, a mark
         line = is_plain & (not self.drops_space) & pc.equal(head, LINE).to_numpy(zero_copy_only=False)

@@ -4,13 +4,14 @@ import glob
 import os
 
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from basketry.llm.tokens import WordEncoder, in_batches
+from basketry.llm.tokens import WordEncoder, in_batches, strings
 
 FILES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
 ENCODERS = {f: WordEncoder(public_tokenizers.path(f)) for f in FILES}
@@ -61,3 +62,16 @@ def test_batches():
 
     got = list(in_batches(["aaa", "bbb", "c" * 99, ""], 5))
     assert [k for a, b in got for k in range(a, b)] == [0, 1, 2, 3]
+
+
+def test_strings_of_a_column():
+    words = pa.array(["é", "", "日本", "word", "x\x00y"] * 3, pa.large_string())
+    assert strings(words) == words.to_pylist()
+    assert strings(words[2:9].cast(pa.string())) == words.to_pylist()[2:9]
+    assert strings(words[:0]) == []
+    # the words of a batch are looked up as they are: no Arrow scalar for each
+    asked = []
+    encoder = WordEncoder(public_tokenizers.path(FILES[1]))
+    encoder.place = type("Asked", (dict,), {"get": lambda self, *a: asked.append(a) or dict.get(self, *a)})()
+    encoder.encode(["some words, some more"])
+    assert {type(w) for w, _ in asked} == {str} and {w for w, _ in asked} == {"some", "words", "more"}
