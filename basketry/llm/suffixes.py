@@ -100,6 +100,19 @@ def anchors(texts_: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.n
     return grams[at], text, at - first[text], starts[run] - first[text], counts, first
 
 
+def _bytes(column: pa.Array) -> list[bytes]:
+    """UTF-8 bytes of the texts of a column without nulls, made all at once: an Arrow scalar for each costs more than they do."""
+    return column.cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+
+
+def _marks(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(starts, masks) of each row's marks; none for a null."""
+    flat, cuts = column.flatten(), np.concatenate(([0], np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(column), 0).to_numpy())))
+    starts, masks = (flat.field(name).to_numpy() for name in ("start", "mask"))
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        yield starts[a:b], masks[a:b].view(np.uint64)
+
+
 def _chunks(rows: list[bytes]) -> Iterator[tuple[int, int]]:
     a = held = 0
     for k, t in enumerate(rows):
@@ -121,7 +134,7 @@ def _anchor_records(batches: Iterator[pa.RecordBatch], buckets: int, length: int
     for batch in batches:
         ids = batch.column(0).to_numpy()
         keep = np.unique(ids, return_index=True)[1]
-        parts = [(int(ids[k]), at, p) for k in keep for at, p in _cut_long(batch.column(1)[int(k)].as_py().encode(), length)]
+        parts = [(int(ids[k]), at, p) for k, t in zip(keep, _bytes(batch.column(1).take(pa.array(keep)))) for at, p in _cut_long(t, length)]
         found = []
         for a, b in _chunks([p for _, _, p in parts]):
             k, text, pos, _, _, _ = anchors([p for _, _, p in parts[a:b]], length)
@@ -178,8 +191,8 @@ def _contexts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Rec
     """Occurrences: the windows' bytes of each listed anchor of each text."""
     for batch in batches:
         keys = [batch.column(k).to_numpy() for k in range(3)]
-        parts = [(k, at, p) for k in range(batch.num_rows) for at, p in _cut_long(batch.column(3)[k].as_py().encode(), length)]
-        wanted = [np.unique(np.array(x.as_py(), np.int64)) for x in batch.column(4)]
+        parts = [(k, at, p) for k, t in enumerate(_bytes(batch.column(3))) for at, p in _cut_long(t, length)]
+        wanted = [np.unique(x.values.to_numpy()) for x in batch.column(4)]
         for a, b in _chunks([p for _, _, p in parts]):
             mine = parts[a:b]
             k, text, pos, start, count, first = anchors([p for _, _, p in mine], length)
@@ -208,8 +221,8 @@ def _pair_ranks(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rank, uses[rank] == 1
 
 
-def first_documents(contexts: list[bytes], at: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
-    """For each context, the least ``at`` of any context that holds the window at each of its starts.
+def first_documents(contexts: list[bytes], at: np.ndarray, length: int = LENGTH) -> np.ndarray:
+    """For each context, the least ``at`` of any context that holds the window at each of its starts, one after another.
 
     Prefix doubling over all window starts: ranks of 8 bytes, then of pairs of
     ranks at offsets 8, 16, ... up to ``length`` bytes. Starts that are unique
@@ -246,20 +259,19 @@ def first_documents(contexts: list[bytes], at: np.ndarray, length: int = LENGTH)
                 low = np.minimum.reduceat(at[owner[alive[order]]], head)
                 least[alive[order]] = np.repeat(low, np.diff(np.append(head, len(order))))
             break
-    return np.split(least, ends[:-1])
+    return least
 
 
 def _class_firsts(table: pa.Table, length: int) -> pa.Table:
     """Verdicts for one bucket of whole classes; classes with one context need no ranks."""
     table = table.sort_by([("k", "ascending"), ("off", "ascending")])
     k, at = table.column("k").to_numpy(), table.column("at").to_numpy()
-    contexts = table.column("context").to_pylist()
+    column = table.column("context")
+    counts = pa.compute.binary_length(column).to_numpy().astype(np.int64) - length + 1
+    ends = np.cumsum(counts)
     head = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
     size = np.diff(np.append(head, len(k)))
-    out: list = [None] * len(k)
-    for j in np.flatnonzero(size == 1):
-        i = head[j]
-        out[i] = np.full(len(contexts[i]) - length + 1, at[i])
+    firsts = np.repeat(at, counts)
     several = np.flatnonzero(np.repeat(size, size) > 1)
     # equal strings have equal anchors: contexts of other classes never match and may be ranked together
     for a in range(0, len(several), 40_000):
@@ -270,10 +282,11 @@ def _class_firsts(table: pa.Table, length: int) -> pa.Table:
             b += 1
         rows = several[a:b]
         if len(rows):
-            for i, x in zip(rows, first_documents([contexts[r] for r in rows], at[rows], length)):
-                out[i] = x
-    return pa.table({"k": table.column("k"), "off": table.column("off"), "context": table.column("context"),
-                     "firsts": pa.array(out, pa.list_(pa.int64()))})
+            n = counts[rows]
+            till = np.cumsum(n)
+            firsts[np.repeat(ends[rows] - till, n) + np.arange(till[-1])] = first_documents(column.take(pa.array(rows)).to_numpy().tolist(), at[rows], length)
+    lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(firsts, pa.int64()))
+    return pa.table({"k": table.column("k"), "off": table.column("off"), "context": column, "firsts": lists})
 
 
 def _masks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,14 +351,12 @@ def window_masks(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return out
 
 
-def removed_spans(marks: list[dict] | None, n: int, copy: bool, length: int) -> list[tuple[int, int]]:
+def removed_spans(starts: np.ndarray, masks: np.ndarray, n: int, copy: bool, length: int) -> list[tuple[int, int]]:
     """Maximal removed runs of a text's bytes, ascending."""
     if n >= length and copy:
         return [(0, n)]
-    if not marks:
+    if not len(starts):
         return []
-    starts = np.array([m["start"] for m in marks], np.int64)
-    masks = np.array([m["mask"] for m in marks], np.int64).view(np.uint64)
     i, bit = np.nonzero((masks[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1))
     at = np.unique(starts[i] + bit)
     cut = np.flatnonzero(np.diff(at) > length)
@@ -364,9 +375,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: dict[str, list] = {k: [] for k in ("spans", "n_bytes", "n_removed", "n_spans", "kept_sha256")}
-            for text, copy, marks in zip(*(batch.column(k) for k in (1, 2, 3))):
-                raw = text.as_py().encode()
-                spans = removed_spans(marks.as_py(), len(raw), copy.as_py(), length)
+            for raw, copy, marks in zip(_bytes(batch.column(1)), batch.column(2).to_pylist(), _marks(batch.column(3))):
+                spans = removed_spans(*marks, len(raw), copy, length)
                 sha, at = hashlib.sha256(), 0
                 for a, b in spans:
                     sha.update(raw[at:a])
@@ -398,10 +408,9 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, keep = [], []
-            for text, copy, marks in zip(batch.column(at), batch.column(len(names)), batch.column(len(names) + 1)):
-                text = text.as_py()
+            for text, copy, marks in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist(), _marks(batch.column(len(names) + 1))):
                 raw = (text or "").encode()
-                spans = removed_spans(marks.as_py(), len(raw), copy.as_py(), length)
+                spans = removed_spans(*marks, len(raw), copy, length)
                 if spans:
                     parts, end = [], 0
                     for a, b in spans:  # a cut inside a character moves out of the removed run

@@ -3,6 +3,8 @@
 import hashlib
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from basketry.llm import suffixes as S
@@ -98,3 +100,15 @@ def test_text_column(docs):
     got = {r.doc_id: r.text for r in S.without_repeats(frame).collect()}
     assert got == {1: "unique start " + "é" * 60, 2: "other words" + " end", 4: ""}
     assert S.without_repeats(frame).columns == frame.columns
+
+
+def test_columns_are_read_without_scalars():
+    texts = pa.array(["é", "", "ab"])
+    assert S._bytes(texts) == ["é".encode(), b"", b"ab"] and S._bytes(texts.cast(pa.large_string())[1:]) == [b"", b"ab"]
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("mask", pa.int64())]))
+    marks = pa.array([None, [{"start": 3, "mask": 5}], [], [{"start": 9, "mask": -1}, {"start": 1, "mask": 1}]], kind)
+    want = [[], [(3, 5)], [], [(9, 2**64 - 1), (1, 1)]]
+    assert [list(zip(a.tolist(), m.tolist())) for a, m in S._marks(marks)] == want
+    assert [list(zip(a.tolist(), m.tolist())) for a, m in S._marks(marks[1:])] == want[1:]
+    # all starts of all contexts, one after another
+    assert S.first_documents([b"a" * 51, b"b" * 50], np.array([7, 8])).tolist() == [7, 7, 8]
