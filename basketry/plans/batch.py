@@ -105,9 +105,10 @@ def clean_and_enrich(tables: dict[str, DataFrame], checks: str = "deferred",
     t = tables
     if not eager and run_input_checks:
         in_parallel(input_checks(t))
-    co = C.clean_orders(t["orders"], check=eager)
-    ci = C.clean_inventory(t["inventory"], check=eager)
-    cr = C.clean_reviews(t["reviews"], check=eager)
+    cleaners = [lambda: C.clean_orders(t["orders"], check=eager), lambda: C.clean_inventory(t["inventory"], check=eager),
+                lambda: C.clean_reviews(t["reviews"], check=eager)]
+    # eager checks raise in the tables' order
+    co, ci, cr = [clean() for clean in cleaners] if eager else in_parallel(cleaners)
     return {
         "orders": enrich_orders(co, t["customers"], t["promotions"], t["order_items"], check=eager),
         "inventory": enrich_inventory(ci, t["products"], t["warehouses"], check=eager),

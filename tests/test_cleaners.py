@@ -158,3 +158,41 @@ def test_numeric_coercion_matches_pandas_to_numeric(spark):
     df = spark.createDataFrame([(t,) for t, _ in TO_NUMERIC_CASES], "t string")
     got = [r[0] for r in df.select(numeric_expr(F.col("t"), T.StringType())).collect()]
     assert got == [w for _, w in TO_NUMERIC_CASES]
+
+
+def _few_repeated(spark):
+    """A hundred keys of one row each, and a few rows of repeated and of missing keys."""
+    rows_ = [(k, k, f"v{k}") for k in range(100)] + [(7, 200, "later"), (None, 201, "x"), (None, 202, "y"), (9, -1, "earlier")]
+    return spark.createDataFrame(rows_, "k long, _seq long, v string")
+
+
+def test_keep_last_of_few_keeps_the_same_rows(spark):
+    from basketry.operators.dedup import keep_last_of_few
+
+    for df in (_few_repeated(spark), _few_repeated(spark).where("_seq between 0 and 99"), _few_repeated(spark).where("k is null"),
+               _few_repeated(spark).where("k in (7, 9)"), _few_repeated(spark).where("false")):
+        assert sorted(map(str, keep_last_of_few(df, "k").collect())) == sorted(map(str, keep_last(df, "k").collect()))
+
+
+def test_keep_last_of_few_ranks_no_row_of_a_single_key(spark):
+    from basketry.operators.dedup import keep_last_of_few
+
+    def plan(df):
+        return keep_last_of_few(df, "k")._jdf.queryExecution().executedPlan().toString()
+
+    single = plan(_few_repeated(spark).where("_seq between 0 and 99"))
+    assert "Sort" not in single and "Exchange" not in single
+    assert "LeftAnti" in plan(_few_repeated(spark))
+    assert "LeftAnti" not in plan(_few_repeated(spark).where("k is null"))
+
+
+def test_cleaned_inventory_is_not_sorted(spark):
+    from basketry.plans.clean import clean_inventory
+
+    df = spark.createDataFrame([(1, 5, 6, 7, 1, 9, "2024-01-15", 0), (2, 5, 6, None, 1, 9, "2024-01-16 10:00:00", 1)],
+                               "inventory_id long, product_id long, warehouse_id long, quantity long, min_stock_level long, max_stock_level long, "
+                               "last_restock_date string, _seq long")
+    out = clean_inventory(df, check=False)
+    assert "Sort" not in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.inventory_id, r.quantity, str(r.last_restock_date)) for r in out.collect()) == [
+        (1, 7, "2024-01-15 00:00:00"), (2, 0, "2024-01-16 10:00:00")]
