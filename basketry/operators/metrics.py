@@ -56,21 +56,33 @@ def top_spenders(eo: DataFrame, top_n: int = TOP_SPENDERS_N,
                  percentile: float | None = TOP_SPENDERS_PERCENTILE) -> DataFrame:
     """Customers above the spend ``percentile`` (exact, interpolated), top N by spend."""
     g = (_summed(_keyed(eo, "customer_id"), ["customer_id"], "total_spent", "total_amount", {
-        "total_orders": (F.count("order_id"), F.sum), "last_order_date": (F.max("order_date"), F.max), "email": (F.min("email"), F.min)})
-        .select("customer_id", "total_orders", "total_spent", "last_order_date", "email", safe_div("total_spent", "total_orders").alias("avg_ticket")))
+        "total_orders": (F.count("order_id"), F.sum), "last_order_date": (F.max("order_date"), F.max)})
+        .select("customer_id", "total_orders", "total_spent", "last_order_date", safe_div("total_spent", "total_orders").alias("avg_ticket")))
     if percentile is not None:
         # the per-customer table feeds the ranking and four quantile passes:
         # compute it once (one row per customer, a fraction of the orders)
         g = materialize(g)
         threshold = exact_quantile(g, "total_spent", percentile, alias="_threshold")
         g = g.where(F.col("total_spent") >= threshold.scalar())
-    return (g.orderBy(F.col("total_spent").desc_nulls_last(), F.col("customer_id").asc())
-            .limit(top_n))
+    return _top_with_text(g, [F.col("total_spent").desc_nulls_last(), F.col("customer_id").asc()], top_n, eo, "customer_id", "email").select(
+        "customer_id", "total_orders", "total_spent", "last_order_date", "email", "avg_ticket")
+
+
+def _top_with_text(groups: DataFrame, order: list[Column], top_n: int, rows: DataFrame, key: str, text: str) -> DataFrame:
+    """The first ``top_n`` groups with the least ``text`` of their rows.
+
+    A text in the groups' own aggregate would have all rows sorted for it; here
+    those of at most ``top_n`` keys are (the ranked groups are checkpointed).
+    """
+    top = materialize(groups.orderBy(*order).limit(top_n))
+    texts = rows.select(key, text).join(F.broadcast(top.select(key)), key, "left_semi").groupBy(key).agg(F.min(text).alias(text))
+    return top.join(texts, key, "left").orderBy(*order)
 
 
 def recurring_customers(eo: DataFrame, min_orders: int = RECURRING_MIN_ORDERS) -> DataFrame:
-    g = _grouped(eo, "customer_id").agg(
-        F.count("order_id").alias("total_orders"), F.min("email").alias("email"))
+    # by email too at first: a text is a key of a hash table, but its least value takes a sort of the rows
+    g = (_keyed(eo, "customer_id").groupBy("customer_id", "email").agg(F.count("order_id").alias("total_orders"))
+         .groupBy("customer_id").agg(F.sum("total_orders").alias("total_orders"), F.min("email").alias("email")))
     return (g.where(F.col("total_orders") >= min_orders)
             .orderBy(F.col("total_orders").desc(), F.col("customer_id").asc()))
 
@@ -202,12 +214,15 @@ def warehouse_utilization(ei: DataFrame) -> DataFrame:
 
     One row per distinct (warehouse, capacity) pair, so a warehouse listed
     with two capacities yields two rows (as a join with the distinct pairs
-    would). One scan: units are pre-aggregated per pair, then a window per
-    warehouse over that small table adds the warehouse-wide totals.
+    would). One scan: units are pre-aggregated per pair and location (a text
+    is a key of a hash table, but its least value takes a sort of the rows),
+    then a window per warehouse over that small table adds the warehouse-wide
+    totals.
     """
     pairs = (ei.where(F.col("warehouse_id").isNotNull())
+             .groupBy("warehouse_id", "capacity_units", "location").agg(F.sum("quantity").alias("_units"))
              .groupBy("warehouse_id", "capacity_units")
-             .agg(F.min("location").alias("_loc"), F.sum("quantity").alias("_units")))
+             .agg(F.min("location").alias("_loc"), F.sum("_units").alias("_units")))
     w = Window.partitionBy("warehouse_id")
     return (pairs.select(
         "warehouse_id",
@@ -231,15 +246,13 @@ def rating_overview(er: DataFrame) -> DataFrame:
 def rating_by_product(er: DataFrame, min_reviews: int = RATING_BY_PRODUCT_MIN_DEFAULT,
                       top_n: int = TOP_REVIEWED_PRODUCTS_N) -> DataFrame:
     g = _grouped(er, "product_id").agg(
-        F.min("product_name").alias("product_name"),
         F.avg(nan_to_null("rating")).alias("average_rating"),
         F.count("review_id").alias("review_count"),
         F.avg(F.col("is_positive").cast("int")).alias("positive_rate"),
     )
-    return (g.where(F.col("review_count") >= min_reviews)
-            .orderBy(F.col("average_rating").desc_nulls_last(), F.col("review_count").desc(),
-                     F.col("product_id").asc())
-            .limit(top_n))
+    order = [F.col("average_rating").desc_nulls_last(), F.col("review_count").desc(), F.col("product_id").asc()]
+    return _top_with_text(g.where(F.col("review_count") >= min_reviews), order, top_n, er, "product_id", "product_name").select(
+        "product_id", "product_name", "average_rating", "review_count", "positive_rate")
 
 
 def monthly_review_volume(er: DataFrame) -> DataFrame:

@@ -125,3 +125,22 @@ def test_monthly_review_volume(ratings):
 def test_empty_rates_are_null(order_states):
     r = rows(M.cancellation_rate(order_states.limit(0)))[0]["cancellation_rate"]
     assert r is None or math.isnan(r)
+
+
+def test_text_attributes_take_no_sort_of_the_rows(spark):
+    """The least email, location and name of a group are found without sorting all rows for a text in the aggregate."""
+    orders = spark.createDataFrame([(1, 1, "b@x", 10.0), (2, 1, "a@x", 5.0), (3, 2, None, 1.0), (4, 1, None, 1.0), (5, None, "c@x", 2.0)],
+                                   "order_id long, customer_id long, email string, total_amount double").selectExpr("*", "timestamp_ntz'2024-01-01' as order_date")
+    stock = spark.createDataFrame([(1, 10, "S", 3), (1, 10, "N", 4), (1, 20, None, 5), (2, 10, None, 6), (2, 10, None, None)],
+                                  "warehouse_id long, capacity_units long, location string, quantity long")
+    rated = spark.createDataFrame([(1, 1, "p", 5), (2, 1, "o", 3), (3, 2, None, 1)], "review_id long, product_id long, product_name string, rating long") \
+        .selectExpr("*", "rating >= 4 as is_positive")
+
+    assert [(r.customer_id, r.total_orders, r.email) for r in M.recurring_customers(orders, 1).collect()] == [(1, 3, "a@x"), (2, 1, None)]
+    assert [(r.customer_id, r.total_orders, r.email) for r in M.top_spenders(orders, 5, None).collect()] == [(1, 3, "a@x"), (2, 1, None)]
+    assert [(r.warehouse_id, r.location, r.total_units, r.capacity_units) for r in M.warehouse_utilization(stock).collect()] == [
+        (1, "N", 12, 20), (2, None, 6, 10), (1, "N", 12, 10)]
+    assert [(r.product_id, r.product_name, r.review_count) for r in M.rating_by_product(rated, 1).collect()] == [(1, "o", 2), (2, None, 1)]
+    for df, whole in ((M.recurring_customers(orders, 1), "partial_count(order_id"), (M.warehouse_utilization(stock), "partial_sum(quantity")):
+        plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
+        assert any("HashAggregate" in line and whole in line for line in plan) and not any("SortAggregate" in line and whole in line for line in plan)
