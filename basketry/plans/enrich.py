@@ -1,10 +1,10 @@
 """Enrichers: left joins with dimension tables plus derived columns.
 
 Join order is chosen for the shuffle plan, output column order follows the
-source system. For orders, the items join (J3) goes first: keep-last dedup
-already hash-partitions cleaned orders by ``order_id`` and the per-order item
-totals are aggregated on the same key, so J3 adds no exchange on the orders
-side. Customers (J1) then shuffle on ``customer_id``; promotions (J2) are a
+source system. For orders, the items join (J3) goes first: where keep-last dedup
+ranks all rows it already hash-partitions cleaned orders by ``order_id``, the key
+that the per-order item totals are aggregated on, so J3 adds no exchange on the
+orders side; else J3's is the only one by that key. Customers (J1) then shuffle on ``customer_id``; promotions (J2) are a
 small dimension that Spark broadcasts under its size threshold. The hot
 "no promotion" key 0 never matches a promotion and, on a shuffle join, is
 split by AQE's skew handling.
