@@ -76,7 +76,7 @@ def _top_with_text(groups: DataFrame, order: list[Column], top_n: int, rows: Dat
     """
     top = materialize(groups.orderBy(*order).limit(top_n))
     texts = rows.select(key, text).join(F.broadcast(top.select(key)), key, "left_semi").groupBy(key).agg(F.min(text).alias(text))
-    return top.join(texts, key, "left").orderBy(*order)
+    return top.join(texts, key, "left").orderBy(*order).limit(top_n)
 
 
 def recurring_customers(eo: DataFrame, min_orders: int = RECURRING_MIN_ORDERS) -> DataFrame:
