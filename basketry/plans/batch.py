@@ -109,11 +109,11 @@ def clean_and_enrich(tables: dict[str, DataFrame], checks: str = "deferred",
                 lambda: C.clean_reviews(t["reviews"], check=eager)]
     # eager checks raise in the tables' order
     co, ci, cr = [clean() for clean in cleaners] if eager else in_parallel(cleaners)
-    return {
-        "orders": enrich_orders(co, t["customers"], t["promotions"], t["order_items"], check=eager),
-        "inventory": enrich_inventory(ci, t["products"], t["warehouses"], check=eager),
-        "reviews": enrich_reviews(cr, t["products"], t["customers"], check=eager),
-    }
+    enrichers = [lambda: enrich_orders(co, t["customers"], t["promotions"], t["order_items"], check=eager),
+                 lambda: enrich_inventory(ci, t["products"], t["warehouses"], check=eager),
+                 lambda: enrich_reviews(cr, t["products"], t["customers"], check=eager)]
+    # each measures the dimensions that it joins
+    return dict(zip(("orders", "inventory", "reviews"), [enrich() for enrich in enrichers] if eager else in_parallel(enrichers)))
 
 
 def metric_builders(eo: DataFrame, ei: DataFrame, er: DataFrame,

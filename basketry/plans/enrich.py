@@ -60,7 +60,7 @@ def join_promotions(orders: DataFrame, promotions: DataFrame) -> DataFrame:
 
 def join_items_count(orders: DataFrame, order_items: DataFrame) -> DataFrame:
     """J3: orders ⟕ per-order item totals (aggregate first, then join)."""
-    return left_join(orders, items_per_order(order_items), "order_id")
+    return left_join(orders, items_per_order(order_items), "order_id", measure=False)
 
 
 def join_products(facts: DataFrame, products: DataFrame) -> DataFrame:
