@@ -6,7 +6,10 @@ common shingles lies in both prefixes, early enough that the rest could still
 reach the needed overlap. Equal sets are one vertex from the start; vertices
 with the same prefix and size are one group, and the index holds a group's
 prefix once. Group pairs that meet in the index pass the size and position
-filters, are expanded to their members, and the members' sets are compared.
+filters and are expanded to their members. Every set also has a bitmap of about a
+bit or two a shingle, the parities of its shingles by hash: where two differ, so
+do the sets, and what differs in more places than linked sets may goes without a
+look at its texts. The texts of the others are compared in full.
 
 No long list emits all its pairs: at first it compares its groups with one
 leader only, and the links are merged into components. Pairs inside a component
@@ -29,8 +32,10 @@ from .common import LAST_ID, components, quoted, released, staged, staged_at, te
 
 #: Words of a shingle; links need COMMON / UNION >= 4 / 5.
 SHINGLE = 5
-#: Documents that the frequency order is estimated on, and shingles it knows at most.
-ORDER_DOCS, ORDER_SHINGLES = 10_000, 200_000
+#: Documents that the frequency order is estimated on at least, one in so many of a larger corpus (else lists grow with it), and shingles it knows at most.
+ORDER_DOCS, ORDER_SHARE, ORDER_SHINGLES = 10_000, 20, 500_000
+#: Bits that tell which texts are looked for; more texts than that only let others through.
+PLACES = 2**21
 #: Lists up to this length compare all their groups at once; longer ones begin with a leader.
 SHORT_LIST = 32
 
@@ -42,7 +47,7 @@ class _WordHashes(dict):
 
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 500_000:
+        if len(self) < 200_000:
             self[word] = value
         return value
 
@@ -84,13 +89,39 @@ def _digest(x: np.ndarray) -> tuple[int, int]:
             int(np.bitwise_xor.reduce(_mixed(u * _MULTIPLIER + np.uint64(1))).view(np.int64)) if len(x) else 0)
 
 
+def parities(x: np.ndarray) -> bytes:
+    """Bitmap of distinct hashes: for each place by their last bits whether an odd number falls there.
+
+    At least a bit a shingle, a power of two. Halves laid over each other (exclusive or) give the bitmap of half the size.
+    """
+    if not len(x):
+        return b""
+    size = max(64, 1 << (len(x) - 1).bit_length())
+    odd = np.bincount((x.view(np.uint64) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def differing(a: bytes, b: bytes) -> int:
+    """Places where two bitmaps differ, the larger one folded to the other's size: the sets differ in as many shingles at least."""
+    x, y = int.from_bytes(a, "little"), int.from_bytes(b, "little")
+    nx, ny = len(a) * 8, len(b) * 8
+    while nx != ny:
+        if nx > ny:
+            nx //= 2
+            x = (x >> nx) ^ (x & ((1 << nx) - 1))
+        else:
+            ny //= 2
+            y = (y >> ny) ^ (y & ((1 << ny) - 1))
+    return (x ^ y).bit_count()
+
+
 def frequency_order(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles met in several of a bounded sample's texts, with their counts.
+    """Shingles met in several of a sample's texts, with their counts.
 
     Only sorts the prefixes: any order gives the same links.
     """
     total = max(1, rows.count())
-    picked = rows.select("text").sample(min(1.0, ORDER_DOCS / total), 11).distinct()
+    picked = rows.select("text").sample(min(1.0, max(ORDER_DOCS / total, 1 / ORDER_SHARE)), 11).distinct()
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,19 +130,22 @@ def frequency_order(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets))], names=["shingle"])
         _HASHES.clear()
 
-    counted = (picked.mapInArrow(shingles, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
-               .where("n > 1").orderBy(F.desc("n"), "shingle").limit(ORDER_SHINGLES).toPandas().sort_values("shingle"))
+    found, path = staged_at(picked.mapInArrow(shingles, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+                            .where("n > 1").orderBy(F.desc("n"), "shingle").limit(ORDER_SHINGLES), "frequent")
+    counted = found.toPandas().sort_values("shingle")
+    released(rows.sparkSession, path)
     return counted["shingle"].to_numpy(np.int64), counted["n"].to_numpy(np.int64)
 
 
 def prefixes(rows: DataFrame, order: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """Size, digests and prefix of every text's set."""
+    """Size, digests, prefix and bitmap of every text's set."""
     known = rows.sparkSession.sparkContext.broadcast(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, counts = known.value
-        for batch in batches:
-            out: dict[str, list] = {k: [] for k in ("n", "fa", "fb", "ga", "gb", "prefix")}
+        # a few rows at a time: a batch may hold many megabytes of text
+        for batch in (whole.slice(k, 1_000) for whole in batches for k in range(0, whole.num_rows, 1_000)):
+            out: dict[str, list] = {k: [] for k in ("n", "fa", "fb", "ga", "gb", "prefix", "bits")}
             for t in batch.column(2).to_pylist():
                 x = shingle_set(t)
                 n = len(x)
@@ -124,20 +158,47 @@ def prefixes(rows: DataFrame, order: tuple[np.ndarray, np.ndarray]) -> DataFrame
                 for name, v in zip(("fa", "fb", "ga", "gb"), _digest(x) + _digest(prefix)):
                     out[name].append(v)
                 out["prefix"].append(prefix)
-            kinds = [("n", pa.int64()), *((k, pa.int64()) for k in ("fa", "fb", "ga", "gb")), ("prefix", pa.list_(pa.int64()))]
+                out["bits"].append(parities(x))
+            kinds = [("n", pa.int64()), *((k, pa.int64()) for k in ("fa", "fb", "ga", "gb")), ("prefix", pa.list_(pa.int64())), ("bits", pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(out[k], t) for k, t in kinds)],
                                              names=["doc_id", "th", *(k for k, _ in kinds)])
         _HASHES.clear()
 
     return rows.select("doc_id", "th", "text").mapInArrow(
-        run, "doc_id long, th long, n long, fa long, fb long, ga long, gb long, prefix array<long>")
+        run, "doc_id long, th long, n long, fa long, fb long, ga long, gb long, prefix array<long>, bits binary")
+
+
+def likely_pairs(pairs: DataFrame, vertices: DataFrame) -> DataFrame:
+    """The (u, v) of ``pairs`` whose bitmaps differ in no more places than the shingles of linked sets may."""
+    sides = pairs.select("u", "v", F.explode(F.array("u", "v")).alias("vid"))
+    one = F.struct("vid", "n", "bits")
+    both = sides.join(vertices.select("vid", "n", "bits"), "vid").groupBy("u", "v").agg(F.min(one).alias("a"), F.max(one).alias("b")).select(
+        "u", "v", (F.col("a.n") + F.col("b.n") - 2 * needed_overlap(F.col("a.n"), F.col("b.n"))).alias("most"),
+        F.col("a.bits").alias("x"), F.col("b.bits").alias("y"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            most, x, y = (batch.column(k).to_pylist() for k in (2, 3, 4))
+            keep = pa.array([differing(p, q) <= m for p, q, m in zip(x, y, most)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["u", "v"])
+
+    return both.mapInArrow(run, "u long, v long")
+
+
+def maybe_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose text hash ``th`` is none of ``wanted``; a broadcast of ``PLACES`` bits at most, in words of 64, whatever the rows."""
+    at = F.pmod(F.col("th"), F.lit(PLACES))
+    word, bit = F.shiftright(at, 6).alias("_word"), F.pmod(at, F.lit(64)).cast("int").alias("_bit")
+    marks = wanted.select(word, bit).groupBy("_word").agg(F.expr("bit_or(shiftleft(1L, _bit))").alias("_marks"))
+    return rows.select("*", word, bit).join(F.broadcast(marks), "_word").where(F.getbit("_marks", "_bit") == 1).select(*rows.columns)
 
 
 def linked_pairs(pairs: DataFrame, vertices: DataFrame, rows: DataFrame) -> DataFrame:
     """The (u, v) of ``pairs`` whose sets are similar enough, compared in full."""
     sides = pairs.select("u", "v", F.explode(F.array("u", "v")).alias("vid"))
     named = sides.join(vertices.select("vid", F.struct("doc_id", "th").alias("row")), "vid").select("u", "v", "row")
-    both = (named.join(rows.select(F.struct("doc_id", "th").alias("row"), "text"), "row")
+    asked = maybe_of(rows, vertices.join(sides.select("vid"), "vid", "left_semi"))
+    both = (named.join(asked.select(F.struct("doc_id", "th").alias("row"), "text"), "row")
             .groupBy("u", "v").agg(F.min("text").alias("a"), F.max("text").alias("b")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,7 +236,7 @@ def _smallest() -> Column:
 def _linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame, str]:
     """Every row's set, the component of every distinct set that is not empty, and the folder of the first.
 
-    (doc_id, th, n, fa, fb, ...), and (vid, comp, doc_id, th, fa, fb, n) with the
+    (doc_id, n, fa, fb), and (vid, comp, doc_id, th, fa, fb, n) with the
     (doc_id, text hash) of the set's smallest row; null ids count as the largest.
     """
     rows = texts(docs).withColumn("th", F.xxhash64("text"))
@@ -186,22 +247,26 @@ def _linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame, str]:
         used.append(path)
         return out
 
-    sets, sets_path = staged_at(prefixes(rows, frequency_order(rows)), "shingle-sets")
+    whole_sets, whole_path = staged_at(prefixes(rows, frequency_order(rows)), "shingle-sets")
     key = ["fa", "fb", "n"]
-    vertices = kept(
-        sets.where("n > 0").groupBy(*key, "ga", "gb").agg(
+    vertices, vertices_path = staged_at(
+        whole_sets.where("n > 0").groupBy(*key, "ga", "gb").agg(
             _smallest().alias("rep"),
-            F.first("prefix").alias("prefix"))
-        .select(F.monotonically_increasing_id().alias("vid"), "rep.doc_id", "rep.th", *key, "ga", "gb", "prefix"), "vertices")
+            F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
+        .select(F.monotonically_increasing_id().alias("vid"), "rep.doc_id", "rep.th", *key, "ga", "gb", "prefix", "bits"), "vertices")
+    # each folder goes as soon as what is read of it later lies in a smaller one
+    sets, sets_path = staged_at(whole_sets.select("doc_id", *key), "set-keys")
+    released(docs.sparkSession, whole_path)
     # groups: equal prefix and size
     groups = vertices.groupBy("ga", "gb", "n").agg(F.min("vid").alias("gid"), F.count(F.lit(1)).alias("members"))
     of_group = staged(vertices.drop("prefix").join(groups, ["ga", "gb", "n"])
-                      .select("vid", "gid", "members", "doc_id", "th", *key), "groups")
+                      .select("vid", "gid", "members", "doc_id", "th", *key, "bits"), "groups")
     index = (vertices.join(of_group.where("vid = gid").select("vid", "members"), "vid")
              .select(F.col("vid").alias("gid"), "n", "members", F.posexplode("prefix").alias("pos", "token")))
     near = Window.partitionBy("token").orderBy("gid")
     lists = kept(index.withColumn("_other", F.coalesce(F.lag("gid").over(near), F.lead("gid").over(near)))
                    .where("_other is not null").drop("_other"), "lists")
+    released(docs.sparkSession, vertices_path)
 
     # first round: short lists whole, long lists against a leader, groups against their first member;
     # the leader has the fewest rarer shingles before the list's, so it is the least edited copy
@@ -226,12 +291,13 @@ def _linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame, str]:
     bounded = (met.join(many.toDF("u", "ku"), "u", "left").join(many.toDF("v", "kv"), "v", "left")
                .where("close").where(F.col("c") + F.least(F.coalesce("ku", F.lit(0)), F.coalesce("kv", F.lit(0)))
                       + F.ceil(F.col("more") * 4 / F.lit(5)) - 1 >= needed_overlap(F.col("less"), F.col("more"))))
-    tested = kept(bounded.select("u", "v").unionByName(inside).distinct(), "pairs-1")
+    met_first = kept(bounded.select("u", "v").unionByName(inside).distinct(), "pairs-1")
+    tested = kept(likely_pairs(met_first, of_group), "likely-1")
     links = kept(linked_pairs(tested, of_group, rows), "links-1")
     merged = components(links.select(F.col("u").alias("a"), F.col("v").alias("b")), "cc-1")
 
     # second round: what may still join two components
-    placed = kept(of_group.join(merged.withColumnRenamed("id", "vid"), "vid", "left")
+    placed = kept(of_group.drop("bits").join(merged.withColumnRenamed("id", "vid"), "vid", "left")
                     .withColumn("comp", F.coalesce("component_id", "vid")).drop("component_id"), "placed")
     pure = placed.groupBy("gid").agg(F.when(F.min("comp") == F.max("comp"), F.min("comp")).alias("gcomp"))
     open_lists = (headed.where((F.col("length") > SHORT_LIST) | (F.col("members") > 1)).select("token").distinct()
@@ -252,7 +318,8 @@ def _linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame, str]:
                 .select(F.least("uv", "vv").alias("u"), F.greatest("uv", "vv").alias("v")))
     mixed = member.join(pure.where("gcomp is null").select("gid"), "gid")
     within = (mixed.toDF("g", "u", "uc").join(mixed.toDF("g", "v", "vc"), "g").where("u < v and uc <> vc").select("u", "v"))
-    again = kept(expanded.unionByName(within).distinct().join(tested, ["u", "v"], "left_anti"), "pairs-2")
+    met_again = kept(expanded.unionByName(within).distinct().join(met_first, ["u", "v"], "left_anti"), "pairs-2")
+    again = kept(likely_pairs(met_again, of_group), "likely-2")
     if again.limit(1).count():
         more = linked_pairs(again, of_group, rows)
         stars = merged.where("id <> component_id").select(F.col("id").alias("a"), F.col("component_id").alias("b"))

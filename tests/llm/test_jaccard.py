@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from basketry.llm import jaccard
@@ -119,3 +120,44 @@ def test_components(spark):
     got = {r.id: r.component_id for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for e in edges if e[0] != e[1] for x in e}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_bitmaps_never_differ_more_than_their_sets():
+    rng = np.random.default_rng(3)
+    for n, extra, missing in ((1, 0, 0), (40, 3, 2), (63, 4, 0), (300, 0, 40), (1000, 100, 90), (5000, 1, 0)):
+        x = np.unique(rng.integers(-2**63, 2**63 - 1, n, dtype=np.int64))
+        y = np.unique(np.concatenate([x[missing:], rng.integers(-2**63, 2**63 - 1, extra, dtype=np.int64)]))
+        apart = len(np.setxor1d(x, y))
+        assert jaccard.differing(jaccard.parities(x), jaccard.parities(y)) <= apart
+        assert jaccard.differing(jaccard.parities(y), jaccard.parities(x)) % 2 == apart % 2
+    a, b = (np.unique(rng.integers(-2**63, 2**63 - 1, 500, dtype=np.int64)) for _ in range(2))
+    assert jaccard.differing(jaccard.parities(a), jaccard.parities(b)) > 2 * 500 / 9
+    assert jaccard.parities(np.zeros(0, np.int64)) == b"" and len(jaccard.parities(np.arange(65))) == 16
+
+
+def test_only_texts_that_are_looked_for_move(spark):
+    rows = spark.range(2000).selectExpr("id doc_id", "cast(id as string) text", "xxhash64(id) th")
+    found = jaccard.maybe_of(rows, rows.where("doc_id % 100 = 0"))
+    assert found.columns == rows.columns
+    got = {r["doc_id"] for r in found.collect()}
+    assert got >= set(range(0, 2000, 100)) and len(got) < 40
+    assert jaccard.maybe_of(rows, rows.limit(0)).count() == 0
+
+
+def test_unlike_texts_that_share_a_passage_are_not_moved(spark, monkeypatch):
+    """20 texts of 190 pairs share a third of their shingles: bitmaps alone tell that no pair links."""
+    words = [f"w{k}" for k in range(200)]
+    rows = [(k, " ".join([*words[:195], f"x{k}"])) for k in range(5)] + [(100 + k, " ".join([*words[:60], *(f"y{k}_{j}" for j in range(140))])) for k in range(20)]
+    compared = []
+    one = jaccard.linked_pairs
+
+    def counted(pairs, vertices, rows):
+        compared.append(pairs.count())
+        return one(pairs, vertices, rows)
+
+    # without an order prefixes go by hash, so that texts with a common passage meet
+    monkeypatch.setattr(jaccard, "frequency_order", lambda rows: (np.zeros(0, np.int64), np.zeros(0, np.int64)))
+    monkeypatch.setattr(jaccard, "linked_pairs", counted)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.similar_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {k: 0 if k < 5 else k for k, _ in rows}
+    assert 4 <= sum(compared) <= 10
